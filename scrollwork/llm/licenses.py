@@ -111,9 +111,10 @@ def _match(template: Template, words: Column, idf: dict[str, float]) -> Column:
     return F.array_max(F.transform(verified, share))
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with n_words, n_base, first_word, last_word, base_labels, labels, score, licences (struct<label, score>)."""
-    frequency, total = document_frequencies(docs, text)
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, licences (struct<label, score>)."""
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    frequency, total = document_frequencies(docs)
     idf = {w: math.log((1 + total) / (1 + n)) for w, n in frequency.items()}
     row = F.col("__words")
     n_words = F.when(row == "  ", F.lit(0).cast("long")).otherwise(_spaces(row) - 1)
@@ -134,10 +135,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         score = F.when(possible, _match(t, words, idf))
         matches.append(F.struct(F.lit(t.label).alias("label"), score.alias("score")))
     base = F.array_compact(F.array(*labels))
-    made = docs.select("*", words_string(F.col(text)).alias("__words"))
+    made = docs.select("doc_id", words_string(F.col("text")).alias("__words"))
     made = made.select("*", F.split(F.trim("__words"), " ").alias("__list"))
     made = made.select(
-        *docs.columns,
+        "doc_id",
         n_words.alias("n_words"),
         sum(places[1:], places[0]).alias("n_base"),
         F.least(*firsts).alias("first_word"),
@@ -147,11 +148,11 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     every = F.array_sort(F.array_distinct(F.concat("__base", F.transform("licences", lambda m: m["label"]))))
     score = F.coalesce(F.array_max(F.transform("licences", lambda m: m["score"])), F.when(F.col("n_base") > 0, F.lit(0.5)), F.lit(0.0))
-    return made.select(*docs.columns, "n_words", "n_base", "first_word", "last_word", F.array_join("__base", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), score.alias("score"), "licences")
+    return made.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("__base", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), score.alias("score"), "licences")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "licences")
+    return scan(table(spark, sf_dir, "documents")).drop("licences")
 
 
 def brute_force(text: str | None) -> tuple[int, int, int | None, int | None, str]:

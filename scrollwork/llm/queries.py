@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from .bytes_dedup import op3_bytes
 from .decontamination import op1_decontamination
 from .language import op2_language
+from .licenses import op6_licenses
 from .neardup import op5_neardup
-from .privacy import op7_privacy
 from .packing import op9_packing
+from .privacy import op7_privacy
 from .quality import op8_quality
+from .scoring import op10_scoring
+from .substrings import op4_substrings
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
+    "op3_bytes": op3_bytes,
+    "op4_substrings": op4_substrings,
     "op5_neardup": op5_neardup,
+    "op6_licenses": op6_licenses,
     "op7_privacy": op7_privacy,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
+    "op10_scoring": op10_scoring,
 }
 
 ORACLES: dict[str, str] = {}
