@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .folds import batch_step, fold, pageless_step, paged_step
 
-_DOC = Window.partitionBy("doc_id").orderBy("pos")
-_SO_FAR = _DOC.rowsBetween(Window.unboundedPreceding, 0)
+
+def _by_pos() -> WindowSpec:
+    return Window.partitionBy("doc_id").orderBy("pos")
+
+
+def _so_far() -> WindowSpec:
+    return _by_pos().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def item_index(items: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def heading_paths(items: DataFrame, levels: int = 9) -> DataFrame:
 
     One running maximum a level: a heading of level L stands if it is later than every heading of a lower level.
     """
-    last = [F.max(F.when(F.col("level") == k, F.col("pos"))).over(_SO_FAR) for k in range(1, levels + 1)]
+    last = [F.max(F.when(F.col("level") == k, F.col("pos"))).over(_so_far()) for k in range(1, levels + 1)]
     out = items.select("doc_id", "pos", "item_id", *[x.alias(f"l{k}") for k, x in enumerate(last, 1)])
     alive = []
     for k in range(1, levels + 1):
@@ -91,7 +96,7 @@ def heading_warnings(items: DataFrame) -> DataFrame:
     """doc_id, code, n, first_pos: documents without headings, with skipped levels, with pages that run backward, and
     with only one level in two or more headings."""
     heads = items.where("level IS NOT NULL")
-    before, page_before = F.lag("level").over(_DOC), F.lag("page").over(_DOC)
+    before, page_before = F.lag("level").over(_by_pos()), F.lag("page").over(_by_pos())
     marked = heads.select("doc_id", "pos", "level", "page", before.alias("before"), page_before.alias("page_before"))
     skipped = marked.where("before IS NULL AND level > 1 OR level > before + 1").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos")).withColumn("code", F.lit("skipped_levels"))
     backward = marked.where("page < page_before").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos")).withColumn("code", F.lit("non_monotonic_pages"))
@@ -108,8 +113,8 @@ def atomic_units(items: DataFrame) -> DataFrame:
     starts_heading, list_key.
     """
     key = F.coalesce("list_key", F.concat(F.lit("#"), "pos"))
-    new = F.when(F.coalesce(F.lag(key).over(_DOC) != key, F.lit(True)), 1).otherwise(0)
-    numbered = items.withColumn("new", new).withColumn("unit_no", F.sum("new").over(_SO_FAR) - 1)
+    new = F.when(F.coalesce(F.lag(key).over(_by_pos()) != key, F.lit(True)), 1).otherwise(0)
+    numbered = items.withColumn("new", new).withColumn("unit_no", F.sum("new").over(_so_far()) - 1)
     filled = F.when(F.length("text") > 0, 1).otherwise(0)
     return numbered.groupBy("doc_id", "unit_no").agg(
         F.min("pos").alias("pos"),
@@ -202,6 +207,6 @@ def neighbour_frames(assigned: DataFrame, k: int = 1) -> DataFrame:
 
 def context_frame(items: DataFrame, reach: int = 3) -> DataFrame:
     """Characters around every item: of its page, or without one, of `reach` items to either side."""
-    near = F.sum(F.length("text")).over(_DOC.rowsBetween(-reach, reach))
+    near = F.sum(F.length("text")).over(_by_pos().rowsBetween(-reach, reach))
     page = F.sum(F.length("text")).over(Window.partitionBy("doc_id", "page"))
     return items.select("doc_id", "pos", F.when(F.col("page").isNotNull(), page).otherwise(near).alias("context_length"))

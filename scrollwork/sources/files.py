@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 
 FORMATS = ("pdf", "html", "htm")
-#: Columns of an import manifest; all are text.
+#: Stage, kind and id in the name of a snapshot.
 SNAPSHOT_NAME = r"^([A-D]\d{0,2}(?:\.\d)?)-([a-z-]+)-([0-9a-f-]+)\.json$"
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files under a path with format, SHA-256 and why a file is not accepted (null: it is)."""
+    """Files under a path with format, SHA-256 and why a file is not accepted (null: it is). Spark's readers leave empty
+    files out."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     form = F.lower(F.element_at(F.split("path", r"\."), -1))
-    problem = F.when(~form.isin(*FORMATS), "unknown format").when(F.col("length") == 0, "empty")
+    problem = F.when(~form.isin(*FORMATS), "unknown format")
     return raw.select("path", "length", "modificationTime", "content", form.alias("format"), F.sha2("content", 256).alias("sha"), problem.alias("problem"))
 
 
@@ -70,7 +71,7 @@ def read_events(spark: SparkSession, path: str, strict: bool = False) -> DataFra
     lines = json_lines(texts)
     broken = ~F.col("is_valid") & (F.lit(strict) | ~F.col("is_tail"))
     checked = lines.withColumn("line", F.when(broken, F.raise_error(F.concat(F.lit("corrupt line "), "line_no"))).otherwise(F.col("line")))
-    return checked.where("is_valid OR NOT is_tail").select("path", "line_no", F.parse_json("line").alias("event"))
+    return checked.where(F.col("is_valid") | broken).select("path", "line_no", F.parse_json("line").alias("event"))
 
 
 def append_events(events: DataFrame, path: str) -> None:
