@@ -13,6 +13,7 @@ other; equal lengths are taken in input order; an empty table gives no piece; ot
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ from .common import table
 LENGTH = 2048
 #: The id that ends each document.
 END = 1
-#: Chunks whose ids are remembered in a worker, about 250 bytes each; beyond that the memory starts afresh.
-REMEMBERED = 600_000
+#: Chunks whose ids are remembered in a worker, about 200 bytes each; beyond that the memory starts afresh.
+REMEMBERED = 1_500_000
 #: Sequence ids of one partition; more would need more than 2^33 sequences in a task.
 PER_PARTITION = 1 << 33
 
@@ -119,14 +120,40 @@ class Encoder:
 
 
 class _Chunks(dict):
+    """Ids of chunks, each split by the tokenizer's own rule; its parts go to the merge model one by one."""
+
     def __init__(self, tokenizer, before: str):
         super().__init__()
         self.tokenizer, self.before = tokenizer, before
+        self.split, self.merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+        # how the model writes each byte, for Latin letters, which are one part whatever they are
+        self.written = {b: self.split(chr(b))[0][0][-1] for b in range(0x20, 0x7F)}
+        for first in range(0xC2, 0xCA):
+            for last in range(0x80, 0xC0):
+                self.written[first], self.written[last] = self.split(bytes([first, last]).decode())[0][0]
+        self.plain = tokenizer.normalizer is None
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = array("I", [t.id for t in self.merge(part)]).tobytes()
+            if len(part) <= 4:
+                self.parts[part] = ids
+        return ids
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = np.array(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids, "<u4").tobytes()
+            self.parts.clear()
+        if not self.plain:
+            ids = np.array(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        elif chunk.isalpha() and max(chunk) < "\u0250":
+            ids = self._part((self.before + chunk).encode().decode("latin-1").translate(self.written))
+        elif chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha():
+            ids = self[chunk[:-1]] + self._part(chunk[-1])
+        else:
+            ids = b"".join([self._part(p) for p, _ in self.split(self.before + chunk)])
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
