@@ -7,6 +7,7 @@ from .decontamination import op1_decontamination
 from .language import op2_language
 from .licenses import op6_licenses
 from .neardup import op5_neardup
+from .oracles import OP1, OP4, OP8
 from .packing import op9_packing
 from .privacy import op7_privacy
 from .quality import op8_quality
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_scoring": op10_scoring,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_decontamination": OP1, "op4_substrings": OP4, "op8_quality": OP8}
