@@ -1,7 +1,7 @@
 """Every query against its SQL on the smallest tables."""
 
 import pytest
-from conftest import plain
+from comparing import plain
 
 from scrollwork import registry
 
