@@ -36,27 +36,30 @@ SHINGLE, SEED = 4, 42
 MAX_BITS = 4
 #: Groups of one key up to this size are compared in bulk.
 SMALL = 6
-#: In the pipeline: words of a shingle, and bits for a similarity of 0.8, the cosine cos(pi * bits / 64) of the shingles.
-PIPELINE_SHINGLE, PIPELINE_BITS = 5, 13
+#: In the pipeline: words of a shingle; most differing bits of 64 for a candidate; and of 128, from two seeds, for a
+#: link. The share of bits that differ estimates the angle between shingle counts, so 24 of 128 is a cosine of 0.83.
+PIPELINE_SHINGLE, PIPELINE_BITS, PIPELINE_BOTH = 5, 13, 24
 #: Generator polynomial of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the lower-cased text's word shingles."""
+def fingerprint(text: bytes, shingle: int = SHINGLE, seeds: tuple[int, ...] = (SEED,)) -> int | list[int]:
+    """64-bit SimHash of the lower-cased text's word shingles; a list of them if there are several seeds."""
     words = words_spaced(text.translate(FOLD_ASCII))
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    starts = np.cumsum([0, *(len(w) + 1 for w in words)])
-    size = min(shingle, len(words))
-    first, last = starts[: len(words) - size + 1].tolist(), (starts[size:] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)], ">u8")
-    bits = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        bits += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+    out = [0] * len(seeds)
+    if words:
+        joined = b" ".join(words)
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)])
+        size = min(shingle, len(words))
+        shingles = [joined[a:b] for a, b in zip(starts[: len(words) - size + 1].tolist(), (starts[size:] - 1).tolist(), strict=True)]
+        digest = xxhash.xxh64_intdigest
+        for k, seed in enumerate(seeds):
+            hashes = np.array([digest(s, seed) for s in shingles], ">u8")
+            bits = np.zeros(64, np.int64)
+            for at in range(0, len(hashes), 1 << 14):
+                bits += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+            out[k] = int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+    return out[0] if len(seeds) == 1 else out
 
 
 class Golay:
@@ -156,77 +159,91 @@ class Forest:
         return True
 
 
-def small_groups(values: np.ndarray, first: np.ndarray, ends: np.ndarray, max_bits: int) -> list[np.ndarray]:
-    """Linked pairs of the groups of up to `SMALL` fingerprints, all compared at once."""
+class Rule:
+    """When two fingerprints are linked: their bits differ in at most `max_bits` places, and with those of the second
+    fingerprint in at most `max_both`. Without a second fingerprint it is 0 for all."""
+
+    def __init__(self, max_bits: int, max_both: int | None = None):
+        self.max_bits, self.max_both = max_bits, max_bits if max_both is None else max_both
+
+    def near(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        differ = np.bitwise_count(x ^ y)
+        return (differ[..., 0] <= self.max_bits) & (differ.sum(-1) <= self.max_both)
+
+
+def small_groups(values: np.ndarray, first: np.ndarray, ends: np.ndarray, rule: Rule) -> list[np.ndarray]:
+    """Linked pairs of the groups of up to `SMALL` rows (fingerprint, second), all compared at once."""
     size = ends - first
     first, size = first[(size > 1) & (size <= SMALL)], size[(size > 1) & (size <= SMALL)]
     out = []
     for step in range(1, SMALL):
         for at in range(SMALL - step):
             left = first[size > at + step] + at
-            near = left[np.bitwise_count(values[left] ^ values[left + step]) <= max_bits]
+            near = left[rule.near(values[left], values[left + step])]
             if len(near):
-                pairs = np.unique(np.stack([values[near], values[near + step]], 1), axis=0)
-                out += list(pairs.view(np.int64))
+                out += list(np.unique(np.stack([values[near, 0], values[near + step, 0]], 1), axis=0))
     return out
 
 
-def links_in(group: np.ndarray, forest: Forest, max_bits: int) -> list[tuple[int, int]]:
-    """Verified links among fingerprints with one key, those only that join two trees. Each fingerprint is compared
-    with those not reached yet, which in a cluster are soon few."""
-    group = np.unique(group)
-    if len(group) < 2 or len({forest.root(x) for x in group.tolist()}) == 1:
+def links_in(group: np.ndarray, forest: Forest, rule: Rule) -> list[tuple[int, int]]:
+    """Verified links among rows (fingerprint, second) with one key, those only that join two trees. Each row is
+    compared with those not reached yet, which in a cluster are soon few."""
+    group = np.unique(group, axis=0)
+    if len(group) < 2 or len({forest.root(x) for x in group[:, 0].tolist()}) == 1:
         return []
     out, rest = [], group
     while len(rest) > 1:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             x = queue.pop()
-            near = np.bitwise_count(rest ^ x) <= max_bits
+            near = rule.near(rest, x)
             if near.any():
                 found, rest = rest[near], rest[~near]
                 queue.extend(found)
-                out += [(int(x), int(y)) for y in found.tolist() if forest.join(int(x), int(y))]
+                out += [(int(x[0]), y) for y in found[:, 0].tolist() if forest.join(int(x[0]), y)]
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", column: str = "fp") -> DataFrame:
-    """`docs` with the fingerprint of each row, as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seeds: tuple[int, ...] = (SEED,), text: str = "text") -> DataFrame:
+    """`docs` with the fingerprints `fp` and `fp2` of each row, as signed 64-bit numbers; `fp2` is 0 for one seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle) for t in raw_texts(batch.column(text))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], names=[*batch.schema.names, column])
+            made = [fingerprint(t, shingle, seeds) for t in raw_texts(batch.column(text))]
+            pairs = np.array(made if len(seeds) > 1 else [(m, 0) for m in made], np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=[*batch.schema.names, "fp", "fp2"])
 
-    return docs.mapInArrow(run, docs.withColumn(column, F.lit(0).cast("long")).schema)
+    return docs.mapInArrow(run, docs.withColumns({c: F.lit(0).cast("long") for c in ("fp", "fp2")}).schema)
 
 
-def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Links (u, v) that connect the distinct fingerprints `fp` of `prints` as all their links of up to `max_bits` do:
-    surely so up to 4 bits, nearly so beyond."""
+def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, max_both: int | None = None) -> DataFrame:
+    """Links (u, v) that connect the distinct fingerprints `fp` of `nodes` (fp, fp2) as all their links of up to
+    `max_bits` do: surely so up to 4 bits, nearly so beyond. See `Rule` for `max_both`."""
     spell = keys_of if max_bits <= MAX_BITS else wide_keys_of
+    rule = Rule(max_bits, max_both)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Golay()
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(values), 4096):
-                own = values[at : at + 4096]
-                keys, rows = spell(own.view(np.uint64), code)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[rows])], names=["key", "fp"])
+            prints, second = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "fp2"))
+            for at in range(0, len(prints), 4096):
+                keys, rows = spell(prints[at : at + 4096].view(np.uint64), code)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[at + rows]), pa.array(second[at + rows])], names=["key", "fp", "fp2"])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         open_key, held = None, []
         kinds = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-        def settled(groups: list[np.ndarray]) -> pa.RecordBatch:
-            got = [p for g in groups for p in links_in(g.view(np.uint64), forest, max_bits)]
+        def settled(pairs: list[np.ndarray], groups: list[np.ndarray]) -> pa.RecordBatch:
+            got = [(int(x), int(y)) for x, y in pairs if forest.join(int(x), int(y))]
+            got += [p for g in groups for p in links_in(g, forest, rule)]
             ends = np.array(got, np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], schema=kinds)
 
         for batch in batches:
-            keys, values = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp"))
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "fp2")], 1).view(np.uint64)
             if not len(keys):
                 continue
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -241,36 +258,35 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 done.append(np.concatenate(held))
             open_key, held = keys[-1], [values[first[-1] : ends[-1]]]
             first, ends = first[:-1], ends[:-1]
-            done += small_groups(values.view(np.uint64), first, ends, max_bits)
             done += [values[first[k] : ends[k]] for k in np.flatnonzero(ends - first > SMALL).tolist()]
-            yield settled(done)
+            yield settled(small_groups(values, first, ends, rule), done)
         if held:
-            yield settled([np.concatenate(held)])
+            yield settled([], [np.concatenate(held)])
 
-    keyed = prints.select("fp").distinct().mapInArrow(spread, "key long, fp long")
+    keyed = nodes.select("fp", "fp2").mapInArrow(spread, "key long, fp long, fp2 long")
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(match, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp and component_id of every row."""
-    prints = checkpointed(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shingle).select("doc_id", "fp"))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = label_components(fingerprint_links(nodes, max_bits))
+    prints = checkpointed(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fp"))
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.lit(0).cast("long").alias("fp2"))
+    labels = label_components(fingerprint_links(nodes))
     labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = labelled.join(least, "label").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = PIPELINE_SHINGLE, max_bits: int = PIPELINE_BITS) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, shingle: int = PIPELINE_SHINGLE, max_bits: int = PIPELINE_BITS, max_both: int = PIPELINE_BOTH) -> DataFrame:
     """One row of `docs` for each group of near copies: the one with the smallest doc_id, then the smallest text; of
     equal rows, one. Texts without a word are one group. Rows with null ids are kept only if a group has no other.
     """
     key = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
     mark, seen = fresh(docs.columns, "near_fp"), fresh(docs.columns, "near_rank")
-    prints = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle).select("fp", key.alias("key")))
-    nodes = prints.groupBy("fp").agg(F.min("key").alias("least"))
-    labels = label_components(fingerprint_links(nodes, max_bits))
+    prints = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle, (SEED, SEED + 1)).select("fp", "fp2", key.alias("key")))
+    nodes = prints.groupBy("fp").agg(F.min("key").alias("least"), F.min("fp2").alias("fp2"))
+    labels = label_components(fingerprint_links(nodes, max_bits, max_both))
     labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select("least", F.coalesce("label", "fp").alias("label"))
     winners = labelled.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.id").alias("w_id"), F.col("least.mark").alias("w_mark"))
     marked = docs.withColumn(mark, F.xxhash64("text"))
