@@ -95,20 +95,31 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[dict[str,
     return {w: got.get(w, 0) for w in licence_words()}, got.get("", 0)
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once: what a lambda only refers to would be computed at its every turn."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _match(template: Template, words: Column, idf: dict[str, float]) -> Column:
     """Score of the best verified place of the template, or null. `words`: the file's words, from index 0."""
     own, key, at = template.words, template.key.split(), template.key_at
     rarest = sorted(set(own), key=lambda w: (-idf[w], w))
     texts = lambda values: F.array(*map(F.lit, values))
-    top = F.slice(F.array_intersect(texts(rarest), words), 1, RARE_WORDS)
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains(top, h["w"]))
     postings = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(k).alias("k")) for k, w in enumerate(own)])
-    votes = F.flatten(F.transform(hits, lambda h: F.transform(F.filter(postings, lambda p: p["w"] == h["w"]), lambda p: h["i"] - p["k"])))
-    needed = F.least(F.lit(VOTES), F.size(top))
-    places = F.filter(F.array_distinct(votes), lambda o: (o + at >= 0) & (F.size(F.filter(votes, lambda v: v == o)) >= needed))
-    verified = F.filter(places, lambda o: F.slice(words, o + at + 1, len(key)) == texts(key))
-    share = lambda o: F.size(F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in enumerate(own)]), lambda p: F.coalesce(F.get(words, o + p["k"]) == p["w"], F.lit(False)))) / F.lit(float(len(own)))
-    return F.array_max(F.transform(verified, share))
+
+    def look_up(top: Column) -> Column:
+        hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains(top, h["w"]))
+        votes = F.flatten(F.transform(hits, lambda h: F.transform(F.filter(postings, lambda p: p["w"] == h["w"]), lambda p: h["i"] - p["k"])))
+        return _let(votes, lambda v: best(v, F.least(F.lit(VOTES), F.size(top))))
+
+    def best(votes: Column, needed: Column) -> Column:
+        # equal votes stand together once sorted, so a place has enough if the vote some places on is the same
+        ordered = F.array_sort(votes)
+        agreed = _let(F.struct(ordered.alias("v"), needed.alias("n")), lambda s: F.array_distinct(F.filter(F.transform(s["v"], lambda v, i: F.when(F.get(s["v"], i + s["n"] - 1) == v, v)), lambda v: v.isNotNull())))
+        verified = F.filter(agreed, lambda o: (o + at >= 0) & (F.slice(words, F.greatest(o + at + 1, F.lit(1)), len(key)) == texts(key)))
+        return F.array_max(F.transform(verified, lambda o: F.size(F.filter(postings, lambda p: F.coalesce(F.get(words, o + p["k"]) == p["w"], F.lit(False)))) / F.lit(float(len(own)))))
+
+    return _let(F.slice(F.array_intersect(texts(rarest), words), 1, RARE_WORDS), look_up)
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
