@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACED, Rolling, covered, spans_of_words, table, text_blocks, window_rows, word_hashes
+from .common import SPACED, Rolling, covered, mix, spans_of_words, table, text_blocks, window_rows, word_hashes
 from .runs import RunIndex
 
 #: Words of a window, and of what anchors are chosen by.
@@ -83,6 +83,11 @@ def _rows(schema: pa.Schema, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in columns], schema=schema)
 
 
+def by_document(at: np.ndarray, twin: np.ndarray) -> np.ndarray:
+    """Keys that deal rows out by document, copies of one text too."""
+    return mix(at.astype(np.int64).view(np.uint64)) ^ twin.astype(np.int64).view(np.uint64)
+
+
 def _numbers(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [c.to_numpy(zero_copy_only=False) for c in batch.columns]
 
@@ -111,7 +116,7 @@ def _find_stretches(window: int, anchor: int):
                 later = np.flatnonzero((lead != np.arange(len(lead))) & ((at[lead] != at) | (twin[lead] != twin) | (pos[lead] != pos)))
                 yield _rows(_ROW, anchors[reps], whole[reps], at[reps], twin[reps], pos[reps])
                 if len(later):
-                    yield _rows(_ROW, twin[later], whole[later], at[later], twin[later], -1 - pos[later])
+                    yield _rows(_ROW, by_document(at[later], twin[later]), whole[later], at[later], twin[later], -1 - pos[later])
 
     return run
 
@@ -213,7 +218,7 @@ def _find_windows(window: int):
                 a, b = _runs_of(gone, per_text)
                 if len(a):
                     of = np.searchsorted(per_text, a, "right") - 1
-                    yield _rows(_ROW, twin[of], b - a, at[of], twin[of], -1 - (a - per_text[of]))
+                    yield _rows(_ROW, by_document(at[of], twin[of]), b - a, at[of], twin[of], -1 - (a - per_text[of]))
 
     return run
 
@@ -268,14 +273,14 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int =
     The texts are shuffled once; the three passes over them read the same shuffle.
     """
     own = documents(docs, doc_id, text)
-    found = own.select("at", "twin", "text").mapInArrow(_find_stretches(window, anchor), ROW)
+    found = own.mapInArrow(_find_stretches(window, anchor), ROW)
     judged = found.repartition("key").sortWithinPartitions("at", "twin", "pos").mapInArrow(_match_stretches, SPAN)
     gather = F.collect_list(F.struct("kind", "start", "n")).alias("had")
     open_docs = judged.groupBy("at", "twin").agg(gather)
-    windows = own.join(open_docs, ["at", "twin"]).select("at", "twin", "text", "had").mapInArrow(_find_windows(window), ROW)
+    windows = own.join(open_docs, ["at", "twin"]).select("id", "at", "twin", "text", "had").mapInArrow(_find_windows(window), ROW)
     removed = windows.repartition("key").sortWithinPartitions("at", "twin", "pos").mapInArrow(_match_windows(window), SPAN)
     spans = removed.groupBy("at", "twin").agg(gather)
-    return own.join(spans, ["at", "twin"], "left").select("id", "text", "had").mapInArrow(_keep_words, "doc_id long, n_words long, n_removed long, kept binary")
+    return own.join(spans, ["at", "twin"], "left").select("id", "at", "twin", "text", "had").mapInArrow(_keep_words, "doc_id long, n_words long, n_removed long, kept binary")
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
