@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import Rolling, mix, table, text_blocks
 from .runs import RunIndex
-from .substrings import _SPAN, SPAN, _ragged, _rows, _runs_of, documents
+from .substrings import _SPAN, SPAN, _ragged, _rows, _runs_of, by_document, documents
 from .suffixes import SuffixLevels
 
 #: Bytes of a window.
@@ -124,7 +124,7 @@ def _find_pieces(window: int):
                 yield _rows(_PIECE, anchors[lead], whole[lead], at[lead], twin[lead], start[lead], n[lead], off[lead], told)
                 again = np.flatnonzero(counts[inverse] > 1)
                 if len(again):
-                    yield _rows(_PIECE, twin[again], whole[again], at[again], twin[again], start[again], n[again], np.full(len(again), -1), np.ones(len(again)))
+                    yield _rows(_PIECE, by_document(at[again], twin[again]), whole[again], at[again], twin[again], start[again], n[again], np.full(len(again), -1), np.ones(len(again)))
 
     return run
 
@@ -230,7 +230,7 @@ def _find_texts(window: int):
                 a, b = _runs_of(gone, offsets)
                 if len(a):
                     of = np.searchsorted(offsets, a, "right") - 1
-                    yield pa.RecordBatch.from_arrays([pa.array(twin[of]), pa.nulls(len(a), pa.binary()), pa.array(at[of]), pa.array(twin[of]), pa.array(a - offsets[of]), pa.array(b - a), pa.array(np.full(len(a), -3))], schema=_TEXT)
+                    yield pa.RecordBatch.from_arrays([pa.array(by_document(at[of], twin[of]).view(np.int64)), pa.nulls(len(a), pa.binary()), pa.array(at[of]), pa.array(twin[of]), pa.array(a - offsets[of]), pa.array(b - a), pa.array(np.full(len(a), -3))], schema=_TEXT)
 
     return run
 
@@ -321,13 +321,13 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, hot: int = HOT,
     The texts are shuffled once; the three passes over them read the same shuffle.
     """
     own = documents(docs, doc_id, text)
-    found = own.select("at", "twin", "text").mapInArrow(_find_pieces(window), PIECE)
+    found = own.mapInArrow(_find_pieces(window), PIECE)
     judged = found.repartition("key").sortWithinPartitions("key", "check").mapInArrow(_match_pieces(hot), JUDGED)
     open_docs = judged.groupBy("at", "twin").agg(F.collect_list(F.struct("kind", "key", "start", "n", "off")).alias("had"))
-    texts = own.join(open_docs, ["at", "twin"]).select("at", "twin", "text", "had").mapInArrow(_find_texts(window), TEXT)
+    texts = own.join(open_docs, ["at", "twin"]).select("id", "at", "twin", "text", "had").mapInArrow(_find_texts(window), TEXT)
     spans = texts.repartition("key").sortWithinPartitions("key").mapInArrow(_match_texts(window, TOGETHER, BATCH), SPAN)
     spans = spans.groupBy("at", "twin").agg(F.collect_list(F.struct("start", "n")).alias("had"))
-    return own.join(spans, ["at", "twin"], "left").select("id", "text", "had").mapInArrow(_keep_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return own.join(spans, ["at", "twin"], "left").select("id", "at", "twin", "text", "had").mapInArrow(_keep_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op3_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
