@@ -259,6 +259,13 @@ def test_scores_know_order(spark, write):
     assert got[100] < got[0] - 0.3
 
 
+def test_most_frequent_words(spark):
+    counts = spark.createDataFrame([(f"w{k % 97:02d}{k}".encode(), 1 + (k * k) % 50) for k in range(500)], "word binary, n long")
+    rows = sorted(((-r["n"], bytes(r["word"])) for r in counts.collect()))
+    for size in (1, 40, 499, 900):
+        assert [(-r["n"], bytes(r["word"])) for r in scoring.most_frequent(counts, size).collect()] == rows[:size]
+
+
 def test_scores_are_sums_of_conditionals(spark, write):
     docs = [(k, prose(k, 30, 50)) for k in range(8)]
     frame = table(spark, write(docs), "documents")
