@@ -14,7 +14,7 @@ nothing; columns of `docs` other than the text stay as they are, also when named
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from .common import fresh, raw_texts, table, words_alnum
 #: Words of a window.
 WINDOW = 10
 #: Symbols of one shard's FM-index, which bounds its memory (about 100 bytes a symbol while it is built).
-SHARD_SYMBOLS = 1 << 20
+SHARD_SYMBOLS = 1 << 18
 #: A suffix position in this many is kept.
 SAMPLE_EVERY = 8
 #: Bytes of benchmark text sent to the executors at once; a larger benchmark is searched block by block.
@@ -173,9 +173,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, str, str, str]:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, then: Callable | None = None, schema: T.StructType | None = None) -> tuple[DataFrame, str, str, str]:
     """`docs` with three columns more, and their names: word count, merged spans of hit words, ids of items found.
 
+    `then(spans)`, if given, makes a function over the batches of the last pass, run in the same Python worker, and
+    `schema` is what it yields.
+
     No shuffle: each pass keeps the rows where they are. The benchmark goes to the executors in blocks of a bounded
     size, one pass a block.
     """
@@ -186,7 +189,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     out = docs.select("*", F.lit(0).cast("long").alias(n_words), F.array().cast(SPAN).alias(spans), F.array().cast("array<string>").alias(items))
     for b in range(blocks):
         rows = own.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect() if blocks > 1 else own.collect()
-        out = out.mapInArrow(_pass([(r["id"], r["text"]) for r in rows], window, text, n_words, spans, items), out.schema)
+        step = _pass([(r["id"], r["text"]) for r in rows], window, text, n_words, spans, items)
+        if then and b == blocks - 1:
+            out = out.mapInArrow(lambda batches, step=step, last=then(spans): last(step(batches)), schema)
+        else:
+            out = out.mapInArrow(step, out.schema)
     return out, n_words, spans, items
 
 
@@ -238,22 +245,24 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WI
     The bytes from the first to past the last word of a span go, with the separators between them. `n_chars` follows
     the text. A document without a hit is unchanged.
     """
-    found, n_words, spans, items = find_contamination(docs, benchmark, window=window)
     columns = docs.columns
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            chars = batch.column("n_chars").to_pylist() if "n_chars" in columns else [None] * len(texts)
-            for k, cuts in enumerate(batch.column(spans).to_pylist()):
-                if cuts:
-                    texts[k] = cut_words(texts[k], [(c["start"], c["end"]) for c in cuts])
-                    chars[k] = len(texts[k])
-            put = {"text": texts, "n_chars": chars}
-            arrays = [pa.array(put[c], batch.schema.field(c).type) if c in put else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema([batch.schema.field(c) for c in columns]))
-
-    return found.mapInArrow(cut, docs.schema)
+    def cutting(spans: str):
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                chars = batch.column("n_chars").to_pylist() if "n_chars" in columns else [None] * len(texts)
+                for k, cuts in enumerate(batch.column(spans).to_pylist()):
+                    if cuts:
+                        texts[k] = cut_words(texts[k], [(c["start"], c["end"]) for c in cuts])
+                        chars[k] = len(texts[k])
+                put = {"text": texts, "n_chars": chars}
+                arrays = [pa.array(put[c], batch.schema.field(c).type) if c in put else batch.column(c) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema([batch.schema.field(c) for c in columns]))
+
+        return cut
+
+    return find_contamination(docs, benchmark, window=window, then=cutting, schema=docs.schema)[0]
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

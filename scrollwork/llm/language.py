@@ -28,6 +28,8 @@ PROFILE = 400
 #: What a document's own profile may hold.
 DOCUMENT_PROFILE = 400
 UNKNOWN = "und"
+#: N-grams that a task holds, 8 bytes each, before it counts them.
+HELD = 1 << 20
 
 _LETTER: np.ndarray | None = None
 
@@ -87,7 +89,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
                 codes = ngram_codes(t)
                 held.setdefault(name, []).append(codes)
                 weight += len(codes)
-                if weight > 1 << 22:
+                if weight > HELD:
                     settle()
                     weight = 0
         if held:

@@ -209,7 +209,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seeds: tuple[int, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t, shingle, seeds) for t in raw_texts(batch.column(text))]
+            made = [fingerprint(t, shingle, seeds) for at in range(0, batch.num_rows, 1000) for t in raw_texts(batch.column(text).slice(at, 1000))]
             pairs = np.array(made if len(seeds) > 1 else [(m, 0) for m in made], np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=[*batch.schema.names, "fp", "fp2"])
 

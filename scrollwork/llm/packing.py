@@ -28,7 +28,7 @@ LENGTH = 2048
 #: The id that ends each document.
 END = 1
 #: Chunks whose ids are remembered in a worker, about 200 bytes each; beyond that the memory starts afresh.
-REMEMBERED = 1_500_000
+REMEMBERED = 250_000
 #: Sequence ids of one partition; more would need more than 2^33 sequences in a task.
 PER_PARTITION = 1 << 33
 
@@ -175,6 +175,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def pack(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END) -> DataFrame:
     """One row per piece: document, start and length in its ids, CRC-32 of the ids, the document's token count, and
     sequence and offset."""
@@ -188,7 +193,7 @@ def pack(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text:
         rest = []
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         kinds = pa.schema([(n, pa.int64()) for n in names])
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             full = []
             for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = (encode(t) if t else b"") + closing
