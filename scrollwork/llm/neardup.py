@@ -263,7 +263,9 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, max_both: int
         if held:
             yield settled([], [np.concatenate(held)])
 
-    keyed = nodes.select("fp", "fp2").mapInArrow(spread, "key long, fp long, fp2 long")
+    # each fingerprint makes over a hundred keys, so their few bytes are dealt out to all tasks first
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = nodes.select("fp", "fp2").repartition(tasks, "fp").mapInArrow(spread, "key long, fp long, fp2 long")
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(match, "u long, v long")
 
 
