@@ -263,9 +263,10 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, max_both: int
         if held:
             yield settled([], [np.concatenate(held)])
 
-    # each fingerprint makes over a hundred keys, so their few bytes are dealt out to all tasks first
+    # each fingerprint makes over a hundred keys, so their few bytes are dealt out to all tasks first; by fp itself they
+    # already are, in as few tasks as their size asks for, and Spark would leave this step out
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = nodes.select("fp", "fp2").repartition(tasks, "fp").mapInArrow(spread, "key long, fp long, fp2 long")
+    keyed = nodes.select("fp", "fp2").repartition(tasks, F.xxhash64("fp")).mapInArrow(spread, "key long, fp long, fp2 long")
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(match, "u long, v long")
 
 
