@@ -27,8 +27,9 @@ from .common import table
 LENGTH = 2048
 #: The id that ends each document.
 END = 1
-#: Chunks whose ids are remembered in a worker, about 200 bytes each; beyond that the memory starts afresh.
-REMEMBERED = 250_000
+#: Chunks of each of two generations whose ids are remembered in a worker, about 200 bytes each. A full generation takes
+#: the place of the older one, from which what is met again is taken over.
+REMEMBERED = 125_000
 #: Sequence ids of one partition; more would need more than 2^33 sequences in a task.
 PER_PARTITION = 1 << 33
 
@@ -132,6 +133,9 @@ class _Chunks(dict):
             for last in range(0x80, 0xC0):
                 self.written[first], self.written[last] = self.split(bytes([first, last]).decode())[0][0]
         self.plain = tokenizer.normalizer is None
+        self.lead = before and self.written[ord(before)]
+        self.ascii = self.plain and all(self.written[b] == chr(b) for b in range(0x21, 0x7F))
+        self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -143,21 +147,29 @@ class _Chunks(dict):
         return ids
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self.parts.clear()
-        if not self.plain:
-            ids = np.array(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        elif chunk.isalpha() and max(chunk) < "\u0250":
-            ids = self._part((self.before + chunk).encode().decode("latin-1").translate(self.written))
-        elif chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha():
-            ids = self[chunk[:-1]] + self._part(chunk[-1])
-        else:
-            ids = b"".join([self._part(p) for p, _ in self.split(self.before + chunk)])
+        ids = self.older.get(chunk)
+        if ids is None:
+            if self.ascii and chunk.isascii() and chunk.isalpha():
+                ids = array("I", [t.id for t in self.merge(self.lead + chunk)]).tobytes()
+            else:
+                ids = self._ids(chunk)
         if len(chunk) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+                self.parts.clear()
             self[chunk] = ids
         return ids
 
+    def _ids(self, chunk: str) -> bytes:
+        if not self.plain:
+            return np.array(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if chunk.isalpha() and max(chunk) < "\u0250":
+            return self._part((self.before + chunk).encode().decode("latin-1").translate(self.written))
+        if chunk[-1:] in (".", ",") and chunk[-2:-1].isalpha():
+            return self[chunk[:-1]] + self._part(chunk[-1])
+        return b"".join([self._part(p) for p, _ in self.split(self.before + chunk)])
+
 
 #: The encoder of each vocabulary file, kept while the worker lives.
 _ENCODERS: dict[str, Encoder] = {}
