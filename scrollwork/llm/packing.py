@@ -29,7 +29,7 @@ LENGTH = 2048
 END = 1
 #: Chunks of each of two generations whose ids are remembered in a worker, about 200 bytes each. A full generation takes
 #: the place of the older one, from which what is met again is taken over.
-REMEMBERED = 125_000
+REMEMBERED = 400_000
 #: Sequence ids of one partition; more would need more than 2^33 sequences in a task.
 PER_PARTITION = 1 << 33
 
