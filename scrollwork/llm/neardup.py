@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import FOLD_ASCII, fresh, raw_texts, table, words_spaced
 from .components import checkpointed, label_components
+from .jaccard import similar_components, with_nodes
 
 #: Words of a shingle for op5, and seed of its hash.
 SHINGLE, SEED = 4, 42
@@ -36,9 +37,8 @@ SHINGLE, SEED = 4, 42
 MAX_BITS = 4
 #: Groups of one key up to this size are compared in bulk.
 SMALL = 6
-#: In the pipeline: words of a shingle; most differing bits of 64 for a candidate; and of 128, from two seeds, for a
-#: link. The share of bits that differ estimates the angle between shingle counts, so 24 of 128 is a cosine of 0.83.
-PIPELINE_SHINGLE, PIPELINE_BITS, PIPELINE_BOTH = 5, 13, 24
+#: In the pipeline: words of a shingle.
+PIPELINE_SHINGLE = 5
 #: Generator polynomial of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
 
@@ -103,20 +103,6 @@ def segments(prints: np.ndarray) -> list[np.ndarray]:
     return [(prints >> np.uint64(42)).astype(np.int64), (prints >> np.uint64(21) & low).astype(np.int64), (prints & low).astype(np.int64)]
 
 
-def wide_keys_of(prints: np.ndarray, code: Golay) -> tuple[np.ndarray, np.ndarray]:
-    """Keys for links of more than 4 bits: four segments of 16 bits, and an index of each of any two of them. A pair
-    is found if two segments have at most 2 errors each, which is likely, not certain, beyond 11 differing bits."""
-    near = [code.indices((prints.astype(np.uint64) >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int64) << 7) for k in range(4)]
-    six = np.arange(6)
-    keys, rows = [], []
-    for family, (x, y) in enumerate(combinations(range(4), 2)):
-        (a, am), (b, bm) = near[x], near[y]
-        use = (am[:, None] | (six == 0))[:, :, None] & (bm[:, None] | (six == 0))[:, None, :]
-        keys.append((np.int64(family) << 24 | a[:, :, None] << 12 | b[:, None, :])[use])
-        rows.append(np.broadcast_to(np.arange(len(prints))[:, None, None], use.shape)[use])
-    return np.concatenate(keys), np.concatenate(rows)
-
-
 def keys_of(prints: np.ndarray, code: Golay) -> tuple[np.ndarray, np.ndarray]:
     """Keys for all links of up to 4 bits, and for each the place of its fingerprint."""
     parts = segments(prints)
@@ -218,8 +204,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seeds: tuple[int, ...]
 
 def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, max_both: int | None = None) -> DataFrame:
     """Links (u, v) that connect the distinct fingerprints `fp` of `nodes` (fp, fp2) as all their links of up to
-    `max_bits` do: surely so up to 4 bits, nearly so beyond. See `Rule` for `max_both`."""
-    spell = keys_of if max_bits <= MAX_BITS else wide_keys_of
+    `max_bits`, at most `MAX_BITS`, do. See `Rule` for `max_both`."""
     rule = Rule(max_bits, max_both)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +212,7 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, max_both: int
         for batch in batches:
             prints, second = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "fp2"))
             for at in range(0, len(prints), 4096):
-                keys, rows = spell(prints[at : at + 4096].view(np.uint64), code)
+                keys, rows = keys_of(prints[at : at + 4096].view(np.uint64), code)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[at + rows]), pa.array(second[at + rows])], names=["key", "fp", "fp2"])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,16 +266,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = PIPELINE_SHINGLE, max_bits: int = PIPELINE_BITS, max_both: int = PIPELINE_BOTH) -> DataFrame:
-    """One row of `docs` for each group of near copies: the one with the smallest doc_id, then the smallest text; of
-    equal rows, one. Texts without a word are one group. Rows with null ids are kept only if a group has no other.
+def keep_one_of_each(docs: DataFrame, shingle: int = PIPELINE_SHINGLE) -> DataFrame:
+    """One row of `docs` for each group of near copies, which links of a Jaccard similarity of 0.8 or more make: the one
+    with the smallest doc_id, then the smallest text; of equal rows, one. Texts without a word are one group. Rows with
+    null ids are kept only if a group has no other.
     """
     key = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
     mark, seen = fresh(docs.columns, "near_fp"), fresh(docs.columns, "near_rank")
-    prints = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle, (SEED, SEED + 1)).select("fp", "fp2", key.alias("key")))
-    nodes = prints.groupBy("fp").agg(F.min("key").alias("least"), F.min("fp2").alias("fp2"))
-    labels = label_components(fingerprint_links(nodes, max_bits, max_both))
-    labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select("least", F.coalesce("label", "fp").alias("label"))
+    nodes = checkpointed(with_nodes(docs.select(key.alias("key"), "text"), shingle).groupBy("node").agg(F.min("key").alias("least")))
+    labels = similar_components(docs.select("text"), shingle).withColumnRenamed("node", "of")
+    labelled = nodes.join(labels, nodes["node"] == labels["of"], "left").select("least", F.coalesce("label", "node").alias("label"))
     winners = labelled.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.id").alias("w_id"), F.col("least.mark").alias("w_mark"))
     marked = docs.withColumn(mark, F.xxhash64("text"))
     kept = marked.join(winners, marked["doc_id"].eqNullSafe(winners["w_id"]) & (marked[mark] == winners["w_mark"]), "left_semi")

@@ -1,5 +1,7 @@
 """The five stages on documents with planted cases."""
 
+import random
+
 import corpus_pipeline
 from made_texts import prose
 
@@ -42,3 +44,30 @@ def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(500, k) for k in range(100, 140)] + [(900, 901), (901, 900), (7, 7)]
     got = {r["node"]: r["label"] for r in components.label_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert {got[k] for k in range(41)} == {0} and {got[k] for k in (*range(100, 140), 500)} == {100} and got[901] == got[900] == 900
+
+
+def test_near_copies_are_those_of_exact_similarity(spark, write):
+    """Texts around a similarity of 0.8, some with one shared line, and a group large enough to be compared in turns."""
+    rng = random.Random(8)
+    docs = []
+    for k in range(40):
+        words = prose(2000 + k, 150, 5000).split()
+        for changed in (0, *(rng.randint(1, 5) for _ in range(30 if k == 0 else 3))):
+            own = list(words)
+            for p in rng.sample(range(150), changed):
+                own[p] = f"changed{rng.random()}"
+            docs.append((len(docs), " ".join(own) + (" one line that is the same in many texts" if k % 2 else "")))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.lower().split() for _, t in docs)]
+    links = [[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]
+    assert any(0.75 < len(a & b) / len(a | b) < 0.8 for a in sets for b in sets)
+    want, seen = set(), set()
+    for d in range(len(docs)):
+        if d not in seen:
+            want.add(d)
+            open_ = {d}
+            while open_:
+                x = open_.pop()
+                seen.add(x)
+                open_ |= {y for y in range(len(docs)) if links[x][y]} - seen
+    kept = [r["doc_id"] for r in neardup.keep_one_of_each(table(spark, write(docs), "documents")).collect()]
+    assert sorted(kept) == sorted(want)
