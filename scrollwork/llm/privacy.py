@@ -5,8 +5,8 @@ the calendar, and so on); the digits that are free within the format then go thr
 exactly the values of that format. Equal values have equal pseudonyms in all documents, different values different
 ones, and whoever holds the key can reverse them. Check digits are computed anew, separators stay.
 
-Defined results: a null text stays null; a text without personal data is unchanged; values that fail validation are
-left alone; every row is answered, repeated ones each; other columns stay as they are.
+Defined results: a null text stays null; a text without personal data is unchanged; text that fails the
+validation of one kind is tried as the later kinds and else left alone; every row is answered, repeated ones each; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -125,11 +125,12 @@ def _ssn(f: Feistel, form: str, back: bool) -> str | None:
 
 def _phone(f: Feistel, form: str, back: bool) -> str | None:
     d = _numbers(form)
-    code, own = d[:-10], d[-10:]
-    if len(own) < 10 or len(code) > 3 or own[0] < 2 or own[3] < 2:
+    head = re.match(r"\+(\d{1,3})[ .-]", form)
+    own = d[len(head[1]) :] if head else d[-10:]
+    code = d[: len(d) - len(own)]
+    if not 7 <= len(own) <= 12 or len(code) > 3:
         return None
-    shift = lambda x, by: [n + by * (k in (0, 3)) for k, n in enumerate(x)]
-    return _put(form, [*code, *shift(f.permute("phone", shift(own, -2), [8, 10, 10, 8, 10, 10, 10, 10, 10, 10], back), 2)])
+    return _put(form, [*code, *f.permute("phone", own, [10] * len(own), back)])
 
 
 def _address(f: Feistel, form: str, back: bool) -> str | None:
@@ -143,6 +144,10 @@ def _date(f: Feistel, form: str, back: bool) -> str | None:
     parts = re.split(r"\D", form)
     first = len(parts[0]) == 4
     y, m, d = (parts if first else parts[::-1])
+    # month first only where it cannot be day first, and then so is the pseudonym
+    month_first = not first and int(m) > 12
+    if month_first:
+        m, d = d, m
     try:
         day = datetime.date(int(y), int(m), int(d)).toordinal() - _EPOCH
     except ValueError:
@@ -151,10 +156,12 @@ def _date(f: Feistel, form: str, back: bool) -> str | None:
         return None
     split = lambda n: [n // 256, n % 256]
     join = lambda x: 256 * x[0] + x[1]
-    made = datetime.date.fromordinal(_EPOCH + join(f.walk("date", split(day), [_DAYS // 256 + 1, 256], lambda x: join(x) < _DAYS, back)))
+    date = lambda x: datetime.date.fromordinal(_EPOCH + join(x))
+    valid = lambda x: join(x) < _DAYS and (not month_first or date(x).day > 12)
+    made = date(f.walk("date", split(day), [_DAYS // 256 + 1, 256], valid, back))
     text = [f"{made.year:04d}", f"{made.month:02d}", f"{made.day:02d}"]
     marks = re.findall(r"\D", form)
-    a, b, c = text if first else text[::-1]
+    a, b, c = text if first else [text[1], text[2], text[0]] if month_first else text[::-1]
     return f"{a}{marks[0]}{b}{marks[1]}{c}"
 
 
@@ -195,10 +202,12 @@ KINDS: tuple[tuple[str, Callable[[Feistel, str, bool], str | None], str], ...] =
     ("ip", _address, r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d])(?!\.\d)"),
     ("date", _date, r"(?<!\d)(?:\d{4}(?P<mark>[-/.])\d{2}(?P=mark)\d{2}|\d{2}(?P<mark2>[-/.])\d{2}(?P=mark2)\d{4})(?!\d)"),
     ("ssn", _ssn, r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", _phone, r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+\d{11,13}(?!\d)"),
+    ("phone", _phone, r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\(?\d{1,5}\)?){2,4}(?!\d)|(?<![\d+])\+\d{11,13}(?!\d)"),
     ("card", _card, r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)"),
 )
 _ANY = re.compile("|".join(f"(?P<{name}>{form})" for name, _, form in KINDS))
+#: For text that a kind refused: the kinds after it.
+_LATER = {name: re.compile("|".join(f"(?P<{n}>{form})" for n, _, form in KINDS[k + 1 :]) or r"(?!)") for k, (name, _, _) in enumerate(KINDS)}
 _MAKE = {name: make for name, make, _ in KINDS}
 #: No form is without one of these.
 _SIGN = re.compile(r"[0-9@]")
@@ -210,15 +219,19 @@ def replace_text(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     if not _SIGN.search(text):
         return text, found
 
-    def put(match: re.Match) -> str:
-        kind = match.lastgroup
+    out, done, match = [], 0, _ANY.search(text)
+    while match:
+        kind, end = match.lastgroup, match.end()
         made = _MAKE[kind](feistel, match[0], back)
-        if made is None:
-            return match[0]
-        found[kind] = found.get(kind, 0) + 1
-        return made
-
-    return _ANY.sub(put, text), found
+        if made is not None:
+            found[kind] = found.get(kind, 0) + 1
+            out += [text[done : match.start()], made]
+            done = end
+            match = _ANY.search(text, end)
+            continue
+        later = _LATER[kind].search(text, match.start())
+        match = later if later and later.start() < end else _ANY.search(text, end)
+    return "".join([*out, text[done:]]), found
 
 
 def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text", counts: str | None = None, back: bool = False) -> DataFrame:

@@ -175,6 +175,22 @@ def test_kinds_of_personal_data():
         assert privacy.replace_text(form, f) == (form, {})
 
 
+def test_pseudonyms_of_any_area_code_order_and_refused_text():
+    f = privacy.Feistel(b"k")
+    phones = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(429) 155-5467", "000-000-0000", "+1 429 555 5467", "429 555 5467", "+44 20 7946 0958", "+49 (30) 1234 567"]
+    for kind, form in [*(("phone", p) for p in phones), ("date", "12/25/2020"), ("date", "25/12/2020"), ("date", "02.28.1999")]:
+        made, found = privacy.replace_text(f"x {form} y", f)
+        assert found == {kind: 1} and form not in made
+        assert [c for c in made if not c.isdigit()] == [c for c in f"x {form} y" if not c.isdigit()]
+        assert privacy.replace_text(made, f, back=True) == (f"x {form} y", {kind: 1})
+    assert privacy.replace_text("+1 429 555 5467", f)[0][3:].replace(" ", "") == privacy.replace_text("(429) 555-5467", f)[0].translate({ord(c): None for c in "()- "})
+    for form, kind in (("token: alexander@example.com", "email"), ("password: abcdefgh@example.com, 2021-03-04", "email")):
+        made, found = privacy.replace_text(form, f)
+        assert found[kind] == 1 and made.partition("@")[0] != form.partition("@")[0]
+        assert privacy.replace_text(made, f, back=True)[0] == form
+    assert privacy.replace_text("13/13/2020 02/30/2020", f) == ("13/13/2020 02/30/2020", {})
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.tuples(st.integers(2, 40), st.integers(0, 1000)), min_size=1, max_size=8))
 def test_feistel_is_a_permutation(pairs):
