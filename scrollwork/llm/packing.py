@@ -90,14 +90,17 @@ def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes, by a byte-level BPE that never merges across a single space or
-    line feed between two other characters. Such chunks are remembered; a text with any other white space is encoded
-    in one go."""
+    line feed between two other characters. Such chunks are remembered; a text with any other white space, or with one of
+    the tokenizer's added tokens, is encoded in one go."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.strip() for t in added]
+        # under a normaliser, text that is spelt otherwise can be such a token
+        self.chunked = self.tokenizer.normalizer is None or not any(t.normalized for t in added)
         self.first, self.later = _Chunks(self.tokenizer, ""), _Chunks(self.tokenizer, " ")
         self.line = self.whole("\n")
 
@@ -105,6 +108,8 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if not self.chunked or any(a in text for a in self.added):
+            return self.whole(text)
         if not text.isprintable():
             lines = text.split("\n")
             if not all(map(str.isprintable, lines)):

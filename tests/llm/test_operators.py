@@ -237,6 +237,14 @@ def test_chunked_encoding_is_whole_encoding():
         assert encode(t) == encode.whole(t)
 
 
+def test_added_tokens_are_encoded_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    plain, encode = Tokenizer.from_file(packing.vocabulary()), packing.Encoder(packing.vocabulary())
+    for t in ("one two <|endoftext|> three", "<|endoftext|>", "a<|endoftext|>b\nc", "<|endoftext |> x", "one two three"):
+        assert np.frombuffer(encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 def test_rules_are_ordered_and_verdicts_are_not(spark, small):
     rules = quality.RULES
     ordered = quality.order_rules(rules, {"symbols": (1.0, 0.1), "capitals": (0.1, 0.1), "wordless": (1e-6, 0.0)})
