@@ -4,14 +4,14 @@ A byte goes if a string of 400 bytes that covers it also starts anywhere else. S
 bytes has an anchor, its smallest hash of 32 bytes, and the windows of one anchor lie side by side in a piece of at
 most 768 bytes. Equal windows have equal anchors at equal places, so
 
-1. a piece that occurs twice as a whole is repeated throughout;
+1. a piece that occurs twice as a whole, by a hash of its anchor and another of all its bytes, is repeated throughout;
 2. a piece whose anchor hash no other piece has holds no repeated window;
 3. only different pieces with one anchor hash go on, each once, and meet in one task. There they come in batches, each
    batch gets suffix arrays at its anchors, and is scanned for long matches with the levels before it as equal-sized
-   levels merge (`suffixes.SuffixLevels`). Matches are compared byte for byte.
+   levels merge (`suffixes.SuffixLevels`). There, matches are compared byte for byte.
 
 An anchor hash with more than `HOT` different pieces is not gathered: its windows are dealt out by the hash of their
-own 400 bytes and held against an index of sorted runs. Pieces and windows that repeat within a block of text are
+own 400 bytes, held against an index of sorted runs and verified by a second, independent hash. Pieces and windows that repeat within a block of text are
 combined before they are shuffled, so what a third of all documents share is a row a block.
 
 Defined results: a null text is empty and has the hash of the empty string; texts under 400 bytes lose nothing; equal
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, mix, table, text_blocks
+from .common import joined, mix, table, text_blocks
 from .runs import RunIndex
 from .substrings import _SPAN, SPAN, _ragged, _rows, _runs_of, by_document, documents
 from .suffixes import SuffixLevels
@@ -44,21 +44,30 @@ TOGETHER, BATCH = 4096, 2048
 PASS = 1 << 22
 _GRAM = 32
 _PLACE = np.uint64((1 << 24) - 1)
+_START = (np.uint64(0), np.uint64(0x27D4EB2F165667C5))
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the 32 bytes at each place, joined from those of 8 and 16."""
+def gram_hashes(data: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hash of the 32 bytes at each place, joined from those of 8 and 16; another `which`, an independent one."""
     if len(data) < _GRAM:
         return np.zeros(0, np.uint64)
     wide = data.astype(np.uint64)
     for step in (1, 2, 4):
         wide = wide[:-step] | wide[step:] << np.uint64(8 * step)
-    hashes = mix(wide)
+    hashes = mix(wide ^ _START[which])
     for step in (8, 16):
-        hashes = mix(hashes[:-step] * np.uint64(0x9FB21C651E98DF25) + hashes[step:])
+        hashes = joined(hashes[:-step], hashes[step:], which)
     return hashes
 
 
+def spans_hashed(grams: np.ndarray, starts: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+    """Hash of the `size` bytes (32 or more) at each of `starts`, joined in turn from those of 32."""
+    out = grams[starts]
+    for at in [*range(_GRAM, size - _GRAM + 1, _GRAM), *([size - _GRAM] if size % _GRAM else [])]:
+        out = joined(out, grams[starts + at], which)
+    return out
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each `width` values in a row, from minima of prefixes and suffixes of blocks."""
     n = len(values)
@@ -71,7 +80,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(offsets: np.ndarray, data: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
-    """First window, number of windows, anchor offset and anchor hash of every piece."""
+    """First window, number of windows, anchor offset, anchor hash and hash of all bytes of every piece."""
     out = []
     for a in range(0, max(0, len(data) - window + 1), PASS):
         own = data[a : a + PASS + window - 1]
@@ -86,10 +95,13 @@ def pieces(offsets: np.ndarray, data: np.ndarray, window: int = WINDOW) -> tuple
             continue
         begin = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])]))
         n = np.diff(np.concatenate([begin, [len(first)]]))
-        out.append((first[begin] + a, n, place[begin] - first[begin], hashes[place[begin]]))
+        # the first and the last window of a piece cover all of it
+        begin_at, last_at = first[begin], first[begin] + n - 1
+        whole = joined(spans_hashed(hashes, begin_at, window, 1) + n.astype(np.uint64), spans_hashed(hashes, last_at, window, 1), 1)
+        out.append((begin_at + a, n, place[begin] - begin_at, hashes[place[begin]], whole))
     if not out:
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        none, no_hash = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, none, none, no_hash, no_hash
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -111,10 +123,9 @@ def _find_pieces(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, offsets, data in text_blocks(batch, "text"):
-                first, n, off, anchors = pieces(offsets, data, window)
+                first, n, off, anchors, whole = pieces(offsets, data, window)
                 if not len(first):
                     continue
-                whole = Rolling(data + np.uint64(1), 0).of(first, first + n + window - 1)
                 doc = np.searchsorted(offsets, first, "right") - 1
                 at, twin = (rows.column(c).to_numpy(zero_copy_only=False)[doc] for c in ("at", "twin"))
                 start = first - offsets[doc]
@@ -213,7 +224,7 @@ def _find_texts(window: int):
                 if h.any():
                     count = n[h]
                     places = np.repeat(first[h], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    one, two = (Rolling(data + np.uint64(1), w).of(places, places + window) for w in (0, 1))
+                    one, two = (spans_hashed(gram_hashes(data, w), places, window, w) for w in (0, 1))
                     of = np.searchsorted(offsets, places, "right") - 1
                     order = np.lexsort((two, one))
                     same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])

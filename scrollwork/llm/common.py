@@ -1,4 +1,4 @@
-"""Shared pieces of the training-data operators: Arrow text access, byte-level word splitting, rolling hashes."""
+"""Shared pieces of the training-data operators: Arrow text access, byte-level word splitting, hashes of words and windows."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy pass works on; a longer document is a block of its own.
@@ -26,7 +27,12 @@ FOLD_ALNUM = bytes((b + 32 if 0x41 <= b <= 0x5A else b if _ALNUM[b] else 0x20) f
 #: bytes.translate table: A-Z to a-z and nothing else.
 FOLD_ASCII = bytes((b + 32 if 0x41 <= b <= 0x5A else b) for b in range(256))
 
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+#: Words over this many bytes are hashed by XXH3.
+LONG_WORD = 512
+_SEED = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+_JOIN = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Masks for the lowest 0 to 8 bytes of a word.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,36 +107,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Rolling:
-    """Hashes of any stretch of a sequence from one prefix sum: (S[e] - S[s]) / base^s modulo 2^64, then mixed."""
-
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def __init__(self, values: np.ndarray, which: int = 0):
-        n = len(values) + 1
-        self.which = which
-        self.up, self.down = self._tables(n, which)
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(values.astype(np.uint64) * self.up[: n - 1], out=self.sums[1:])
-
-    @classmethod
-    def _tables(cls, n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-        got = cls._powers.get(which)
-        if got is None or len(got[0]) < n:
-            size = max(n, BLOCK_BYTES // 8)
-            base = _BASES[which]
-            inverse = np.uint64(pow(int(base), -1, 1 << 64))
-            with np.errstate(over="ignore"):
-                got = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, b, np.uint64))]) for b in (base, inverse))
-            cls._powers[which] = got
-        return got
-
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix(((self.sums[ends] - self.sums[starts]) * self.down[starts]) ^ (ends - starts).astype(np.uint64))
-
-
-def word_hashes(offsets: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    return Rolling(data + np.uint64(1), which).of(starts, ends)
+def joined(left: np.ndarray, right: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hash of two hashes, in this order."""
+    return mix(left * _JOIN[which] + right)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of each word, eight at a time; hashes with another `which` are independent of these.
+
+    Each eight bytes are mixed before the next are joined to them, so words have no sums that could cancel out.
+    """
+    wide = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    size = ends - starts
+    out = mix((wide[starts] & _LOW[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * _SEED[which]) ^ _SEED[which])
+    at, done = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+    while len(at):
+        out[at] = joined(out[at], wide[starts[at] + done] & _LOW[np.minimum(size[at] - done, 8)], which)
+        done += 8
+        at = at[size[at] > done]
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes(), int(_SEED[which]))
+    return out
+
+
+def window_hashes(values: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+    """Hash of each `size` values in a row, joined from those of 1, 2, 4 and so on."""
+    if len(values) < size:
+        return np.zeros(0, np.uint64)
+    out, own, n = None, values, 1
+    done = 0
+    while True:
+        if size & n:
+            if out is None:
+                out = own
+            else:
+                last = len(values) - done - n + 1
+                out = joined(out[:last], own[done : done + last], which)
+            done += n
+        if 2 * n > size:
+            return out
+        own = joined(own[:-n], own[n:], which)
+        n *= 2
 
 
 def window_rows(word_offsets: np.ndarray, size: int) -> np.ndarray:

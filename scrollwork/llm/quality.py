@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACED, Rolling, covered, raw_texts, spans_of_words, table, text_blocks, window_rows, word_hashes, words_spaced
+from .common import SPACED, covered, raw_texts, spans_of_words, table, text_blocks, window_hashes, window_rows, word_hashes, words_spaced
 
 #: Words of a window that may not repeat.
 WINDOW = 8
@@ -94,6 +94,16 @@ RULES = (
 )
 
 
+def _repeated(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Flags of the hashes that their text has twice or more."""
+    order = np.lexsort((hashes, text))
+    same = (hashes[order][1:] == hashes[order][:-1]) & (text[order][1:] == text[order][:-1])
+    out = np.zeros(len(hashes), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
 def base_figures(offsets: np.ndarray, data: np.ndarray) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each text."""
     starts, ends, per_text = spans_of_words(offsets, data, SPACED)
@@ -104,14 +114,13 @@ def base_figures(offsets: np.ndarray, data: np.ndarray) -> dict[str, np.ndarray]
     first = window_rows(per_text, WINDOW)
     repeats = np.zeros(n, np.int64)
     if len(first):
-        hashes = Rolling(word_hashes(offsets, data, starts, ends), 1).of(first, first + WINDOW)
-        text = np.searchsorted(per_text, first, "right") - 1
-        order = np.lexsort((hashes, text))
-        same = (hashes[order][1:] == hashes[order][:-1]) & (text[order][1:] == text[order][:-1])
-        twice = np.zeros(len(first), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        inside = covered(len(starts), first[twice], WINDOW)
+        # windows equal by one hash are verified by another one
+        for which in (0, 1):
+            hashes = window_hashes(word_hashes(data, starts, ends, which), WINDOW, which)[first]
+            first = first[_repeated(hashes, np.searchsorted(per_text, first, "right") - 1)]
+            if not len(first):
+                break
+        inside = covered(len(starts), first, WINDOW)
         repeats = np.diff(np.concatenate([[0], np.cumsum(inside)])[per_text])
     raw = data.tobytes()
     lines = np.zeros(n, np.int64)

@@ -10,8 +10,8 @@ anchor lie side by side and form a stretch. Equal windows have equal anchors at
 
 For 1 and 2 each task owns a slice of the anchor hashes, for 3 a slice of the window hashes. It takes its rows as
 batches in document order, merge-joins each batch with the sorted runs of what came before, verifies equal keys by a
-second independent 64-bit hash of the same words (for stretches, by anchor and stretch hash), and appends the new ones
-as a run; runs of one size are compacted. Rows that repeat within a block of text never leave the task that read it,
+second hash of the same words, made from their bytes with other constants (for stretches: the anchor's hash by one, the
+stretch's by the other), and appends the new ones as a run; runs of one size are compacted. Rows that repeat within a block of text never leave the task that read it,
 so a passage that a third of all documents share is a row a block, not a row a document, and an index holds a key once.
 
 Defined results: a null or blank text has no words and the hash of the empty string; fewer than 20 words are never
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACED, Rolling, covered, mix, spans_of_words, table, text_blocks, window_rows, word_hashes
+from .common import SPACED, covered, joined, mix, spans_of_words, table, text_blocks, window_hashes, window_rows, word_hashes
 from .runs import RunIndex
 
 #: Words of a window, and of what anchors are chosen by.
@@ -52,8 +52,7 @@ def stretches(per_text: np.ndarray, words: np.ndarray, window: int, anchor: int)
     first = window_rows(per_text, window)
     if not len(first):
         return first, first, np.zeros(0, np.uint64)
-    grams = np.arange(len(words) - anchor + 1)
-    hashes = Rolling(words, 1).of(grams, grams + anchor)
+    hashes = window_hashes(words, anchor)
     best, place = hashes[first], first.copy()
     for d in range(1, window - anchor + 1):
         other = hashes[first + d]
@@ -103,11 +102,13 @@ def _find_stretches(window: int, anchor: int):
         for batch in batches:
             for rows, offsets, data in text_blocks(batch, "text"):
                 starts, ends, per_text = spans_of_words(offsets, data, SPACED)
-                words = word_hashes(offsets, data, starts, ends)
+                words = word_hashes(data, starts, ends)
                 first, n, anchors = stretches(per_text, words, window, anchor)
                 if not len(first):
                     continue
-                whole = Rolling(words, 0).of(first, first + n + window - 1)
+                # the first and the last window of a stretch cover all of it
+                own = window_hashes(word_hashes(data, starts, ends, 1), window, 1)
+                whole = joined(own[first] + n.astype(np.uint64), own[first + n - 1], 1)
                 doc = np.searchsorted(per_text, first, "right") - 1
                 at, twin = (rows.column(c).to_numpy(zero_copy_only=False)[doc] for c in ("at", "twin"))
                 pos = (first - per_text[doc]) * _PACK + n
@@ -207,8 +208,7 @@ def _find_windows(window: int):
                 count = n[~whole]
                 first = np.repeat(begin[~whole], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 if len(first):
-                    words = word_hashes(offsets, data, starts, ends)
-                    one, two = Rolling(words, 0).of(first, first + window), Rolling(word_hashes(offsets, data, starts, ends, 1), 1).of(first, first + window)
+                    one, two = (window_hashes(word_hashes(data, starts, ends, w), window, w)[first] for w in (0, 1))
                     of = np.searchsorted(per_text, first, "right") - 1
                     pos = first - per_text[of]
                     lead, reps = _earliest(one, _order(at[of], twin[of], pos))
