@@ -1,4 +1,4 @@
-"""Connected components by hooking to the smallest neighbour and contracting, with tables only."""
+"""Connected components by alternating stars, with tables only."""
 
 from __future__ import annotations
 
@@ -17,24 +17,28 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def label_components(edges: DataFrame) -> DataFrame:
+def label_components(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """(node, label) for every node of `edges` (u, v): label is the smallest node of its component.
 
-    Each round hooks every node to its smallest neighbour if that is smaller, replaces the ends of every edge by what
-    they hook to, and drops loops and repeats, until no edge is left. Sums and minima are combined before each
-    shuffle, so a node with very many edges is no hot key; nothing is collected.
+    Large and small stars in turn: every node hands its larger neighbours to the smallest node it knows, then its
+    smaller ones. Paths shorten by half, so there are about as many rounds as the logarithm of the longest one.
+    Minima are combined before each shuffle, and the joins with them are plain ones that Spark splits where a node has
+    very many edges; nothing is collected. `rounds`: gets the number of edges after each round.
     """
-    edges = edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    edges = checkpointed(edges)
-    labels = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().select("node", F.col("node").alias("label"))
-    while not edges.isEmpty():
-        # v hooks to its smallest neighbour; a node that is smaller than all its neighbours stays
-        hooks = edges.groupBy(F.col("v").alias("of")).agg(F.min("u").alias("to"))
-        labels = checkpointed(labels.join(hooks, labels["label"] == hooks["of"], "left").select("node", F.coalesce("to", "label").alias("label")))
-        a, b = hooks.select(F.col("of").alias("au"), F.col("to").alias("bu")), hooks.select(F.col("of").alias("av"), F.col("to").alias("bv"))
-        moved = edges.join(a, edges["u"] == a["au"], "left").join(b, edges["v"] == b["av"], "left").select(F.coalesce("bu", "u").alias("u"), F.coalesce("bv", "v").alias("v"))
-        edges = checkpointed(moved.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    return labels
+    edges = checkpointed(edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    state = None
+    while (new := edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != state:
+        state = new
+        if rounds is not None:
+            rounds.append(new[0])
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("low"))
+        edges = both.where("v > u").join(low, "u").select(F.col("low").alias("u"), "v").distinct()
+        low = edges.groupBy("v").agg(F.min("u").alias("low"))
+        moved = edges.join(low, "v").where("u <> low").select(F.col("low").alias("u"), F.col("u").alias("v"))
+        edges = checkpointed(moved.unionByName(low.select(F.col("low").alias("u"), "v")).distinct())
+    labels = edges.select(F.col("v").alias("node"), F.col("u").alias("label"))
+    return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
 
 
 def stored(frame: DataFrame) -> DataFrame:
