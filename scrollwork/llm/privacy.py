@@ -6,7 +6,8 @@ exactly the values of that format. Equal values have equal pseudonyms in all doc
 ones, and whoever holds the key can reverse them. Check digits are computed anew, separators stay.
 
 Defined results: a null text stays null; a text without personal data is unchanged; text that fails the
-validation of one kind is tried as the later kinds and else left alone; every row is answered, repeated ones each; other columns stay as they are.
+validation of one kind is tried as the later kinds and else left alone; only the ASCII digits 0-9 are digits, those of
+other scripts stay as they are; every row is answered, repeated ones each; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh, table
 
-#: For tests and examples; give your own.
-DEFAULT_KEY = b"a key that only the data owner knows"
+#: Session setting with the key of the queries. Whoever knows the key can reverse every pseudonym.
+KEY_SETTING = "spark.scrollwork.privacy.key"
+#: Used by queries where that is unset, for tests and examples only: it is public.
+EXAMPLE_KEY = b"a key that only the data owner knows"
 ROUNDS = 10
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -125,7 +128,7 @@ def _ssn(f: Feistel, form: str, back: bool) -> str | None:
 
 def _phone(f: Feistel, form: str, back: bool) -> str | None:
     d = _numbers(form)
-    head = re.match(r"\+(\d{1,3})[ .-]", form)
+    head = re.match(r"\+([0-9]{1,3})[ .-]", form)
     own = d[len(head[1]) :] if head else d[-10:]
     code = d[: len(d) - len(own)]
     if not 7 <= len(own) <= 12 or len(code) > 3:
@@ -141,7 +144,7 @@ def _address(f: Feistel, form: str, back: bool) -> str | None:
 
 
 def _date(f: Feistel, form: str, back: bool) -> str | None:
-    parts = re.split(r"\D", form)
+    parts = re.split(r"[^0-9]", form)
     first = len(parts[0]) == 4
     y, m, d = (parts if first else parts[::-1])
     # month first only where it cannot be day first, and then so is the pseudonym
@@ -160,7 +163,7 @@ def _date(f: Feistel, form: str, back: bool) -> str | None:
     valid = lambda x: join(x) < _DAYS and (not month_first or date(x).day > 12)
     made = date(f.walk("date", split(day), [_DAYS // 256 + 1, 256], valid, back))
     text = [f"{made.year:04d}", f"{made.month:02d}", f"{made.day:02d}"]
-    marks = re.findall(r"\D", form)
+    marks = re.findall(r"[^0-9]", form)
     a, b, c = text if first else [text[1], text[2], text[0]] if month_first else text[::-1]
     return f"{a}{marks[0]}{b}{marks[1]}{c}"
 
@@ -198,12 +201,12 @@ def _secret(f: Feistel, form: str, back: bool) -> str | None:
 KINDS: tuple[tuple[str, Callable[[Feistel, str, bool], str | None], str], ...] = (
     ("secret", _secret, r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}"),
     ("email", _email, r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    ("iban", _iban, r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("ip", _address, r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d])(?!\.\d)"),
-    ("date", _date, r"(?<!\d)(?:\d{4}(?P<mark>[-/.])\d{2}(?P=mark)\d{2}|\d{2}(?P<mark2>[-/.])\d{2}(?P=mark2)\d{4})(?!\d)"),
-    ("ssn", _ssn, r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", _phone, r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\(?\d{1,5}\)?){2,4}(?!\d)|(?<![\d+])\+\d{11,13}(?!\d)"),
-    ("card", _card, r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)"),
+    ("iban", _iban, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    ("ip", _address, r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"),
+    ("date", _date, r"(?<![0-9])(?:[0-9]{4}(?P<mark>[-/.])[0-9]{2}(?P=mark)[0-9]{2}|[0-9]{2}(?P<mark2>[-/.])[0-9]{2}(?P=mark2)[0-9]{4})(?![0-9])"),
+    ("ssn", _ssn, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
+    ("phone", _phone, r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9+])\+[0-9]{1,3}(?:[ .-]\(?[0-9]{1,5}\)?){2,4}(?![0-9])|(?<![0-9+])\+[0-9]{11,13}(?![0-9])"),
+    ("card", _card, r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
 )
 _ANY = re.compile("|".join(f"(?P<{name}>{form})" for name, _, form in KINDS))
 #: For text that a kind refused: the kinds after it.
@@ -234,7 +237,13 @@ def replace_text(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     return "".join([*out, text[done:]]), found
 
 
-def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text", counts: str | None = None, back: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session names, else the public example."""
+    key = spark.conf.get(KEY_SETTING, None)
+    return key.encode() if key else EXAMPLE_KEY
+
+
+def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", counts: str | None = None, back: bool = False) -> DataFrame:
     """`docs` with pseudonyms in its texts; `n_chars` follows the text where there is one. `counts`: a column more, a
     map from kind to number. No shuffle."""
     columns = docs.columns
@@ -258,6 +267,6 @@ def pseudonymise(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text",
 
 
 def op7_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), counts="kinds")
+    made = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark), counts="kinds")
     total = F.aggregate(F.map_values("kinds"), F.lit(0).cast("long"), lambda n, x: n + x)
     return made.select("doc_id", "text", total.alias("n_replaced"), F.array_join(F.array_sort(F.map_keys("kinds")), ",").alias("kinds"))
