@@ -113,7 +113,6 @@ def test_op9_pieces_make_up_every_document(spark, edges):
 
 def assert_packed(pieces, documents):
     tokenizer = Tokenizer.from_file(vocabulary())
-    tokenizer.encode_special_tokens = True
     want = Counter()
     total = 0
     for d in documents:

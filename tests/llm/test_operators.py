@@ -8,7 +8,7 @@ from made_texts import prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from scrollwork.llm import bytes_dedup, decontamination, language, licenses, neardup, packing, privacy, quality, runs, scoring, substrings, suffixes
+from scrollwork.llm import bytes_dedup, common, decontamination, language, licenses, neardup, packing, privacy, quality, runs, scoring, substrings, suffixes
 from scrollwork.llm.common import table
 
 
@@ -81,7 +81,7 @@ def test_bytes_against_brute_force(spark, write, hot):
 def test_byte_windows_of_long_texts_meet_across_passes(monkeypatch):
     monkeypatch.setattr(bytes_dedup, "PASS", 700)
     text = np.frombuffer(prose(3, 600).encode(), np.uint8)
-    first, n, off, _ = bytes_dedup.pieces(np.array([0, len(text)]), text)
+    first, n, off, *_ = bytes_dedup.pieces(np.array([0, len(text)]), text)
     assert sorted(w for f, c in zip(first, n, strict=True) for w in range(f, f + c)) == list(range(len(text) - 399))
     assert ((off >= n - 1) & (off <= 368)).all()
 
@@ -99,6 +99,41 @@ def test_run_index():
     assert len(index) == len(known) and len(index.runs) <= 12
 
 
+def _balanced(n=1024):
+    """The Thue-Morse word and its complement, which sums of powers modulo 2^64 do not tell apart."""
+    word = "".join("ab"[k.bit_count() & 1] for k in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomials_confuse(spark, write):
+    x, y = _balanced()
+    head = [f"w{k}" for k in range(19)]
+    docs = [(1, " ".join([*head, x])), (2, " ".join([*head, y])), (3, " ".join([*(f"v{k}" for k in range(30)), *head[:7], x, "u v", *head[:7], y]))]
+    folder = write(docs)
+    got = substrings.op4_substrings(spark, folder).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == substrings.brute_force(docs)
+    assert not any(r["n_removed"] for r in got)
+    assert {r["n_repeat_words"] for r in quality.op8_quality(spark, folder).collect()} == {0}
+    for hot in (1, bytes_dedup.HOT):
+        got = bytes_dedup.remove_repeated_bytes(table(spark, folder, "documents"), hot=hot).collect()
+        want = bytes_dedup.brute_force(docs)
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got} == {d: w[:3] for d, w in want.items()}
+
+
+def test_hashes_follow_the_bytes_alone():
+    data = np.frombuffer(b"abc abc " + b"x" * 600 + b" " + b"x" * 600 + b" " + b"x" * 599, np.uint8)
+    starts, ends, _ = common.spans_of_words(np.array([0, len(data)]), data, common.SPACED)
+    for which in (0, 1):
+        h = common.word_hashes(data, starts, ends, which)
+        assert h[0] == h[1] and h[2] == h[3] and len(set(h.tolist())) == 3
+    assert (common.word_hashes(data, starts, ends, 0) != common.word_hashes(data, starts, ends, 1)).all()
+    values = np.arange(50, dtype=np.uint64) % np.uint64(10)
+    for size in (1, 2, 3, 5, 8, 20, 23):
+        w = common.window_hashes(values, size)
+        assert len(w) == 51 - size and (w[10:] == w[:-10]).all() and len(set(w[:10].tolist())) == 10
+    assert len(common.window_hashes(values, 51)) == 0
+
+
 def test_substrings_against_brute_force(spark, write):
     shared = prose(1, 60)
     docs = [(k, prose(k + 10, k % 30) + " " + " ".join(shared.split()[k % 9 :]) + "\n" + prose(k + 50, 25, 30)) for k in range(30)] + [(99, "w " * 300), (98, shared + " " + shared)]
@@ -191,6 +226,41 @@ def test_pseudonyms_of_any_area_code_order_and_refused_text():
     assert privacy.replace_text("13/13/2020 02/30/2020", f) == ("13/13/2020 02/30/2020", {})
 
 
+@pytest.mark.parametrize("digits", ["٠١٢٣٤٥٦٧٨٩", "０１２３４５６７８９", "०१२३४५६७८९"])
+def test_digits_of_other_scripts_are_text(digits):
+    f = privacy.Feistel(b"k")
+    other = lambda s: s.translate({48 + k: c for k, c in enumerate(digits)})
+    forms = ["4111 1111 1111 1111", "+1 (429) 555-5467", "44.161.181.40", "2021-03-04", "123-45-6789", "DE89 3704 0044 0532 0130 00", "1 123-45-6789"]
+    for form in forms:
+        assert privacy.replace_text(other(form), f) == (other(form), {})
+        mixed = form[:-1] + other(form[-1])  # one digit of another script makes it no number
+        made, found = privacy.replace_text(mixed, f)
+        assert privacy.replace_text(made, f, back=True)[0] == mixed and made[-1] == mixed[-1]
+    made, found = privacy.replace_text(f"{other('12')} 123-45-6789 {other('3')}", f)
+    assert found == {"ssn": 1} and made.startswith(other("12")) and made.endswith(other("3"))
+    assert privacy.replace_text(f"12{other('3')}-45-6789", f) == (f"12{other('3')}-45-6789", {})
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("0123456789٣４+-. ()/@:ab=")))
+def test_any_text_comes_back(text):
+    f = privacy.Feistel(b"k")
+    made, found = privacy.replace_text(text, f)
+    assert len(made) == len(text) and (found or made == text)
+
+
+def test_key_of_the_session(spark, write):
+    folder = write([(1, "ssn 123-45-6789")])
+    text = lambda: privacy.op7_privacy(spark, folder).first()["text"]
+    before = text()
+    spark.conf.set(privacy.KEY_SETTING, "another")
+    try:
+        assert text() not in (before, "ssn 123-45-6789")
+    finally:
+        spark.conf.unset(privacy.KEY_SETTING)
+    assert text() == before
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.tuples(st.integers(2, 40), st.integers(0, 1000)), min_size=1, max_size=8))
 def test_feistel_is_a_permutation(pairs):

@@ -3,9 +3,10 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from made_texts import prose
 
-from scrollwork.llm import components, neardup
+from scrollwork.llm import components, jaccard, neardup
 from scrollwork.llm.common import table
 
 
@@ -46,6 +47,27 @@ def test_components_of_chains_and_stars(spark):
     assert {got[k] for k in range(41)} == {0} and {got[k] for k in (*range(100, 140), 500)} == {100} and got[901] == got[900] == 900
 
 
+def test_components_of_a_long_chain_take_few_rounds(spark):
+    rounds = []
+    got = components.label_components(spark.range(1000).selectExpr("id AS u", "id + 1 AS v"), rounds).select("label").distinct().collect()
+    assert [r["label"] for r in got] == [0] and len(rounds) < 20
+    order = random.Random(2).sample(range(1001), 1001)
+    rounds.clear()
+    got = components.label_components(spark.createDataFrame(list(zip(order, order[1:], strict=False)), "u long, v long"), rounds)
+    assert got.count() == 1001 and got.where("label <> 0").isEmpty() and len(rounds) < 20
+
+
+def test_counts_in_parts_rule_out_no_similar_pair():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 3, 9, 100, 700, 5000):
+        for share in (0.5, 0.9, 1.0):
+            x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+            y = np.unique(np.concatenate([x[: int(share * len(x))], rng.integers(0, 1 << 63, rng.integers(0, size // 4 + 1), dtype=np.uint64)]))
+            shared = len(np.intersect1d(x, y))
+            assert jaccard.most_shared(jaccard.part_counts(x), jaccard.part_counts(y)) >= shared
+            assert jaccard.most_shared(jaccard.part_counts(x), jaccard.part_counts(x)) == len(x)
+
+
 def test_near_copies_are_those_of_exact_similarity(spark, write):
     """Texts around a similarity of 0.8, some with one shared line, and a group large enough to be compared in turns."""
     rng = random.Random(8)
