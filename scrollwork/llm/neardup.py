@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import FOLD_ASCII, fresh, raw_texts, table, words_spaced
 from .components import checkpointed, label_components
-from .jaccard import similar_components, with_nodes
+from .jaccard import nodes_of, similar_components
 
 #: Words of a shingle for op5, and seed of its hash.
 SHINGLE, SEED = 4, 42
@@ -271,16 +271,17 @@ def keep_one_of_each(docs: DataFrame, shingle: int = PIPELINE_SHINGLE) -> DataFr
     with the smallest doc_id, then the smallest text; of equal rows, one. Texts without a word are one group. Rows with
     null ids are kept only if a group has no other.
     """
-    key = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
-    mark, seen = fresh(docs.columns, "near_fp"), fresh(docs.columns, "near_rank")
-    nodes = checkpointed(with_nodes(docs.select(key.alias("key"), "text"), shingle).groupBy("node").agg(F.min("key").alias("least")))
-    labels = similar_components(docs.select("text"), shingle).withColumnRenamed("node", "of")
+    absent, least_id, mark, seen = (fresh(docs.columns, n) for n in ("near_absent", "near_id", "near_mark", "near_rank"))
+    # null ids get a number, so that rows are dealt out by plain columns, once for both the join and the window
+    own = {absent: F.col("doc_id").isNull(), least_id: F.coalesce("doc_id", F.lit(0)), mark: F.xxhash64("text")}
+    key = F.struct(*(c.alias(n) for n, c in zip(("absent", "id", "mark"), own.values(), strict=True))).alias("key")
+    nodes = checkpointed(nodes_of(docs.select(key, "text"), shingle))
+    labels = similar_components(docs.select("text"), nodes, shingle).withColumnRenamed("node", "of")
     labelled = nodes.join(labels, nodes["node"] == labels["of"], "left").select("least", F.coalesce("label", "node").alias("label"))
-    winners = labelled.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.id").alias("w_id"), F.col("least.mark").alias("w_mark"))
-    marked = docs.withColumn(mark, F.xxhash64("text"))
-    kept = marked.join(winners, marked["doc_id"].eqNullSafe(winners["w_id"]) & (marked[mark] == winners["w_mark"]), "left_semi")
+    winners = labelled.groupBy("label").agg(F.min("least").alias("least")).select(*(F.col(f"least.{n}").alias(c) for n, c in zip(("absent", "id", "mark"), own, strict=True)))
+    kept = docs.withColumns(own).join(winners, [absent, least_id, mark], "left_semi")
     # equal rows that won together: only such rows share id and text, so the window holds copies of one row
-    order = Window.partitionBy("doc_id", mark).orderBy(mark)
+    order = Window.partitionBy(absent, least_id, mark).orderBy(mark)
     return kept.withColumn(seen, F.row_number().over(order)).where(F.col(seen) == 1).select(*docs.columns)
 
 
