@@ -340,6 +340,14 @@ def test_licences(spark, write):
     assert 0 < got[1]["score"] <= 1 and got[4]["score"] == 0
 
 
+def _scored(frame, **how):
+    counts = scoring.count_words(frame)
+    lexicon = scoring.build_lexicon(counts, **{k: how.pop(k) for k in ("named", "listed") if k in how})
+    spelled = scoring.spell(frame, lexicon)
+    network = scoring.train(spelled, lexicon, **how)
+    return lexicon, network, {r["doc_id"]: r for r in scoring.score(spelled, lexicon, network, counts).collect()}
+
+
 def test_scores_know_order(spark, write):
     rng = random.Random(3)
     line = lambda: " ".join(f"{a}x {b}y {c}z" for a, b, c in [("red", "ran", "far"), ("blue", "sat", "near")] * 12)
@@ -347,33 +355,74 @@ def test_scores_know_order(spark, write):
     mixed = line().split()
     rng.shuffle(mixed)
     docs.append((100, " ".join(mixed)))
-    frame = table(spark, write(docs), "documents")
+    got = _scored(table(spark, write(docs), "documents"), rounds=1, epochs=40)[2]
+    assert got[100]["mean_log_likelihood"] < got[0]["mean_log_likelihood"] - 0.3
+
+
+def test_training_beats_the_shares_of_words_and_reaches_every_word(spark, small):
+    frame = table(spark, small, "documents")
     lexicon = scoring.build_lexicon(scoring.count_words(frame))
-    got = {r["doc_id"]: r["mean_log_likelihood"] for r in scoring.score(frame, lexicon, scoring.train(frame, lexicon, rounds=40)).collect()}
-    assert got[100] < got[0] - 0.3
+    spelled = scoring.spell(frame, lexicon).cache()
+    losses = []
+    scoring.train(spelled, lexicon, epochs=2, losses=losses)
+    shares = np.repeat(lexicon.class_logs, np.diff(lexicon.edges)) + lexicon.token_logs
+    tokens = np.concatenate([np.frombuffer(r["tokens"], "<u2") for r in spelled.select("tokens").collect()])
+    assert len(tokens) == lexicon.total and np.exp(shares).sum() == pytest.approx(1)
+    # the losses of an epoch are those of all words before they were learnt; at first, those of the shares
+    assert sum(losses[: scoring.ROUNDS]) < -shares[tokens].sum()
+    assert sum(losses[scoring.ROUNDS :]) < sum(losses[: scoring.ROUNDS])
+
+
+def test_network_does_not_depend_on_partitions(spark, monkeypatch, write):
+    monkeypatch.setattr(scoring, "SHARD", 300)
+    frame = table(spark, write([(k, prose(k, 5 + k % 50, 80)) for k in range(60)] + [(k, prose(1, 40)) for k in range(60, 90)]), "documents")
+    nets = [_scored(frame.repartition(n), rounds=2)[1].flat for n in (1, 7)]
+    assert (nets[0] == nets[1]).all()
 
 
 def test_most_frequent_words(spark):
-    counts = spark.createDataFrame([(f"w{k % 97:02d}{k}".encode(), 1 + (k * k) % 50) for k in range(500)], "word binary, n long")
-    rows = sorted(((-r["n"], bytes(r["word"])) for r in counts.collect()))
-    for size in (1, 40, 499, 900):
-        assert [(-r["n"], bytes(r["word"])) for r in scoring.most_frequent(counts, size).collect()] == rows[:size]
+    counts = spark.createDataFrame([(k, 1 + (k * k) % 50) for k in range(500)], "word long, n long")
+    rows = {r["word"]: r["n"] for r in counts.collect()}
+    for size in (1, 40, 300, 499, 500, 900):
+        got = {r["word"]: r["n"] for r in scoring.most_frequent(counts, size).collect()}
+        assert len(got) <= size and set(got) == {w for w, n in rows.items() if got and n >= min(got.values())}
+        assert size < 500 or got == rows
 
 
 def test_scores_are_sums_of_conditionals(spark, write):
-    docs = [(k, prose(k, 30, 50)) for k in range(8)]
+    """Directly, word by word, with named, listed and joined words, and shares that add up to one."""
+    docs = [(k, prose(k, 40, 120) + f" only{k} 12 x{k}") for k in range(12)] + [(20, prose(3, 40, 120) + " only3 12 x3")]
     frame = table(spark, write(docs), "documents")
-    lexicon = scoring.build_lexicon(scoring.count_words(frame))
-    network = scoring.train(frame, lexicon)
-    got = {r["doc_id"]: r["log_likelihood"] for r in scoring.score(frame, lexicon, network).collect()}
+    lexicon, network, got = _scored(frame, named=30, listed=70)
+    counts = {r["word"]: r for r in scoring.count_words(frame).collect()}
+    assert len(lexicon.words) == 30 and 0 < len(lexicon.listed) <= 40 < len(counts) - 30
+    edge = len(lexicon.token_logs)
     for d, t in docs:
-        classes = [lexicon.classes[w] for w in t.encode().split()]
-        wide = [scoring.CLASSES] * 2 + classes + [scoring.CLASSES] * 2
-        total = 0.0
-        for k, c in enumerate(classes):
-            h = np.tanh(network.bias + sum(network.embed[j][wide[k + p]] for j, p in enumerate((0, 1, 3, 4))))
-            z = (h @ network.out + network.out_bias).astype(float)
-            total += z[c] - np.log(np.exp(z).sum()) + lexicon.logs[t.encode().split()[k]]
-        assert got[d] == pytest.approx(total, rel=1e-3)
-    counts = sum(np.exp(v) for w, v in lexicon.logs.items() if lexicon.classes[w] >= scoring.SINGLE)
-    assert counts > 0 and all(v <= 0 for v in lexicon.unknown)
+        raw = np.frombuffer(t.encode(), np.uint8)
+        words, shapes, _ = scoring.hashed_words(np.array([0, len(raw)]), raw)
+        tokens, known = lexicon.spelled(words, shapes)
+        wide, total = [edge, edge, *tokens.tolist(), edge, edge], 0.0
+        for k, token in enumerate(tokens.tolist()):
+            h = np.tanh(network.bias[0] + sum(network.embed[j][wide[k + p]] for j, p in enumerate((0, 1, 3, 4)))).astype(float)
+            z = network.class_out @ h + network.class_bias[:, 0]
+            c = network.classes[token]
+            lo, hi = lexicon.edges[c], lexicon.edges[c + 1]
+            y = network.token_out[lo:hi] @ h + network.token_bias[lo:hi, 0]
+            total += z[c] - np.log(np.exp(z).sum()) + y[token - lo] - np.log(np.exp(y).sum())
+            if not known[k]:
+                total += np.log(counts[words[k]]["n"] / (lexicon.shape_counts[shapes[k]] + 1))
+        assert got[d]["log_likelihood"] == pytest.approx(total, rel=1e-4)
+        assert got[d]["n_tokens"] == len(tokens) and got[d]["mean_log_likelihood"] == pytest.approx(total / len(tokens), rel=1e-4)
+    assert got[3]["log_likelihood"] == got[20]["log_likelihood"]
+    assert [got[d]["log_likelihood"] for d in (0, 1)] != [0, 0]
+
+
+def test_words_of_texts_are_those_of_the_other_operators():
+    from scrollwork.llm.common import words_alnum
+
+    text = "Été 12 a1 日本語 x_y, Don't STOP 0x1F verylongword short ABCDEFGHI\x00z".encode()
+    raw = np.frombuffer(text, np.uint8)
+    words, shapes, per_text = scoring.hashed_words(np.array([0, len(raw)]), raw)
+    want = words_alnum(text)
+    assert per_text.tolist() == [0, len(want)] and len(set(words.tolist())) == len(set(want))
+    assert [shapes[want.index(w)] for w in (b"12", b"a1", "日本語".encode(), b"x", b"short", b"verylongword")] == [0, 1, 2, 3, 4, 5]
