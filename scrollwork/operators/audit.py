@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normal_key
 
 #: Names of fields that hold secrets, as letters only.
-SECRET_KEYS = ("apikey", "authorization", "password", "secret", "token", "accesstoken", "refreshtoken", "cookie")
+SECRET_KEYS = ("apikey", "authorization", "headers", "credential", "credentials", "token", "secret", "password")
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:

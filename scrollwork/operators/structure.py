@@ -78,17 +78,20 @@ def tree_violations(edges: DataFrame, nodes: DataFrame, depth: int = 50) -> Data
     return unresolved.unionByName(cycles).unionByName(repeated)
 
 
-def heading_paths(items: DataFrame, levels: int = 9) -> DataFrame:
+def heading_paths(items: DataFrame, levels: list[int] | None = None) -> DataFrame:
     """For every item the headings above it: of each level the last one since a heading of a lower level.
 
-    One running maximum a level: a heading of level L stands if it is later than every heading of a lower level.
+    One running maximum a level: a heading of level L stands if it is later than every heading of a lower level. The
+    levels are those that the items have, however deep, which takes a pass over the items unless they are given.
     """
-    last = [F.max(F.when(F.col("level") == k, F.col("pos"))).over(_so_far()) for k in range(1, levels + 1)]
-    out = items.select("doc_id", "pos", "item_id", *[x.alias(f"l{k}") for k, x in enumerate(last, 1)])
-    alive = []
-    for k in range(1, levels + 1):
-        lower = F.greatest(F.lit(-1), *[F.coalesce(f"l{j}", F.lit(-1)) for j in range(1, k)]) if k > 1 else F.lit(-1)
-        alive.append(F.when(F.col(f"l{k}") > lower, F.col(f"l{k}")))
+    if levels is None:
+        levels = sorted(r["level"] for r in items.where("level IS NOT NULL").select("level").distinct().collect())
+    last = [F.max(F.when(F.col("level") == k, F.col("pos"))).over(_so_far()) for k in levels]
+    out = items.select("doc_id", "pos", "item_id", *[x.alias(f"l{k}") for k, x in zip(levels, last, strict=True)])
+    alive, before = [F.lit(None).cast("int")], F.lit(-1)
+    for k in levels:
+        alive.append(F.when(F.col(f"l{k}") > before, F.col(f"l{k}")))
+        before = F.greatest(before, F.coalesce(f"l{k}", F.lit(-1)))
     return out.select("doc_id", "pos", "item_id", F.array_compact(F.array(*alive)).alias("heading_positions"))
 
 

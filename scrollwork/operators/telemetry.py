@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import valid_tokens
 from .folds import fold, status_step
 
 
+#: The stages that classify in batches and that extract, and what the events of a batch make of it.
+CLASSIFICATION, EXTRACTION = "B2", "C"
+BATCH_STATES = {"batch_attempt": "active", "batch_validated": "completed", "batch_reused": "reused", "batch_failed": "failed"}
+
+
 def calls_with_failures(log: DataFrame) -> DataFrame:
-    """Model calls with is_failed: they failed themselves, or their span did, or their batch attempt did. Missing parts
+    """Model calls with is_failed: they failed themselves, or the extraction stage's span did, or their batch attempt did. Missing parts
     of a batch attempt's key are equal to missing parts."""
     calls = log.where("event = 'llm_attempt'")
-    spans = log.where("event = 'stage_finished' AND status = 'failed'").select("run_id", "span_id", F.lit(True).alias("span_failed")).distinct()
+    spans = log.where(f"event = 'stage_finished' AND status = 'failed' AND stage = '{EXTRACTION}'").select("run_id", "span_id", F.lit(True).alias("span_failed")).distinct()
     key = ["run_id", "source", "batch_id", "attempt"]
     batches = log.where("event = 'batch_failed'").select(*[F.col(c).alias(f"f_{c}") for c in key], F.lit(True).alias("batch_failed")).distinct()
     same = F.lit(True)
@@ -23,35 +28,50 @@ def calls_with_failures(log: DataFrame) -> DataFrame:
     return joined.withColumn("is_failed", (F.col("status") == "failed") | F.coalesce("span_failed", F.lit(False)) | F.coalesce("batch_failed", F.lit(False)))
 
 
-def run_summary(log: DataFrame) -> DataFrame:
-    """Counts, tokens and costs of each run's calls, in all and by model, by stage and by source, in one aggregation."""
+def _by_dimension(log: DataFrame, more: list[str], sums: list[Column]) -> DataFrame:
+    """Sums over each run's calls, in all and by model, by stage and by source, in one aggregation."""
     calls = calls_with_failures(log)
     named = calls.select("*", *[F.coalesce(c, F.lit("unknown")).alias(f"by_{c}") for c in ("model", "stage", "source")])
-    paid = F.col("cost_kind").isin("estimated", "reported") & F.col("cents").isNotNull() & (F.col("currency") != "")
+    sets = [[F.col(c) for c in ("run_id", *more, *by)] for by in ((), ("by_model",), ("by_stage",), ("by_source",))]
+    grouped = named.groupingSets(sets, "run_id", *more, "by_model", "by_stage", "by_source").agg(F.grouping("by_model").alias("g0"), F.grouping("by_stage").alias("g1"), F.grouping("by_source").alias("g2"), *sums)
+    dimension = F.when(F.col("g0") == 0, "model").when(F.col("g1") == 0, "stage").when(F.col("g2") == 0, "source").otherwise("all")
+    return grouped.withColumn("dimension", dimension).withColumn("value", F.coalesce("by_model", "by_stage", "by_source", F.lit("all")))
+
+
+_PAID = "cost_kind IN ('estimated', 'reported') AND cents IS NOT NULL AND currency <> ''"
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """Counts, tokens and latency of each run's calls, in all and by model, by stage and by source."""
+    paid = F.coalesce(F.expr(_PAID), F.lit(False))
     known = valid_tokens(F.col("input_tokens")).isNotNull() & valid_tokens(F.col("output_tokens")).isNotNull()
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    sets = [[F.col("run_id")], *[[F.col("run_id"), F.col(f"by_{c}")] for c in ("model", "stage", "source")]]
-    grouped = named.groupingSets(sets, "run_id", "by_model", "by_stage", "by_source").agg(
-        F.grouping_id().alias("gid"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sums = [
         F.count("*").alias("request_count"),
         count(F.col("is_failed")).alias("failed_count"),
         count(F.col("attempt") > 1).alias("retry_count"),
-        F.coalesce(F.sum(valid_tokens(F.col("input_tokens"))), F.lit(0)).alias("input_tokens"),
-        F.coalesce(F.sum(valid_tokens(F.col("output_tokens"))), F.lit(0)).alias("output_tokens"),
+        total(valid_tokens(F.col("input_tokens"))).alias("input_tokens"),
+        total(valid_tokens(F.col("output_tokens"))).alias("output_tokens"),
         count(~known).alias("unknown_usage"),
         count(~paid).alias("unknown_cost"),
-        count(paid & (F.col("cost_kind") == "estimated")).alias("estimated_count"),
-        *[F.coalesce(F.sum(F.when(paid & (F.col("currency") == c), F.col("cents"))), F.lit(0)).alias(f"cents_{c.lower()}") for c in ("USD", "EUR")],
-    )
-    dimension = F.when(F.col("gid") == 7, "all").when(F.col("gid") == 3, "model").when(F.col("gid") == 5, "stage").otherwise("source")
-    return grouped.select("run_id", dimension.alias("dimension"), F.coalesce("by_model", "by_stage", "by_source", F.lit("all")).alias("value"), "request_count", "failed_count", "retry_count", "input_tokens", "output_tokens", "unknown_usage", "unknown_cost", (F.col("unknown_cost") == 0).alias("cost_complete"), "estimated_count", "cents_usd", "cents_eur")
+        count(F.col("cost_kind") == "estimated").alias("estimated_count"),
+        total(F.col("latency_ms")).alias("latency_ms"),
+    ]
+    names = ["request_count", "failed_count", "retry_count", "input_tokens", "output_tokens", "unknown_usage", "unknown_cost"]
+    return _by_dimension(log, [], sums).select("run_id", "dimension", "value", *names, (F.col("unknown_cost") == 0).alias("cost_complete"), "estimated_count", "latency_ms")
+
+
+def run_costs(log: DataFrame) -> DataFrame:
+    """Known costs of each run's calls in every currency they have, in all and by model, by stage and by source."""
+    return _by_dimension(log, ["currency"], [F.sum(F.when(F.expr(_PAID), F.col("cents"))).alias("cents")]).where("cents IS NOT NULL").select("run_id", "dimension", "value", "currency", "cents")
 
 
 def batch_status(log: DataFrame) -> DataFrame:
-    """Batches of each run by their last event: active, failed."""
-    last = log.where("batch_id IS NOT NULL AND event IN ('batch_attempt', 'batch_failed')").groupBy("run_id", "batch_id").agg(F.max_by("event", "event_id").alias("event"))
-    count = lambda e: F.sum(F.when(F.col("event") == e, 1).otherwise(0))
-    return last.groupBy("run_id").agg(count("batch_attempt").alias("n_active"), count("batch_failed").alias("n_failed"))
+    """The classification's batches of each run by their last event: active, completed, reused, failed."""
+    own = log.where(F.col("event").isin(*BATCH_STATES) & (F.col("stage") == CLASSIFICATION) & F.col("batch_id").isNotNull())
+    last = own.groupBy("run_id", "batch_id").agg(F.max_by("event", "event_id").alias("event"))
+    return last.groupBy("run_id").agg(*[F.sum(F.when(F.col("event") == e, 1).otherwise(0)).alias(f"n_{state}") for e, state in BATCH_STATES.items()])
 
 
 def stage_status(log: DataFrame) -> DataFrame:
@@ -76,6 +96,28 @@ def exchange_pairs(messages: DataFrame) -> DataFrame:
     return looked.where("role = 'request'").select("key", F.col("seq").alias("request_seq"), answered.alias("response_seq"))
 
 
+def model_exchanges(messages: DataFrame) -> DataFrame:
+    """Each request with the first response and the first validation error that belong to it: run_id, request_seq,
+    response_seq, error_seq.
+
+    `messages`: run_id, seq, role (request, response, error), attempt_id, batch_id, attempt. A request with an attempt_id
+    has what comes later with the same one, however far. One without has what comes later with the same batch and
+    attempt, missing ones alike, up to the next request with these. Answers may interleave. One window each, no join.
+    """
+
+    def looked(rows: DataFrame, key: list[str]) -> DataFrame:
+        after = Window.partitionBy("run_id", *key).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+        first = lambda r: F.min(F.when(F.col("role") == r, F.col("seq"))).over(after).alias(f"{r}_next")
+        return rows.select("run_id", "seq", "role", "attempt_id", *map(first, ("request", "response", "error"))).where("role = 'request'")
+
+    seen = lambda r, end: F.when(F.col(f"{r}_next") < end, F.col(f"{r}_next")).alias(f"{r}_seq")
+    far = F.lit(1 << 62)
+    named = looked(messages.where("attempt_id <> ''"), ["attempt_id"])
+    plain = looked(messages, ["batch_id", "attempt"]).where("attempt_id IS NULL OR attempt_id = ''")
+    out = [f.select("run_id", F.col("seq").alias("request_seq"), seen("response", end), seen("error", end)) for f, end in ((named, far), (plain, F.coalesce("request_next", far)))]
+    return out[0].unionByName(out[1])
+
+
 def latest_boundary(log: DataFrame) -> DataFrame:
     """Of each run's last span that took a call: its last start and its last end (null if it has none)."""
     last = log.where("event = 'llm_attempt'").groupBy("run_id").agg(F.max_by("span_id", "event_id").alias("span_id"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from ..functions.money import exact
 from ..functions.text import normal_role
 
 #: Roles that name a kind of company, not a part in a contract.
-CORPORATE_ROLES = ("parent", "subsidiary", "holding_company", "affiliate")
+CORPORATE_ROLES = ("borrower_parent", "lender_parent", "parent", "child", "subsidiary", "holding_company")
 
 
 def amount_violations(amounts: DataFrame) -> DataFrame:
@@ -60,18 +63,67 @@ def role_violations(roles: DataFrame) -> DataFrame:
     return twice.unionByName(named.where(F.col("role").isin(*CORPORATE_ROLES)).select(F.lit("corporate_role").alias("rule"), "party_id", "role").distinct())
 
 
-def cyclic_parties(edges: DataFrame, depth: int = 100) -> DataFrame:
-    """Parties that are their own ancestors. `edges`: parent, child; self-references are a rule of their own."""
-    view = f"party_edges_{id(edges)}"
-    edges.where("parent <> child").select("parent", "child").distinct().createOrReplaceTempView(view)
-    return edges.sparkSession.sql(f"""
-        WITH RECURSIVE reach (start, party, path) MAX RECURSION LEVEL {depth} AS (
-          SELECT parent, child, array(parent) FROM {view}
-          UNION ALL
-          SELECT r.start, e.child, array_append(r.path, r.party) FROM reach r JOIN {view} e ON e.parent = r.party
-          WHERE NOT array_contains(r.path, r.party)
-        )
-        SELECT DISTINCT start AS party FROM reach WHERE party = start""")
+def _on_cycles(children: dict) -> list:
+    """Nodes that reach themselves: those of strongly connected parts with more than one node, by Tarjan's walk."""
+    found, number, low, stack, on = [], {}, {}, [], set()
+    for root in children:
+        if root in number:
+            continue
+        work = [(root, iter(children[root]))]
+        number[root] = low[root] = len(number)
+        stack.append(root)
+        on.add(root)
+        while work:
+            node, rest = work[-1]
+            for child in rest:
+                if child not in number:
+                    number[child] = low[child] = len(number)
+                    stack.append(child)
+                    on.add(child)
+                    work.append((child, iter(children.get(child, ()))))
+                    break
+                if child in on:
+                    low[node] = min(low[node], number[child])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[node])
+                if low[node] == number[node]:
+                    part = []
+                    while not part or part[-1] != node:
+                        part.append(stack.pop())
+                        on.discard(part[-1])
+                    found += part if len(part) > 1 else []
+    return found
+
+
+def cyclic_parties(edges: DataFrame) -> DataFrame:
+    """doc_id, party: parties that are their own ancestors. `edges`: doc_id, parent, child; self-references are a rule of
+    their own. Relations are those of one document, so documents are gone through one by one, in one shuffle; a task
+    holds one document's relations. Any depth, and time in proportion to the relations."""
+    kind = edges.schema["parent"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, children = None, {}
+
+        def settled() -> pa.RecordBatch:
+            found = _on_cycles(children)
+            return pa.RecordBatch.from_arrays([pa.array([doc] * len(found), schema[0].type), pa.array(found, schema[1].type)], names=["doc_id", "party"])
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for d, p, c in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "parent", "child")), strict=True):
+                if d != doc:
+                    if children:
+                        yield settled()
+                    doc, children = d, {}
+                children.setdefault(p, []).append(c)
+        if children:
+            yield settled()
+
+    own = edges.where("parent <> child").select("doc_id", "parent", F.col("child").cast(kind).alias("child")).distinct()
+    return own.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, f"doc_id {edges.schema['doc_id'].dataType.simpleString()}, party {kind}")
 
 
 def relationship_violations(edges: DataFrame) -> DataFrame:

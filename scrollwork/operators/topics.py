@@ -21,7 +21,7 @@ TOPICS = (
     "guarantees_and_security",
     "default_and_remedies",
 )
-TAXONOMY = "topics-2"
+TAXONOMY = "credit-topics-v2"
 #: A dotted topic belongs to the topic before the dot.
 PARENTS = {t: t.split(".")[0] for t in TOPICS if "." in t}
 
@@ -86,9 +86,30 @@ def _in_role(role: str) -> Column:
     return F.transform(role, lambda p: F.struct(F.lit(role).alias("role"), p.alias("pos")))
 
 
-def violations(groups: DataFrame, items: DataFrame, chunks: DataFrame) -> DataFrame:
+def packet_scope(items: DataFrame, units: DataFrame, chunks: DataFrame, headings: DataFrame, neighbours: int = 1) -> DataFrame:
+    """doc_id, chunk_no, pos of every item that an answer for a chunk may cite: the chunk's own, those of so many units
+    before and after it, and the headings above any of these. `headings`: doc_id, pos, heading_positions.
+
+    A list that goes on from the chunk before is a unit that began there, and so a neighbour.
+    """
+    ends = chunks.select("doc_id", "chunk_no", "first_pos", "last_pos")
+    own = units.select("doc_id", "unit_no", F.col("pos").alias("a"), F.col("last_pos").alias("b"))
+    begun = ends.join(own, "doc_id").groupBy("doc_id", "chunk_no", "first_pos", "last_pos").agg(
+        F.sum((F.col("a") < F.col("first_pos")).cast("int")).alias("start"), F.sum((F.col("a") <= F.col("last_pos")).cast("int")).alias("end")
+    )
+    wanted = F.concat(F.sequence(F.col("start") - neighbours, F.col("start") - 1), F.sequence(F.col("end"), F.col("end") + neighbours - 1)) if neighbours else F.array().cast("array<bigint>")
+    near = begun.select("doc_id", "chunk_no", F.explode(wanted).alias("unit_no")).join(own, ["doc_id", "unit_no"]).select("doc_id", "chunk_no", "a", "b")
+    spans = near.unionByName(ends.select("doc_id", "chunk_no", F.col("first_pos").alias("a"), F.col("last_pos").alias("b")))
+    direct = spans.select("doc_id", "chunk_no", F.explode(F.sequence("a", "b")).alias("pos"))
+    above = direct.join(headings.select("doc_id", "pos", "heading_positions"), ["doc_id", "pos"]).select("doc_id", "chunk_no", F.explode("heading_positions").alias("pos"))
+    return direct.unionByName(above).distinct().join(items.select("doc_id", "pos"), ["doc_id", "pos"], "left_semi").select("doc_id", "chunk_no", "pos")
+
+
+def violations(groups: DataFrame, items: DataFrame, chunks: DataFrame, scope: DataFrame | None = None, answered: DataFrame | None = None) -> DataFrame:
     """rule, doc_id, chunk_no, topic of every breach: unknown or repeated topics, no evidence, repeated or overlapping
-    citations, evidence outside the chunk, citations of nothing, unknown chunks, chunks without an answer."""
+    citations, evidence outside the chunk, citations of nothing, unknown chunks; with `scope` (`packet_scope`), citations
+    of what the chunk's answer may not cite; with `answered` (doc_id, chunk_no of the answers, empty ones too), chunks
+    without an answer, whose topic is null."""
     key = ["doc_id", "chunk_no", "topic"]
     rule = lambda frame, name: frame.select(F.lit(name).alias("rule"), *key)
     shape = [
@@ -104,6 +125,11 @@ def violations(groups: DataFrame, items: DataFrame, chunks: DataFrame) -> DataFr
     core = groups.select(*key, F.explode("evidence").alias("pos")).join(chunks.select("doc_id", "chunk_no", "first_pos", "last_pos"), ["doc_id", "chunk_no"])
     out.append(rule(core.groupBy(*key).agg(F.max(F.col("pos").between(F.col("first_pos"), F.col("last_pos"))).alias("inside")).where("NOT inside"), "evidence_outside"))
     out.append(rule(groups.join(chunks.select("doc_id", "chunk_no"), ["doc_id", "chunk_no"], "left_anti"), "unknown_chunk"))
+    if scope is not None:
+        out.append(rule(cited.join(scope, ["doc_id", "chunk_no", "pos"], "left_anti").distinct(), "out_of_scope"))
+    if answered is not None:
+        left = chunks.select("doc_id", "chunk_no").join(answered, ["doc_id", "chunk_no"], "left_anti")
+        out.append(rule(left.withColumn("topic", F.lit(None).cast("string")), "unanswered"))
     total = out[0]
     for frame in out[1:]:
         total = total.unionByName(frame)

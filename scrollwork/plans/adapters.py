@@ -64,9 +64,9 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         (F.col("user_id") % 10).alias("run_id"),
         k.alias("k"),
-        F.element_at(F.create_map(*[F.lit(x) for pair in EVENTS.items() for x in pair]), F.col("event_type")).alias("event"),
+        F.when(F.col("event_type") == "click", F.get(F.array(*map(F.lit, BATCHES)), k % 3)).otherwise(F.element_at(F.create_map(*[F.lit(x) for pair in EVENTS.items() for x in pair]), F.col("event_type"))).alias("event"),
         F.concat(F.lit("span-"), (k % 7).cast("string")).alias("span_id"),
-        F.when(k % 4 == 3, None).otherwise(F.concat(F.lit("stage-"), (k % 4).cast("string"))).alias("stage"),
+        F.get(F.array(*map(F.lit, STAGES)), k % 4).alias("stage"),
         F.when(k % 5 == 4, None).otherwise(F.concat(F.lit("model-"), (k % 3).cast("string"))).alias("model"),
         F.when(F.col("user_id") % 6 == 0, None).otherwise(F.concat(F.lit("source-"), (F.col("user_id") % 4).cast("string"))).alias("source"),
         F.when(k % 9 == 0, None).otherwise(k % 8).alias("batch_id"),
@@ -76,20 +76,23 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 == 0, None).otherwise(k * 10).alias("input_tokens"),
         F.when(k % 13 == 0, -1).otherwise(k).alias("output_tokens"),
         F.when(k % 6 == 0, "unknown").when(k % 2 == 0, "estimated").otherwise("reported").alias("cost_kind"),
-        F.when(k % 3 == 0, "EUR").otherwise("USD").alias("currency"),
+        F.when(k % 3 == 0, "EUR").when(k % 7 == 0, "GBP").when(k % 19 == 0, "").otherwise("USD").alias("currency"),
+        F.when(k % 23 != 0, k * 3).alias("latency_ms"),
     )
 
 
 #: What each type of the events table stands for in the log.
-EVENTS = {"purchase": "llm_attempt", "error": "batch_failed", "signup": "stage_started", "view": "stage_finished", "click": "batch_attempt"}
+EVENTS = {"purchase": "llm_attempt", "error": "batch_failed", "signup": "stage_started", "view": "stage_finished"}
+BATCHES = ("batch_attempt", "batch_validated", "batch_reused")
+STAGES = ("A", "B2", "C")
 
 LOG = """
 log AS (
   SELECT event_id, user_id % 10 AS run_id, k,
     CASE event_type WHEN 'purchase' THEN 'llm_attempt' WHEN 'error' THEN 'batch_failed' WHEN 'signup' THEN 'stage_started'
-                    WHEN 'view' THEN 'stage_finished' WHEN 'click' THEN 'batch_attempt' END AS event,
+                    WHEN 'view' THEN 'stage_finished' WHEN 'click' THEN ['batch_attempt', 'batch_validated', 'batch_reused'][k % 3 + 1] END AS event,
     'span-' || (k % 7) AS span_id,
-    CASE WHEN k % 4 <> 3 THEN 'stage-' || (k % 4) END AS stage,
+    ['A', 'B2', 'C'][k % 4 + 1] AS stage,
     CASE WHEN k % 5 <> 4 THEN 'model-' || (k % 3) END AS model,
     CASE WHEN user_id % 6 <> 0 THEN 'source-' || (user_id % 4) END AS source,
     CASE WHEN k % 9 <> 0 THEN k % 8 END AS batch_id,
@@ -99,6 +102,7 @@ log AS (
     CASE WHEN k % 10 <> 0 THEN k * 10 END AS input_tokens,
     CASE WHEN k % 13 = 0 THEN -1 ELSE k END AS output_tokens,
     CASE WHEN k % 6 = 0 THEN 'unknown' WHEN k % 2 = 0 THEN 'estimated' ELSE 'reported' END AS cost_kind,
-    CASE WHEN k % 3 = 0 THEN 'EUR' ELSE 'USD' END AS currency
+    CASE WHEN k % 3 = 0 THEN 'EUR' WHEN k % 7 = 0 THEN 'GBP' WHEN k % 19 = 0 THEN '' ELSE 'USD' END AS currency,
+    CASE WHEN k % 23 <> 0 THEN k * 3 END AS latency_ms
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
 )"""

@@ -21,6 +21,19 @@ def run_summary_by_key(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.run_summary(log(spark, d)).where("dimension <> 'all'")
 
 
+def run_costs(spark: SparkSession, d: str) -> DataFrame:
+    return telemetry.run_costs(log(spark, d))
+
+
+def model_exchanges(spark: SparkSession, d: str) -> DataFrame:
+    """Calls, ends of stages and failed batches stand for requests, responses and validation errors; two in five carry an
+    attempt_id."""
+    role = F.when(F.col("event") == "llm_attempt", "request").when(F.col("event") == "stage_finished", "response").when(F.col("event") == "batch_failed", "error")
+    k = F.col("k")
+    own = log(spark, d).select("run_id", F.col("event_id").alias("seq"), role.alias("role"), F.when(k % 5 < 2, F.concat(F.lit("a"), (k % 40).cast("string"))).alias("attempt_id"), "batch_id", "attempt")
+    return telemetry.model_exchanges(own.where("role IS NOT NULL"))
+
+
 def batch_status(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.batch_status(log(spark, d))
 
@@ -140,8 +153,8 @@ def pending_inputs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Conversations as log files with a corrupt line here and an unfinished last line there."""
-    texts = table(spark, d, "events").where("event_type <> 'view'").select((F.col("user_id")).cast("string").alias("path"), "event_id", "props")
+    """Events as log files with a corrupt line here and an unfinished last line there."""
+    texts = table(spark, d, "events").select((F.col("user_id")).cast("string").alias("path"), "event_id", "props")
     bad = F.when(F.col("event_id") % 40 == 0, F.lit("{oops")).when(F.col("event_id") % 31 == 0, F.lit("[1]")).when(F.col("event_id") % 17 == 0, F.lit("  ")).otherwise(F.col("props"))
     whole = texts.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", bad.alias("line")))), lambda s: s["line"]), "\n").alias("value"))
     return files.json_lines(whole).groupBy("path").agg(F.count("*").alias("n_lines"), F.sum(F.col("is_valid").cast("int")).alias("n_valid"), F.sum(F.col("is_tail").cast("int")).alias("n_tails"))
@@ -168,11 +181,11 @@ def embedded_json(spark: SparkSession, d: str) -> DataFrame:
 _SUMS = """count(*) AS request_count, CAST(sum(CASE WHEN is_failed THEN 1 ELSE 0 END) AS BIGINT) AS failed_count, CAST(sum(CASE WHEN attempt > 1 THEN 1 ELSE 0 END) AS BIGINT) AS retry_count,
   CAST(coalesce(sum(CASE WHEN input_tokens >= 0 THEN input_tokens END), 0) AS BIGINT) AS input_tokens, CAST(coalesce(sum(CASE WHEN output_tokens >= 0 THEN output_tokens END), 0) AS BIGINT) AS output_tokens,
   CAST(sum(CASE WHEN input_tokens >= 0 AND output_tokens >= 0 THEN 0 ELSE 1 END) AS BIGINT) AS unknown_usage, CAST(sum(CASE WHEN paid THEN 0 ELSE 1 END) AS BIGINT) AS unknown_cost,
-  sum(CASE WHEN paid THEN 0 ELSE 1 END) = 0 AS cost_complete, CAST(sum(CASE WHEN paid AND cost_kind = 'estimated' THEN 1 ELSE 0 END) AS BIGINT) AS estimated_count,
-  CAST(coalesce(sum(CASE WHEN paid AND currency = 'USD' THEN cents END), 0) AS BIGINT) AS cents_usd, CAST(coalesce(sum(CASE WHEN paid AND currency = 'EUR' THEN cents END), 0) AS BIGINT) AS cents_eur"""
+  sum(CASE WHEN paid THEN 0 ELSE 1 END) = 0 AS cost_complete, CAST(sum(CASE WHEN cost_kind = 'estimated' THEN 1 ELSE 0 END) AS BIGINT) AS estimated_count,
+  CAST(coalesce(sum(latency_ms), 0) AS BIGINT) AS latency_ms"""
 _CALLS = f"""WITH {LOG}, calls AS (
-  SELECT *, cost_kind IN ('estimated', 'reported') AND cents IS NOT NULL AS paid,
-    status = 'failed' OR EXISTS (SELECT 1 FROM log f WHERE f.event = 'stage_finished' AND f.status = 'failed' AND f.run_id = l.run_id AND f.span_id = l.span_id)
+  SELECT *, cost_kind IN ('estimated', 'reported') AND cents IS NOT NULL AND currency <> '' AS paid,
+    status = 'failed' OR EXISTS (SELECT 1 FROM log f WHERE f.event = 'stage_finished' AND f.status = 'failed' AND f.stage = 'C' AND f.run_id = l.run_id AND f.span_id = l.span_id)
     OR EXISTS (SELECT 1 FROM log f WHERE f.event = 'batch_failed' AND f.run_id = l.run_id AND f.source IS NOT DISTINCT FROM l.source AND f.batch_id IS NOT DISTINCT FROM l.batch_id AND f.attempt = l.attempt) AS is_failed
   FROM log l WHERE event = 'llm_attempt')"""
 _BY = " UNION ALL ".join(f"SELECT run_id, '{c}' AS dimension, coalesce({c}, 'unknown') AS value, {_SUMS} FROM calls GROUP BY run_id, coalesce({c}, 'unknown')" for c in ("model", "stage", "source"))
@@ -182,13 +195,21 @@ _DECISIONS = """WITH decisions AS (SELECT o_custkey AS fact_id, row_number() OVE
 _VOCABULARY = ", ".join(f"'{t}'" for t in TOPICS)
 _OLD = ",".join(t for t in TOPICS if t != "repayment_and_prepayment.call_protection")
 
-QUERIES = {f.__name__: f for f in (run_summary, run_summary_by_key, batch_status, stage_status, latest_boundary, run_layout, exchange_pairs, cost_estimate, usage_totals, retryable, latest_decision, decision_history, decision_flags, cas_conflicts, cas_applied, review_progress, annotation_upgrade, label_scores, exact_duplicates, keyword_screen, vintages, redact_fields, pending_inputs, log_lines, snapshot_stages, html_title, html_items, embedded_json)}
+QUERIES = {f.__name__: f for f in (run_summary, run_summary_by_key, run_costs, model_exchanges, batch_status, stage_status, latest_boundary, run_layout, exchange_pairs, cost_estimate, usage_totals, retryable, latest_decision, decision_history, decision_flags, cas_conflicts, cas_applied, review_progress, annotation_upgrade, label_scores, exact_duplicates, keyword_screen, vintages, redact_fields, pending_inputs, log_lines, snapshot_stages, html_title, html_items, embedded_json)}
 
 ORACLES = {
     "run_summary": f"{_CALLS} SELECT run_id, 'all' AS dimension, 'all' AS value, {_SUMS} FROM calls GROUP BY run_id",
     "run_summary_by_key": f"{_CALLS} {_BY}",
-    "batch_status": f"""WITH {LOG}, last AS (SELECT run_id, batch_id, arg_max(event, event_id) AS event FROM log WHERE batch_id IS NOT NULL AND event IN ('batch_attempt', 'batch_failed') GROUP BY ALL)
-        SELECT run_id, count(*) FILTER (WHERE event = 'batch_attempt') AS n_active, count(*) FILTER (WHERE event = 'batch_failed') AS n_failed FROM last GROUP BY run_id""",
+    "run_costs": f"{_CALLS} SELECT run_id, 'all' AS dimension, 'all' AS value, currency, CAST(sum(cents) AS BIGINT) AS cents FROM calls WHERE paid GROUP BY ALL" + "".join(f" UNION ALL SELECT run_id, '{c}', coalesce({c}, 'unknown'), currency, CAST(sum(cents) AS BIGINT) FROM calls WHERE paid GROUP BY ALL" for c in ("model", "stage", "source")),
+    "model_exchanges": f"""WITH {LOG}, m AS (SELECT run_id, event_id AS seq, event, batch_id, attempt, CASE WHEN k % 5 < 2 THEN 'a' || (k % 40) END AS attempt_id FROM log WHERE event IN ('llm_attempt', 'stage_finished', 'batch_failed')),
+        r AS (SELECT *, lead(seq) OVER (PARTITION BY run_id, batch_id, attempt ORDER BY seq) AS same FROM m WHERE event = 'llm_attempt'),
+        named AS (SELECT r.run_id, r.seq, min(m.seq) FILTER (WHERE m.event = 'stage_finished') AS response_seq, min(m.seq) FILTER (WHERE m.event = 'batch_failed') AS error_seq
+          FROM r LEFT JOIN m ON m.run_id = r.run_id AND m.seq > r.seq AND m.attempt_id = r.attempt_id WHERE r.attempt_id IS NOT NULL GROUP BY ALL),
+        plain AS (SELECT r.run_id, r.seq, min(m.seq) FILTER (WHERE m.event = 'stage_finished') AS response_seq, min(m.seq) FILTER (WHERE m.event = 'batch_failed') AS error_seq
+          FROM r LEFT JOIN m ON m.run_id = r.run_id AND m.seq > r.seq AND m.seq < coalesce(r.same, 9223372036854775807) AND m.batch_id IS NOT DISTINCT FROM r.batch_id AND m.attempt = r.attempt WHERE r.attempt_id IS NULL GROUP BY ALL)
+        SELECT run_id, seq AS request_seq, response_seq, error_seq FROM named UNION ALL SELECT run_id, seq, response_seq, error_seq FROM plain""",
+    "batch_status": f"""WITH {LOG}, last AS (SELECT run_id, batch_id, arg_max(event, event_id) AS event FROM log WHERE batch_id IS NOT NULL AND stage = 'B2' AND event LIKE 'batch_%' GROUP BY ALL)
+        SELECT run_id, {", ".join(f"count(*) FILTER (WHERE event = '{e}') AS n_{n}" for e, n in telemetry.BATCH_STATES.items())} FROM last GROUP BY run_id""",
     "latest_boundary": f"""WITH {LOG}, last AS (SELECT run_id, arg_max(span_id, event_id) AS span_id FROM log WHERE event = 'llm_attempt' GROUP BY run_id)
         SELECT run_id, span_id, max(event_id) FILTER (WHERE event = 'stage_started') AS last_input, max(event_id) FILTER (WHERE event = 'stage_finished') AS last_output FROM log JOIN last USING (run_id, span_id) GROUP BY ALL""",
     "run_layout": f"WITH {LOG} SELECT run_id, bool_or(event LIKE 'batch_%') AS has_batches, bool_or(event LIKE 'stage_%') AS has_stages FROM log GROUP BY run_id",
@@ -197,7 +218,7 @@ ORACLES = {
     "cost_estimate": f"""WITH {LOG}, p AS (SELECT *, CASE WHEN model = 'model-0' THEN 1 WHEN model IS NOT NULL THEN 5 END AS scale FROM log WHERE event = 'llm_attempt')
         SELECT event_id, CASE WHEN input_tokens >= 0 AND output_tokens >= 0 AND 3 * k <= input_tokens AND input_tokens <= 900
           THEN CAST(scale * ((input_tokens - 3 * k) * 250 + k * 25 + k * 600 + output_tokens * 2000) AS BIGINT) END AS billionths,
-          CASE WHEN cost_kind = 'reported' AND cents >= 0 THEN cents ELSE -1 END AS chosen FROM p""",
+          CASE WHEN cost_kind = 'reported' AND cents >= 0 AND currency <> '' THEN cents ELSE -1 END AS chosen FROM p""",
     "usage_totals": f"WITH {LOG} SELECT event_id, CASE WHEN k % 2 = 0 THEN CASE WHEN k % 7 <> 0 THEN input_tokens + k + 3 END ELSE input_tokens END AS input_tokens, CASE WHEN output_tokens >= 0 THEN output_tokens END AS output_tokens FROM log WHERE event = 'llm_attempt'",
     "retryable": f"WITH {LOG} SELECT event_id, (k % 3 = 0 AND (400 + k = 429 OR 400 + k >= 500)) OR k % 5 = 0 AS again FROM log",
     "latest_decision": f"{_DECISIONS} SELECT fact_id, revision, decision, note FROM decisions d WHERE revision = (SELECT max(revision) FROM decisions e WHERE e.fact_id = d.fact_id)",
@@ -222,7 +243,7 @@ ORACLES = {
     "redact_fields": "SELECT event_id, json_extract_string(props, '$.k') AS k, '[REDACTED]' AS api_key, event_type AS note FROM events",
     "pending_inputs": "SELECT doc_id FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 6 = 0)",
     "log_lines": """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS path, event_id, CASE WHEN event_id % 40 = 0 THEN 'bad' WHEN event_id % 31 = 0 THEN 'bad' WHEN event_id % 17 = 0 THEN 'blank' ELSE 'good' END AS kind,
-          event_id = max(event_id) OVER (PARTITION BY user_id) AS last FROM events WHERE event_type <> 'view')
+          event_id = max(event_id) OVER (PARTITION BY user_id) AS last FROM events)
         SELECT path, count(*) AS n_lines, count(*) FILTER (WHERE kind = 'good') AS n_valid, count(*) FILTER (WHERE kind = 'bad' AND last) AS n_tails FROM e WHERE kind <> 'blank' GROUP BY path""",
     "snapshot_stages": """SELECT ['A', 'B2', 'A3.1', 'E'][event_id % 4 + 1] || '-' || event_type || '-' || lower(to_hex(event_id)) || '.json' AS filename, ['A', 'B2', 'A3.1', 'E'][event_id % 4 + 1] AS stage, event_type AS kind, lower(to_hex(event_id)) AS id
         FROM events WHERE event_id % 5 <> 0 AND event_id % 4 <> 3""",

@@ -45,7 +45,8 @@ def run(items: DataFrame, classify: Callable[[DataFrame, DataFrame], DataFrame],
     settings = settings or Settings()
     chunks = chunked(items, settings)
     answered = classify(chunks, items)
-    wrong = topics.violations(answered, items, chunks)
+    scope = topics.packet_scope(items, structure.atomic_units(items), chunks, structure.heading_paths(items), settings.neighbours)
+    wrong = topics.violations(answered, items, chunks, scope)
     right = answered.join(wrong.select("doc_id", "chunk_no", "topic").distinct(), ["doc_id", "chunk_no", "topic"], "left_anti")
     mapped = topics.topic_map(topics.identified(topics.with_parents(right)))
     return {

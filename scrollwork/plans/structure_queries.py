@@ -61,7 +61,7 @@ def tree_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def heading_paths(spark: SparkSession, d: str) -> DataFrame:
-    return S.heading_paths(items(spark, d), levels=3).select("doc_id", "pos", F.array_join("heading_positions", ">").alias("heading_path"))
+    return S.heading_paths(items(spark, d)).select("doc_id", "pos", F.array_join("heading_positions", ">").alias("heading_path"))
 
 
 def heading_warnings(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money as M
 from ..functions import text as T
-from ..operators import terms, topics
+from ..operators import structure, terms, topics
 from .adapters import ITEMS, items, table
 
 #: Topics asked for, and the remainder of a text's length that stands for each topic.
@@ -82,6 +82,26 @@ def passage_violations(spark: SparkSession, d: str) -> DataFrame:
     return topics.violations(bad, items(spark, d), chunks(spark, d)).where("rule <> 'repeated_topic'").groupBy("rule").agg(F.countDistinct("doc_id", "chunk_no", "topic").alias("n"))
 
 
+def _scope(spark: SparkSession, d: str) -> DataFrame:
+    own = items(spark, d)
+    return topics.packet_scope(own, structure.atomic_units(own), chunks(spark, d), structure.heading_paths(own))
+
+
+def citation_scope(spark: SparkSession, d: str) -> DataFrame:
+    """How many items the answer for each chunk may cite, and their places added up."""
+    return _scope(spark, d).groupBy("doc_id", "chunk_no").agg(F.count("*").alias("n"), F.sum("pos").alias("places"))
+
+
+def citation_breaches(spark: SparkSession, d: str) -> DataFrame:
+    """Citations out of scope and chunks without an answer, with contexts far away and answers left out on purpose."""
+    key = F.col("doc_id") % 5
+    g = classified(spark, d).withColumn("context", F.when(key == 1, F.array(F.col("chunk_no") * 8 + 30)).when(key == 2, F.array(F.greatest(F.col("chunk_no") * 8 - 20, F.lit(0)))).otherwise(F.col("context")))
+    every = chunks(spark, d)
+    answered = every.where((F.col("doc_id") + F.col("chunk_no")) % 7 != 0).select("doc_id", "chunk_no")
+    found = topics.violations(g, items(spark, d), every, _scope(spark, d), answered)
+    return found.where("rule IN ('out_of_scope', 'unanswered')").select("rule", "doc_id", "chunk_no", "topic")
+
+
 def topic_signals(spark: SparkSession, d: str) -> DataFrame:
     return topics.signals(items(spark, d), RULES)
 
@@ -136,8 +156,11 @@ def amount_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def party_graph_cycles(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers in tens as the parties of a document, of which each has one of them above it or two."""
     s = F.col("s_suppkey")
-    edges = table(spark, d, "supplier").where(s < 97).select(s.alias("parent"), ((s * s + 1) % 97).alias("child"))
+    doc, party = F.floor(s / 10).alias("doc_id"), (s % 10).alias("child")
+    own = table(spark, d, "supplier")
+    edges = own.select(doc, ((s * s + 1) % 10).alias("parent"), party).unionByName(own.where(s % 3 == 0).select(doc, (F.floor(s / 7) % 10).alias("parent"), party))
     return terms.cyclic_parties(edges)
 
 
@@ -183,12 +206,24 @@ groups AS (
   FROM lifted
 ),
 mapped AS (SELECT *, row_number() OVER (PARTITION BY doc_id, topic ORDER BY evidence, context) - 1 AS group_ord FROM groups)"""
+#: Units as lists run, across chunks too; headings above each item; what the answer for each chunk may cite.
+_SCOPE = """
+began AS (SELECT *, coalesce(coalesce(list_key, '#' || pos) <> lag(coalesce(list_key, '#' || pos)) OVER (PARTITION BY doc_id ORDER BY pos), true) AS new FROM items),
+numbered AS (SELECT *, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) - 1 AS unit_no FROM began),
+ends AS (SELECT doc_id, pos // 8 AS chunk_no, min(pos) AS a, max(pos) AS z, sum(CASE WHEN new THEN 1 ELSE 0 END) AS n_new FROM numbered GROUP BY ALL),
+edges AS (SELECT *, sum(n_new) OVER (PARTITION BY doc_id ORDER BY chunk_no ROWS UNBOUNDED PRECEDING) AS upto FROM ends),
+direct AS (
+  SELECT e.doc_id, e.chunk_no, n.pos FROM edges e JOIN numbered n ON n.doc_id = e.doc_id AND (n.pos BETWEEN e.a AND e.z OR n.unit_no = e.upto - e.n_new - 1 OR n.unit_no = e.upto)),
+above AS (
+  SELECT d.doc_id, d.chunk_no, h.pos FROM direct d JOIN items h ON h.doc_id = d.doc_id AND h.level IS NOT NULL AND h.pos <= d.pos
+  WHERE NOT EXISTS (SELECT 1 FROM items o WHERE o.doc_id = h.doc_id AND o.level <= h.level AND o.pos > h.pos AND o.pos <= d.pos)),
+scope AS (SELECT * FROM direct UNION SELECT * FROM above)"""
 _ASKED = ", ".join(f"('{t}', {topics.TOPICS.index(t)})" for t in ASKED)
 _RATE_SQL = """WITH r AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS key, l_linenumber AS n,
     CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(30, 12)) AS disc, CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(30, 12)) AS tax FROM lineitem),
   c AS (SELECT *, CASE WHEN n % 3 = 0 THEN tax WHEN n % 5 <> 0 THEN greatest(disc, CASE WHEN n % 2 = 0 THEN CAST(0.02 AS DECIMAL(30, 12)) END) + tax END AS computed FROM r)"""
 
-QUERIES = {f.__name__: f for f in (passage_groups, topic_map, topic_unclassified, topic_facets, topic_retrieval, empty_topics, evidence_packet, cited_items, passage_violations, topic_signals, threshold_topics, rate_totals, rate_fills, rate_violations, amount_violations, party_graph_cycles, relationship_violations, term_reference_checks, role_normalize, role_violations)}
+QUERIES = {f.__name__: f for f in (passage_groups, topic_map, topic_unclassified, topic_facets, topic_retrieval, empty_topics, evidence_packet, cited_items, passage_violations, citation_scope, citation_breaches, topic_signals, threshold_topics, rate_totals, rate_fills, rate_violations, amount_violations, party_graph_cycles, relationship_violations, term_reference_checks, role_normalize, role_violations)}
 
 ORACLES = {
     "passage_groups": f"{_GROUPS} SELECT doc_id, topic, group_id, chunk_no, array_to_string(evidence, ',') AS evidence, array_to_string(context, ',') AS context FROM groups",
@@ -215,6 +250,10 @@ ORACLES = {
             WHERE len(evidence) > 0 AND len(list_filter(evidence, lambda p: p BETWEEN c.a AND c.z)) = 0
           UNION ALL SELECT 'unknown_chunk', doc_id, chunk_no, topic FROM bad WHERE chunk_no >= 1000)
         SELECT rule, count(DISTINCT (doc_id, chunk_no, topic)) AS n FROM broken GROUP BY rule""",
+    "citation_scope": f"WITH {ITEMS}, {_SCOPE} SELECT doc_id, chunk_no, count(*) AS n, CAST(sum(pos) AS BIGINT) AS places FROM scope GROUP BY ALL",
+    "citation_breaches": f"""WITH {ITEMS}, {_PLAIN}, {_SCOPE}, bad AS (SELECT doc_id, chunk_no, topic, unnest(list_concat(evidence, CASE doc_id % 5 WHEN 1 THEN [chunk_no * 8 + 30] WHEN 2 THEN [greatest(chunk_no * 8 - 20, 0)] ELSE context END)) AS pos FROM classified)
+        SELECT DISTINCT 'out_of_scope' AS rule, doc_id, chunk_no, topic FROM bad b WHERE NOT EXISTS (SELECT 1 FROM scope s WHERE s.doc_id = b.doc_id AND s.chunk_no = b.chunk_no AND s.pos = b.pos)
+        UNION ALL SELECT 'unanswered', doc_id, chunk_no, NULL FROM ends WHERE (doc_id + chunk_no) % 7 = 0""",
     "topic_signals": "WITH " + ITEMS + ", hits AS (" + " UNION ALL ".join(f"SELECT doc_id, pos, '{t}' AS topic FROM items WHERE regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_]){p}($|[^\\p{{L}}\\p{{N}}_])')" for t, p in RULES) + "), every AS (SELECT * FROM hits UNION SELECT doc_id, pos, split_part(topic, '.', 1) FROM hits WHERE topic LIKE '%.%') SELECT i.doc_id, i.pos, e.topic FROM items i LEFT JOIN every e ON e.doc_id = i.doc_id AND e.pos = i.pos",
     "threshold_topics": f"WITH s AS (SELECT doc_id, [{', '.join(f"'{t}'" for t in topics.TOPICS)}][doc_id % 11 + 1] AS topic FROM documents WHERE n_chars % 100 >= 50) SELECT * FROM s UNION SELECT doc_id, split_part(topic, '.', 1) FROM s WHERE topic LIKE '%.%'",
     "rate_totals": f"{_RATE_SQL} SELECT key, CASE WHEN n % 3 = 0 THEN 'fixed' ELSE 'floating' END AS kind, CAST(computed * 1000000 AS BIGINT) AS millionths FROM c",
@@ -223,8 +262,10 @@ ORACLES = {
     "amount_violations": """WITH a AS (SELECT o_orderkey AS key, o_orderkey % 10 IN (0, 1) AS none, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS value FROM orders)
         SELECT 'value_missing' AS rule, key FROM a WHERE NOT none AND value IS NULL UNION ALL SELECT 'value_unexpected', key FROM a WHERE none AND value IS NOT NULL
         UNION ALL SELECT 'bad_number', key FROM a WHERE value - 1000 < 0""",
-    "party_graph_cycles": """WITH RECURSIVE e AS (SELECT DISTINCT s_suppkey AS parent, (s_suppkey * s_suppkey + 1) % 97 AS child FROM supplier WHERE s_suppkey < 97 AND s_suppkey <> (s_suppkey * s_suppkey + 1) % 97),
-        reach AS (SELECT parent AS start, child AS party FROM e UNION SELECT r.start, e.child FROM reach r JOIN e ON e.parent = r.party) SELECT start AS party FROM reach WHERE start = party""",
+    "party_graph_cycles": """WITH RECURSIVE e AS (SELECT s_suppkey // 10 AS doc_id, (s_suppkey * s_suppkey + 1) % 10 AS parent, s_suppkey % 10 AS child FROM supplier
+          UNION SELECT s_suppkey // 10, (s_suppkey // 7) % 10, s_suppkey % 10 FROM supplier WHERE s_suppkey % 3 = 0),
+        reach AS (SELECT doc_id, parent AS start, child AS party FROM e WHERE parent <> child UNION SELECT r.doc_id, r.start, e.child FROM reach r JOIN e ON e.doc_id = r.doc_id AND e.parent = r.party AND e.parent <> e.child)
+        SELECT doc_id, start AS party FROM reach WHERE start = party""",
     "relationship_violations": "WITH e AS (SELECT o_custkey % 40 AS parent, o_orderkey % 37 AS child FROM orders) SELECT DISTINCT 'self' AS rule, parent, child FROM e WHERE parent = child UNION ALL SELECT 'repeated', parent, child FROM e GROUP BY parent, child HAVING count(*) > 1",
     "term_reference_checks": """SELECT rule, count(*) AS n FROM (
           SELECT 'unknown_customer' AS rule FROM orders WHERE o_custkey + CASE WHEN o_orderkey % 100 = 0 THEN 10000000 ELSE 0 END NOT IN (SELECT c_custkey FROM customer)

@@ -83,16 +83,29 @@ def test_term_checks(spark):
     amounts = spark.createDataFrame([("a", "supported", None), ("b", "missing", 1.0), ("c", "supported", 1.0)], "key string, status string, value double")
     assert {(r["rule"], r["key"]) for r in terms.amount_violations(amounts).collect()} == {("value_missing", "a"), ("value_unexpected", "b")}
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1), (5, 5)], "parent int, child int")
-    assert {r["party"] for r in terms.cyclic_parties(edges).collect()} == {1, 2, 3}
+    two = edges.selectExpr("7 AS doc_id", "parent", "child").union(spark.createDataFrame([(8, 3, 4), (8, 1, 2), (9, 1, 2), (9, 2, 3), (9, 3, 4), (9, 4, 3), (9, 4, 6), (9, 6, 7), (9, 7, 6)], "doc_id int, parent int, child int"))
+    assert {(r["doc_id"], r["party"]) for r in terms.cyclic_parties(two).collect()} == {(7, 1), (7, 2), (7, 3), (9, 3), (9, 4), (9, 6), (9, 7)}
+    chain = spark.range(5000).selectExpr("1L AS doc_id", "id AS parent", "(id + 1) % 5000 AS child")
+    assert terms.cyclic_parties(chain).count() == 5000 and terms.cyclic_parties(chain.where("parent > 0")).isEmpty()
     assert [r["rule"] for r in terms.relationship_violations(edges).collect()] == ["self"]
     numbers = spark.createDataFrame([("a", float("nan")), ("b", float("inf")), ("c", -1.0), ("d", 0.0)], "key string, value double")
     assert {r["key"] for r in terms.number_violations(numbers).collect()} == {"a", "b", "c"}
 
 
 def test_failure_keys_are_null_safe(spark):
-    schema = "event_id long, run_id long, event string, span_id string, source string, batch_id int, attempt int, status string"
-    log = spark.createDataFrame([(1, 0, "llm_attempt", "s", None, None, 1, "completed"), (2, 0, "batch_failed", "t", None, None, 1, "completed"), (3, 0, "llm_attempt", "s", "x", None, 1, "completed")], schema)
-    assert {r["event_id"]: r["is_failed"] for r in telemetry.calls_with_failures(log).collect()} == {1: True, 3: False}
+    schema = "event_id long, run_id long, event string, span_id string, source string, batch_id int, attempt int, status string, stage string"
+    rows = [(1, 0, "llm_attempt", "s", None, None, 1, "completed", "B2"), (2, 0, "batch_failed", "t", None, None, 1, "completed", "B2"), (3, 0, "llm_attempt", "s", "x", None, 1, "completed", "B2")]
+    # a failed span counts only if it is the extraction stage's
+    rows += [(4, 0, "llm_attempt", "u", "x", None, 1, "completed", "C"), (5, 0, "stage_finished", "u", "x", None, 1, "failed", "C"), (6, 0, "llm_attempt", "v", "x", None, 1, "completed", "B2"), (7, 0, "stage_finished", "v", "x", None, 1, "failed", "B2")]
+    log = spark.createDataFrame(rows, schema)
+    assert {r["event_id"]: r["is_failed"] for r in telemetry.calls_with_failures(log).collect()} == {1: True, 3: False, 4: True, 6: False}
+
+
+def test_exchanges_interleave_by_attempt(spark):
+    rows = [(0, "request", "a"), (1, "request", "b"), (2, "response", "b"), (3, "response", "a"), (4, "error", "a"), (5, "request", None), (6, "request", None), (7, "error", None), (8, "response", None), (9, "response", None)]
+    messages = spark.createDataFrame([(1, s, r, a, 1, 1) for s, r, a in rows], "run_id int, seq int, role string, attempt_id string, batch_id int, attempt int")
+    got = {r["request_seq"]: (r["response_seq"], r["error_seq"]) for r in telemetry.model_exchanges(messages).collect()}
+    assert got == {0: (3, 4), 1: (2, None), 5: (None, None), 6: (8, 7)}
 
 
 def test_exchange_stops_at_the_next_request(spark):
