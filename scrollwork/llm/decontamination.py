@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, raw_texts, table, words_alnum
+from .common import fresh, map_lean, raw_texts, table, words_alnum
 
 #: Words of a window.
 WINDOW = 10
@@ -191,9 +191,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         rows = own.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect() if blocks > 1 else own.collect()
         step = _pass([(r["id"], r["text"]) for r in rows], window, text, n_words, spans, items)
         if then and b == blocks - 1:
-            out = out.mapInArrow(lambda batches, step=step, last=then(spans): last(step(batches)), schema)
+            out = map_lean(out, lambda batches, step=step, last=then(spans): last(step(batches)), schema)
         else:
-            out = out.mapInArrow(step, out.schema)
+            out = map_lean(out, step, out.schema)
     return out, n_words, spans, items
 
 

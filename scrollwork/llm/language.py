@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, table
+from .common import fresh, map_lean, table
 
 #: N-grams of a profile.
 PROFILE = 400
@@ -98,7 +98,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
             yield pa.RecordBatch.from_pydict({"lang": [name] * len(own), "code": list(own.keys()), "n": list(own.values())}, pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())]))
 
     own = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counts = own.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = map_lean(own, count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
     out: dict[str, list[tuple[int, int]]] = {}
@@ -145,7 +145,7 @@ def detect(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text",
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, lang, score])
 
     schema = docs.withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema
-    return docs.mapInArrow(run, schema), lang, score
+    return map_lean(docs, run, schema), lang, score
 
 
 def held_out(doc_id: Column) -> Column:

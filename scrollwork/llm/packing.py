@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import FORGET, table
 
 #: Tokens of a sequence.
 LENGTH = 2048
@@ -178,6 +178,7 @@ class _Chunks(dict):
 
 #: The encoder of each vocabulary file, kept while the worker lives.
 _ENCODERS: dict[str, Encoder] = {}
+FORGET.append(_ENCODERS.clear)
 
 
 def encoder(path: str) -> Encoder:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, table
+from .common import fresh, map_lean, table
 
 #: Session setting with the key of the queries. Whoever knows the key can reverse every pseudonym.
 KEY_SETTING = "spark.scrollwork.privacy.key"
@@ -263,7 +263,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", counts: str |
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *([counts] if counts else [])])
 
     schema = docs.withColumn(counts, F.create_map(F.lit(""), F.lit(0).cast("long"))).schema if counts else docs.schema
-    return docs.mapInArrow(run, schema)
+    return map_lean(docs, run, schema)
 
 
 def op7_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
