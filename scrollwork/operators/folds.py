@@ -35,6 +35,42 @@ def fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], s
     return rows.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
 
 
+def by_document(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[pa.Scalar, list[tuple]]]:
+    """Each doc_id with its rows, which lie together."""
+    doc, rows, kind = None, [], None
+    for batch in batches:
+        kind = batch.schema.field("doc_id").type
+        for d, *row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", *columns)), strict=True):
+            if d != doc:
+                if rows:
+                    yield pa.scalar(doc, kind), rows
+                doc, rows = d, []
+            rows.append(tuple(row))
+    if rows:
+        yield pa.scalar(doc, kind), rows
+
+
+def expanded(children: dict[str, list], root: str) -> Iterator[tuple]:
+    """item, parent, path, is_container, reading order and list of all that `root` holds, depth first. `children`: for
+    each parent its children in order, each with whether it is a list."""
+    leaves = 0
+    stack = [(root, [root], {root}, None, iter(children.get(root, ())))]
+    while stack:
+        parent, path, above, list_key, rest = stack[-1]
+        for child, is_list in rest:
+            if child in above:
+                continue
+            if child.startswith("#/groups/"):
+                inner = list_key or (child if is_list else None)
+                yield child, parent, path, True, None, inner
+                stack.append((child, [*path, child], above | {child}, inner, iter(children.get(child, ()))))
+                break
+            yield child, parent, path, False, leaves, list_key
+            leaves += 1
+        else:
+            stack.pop()
+
+
 def paged_step(target: int) -> Callable:
     """Chunk number: a unit with pages starts a chunk where its first page is another than the chunk's, or where the
     chunk would grow beyond `target`; one without pages never does."""

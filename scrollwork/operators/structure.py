@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .folds import batch_step, fold, pageless_step, paged_step
+from .folds import batch_step, by_document, expanded, fold, pageless_step, paged_step
+from .terms import cyclic_parties
+
+#: Rows of a tree that are handed on at once, and their types.
+_ROWS = 10_000
+_KINDS = {"item_id": pa.string(), "parent_id": pa.string(), "path": pa.list_(pa.string()), "is_container": pa.bool_(), "reading_order": pa.int64(), "list_key": pa.string()}
 
 
 def _by_pos() -> WindowSpec:
@@ -23,58 +32,45 @@ def item_index(items: DataFrame) -> DataFrame:
     return items.select("doc_id", "item_id", collection.alias("collection"), T.id_position(F.col("item_id")).alias("position"), F.when((collection == "texts") & F.col("label").isNotNull(), F.col("label")).otherwise(F.regexp_replace(collection, "s$", "")).alias("item_type"))
 
 
-def walk(edges: DataFrame, root: str = "#/body", depth: int = 50) -> DataFrame:
-    """Depth-first expansion from `root`: item_id, parent_id, path (containers from the root), sort_key, is_container.
+def walk(edges: DataFrame, root: str = "#/body") -> DataFrame:
+    """Depth-first expansion of each document from `root`: doc_id, item_id, parent_id, path (containers from the root),
+    is_container, reading_order (of leaves, from 0; null for containers) and list_key (the outermost list around or at it).
 
-    `edges`: parent_id, child_id, child_pos. A container is what `#/groups/` starts; other items are leaves whatever
-    they hold. An item is not entered below itself.
+    `edges`: doc_id, parent_id, child_id, child_pos and, if there are lists, is_list (the child is one). A container is
+    what `#/groups/` starts; other items are leaves whatever they hold. Equal places go by id. An item is not entered
+    below itself. Trees of any depth: a task goes through its documents one by one and holds one document's edges.
     """
-    spark = edges.sparkSession
-    view = f"edges_{id(edges)}"
-    edges.select("parent_id", "child_id", F.col("child_pos").cast("long").alias("child_pos")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE tree (item_id, parent_id, path, sort_key, is_container) MAX RECURSION LEVEL {depth} AS (
-          SELECT child_id, parent_id, array(parent_id), array(child_pos), child_id LIKE '#/groups/%'
-          FROM {view} WHERE parent_id = '{root}'
-          UNION ALL
-          SELECT e.child_id, e.parent_id, array_append(t.path, e.parent_id), array_append(t.sort_key, e.child_pos), e.child_id LIKE '#/groups/%'
-          FROM tree t JOIN {view} e ON e.parent_id = t.item_id
-          WHERE t.is_container AND NOT array_contains(t.path, e.child_id)
-        )
-        SELECT * FROM tree""")
+    listed = F.coalesce("is_list", F.lit(False)) if "is_list" in edges.columns else F.lit(False)
+    own = edges.select("doc_id", "parent_id", F.col("child_pos").cast("long").alias("child_pos"), "child_id", listed.alias("is_list"))
+    schema = f"doc_id {edges.schema['doc_id'].dataType.simpleString()}, item_id string, parent_id string, path array<string>, is_container boolean, reading_order long, list_key string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, rows in by_document(batches, ["parent_id", "child_id", "is_list"]):
+            children: dict[str, list] = {}
+            for parent, child, is_list in rows:
+                children.setdefault(parent, []).append((child, is_list))
+            found = expanded(children, root)
+            while part := list(islice(found, _ROWS)):
+                columns = dict(zip(("item_id", "parent_id", "path", "is_container", "reading_order", "list_key"), map(list, zip(*part, strict=True)), strict=True))
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc.as_py()] * len(part), doc.type), **{n: pa.array(c, _KINDS[n]) for n, c in columns.items()}})
+
+    return own.repartition("doc_id").sortWithinPartitions("doc_id", "parent_id", "child_pos", "child_id").mapInArrow(run, schema)
 
 
 def reading_order(tree: DataFrame) -> DataFrame:
-    """Leaves numbered in depth-first order. The number is global to one tree, so the order is found by a range sort:
-    leaves are counted per sorted partition and only the partition counts are added up in one place."""
-    leaves = tree.where("NOT is_container").select("item_id", "parent_id", "path", "sort_key")
-    # the first two steps of the walk cut the tree into branches; within a branch a window numbers the leaves
-    branch = F.slice("sort_key", 1, 2)
-    leaves = leaves.withColumn("branch", branch)
-    sizes = leaves.groupBy("branch").agg(F.count("*").alias("size"))
-    before = F.coalesce(F.sum("size").over(Window.orderBy("branch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("branch", before.alias("before"))
-    within = F.row_number().over(Window.partitionBy("branch").orderBy("sort_key", "item_id")) - 1
-    return leaves.join(starts, "branch").select("item_id", "parent_id", "path", (F.col("before") + within).cast("long").alias("reading_order"))
-
-
-def tree_violations(edges: DataFrame, nodes: DataFrame, depth: int = 50) -> DataFrame:
-    """rule, item_id: references to nothing (`unresolved`), groups that contain themselves (`cycle`), items that two
-    containers hold (`repeated`)."""
-    spark = edges.sparkSession
-    view = f"group_edges_{id(edges)}"
-    groups = edges.where("parent_id LIKE '#/groups/%' AND child_id LIKE '#/groups/%'").select("parent_id", "child_id")
-    groups.createOrReplaceTempView(view)
-    cycles = spark.sql(f"""
-        WITH RECURSIVE reach (start, item_id, path) MAX RECURSION LEVEL {depth} AS (
-          SELECT parent_id, child_id, array(parent_id) FROM {view}
-          UNION ALL
-          SELECT r.start, e.child_id, array_append(r.path, r.item_id) FROM reach r JOIN {view} e ON e.parent_id = r.item_id
-          WHERE NOT array_contains(r.path, r.item_id)
-        )
-        SELECT DISTINCT 'cycle' AS rule, start AS item_id FROM reach WHERE start = item_id""")
-    unresolved = edges.join(nodes.select(F.col("item_id").alias("child_id")), "child_id", "left_anti").select(F.lit("unresolved").alias("rule"), F.col("child_id").alias("item_id")).distinct()
-    repeated = edges.groupBy("child_id").agg(F.countDistinct("parent_id").alias("n")).where("n > 1").select(F.lit("repeated").alias("rule"), F.col("child_id").alias("item_id"))
+    """Leaves of each document, numbered in depth-first order."""
+    return tree.where("NOT is_container").select("doc_id", "item_id", "parent_id", "path", "reading_order")
+
+
+def tree_violations(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """rule, doc_id, item_id: references to nothing (`unresolved`), groups that contain themselves (`cycle`), items that
+    two containers hold (`repeated`). `nodes`: doc_id, item_id."""
+    rule = lambda frame, name, item: frame.select(F.lit(name).alias("rule"), "doc_id", F.col(item).alias("item_id"))
+    groups = edges.where("parent_id LIKE '#/groups/%' AND child_id LIKE '#/groups/%'").select("doc_id", F.col("parent_id").alias("parent"), F.col("child_id").alias("child"))
+    own = groups.where("parent = child").select("doc_id", F.col("parent").alias("party"))
+    cycles = rule(cyclic_parties(groups).unionByName(own).distinct(), "cycle", "party")
+    unresolved = rule(edges.join(nodes.select("doc_id", F.col("item_id").alias("child_id")), ["doc_id", "child_id"], "left_anti"), "unresolved", "child_id").distinct()
+    repeated = rule(edges.groupBy("doc_id", "child_id").agg(F.countDistinct("parent_id").alias("n")).where("n > 1"), "repeated", "child_id")
     return unresolved.unionByName(cycles).unionByName(repeated)
 
 

@@ -17,46 +17,55 @@ def item_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tree_edges(spark: SparkSession, d: str) -> DataFrame:
-    """body -> regions -> nations -> customers and suppliers."""
+    """A document for each region: body -> region -> nations -> customers and suppliers. Some regions and nations are lists."""
     name = lambda kind, key: F.concat(F.lit(kind), F.col(key).cast("string"))
-    r = table(spark, d, "region").select(F.lit("#/body").alias("parent_id"), name("#/groups/r", "r_regionkey").alias("child_id"), F.col("r_regionkey").cast("long").alias("child_pos"))
-    n = table(spark, d, "nation").select(name("#/groups/r", "n_regionkey"), name("#/groups/n", "n_nationkey"), F.col("n_nationkey").cast("long"))
-    c = table(spark, d, "customer").select(name("#/groups/n", "c_nationkey"), name("#/texts/c", "c_custkey"), F.col("c_custkey").cast("long") * 2)
-    s = table(spark, d, "supplier").select(name("#/groups/n", "s_nationkey"), name("#/texts/s", "s_suppkey"), F.col("s_suppkey").cast("long") * 2 + 1)
+    nation = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    edge = lambda doc, parent, child, pos, is_list: [F.col(doc).alias("doc_id"), parent.alias("parent_id"), child.alias("child_id"), pos.cast("long").alias("child_pos"), is_list.alias("is_list")]
+    r = table(spark, d, "region").select(*edge("r_regionkey", F.lit("#/body"), name("#/groups/r", "r_regionkey"), F.col("r_regionkey"), F.col("r_regionkey") % 2 == 1))
+    n = nation.select(*edge("n_regionkey", name("#/groups/r", "n_regionkey"), name("#/groups/n", "n_nationkey"), F.col("n_nationkey"), F.col("n_nationkey") % 3 == 0))
+    c = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    s = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    c = c.select(*edge("n_regionkey", name("#/groups/n", "c_nationkey"), name("#/texts/c", "c_custkey"), F.col("c_custkey").cast("long") * 2, F.lit(False)))
+    s = s.select(*edge("n_regionkey", name("#/groups/n", "s_nationkey"), name("#/texts/s", "s_suppkey"), F.col("s_suppkey").cast("long") * 2 + 1, F.lit(False)))
     return r.union(n).union(c).union(s)
 
 
 EDGES = """
 edges AS (
-  SELECT '#/body' AS parent_id, '#/groups/r' || r_regionkey AS child_id, CAST(r_regionkey AS BIGINT) AS child_pos FROM region
-  UNION ALL SELECT '#/groups/r' || n_regionkey, '#/groups/n' || n_nationkey, n_nationkey FROM nation
-  UNION ALL SELECT '#/groups/n' || c_nationkey, '#/texts/c' || c_custkey, c_custkey * 2 FROM customer
-  UNION ALL SELECT '#/groups/n' || s_nationkey, '#/texts/s' || s_suppkey, s_suppkey * 2 + 1 FROM supplier
+  SELECT r_regionkey AS doc_id, '#/body' AS parent_id, '#/groups/r' || r_regionkey AS child_id, CAST(r_regionkey AS BIGINT) AS child_pos, r_regionkey % 2 = 1 AS is_list FROM region
+  UNION ALL SELECT n_regionkey, '#/groups/r' || n_regionkey, '#/groups/n' || n_nationkey, n_nationkey, n_nationkey % 3 = 0 FROM nation
+  UNION ALL SELECT n_regionkey, '#/groups/n' || c_nationkey, '#/texts/c' || c_custkey, c_custkey * 2, false FROM customer JOIN nation ON n_nationkey = c_nationkey
+  UNION ALL SELECT n_regionkey, '#/groups/n' || s_nationkey, '#/texts/s' || s_suppkey, s_suppkey * 2 + 1, false FROM supplier JOIN nation ON n_nationkey = s_nationkey
 )"""
 TREE = """
 tree AS (
-  SELECT child_id AS item_id, parent_id, [parent_id] AS path, [child_pos] AS sort_key FROM edges WHERE parent_id = '#/body'
+  SELECT doc_id, child_id AS item_id, parent_id, [parent_id] AS path, [child_pos] AS sort_key, CASE WHEN is_list THEN child_id END AS list_key FROM edges WHERE parent_id = '#/body'
   UNION ALL
-  SELECT e.child_id, e.parent_id, list_append(t.path, e.parent_id), list_append(t.sort_key, e.child_pos)
-  FROM tree t JOIN edges e ON e.parent_id = t.item_id WHERE t.item_id LIKE '#/groups/%'
+  SELECT e.doc_id, e.child_id, e.parent_id, list_append(t.path, e.parent_id), list_append(t.sort_key, e.child_pos), coalesce(t.list_key, CASE WHEN e.is_list THEN e.child_id END)
+  FROM tree t JOIN edges e ON e.doc_id = t.doc_id AND e.parent_id = t.item_id WHERE t.item_id LIKE '#/groups/%'
 )"""
 
 
 def tree_walk(spark: SparkSession, d: str) -> DataFrame:
-    return S.walk(tree_edges(spark, d)).select("item_id", "parent_id", F.array_join("path", ">").alias("path"), F.size("path").alias("depth"))
+    return S.walk(tree_edges(spark, d)).select("doc_id", "item_id", "parent_id", F.array_join("path", ">").alias("path"), F.size("path").alias("depth"), "list_key")
 
 
 def tree_reading_order(spark: SparkSession, d: str) -> DataFrame:
-    return S.reading_order(S.walk(tree_edges(spark, d))).select("item_id", "reading_order")
+    return S.reading_order(S.walk(tree_edges(spark, d))).select("doc_id", "item_id", "reading_order")
 
 
 def _bad_edges(spark: SparkSession, d: str) -> DataFrame:
-    bad = [("#/groups/n1", "#/groups/r1", 900), ("#/groups/n2", "#/texts/none", 901), ("#/groups/n3", "#/texts/c1", 902)]
-    return tree_edges(spark, d).union(spark.createDataFrame(bad, "parent_id string, child_id string, child_pos long"))
+    """With some nations that hold their region or what is not there, and some customers whom their region holds too."""
+    edges = tree_edges(spark, d)
+    key = F.regexp_extract("child_id", r"\d+$", 0).cast("long")
+    region = F.concat(F.lit("#/groups/r"), F.col("doc_id").cast("string"))
+    bad = lambda kind, part, left, parent, child: edges.where(F.col("child_id").startswith(kind) & (key % part == left)).select("doc_id", parent.alias("parent_id"), child.alias("child_id"), "child_pos", "is_list")
+    nation = F.col("child_id")
+    return edges.union(bad("#/groups/n", 7, 1, nation, region)).union(bad("#/groups/n", 5, 2, nation, F.lit("#/texts/none"))).union(bad("#/texts/c", 50, 0, region, nation))
 
 
 def tree_violations(spark: SparkSession, d: str) -> DataFrame:
-    nodes = tree_edges(spark, d).select(F.col("child_id").alias("item_id"))
+    nodes = tree_edges(spark, d).select("doc_id", F.col("child_id").alias("item_id"))
     return S.tree_violations(_bad_edges(spark, d), nodes)
 
 
@@ -200,14 +209,17 @@ QUERIES = {f.__name__: f for f in (item_index, tree_walk, tree_reading_order, tr
 
 ORACLES = {
     "item_index": f"WITH {ITEMS} SELECT doc_id, item_id, 'texts' AS collection, pos AS position, label AS item_type FROM items",
-    "tree_walk": f"WITH RECURSIVE {EDGES}, {TREE} SELECT item_id, parent_id, array_to_string(path, '>') AS path, len(path) AS depth FROM tree",
-    "tree_reading_order": f"WITH RECURSIVE {EDGES}, {TREE} SELECT item_id, row_number() OVER (ORDER BY sort_key, item_id) - 1 AS reading_order FROM tree WHERE item_id NOT LIKE '#/groups/%'",
-    "tree_violations": f"""WITH RECURSIVE {EDGES}, bad AS (SELECT * FROM edges UNION ALL VALUES ('#/groups/n1', '#/groups/r1', 900), ('#/groups/n2', '#/texts/none', 901), ('#/groups/n3', '#/texts/c1', 902)),
-        g AS (SELECT parent_id, child_id FROM bad WHERE parent_id LIKE '#/groups/%' AND child_id LIKE '#/groups/%'),
-        reach AS (SELECT parent_id AS start, child_id AS item_id FROM g UNION SELECT r.start, g.child_id FROM reach r JOIN g ON g.parent_id = r.item_id)
-        SELECT DISTINCT 'unresolved' AS rule, child_id AS item_id FROM bad WHERE child_id NOT IN (SELECT child_id FROM edges)
-        UNION ALL SELECT DISTINCT 'cycle', start FROM reach WHERE start = item_id
-        UNION ALL SELECT 'repeated', child_id FROM bad GROUP BY child_id HAVING count(DISTINCT parent_id) > 1""",
+    "tree_walk": f"WITH RECURSIVE {EDGES}, {TREE} SELECT doc_id, item_id, parent_id, array_to_string(path, '>') AS path, len(path) AS depth, list_key FROM tree",
+    "tree_reading_order": f"WITH RECURSIVE {EDGES}, {TREE} SELECT doc_id, item_id, row_number() OVER (PARTITION BY doc_id ORDER BY sort_key, item_id) - 1 AS reading_order FROM tree WHERE item_id NOT LIKE '#/groups/%'",
+    "tree_violations": f"""WITH RECURSIVE {EDGES}, bad AS (SELECT doc_id, parent_id, child_id FROM edges
+          UNION ALL SELECT n_regionkey, '#/groups/n' || n_nationkey, '#/groups/r' || n_regionkey FROM nation WHERE n_nationkey % 7 = 1
+          UNION ALL SELECT n_regionkey, '#/groups/n' || n_nationkey, '#/texts/none' FROM nation WHERE n_nationkey % 5 = 2
+          UNION ALL SELECT n_regionkey, '#/groups/r' || n_regionkey, '#/texts/c' || c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 50 = 0),
+        g AS (SELECT doc_id, parent_id, child_id FROM bad WHERE parent_id LIKE '#/groups/%' AND child_id LIKE '#/groups/%'),
+        reach AS (SELECT doc_id, parent_id AS start, child_id AS item_id FROM g UNION SELECT r.doc_id, r.start, g.child_id FROM reach r JOIN g ON g.doc_id = r.doc_id AND g.parent_id = r.item_id)
+        SELECT DISTINCT 'unresolved' AS rule, doc_id, child_id AS item_id FROM bad b WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.doc_id = b.doc_id AND e.child_id = b.child_id)
+        UNION ALL SELECT DISTINCT 'cycle', doc_id, start FROM reach WHERE start = item_id
+        UNION ALL SELECT 'repeated', doc_id, child_id FROM bad GROUP BY doc_id, child_id HAVING count(DISTINCT parent_id) > 1""",
     "heading_paths": f"""WITH {ITEMS}, heads AS (SELECT doc_id, pos, level FROM items WHERE level IS NOT NULL),
         above AS (SELECT i.doc_id, i.pos, h.pos AS head FROM items i JOIN heads h ON h.doc_id = i.doc_id AND h.pos <= i.pos
           WHERE NOT EXISTS (SELECT 1 FROM heads l WHERE l.doc_id = i.doc_id AND l.pos > h.pos AND l.pos <= i.pos AND l.level <= h.level))

@@ -75,14 +75,31 @@ def test_stage_status_machine():
     assert run(status_step, [("cache_hit", "a", False), ("stage_skipped", "a", False)]) == [5, 4]
 
 
+EDGE = "doc_id int, parent_id string, child_id string, child_pos int"
+
+
 def test_walk_orders_and_violations(spark):
-    edges = spark.createDataFrame([("#/body", "#/texts/0", 0), ("#/body", "#/groups/0", 1), ("#/groups/0", "#/texts/1", 1), ("#/groups/0", "#/texts/2", 0), ("#/body", "#/texts/3", 2), ("#/texts/3", "#/texts/4", 0)], "parent_id string, child_id string, child_pos int")
-    order = S.reading_order(S.walk(edges)).orderBy("reading_order").collect()
-    assert [r["item_id"] for r in order] == ["#/texts/0", "#/texts/2", "#/texts/1", "#/texts/3"]  # children of texts are not walked
-    looped = edges.union(spark.createDataFrame([("#/groups/0", "#/groups/1", 5), ("#/groups/1", "#/groups/0", 0), ("#/body", "#/texts/9", 9)], edges.schema))
-    nodes = edges.select(edges["child_id"].alias("item_id")).union(spark.createDataFrame([("#/groups/1",)], "item_id string"))
-    got = {(r["rule"], r["item_id"]) for r in S.tree_violations(looped, nodes).collect()}
-    assert got == {("unresolved", "#/texts/9"), ("cycle", "#/groups/0"), ("cycle", "#/groups/1"), ("repeated", "#/groups/0")}
+    own = [(1, "#/body", "#/texts/0", 0), (1, "#/body", "#/groups/0", 1), (1, "#/groups/0", "#/texts/1", 1), (1, "#/groups/0", "#/texts/2", 0), (1, "#/body", "#/texts/3", 2), (1, "#/texts/3", "#/texts/4", 0)]
+    other = [(2, "#/body", "#/texts/1", 0), (2, "#/body", "#/texts/0", 1)]
+    edges = spark.createDataFrame(own + other, EDGE)
+    order = S.reading_order(S.walk(edges)).orderBy("doc_id", "reading_order").collect()
+    # children of texts are not walked, and documents do not mix
+    assert [(r["doc_id"], r["item_id"], r["reading_order"]) for r in order] == [(1, "#/texts/0", 0), (1, "#/texts/2", 1), (1, "#/texts/1", 2), (1, "#/texts/3", 3), (2, "#/texts/1", 0), (2, "#/texts/0", 1)]
+    looped = edges.union(spark.createDataFrame([(1, "#/groups/0", "#/groups/1", 5), (1, "#/groups/1", "#/groups/0", 0), (1, "#/body", "#/texts/9", 9), (2, "#/body", "#/texts/4", 2), (2, "#/groups/7", "#/groups/7", 0)], EDGE))
+    nodes = edges.selectExpr("doc_id", "child_id AS item_id").union(spark.createDataFrame([(1, "#/groups/1"), (2, "#/groups/7")], "doc_id int, item_id string"))
+    got = {(r["rule"], r["doc_id"], r["item_id"]) for r in S.tree_violations(looped, nodes).collect()}
+    assert got == {("unresolved", 1, "#/texts/9"), ("unresolved", 2, "#/texts/4"), ("cycle", 1, "#/groups/0"), ("cycle", 1, "#/groups/1"), ("cycle", 2, "#/groups/7"), ("repeated", 1, "#/groups/0")}
+    assert S.walk(looped).where("doc_id = 1").count() == 7  # a group is not entered below itself
+
+
+def test_walk_of_deep_trees_and_nested_lists(spark):
+    deep = [(1, f"#/groups/{k - 1}" if k else "#/body", f"#/groups/{k}", 0) for k in range(300)] + [(1, "#/groups/299", "#/texts/0", 0)]
+    last = S.walk(spark.createDataFrame(deep, EDGE)).where("NOT is_container").first()
+    assert len(last["path"]) == 301 and last["reading_order"] == 0 and last["list_key"] is None
+    lists = [(1, "#/body", "#/groups/0", 0, None), (1, "#/groups/0", "#/groups/1", 0, True), (1, "#/groups/1", "#/groups/2", 0, True), (1, "#/groups/2", "#/texts/0", 0, False), (1, "#/groups/1", "#/texts/1", 1, False), (1, "#/groups/0", "#/texts/2", 1, False)]
+    got = {r["item_id"]: r["list_key"] for r in S.walk(spark.createDataFrame(lists, EDGE + ", is_list boolean")).collect()}
+    assert got == {"#/groups/0": None, "#/groups/1": "#/groups/1", "#/groups/2": "#/groups/1", "#/texts/0": "#/groups/1", "#/texts/1": "#/groups/1", "#/texts/2": None}
+    assert S.walk(spark.createDataFrame([], EDGE)).count() == 0
 
 
 @pytest.mark.parametrize("wrong", [{"target": 0}, {"target": True}, {"batch_chunks": 6}, {"batch_chunks": 0}, {"neighbours": -1}, {"timeout_seconds": float("inf")}, {"timeout_seconds": True}, {"output_tokens": 0}])
