@@ -100,5 +100,5 @@ def write_once(rows: DataFrame, root: str, sha: str, profile: str) -> str:
     folder = f"{root}/source_sha256={sha}/profile={profile}"
     rows.write.mode("overwrite").parquet(folder)
     spark = rows.sparkSession
-    spark.createDataFrame([(sha, profile, "completed")], "sha string, profile string, status string").coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
+    spark.createDataFrame([("completed",)], "status string").coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest/sha={sha}/profile={profile}")
     return folder

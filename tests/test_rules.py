@@ -150,6 +150,7 @@ def test_manifest_written_last_and_read_back(spark, tmp_path):
     files.write_once(rows, str(tmp_path), "abc", "plain")
     assert spark.read.parquet(folder).count() == 3
     manifest = spark.read.parquet(f"{tmp_path}/_manifest").select(F.col("sha"), "profile", "status")
+    assert [tuple(r) for r in manifest.collect()] == [("abc", "plain", "completed")]  # a second write leaves one row
     assert audit.not_completed(spark.createDataFrame([("abc",), ("new",)], "sha string"), manifest, "plain").collect()[0]["sha"] == "new"
     (tmp_path / "m.tsv").write_text("a\tb\n1\tx\n")
     assert files.read_manifest(spark, str(tmp_path / "m.tsv")).first().asDict() == {"a": "1", "b": "x"}
