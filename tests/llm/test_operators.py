@@ -1,6 +1,10 @@
 """Operators against brute force, round trips and held-out accuracy."""
 
 import random
+import re
+import unicodedata
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -426,3 +430,71 @@ def test_words_of_texts_are_those_of_the_other_operators():
     want = words_alnum(text)
     assert per_text.tolist() == [0, len(want)] and len(set(words.tolist())) == len(set(want))
     assert [shapes[want.index(w)] for w in (b"12", b"a1", "日本語".encode(), b"x", b"short", b"verylongword")] == [0, 1, 2, 3, 4, 5]
+
+
+def plain_language(rows):
+    """doc_id -> (lang, score) from (doc_id, text, lang), by counting n-grams as strings."""
+
+    def grams(text):
+        letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower())
+        line = f" {' '.join(letters.split())} " if letters.strip() else ""
+        return Counter(line[k : k + n] for n in (1, 2, 3) for k in range(len(line) - n + 1) if line[k : k + n] != " ")
+
+    def top(counts, size):
+        return sorted(counts, key=lambda g: (-counts[g], len(g), g))[:size]
+
+    seen = {}
+    for doc_id, text, lang in rows:
+        if text is not None and lang is not None and zlib.crc32(str(doc_id).encode()) % 3 != 1:
+            seen.setdefault(lang, Counter()).update(grams(text))
+    ranks = {lang: {g: k for k, g in enumerate(top(counts, language.PROFILE))} for lang, counts in seen.items()}
+    out = {}
+    for doc_id, text, _ in rows:
+        own = top(grams(text), language.DOCUMENT_PROFILE)
+        distances = sorted((sum(min(abs(r[g] - k), language.PROFILE) if g in r else language.PROFILE for k, g in enumerate(own)), lang) for lang, r in ranks.items())
+        out[doc_id] = (distances[0][1], 1 - distances[0][0] / (language.PROFILE * len(own))) if own else ("und", 0.0)
+    return out
+
+
+def test_language_against_brute_force(spark, small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.op2_language(spark, small).collect()}
+    want = plain_language(rows)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == lang and got[k][1] == pytest.approx(score) for k, (lang, score) in want.items())
+
+
+def plain_licences(texts):
+    """labels and score of each text, by trying every place that the rarest words vote for."""
+    files = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) for t in texts]
+    held = Counter(w for f in files for w in set(f))
+    out = []
+    for text, words in zip(texts, files, strict=True):
+        _, n_base, _, _, base = licenses.brute_force(text)
+        labels, scores = set(base.split(",")) - {""}, []
+        for t in licenses.TEMPLATES:
+            own, key = t.words, t.key.split()
+            rarest = [w for w in sorted(set(own), key=lambda w: (held[w], w)) if w in words][: licenses.RARE_WORDS]
+            votes = Counter(i - k for i, w in enumerate(words) if w in rarest for k, v in enumerate(own) if v == w)
+            places = [o for o, n in votes.items() if n >= min(licenses.VOTES, len(rarest)) and o + t.key_at >= 0 and words[o + t.key_at : o + t.key_at + len(key)] == key]
+            shares = [sum(0 <= o + k < len(words) and words[o + k] == w for k, w in enumerate(own)) / len(own) for o in places]
+            if shares and max(shares) >= licenses.MIN_SCORE:
+                labels.add(t.label)
+                scores.append(max(shares))
+        out.append((",".join(sorted(labels)), max(scores) if scores else 0.5 if n_base else 0.0))
+    return out
+
+
+def test_licence_labels_against_brute_force(spark, write):
+    rng = random.Random(4)
+    pool = licenses.licence_words()
+    texts = [None, "", "--"]
+    for t in licenses.TEMPLATES * 6:
+        words = t.words if rng.random() < 0.7 else t.words[rng.randrange(3) :]
+        words = [rng.choice(pool) if rng.random() < 0.12 else w for w in words]
+        texts.append(" ".join([*rng.choices(pool, k=rng.randrange(8)), *words, *rng.choices(pool, k=rng.randrange(8)), *rng.choices([t.key, "by mit license"], k=rng.randrange(3))]))
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.op6_licenses(spark, write(list(enumerate(texts)))).collect()}
+    want = plain_licences(texts)
+    assert len({labels for labels, _ in want}) > 8
+    assert [got[k][0] for k in range(len(texts))] == [w[0] for w in want]
+    assert [got[k][1] for k in range(len(texts))] == pytest.approx([w[1] for w in want])
