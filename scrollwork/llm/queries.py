@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op11_alignment
 from .bytes_dedup import op3_bytes
 from .decontamination import op1_decontamination
 from .language import op2_language
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_scoring": op10_scoring,
+    "op11_alignment": op11_alignment,
 }
 
 ORACLES = {"op1_decontamination": OP1, "op4_substrings": OP4, "op8_quality": OP8}
