@@ -13,7 +13,9 @@ from .packing import op9_packing
 from .privacy import op7_privacy
 from .quality import op8_quality
 from .scoring import op10_scoring
+from .sketches import op12_fingerprints
 from .substrings import op4_substrings
+from .whitening import op13_whitening
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_scoring": op10_scoring,
     "op11_alignment": op11_alignment,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {"op1_decontamination": OP1, "op4_substrings": OP4, "op8_quality": OP8}
