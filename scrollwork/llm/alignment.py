@@ -392,16 +392,11 @@ def brute_force(texts: list[str | None], paths: tuple[str, str] | None = None) -
         own_b = [(k, bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k) else b.id_to_piece(k).replace("▁", " ").encode()) for k in (b.encode(text) if text else [])]
         if b"".join(t for _, t in own_a) != whole or b"".join(t for _, t in own_b) != whole:
             own_a = own_b = []
-        placed = []
-        for own in (own_a, own_b):
-            at, out = 0, []
-            for k, t in own:
-                out.append((k, at, at + len(t)))
-                at += len(t)
-            placed.append(out)
-        links = [(x[0], y[0]) for x in placed[0] for y in placed[1] if x[1] < y[2] and y[1] < x[2]]
-        cuts = sorted({x[2] for x in placed[0]} & {y[2] for y in placed[1]})
-        groups = ["|".join(",".join(str(x[0]) for x in side if low < x[2] <= high) for side in placed) for low, high in zip([0, *cuts], cuts, strict=False)]
+        # which token of each covers each byte, and where both end
+        over = [[k for k, (_, t) in enumerate(own) for _ in t] for own in (own_a, own_b)]
+        links = [(own_a[x][0], own_b[y][0]) for x, y in sorted(set(zip(*over, strict=True)))]
+        cuts = [0, *(k + 1 for k in range(len(over[0])) if all(k + 1 == len(o) or o[k] != o[k + 1] for o in over))]
+        groups = ["|".join(",".join(str(own[k][0]) for k in range(o[low], o[high - 1] + 1)) for own, o in zip((own_a, own_b), over, strict=True)) for low, high in zip(cuts, cuts[1:], strict=False)]
         found.append((len(own_a), len(own_b), groups, links))
     counts = Counter(link for f in found for link in f[3])
     best: dict[int, int] = {}

@@ -37,8 +37,10 @@ SCALE, SHIFT = 64, 1_000_000
 def integers(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """vec_id and x, the entries as 64-bit integers, of the vectors that can be used."""
     entries = F.col(embedding).cast("array<double>")
-    usable = F.forall(entries, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    whole = F.transform(entries, lambda c: F.when(F.abs(c) < 2.0**56 / SCALE, F.floor(c * SCALE) + SHIFT).otherwise(F.raise_error(F.lit("an entry is too large")).cast("long")))
+    finite = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    usable = F.forall(entries, finite)
+    # Spark may work this out before it drops a vector, so only what is kept may be an error
+    whole = F.transform(entries, lambda c: F.when(F.abs(c) < 2.0**56 / SCALE, F.floor(c * SCALE) + SHIFT).when(finite(c), F.raise_error(F.lit("an entry is too large")).cast("long")))
     return vectors.where(F.col(embedding).isNotNull() & (F.size(embedding) > 0) & usable).select(F.col(vec_id).alias("vec_id"), whole.alias("x"))
 
 
@@ -152,4 +154,6 @@ def brute_force(vectors: list[list[float]], components: int = COMPONENTS) -> tup
     centred = np.array(apart, np.longdouble) / n
     values, vectors = np.linalg.eigh((centred.T @ centred / n).astype(np.float64))
     order = np.argsort(-values)[:components]
-    return deviations, centred.astype(np.float64) @ vectors[:, order] / np.sqrt(values[order]), values[order] / (sum(deviations) / n**3)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        whitened = centred.astype(np.float64) @ vectors[:, order] / np.sqrt(values[order])
+    return deviations, whitened, values[order] / (sum(deviations) / n**3)

@@ -8,9 +8,9 @@ DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.str
 
 @pytest.fixture(scope="session")
 def write(tmp_path_factory):
-    """Writes documents (id, text, or with lang) and benchmark items as tables and returns the folder."""
+    """Writes documents (id, text, or with lang), benchmark items and embeddings as tables and returns the folder."""
 
-    def put(documents, benchmark=(), extra=None):
+    def put(documents, benchmark=(), extra=None, embeddings=()):
         folder = tmp_path_factory.mktemp("tables")
         rows = [(d[0], d[1], d[2] if len(d) > 2 else "en", "src", None if d[1] is None else len(d[1])) for d in documents]
         table = pa.Table.from_pylist([dict(zip(DOCS.names, r, strict=True)) for r in rows], DOCS)
@@ -19,6 +19,8 @@ def write(tmp_path_factory):
         pq.write_table(table, folder / "documents.parquet")
         items = pa.Table.from_pylist([{"item_id": i, "text": t} for i, t in benchmark], pa.schema([("item_id", pa.int64()), ("text", pa.string())]))
         pq.write_table(items, folder / "benchmark.parquet")
+        vectors = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])
+        pq.write_table(pa.Table.from_pylist([{"vec_id": i, "embedding": v, "label": 0} for i, v in embeddings], vectors), folder / "embeddings.parquet")
         return str(folder)
 
     return put
