@@ -73,16 +73,34 @@ def id_collection(item_id: Column) -> Column:
     return F.element_at(F.split(item_id, "/"), 2)
 
 
+def json_string(text: Column) -> Column:
+    """A string as JSON in ASCII: what is not visible ASCII is a short escape or \\u and four digits, two of these beyond
+    the first 65,536 characters."""
+    unit = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
+
+    def escaped(c: Column) -> Column:
+        code = F.ascii(c)
+        short = F.element_at(F.create_map(*map(F.lit, [x for pair in _ESCAPES.items() for x in pair])), c)
+        pair = F.concat(unit(F.lit(0xD800) + F.shiftright(code - 0x10000, 10)), unit(F.lit(0xDC00) + (code - 0x10000) % 1024))
+        return F.coalesce(short, F.when(code.between(0x20, 0x7E), c).when(code < 0x10000, unit(code)).otherwise(pair))
+
+    plain = text.rlike(r'^[ !#-\[\]-~]*$')
+    return F.when(text.isNotNull(), F.concat(F.lit('"'), F.when(plain, text).otherwise(F.array_join(F.transform(F.split(text, ""), escaped), "")), F.lit('"')))
+
+
+#: Characters with an escape of their own in JSON.
+_ESCAPES = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
 def json_list(values: Column) -> Column:
-    """An array of plain strings as JSON with ', ' between."""
-    return F.concat(F.lit('["'), F.array_join(values, '", "'), F.lit('"]'))
+    """An array of strings as JSON with ', ' between."""
+    return F.concat(F.lit("["), F.array_join(F.transform(values, json_string), ", "), F.lit("]"))
 
 
 def group_id(source: Column, taxonomy: Column, topic: Column, evidence: Column, context: Column) -> Column:
     """Identity of a passage group: the SHA-256 of what it is made of, as a JSON list."""
-    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    lists = [F.when(F.size(x) == 0, F.lit("[]")).otherwise(json_list(x)) for x in (evidence, context)]
-    return F.concat(F.lit("passage-"), F.sha2(F.concat(F.lit("["), F.concat_ws(", ", quoted(source), quoted(taxonomy), quoted(topic), *lists), F.lit("]")).cast("binary"), 256))
+    whole = F.concat(F.lit("["), F.concat_ws(", ", *map(json_string, (source, taxonomy, topic)), *map(json_list, (evidence, context))), F.lit("]"))
+    return F.concat(F.lit("passage-"), F.sha2(whole.cast("binary"), 256))
 
 
 def html_safe_json(c: Column) -> Column:

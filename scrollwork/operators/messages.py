@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-import re
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from ..functions.text import normal_key
 from .audit import SECRET_KEYS
 
 #: Reasoning efforts, those that one style knows, and the tokens that its high one may think with.
@@ -21,27 +17,94 @@ MESSAGE_EFFORTS, THINKING_TOKENS, LONG_OUTPUT, SHORT_OUTPUT = ("none", "high"),
 THOUGHT_BLOCKS = ("thinking", "redacted_thinking", "reasoning")
 THOUGHT_FIELDS = ("reasoning_content", "reasoning_details", "thinking", "signature", "encrypted_content", "redacted_data")
 
-_PART = "array<struct<type: string, text: string>>"
-_RAW = f"""status string, output array<struct<type: string, content: {_PART}>>,
-    choices array<struct<finish_reason: string, message: struct<content: string>>>, stop_reason string, content {_PART}"""
+#: The API styles.
+STYLES = ("responses", "chat_completions", "messages")
+#: Levels below the outermost that the views go down unless told otherwise; planning takes longer the more there are.
+DEPTH = 8
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _kind(value: Column) -> Column:
+    """OBJECT, ARRAY, STRING, BOOLEAN, VOID or a kind of number; null where there is no value."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def _at(value: Column, name: str) -> Column:
+    return F.try_variant_get(value, f"$.{name}", "variant")
+
+
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _each(value: Column) -> Column:
+    """Elements of an array. A field that is not there, and a string or object without content, have none; null for all else."""
+    none = F.from_json(F.lit("[]"), "array<variant>")
+    empty = (_kind(value) == "STRING") & (_text(value) == "") | (_kind(value) == "OBJECT") & (F.to_json(value) == "{}")
+    return F.when(value.isNull(), none).when(_kind(value) == "ARRAY", F.try_variant_get(value, "$", "array<variant>")).when(empty, none)
+
+
+def _joined(parts: Column, kind: str) -> Column:
+    """The texts of the parts of a kind, one after another; null if a part is no object, or its text no string."""
+    own = lambda p: F.coalesce((_kind(_at(p, "type")) == "STRING") & (_text(_at(p, "type")) == kind), F.lit(False))
+    wrong = lambda p: (_kind(p) != "OBJECT") | own(p) & F.coalesce(_kind(_at(p, "text")) != "STRING", F.lit(False))
+    said = F.array_join(F.transform(F.filter(parts, own), lambda p: F.coalesce(_text(_at(p, "text")), F.lit(""))), "")
+    return F.when(~F.exists(parts, wrong), said)
+
+
+def _outputs(parts: Column) -> Column:
+    """The texts of all messages among the outputs; null if one is malformed."""
+    said = lambda o: F.when((_kind(_at(o, "type")) == "STRING") & (_text(_at(o, "type")) == "message"), _joined(_each(_at(o, "content")), "output_text")).otherwise("")
+    texts = F.transform(parts, lambda o: F.when(_kind(o) == "OBJECT", said(o)))
+    return F.when(~F.exists(texts, F.isnull), F.array_join(texts, ""))
 
 
 def response_text(style: Column, raw: Column) -> Column:
-    """text and problem (incomplete, no_text, malformed, or null) of a raw JSON response, as its API style has it."""
-    r = F.from_json(raw, _RAW)
-    joined = lambda parts, kind: F.array_join(F.transform(F.filter(parts, lambda p: p["type"] == kind), lambda p: F.coalesce(p["text"], F.lit(""))), "")
-    choice = F.get(r["choices"], F.lit(0))
-    outputs = F.flatten(F.transform(F.filter(r["output"], lambda o: o["type"] == "message"), lambda o: F.coalesce(o["content"], F.from_json(F.lit("[]"), _PART))))
-    text = F.when(style == "responses", joined(outputs, "output_text")).when(style == "chat_completions", choice["message"]["content"]).otherwise(joined(r["content"], "text"))
-    complete = F.when(style == "responses", F.coalesce(r["status"], F.lit("completed")) == "completed").when(style == "chat_completions", choice["finish_reason"].eqNullSafe("stop")).otherwise(r["stop_reason"].eqNullSafe("end_turn"))
-    is_object = F.coalesce(F.try_parse_json(raw).isNotNull() & raw.rlike(r"^\s*\{"), F.lit(False))
-    problem = F.when(~is_object, "malformed").when(~complete, "incomplete").when(F.coalesce(text, F.lit("")) == "", "no_text")
-    return F.struct(F.when(problem.isNull(), text).alias("text"), problem.alias("problem"))
+    """text and problem of a raw JSON response, as its API style has it. Problems, the first that holds: unknown_style;
+    malformed (no JSON object, a usage that is no object, or parts of another type than the style has); incomplete; no_text.
+
+    Types are looked at before values are read, so a number is never taken for a text. An object that names a field twice
+    is no JSON here.
+    """
+
+    def answer(v: Column) -> Column:
+        choices = _at(v, "choices")
+        nothing = choices.isNull() | _kind(choices).isin("VOID") | F.to_json(choices).isin("[]", "{}", '""', "false", "0")
+        choice = F.try_variant_get(choices, "$[0]", "variant")
+        message = _at(choice, "message")
+        malformed = F.struct(F.lit("malformed").alias("problem"), F.lit(None).cast("string").alias("text"))
+        said = lambda text: F.when(text.isNull(), malformed).otherwise(F.struct(F.when(text == "", "no_text").alias("problem"), text.alias("text")))
+        problem = lambda name: F.struct(F.lit(name).alias("problem"), F.lit(None).cast("string").alias("text"))
+        status = _at(v, "status")
+        responses = F.when(status.isNull() | (_kind(status) == "VOID") | (_kind(status) == "STRING") & (_text(status) == "completed"), said(_outputs(_each(_at(v, "output"))))).otherwise(problem("incomplete"))
+        finished = F.coalesce((_kind(_at(choice, "finish_reason")) == "STRING") & (_text(_at(choice, "finish_reason")) == "stop"), F.lit(False))
+        content = F.when(_kind(_at(message, "content")) == "STRING", _text(_at(message, "content"))).otherwise("")
+        chat = (
+            F.when(nothing, problem("incomplete"))
+            .when((_kind(choices) != "ARRAY") | (_kind(choice) != "OBJECT"), malformed)
+            .when(~finished, problem("incomplete"))
+            .when(message.isNotNull() & (_kind(message) != "OBJECT"), malformed)
+            .otherwise(said(content))
+        )
+        reason = _at(v, "stop_reason")
+        ended = F.coalesce((_kind(reason) == "STRING") & (_text(reason) == "end_turn"), F.lit(False))
+        blocks = F.when(ended, said(_joined(_each(_at(v, "content")), "text"))).otherwise(problem("incomplete"))
+        usage = _at(v, "usage")
+        whole = (_kind(v) == "OBJECT") & (usage.isNull() | (_kind(usage) == "OBJECT"))
+        by_style = F.when(style == STYLES[0], responses).when(style == STYLES[1], chat).otherwise(blocks)
+        return F.when(~F.coalesce(style.isin(*STYLES), F.lit(False)), problem("unknown_style")).when(F.coalesce(whole, F.lit(False)), by_style).otherwise(malformed)
+
+    found = _let(F.try_parse_json(raw), answer)
+    return F.struct(F.when(found["problem"].isNull(), found["text"]).alias("text"), found["problem"].alias("problem"))
 
 
 def effort_problem(style: Column, effort: Column) -> Column:
-    """Why an effort cannot be asked for, or null."""
-    return F.when(~effort.isin(*EFFORTS), "unknown_effort").when((style == "messages") & ~effort.isin(*MESSAGE_EFFORTS), "effort_not_in_style")
+    """Why a request cannot be made, or null."""
+    return F.when(~F.coalesce(style.isin(*STYLES), F.lit(False)), "unknown_style").when(~effort.isin(*EFFORTS), "unknown_effort").when((style == "messages") & ~effort.isin(*MESSAGE_EFFORTS), "effort_not_in_style")
 
 
 def request_body(style: Column, model: Column, system: Column, content: Column, effort: Column, most: int) -> Column:
@@ -55,39 +118,65 @@ def request_body(style: Column, model: Column, system: Column, content: Column,
     return F.when(effort_problem(style, effort).isNull(), F.when(style == "responses", F.to_json(responses)).when(style == "chat_completions", F.to_json(chat)).when(style == "messages", F.to_json(messages)))
 
 
-def _json_view(view: Callable) -> Callable[[Column], Column]:
-    """A column function that applies `view` to parsed JSON; what is no JSON becomes null."""
+def _quoted(text: Column) -> Column:
+    return _let(F.to_json(F.array(text)), lambda j: j.substr(F.lit(2), F.length(j) - 2))
+
+
+def _no(*_: Column) -> Column:
+    return F.lit(None).cast("string")
+
+
+#: Stands in for what lies too deep; no JSON text holds it.
+_TOO_DEEP = "\x00"
+
+
+def _rendered(value: Column, dropped: tuple[str, ...], field: Callable[[Column], Column], whole: Callable[[Column], Column], depth: int) -> Column:
+    """JSON of a variant. Each level is one lambda within that of the level above, so the work stays in the JVM and needs no
+    shuffle."""
+    if depth < 0:
+        return F.lit(_TOO_DEEP)
+    entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    named = F.transform(F.filter(entries, lambda e: ~e["key"].isin(*dropped)) if dropped else entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
+    lead = lambda key: F.when(key.isNull(), "").otherwise(F.concat(_quoted(key), F.lit(": ")))
+    parts = F.transform(F.coalesce(named, listed), lambda e: F.concat(lead(e["key"]), F.coalesce(field(e["key"]), _rendered(e["value"], dropped, field, whole, depth - 1))))
+    is_object = _kind(value) == "OBJECT"
+    nested = F.concat(F.when(is_object, "{").otherwise("["), F.array_join(parts, ", "), F.when(is_object, "}").otherwise("]"))
+    return F.when(_kind(value).isin("OBJECT", "ARRAY"), F.coalesce(whole(value), nested)).otherwise(F.coalesce(F.to_json(value), F.lit("null")))
+
+
+def rendered(value: Column, dropped: tuple[str, ...] = (), field: Callable[[Column], Column] = _no, whole: Callable[[Column], Column] = _no, depth: int = DEPTH) -> Column:
+    """A variant as JSON in one form: fields by name, ', ' and ': ' between, characters as they are, numbers as Spark writes
+    them. Null for no value, and for one that is nested deeper than `depth`: there is no view of a part.
+
+    Fields named in `dropped` are left out; `field` says of a name which JSON stands for its value, and `whole` of an object
+    which JSON stands for it (null: its own).
+    """
+    text = _let(_rendered(value, dropped, field, whole, depth), lambda j: F.when(~F.contains(j, F.lit(_TOO_DEEP)), j))
+    return F.when(value.isNotNull(), text)
+
 
-    def one(raw):
-        try:
-            return view(json.loads(raw))
-        except (TypeError, ValueError):
-            return None
+def _without_thoughts(value: Column) -> Column:
+    """What stands for a block of thoughts: its kind alone."""
+    kind = _at(value, "type")
+    is_thought = (_kind(value) == "OBJECT") & (_kind(kind) == "STRING") & _text(kind).isin(*THOUGHT_BLOCKS)
+    return F.when(is_thought, F.concat(F.lit('{"omitted": true, "type": '), _quoted(_text(kind)), F.lit("}")))
 
-    @F.pandas_udf(StringType())
-    def run(column: pd.Series) -> pd.Series:
-        return column.map(one)
 
-    return run
+def visible_response(value: Column, depth: int = DEPTH) -> Column:
+    """A response (a variant) as JSON without what the model thought: such blocks keep their kind alone, such fields go."""
+    return rendered(value, dropped=THOUGHT_FIELDS, whole=_without_thoughts, depth=depth)
 
 
-def without_thoughts(value):
-    """A response without what the model thought: such blocks keep their kind alone, such fields go."""
-    if isinstance(value, dict):
-        if value.get("type") in THOUGHT_BLOCKS:
-            return {"type": value["type"], "omitted": True}
-        return {k: without_thoughts(v) for k, v in value.items() if k not in THOUGHT_FIELDS}
-    return [without_thoughts(v) for v in value] if isinstance(value, list) else value
+def redacted_json(value: Column, depth: int = DEPTH) -> Column:
+    """A variant as JSON with the values of secret fields replaced, at any level."""
+    return rendered(value, field=lambda name: F.when(normal_key(name).isin(*SECRET_KEYS), '"[REDACTED]"'), depth=depth)
 
 
-def without_secrets(value):
-    """A value with those of secret fields replaced, at any depth."""
-    if isinstance(value, dict):
-        return {k: "[REDACTED]" if re.sub(r"[^a-z]", "", k.lower()) in SECRET_KEYS else without_secrets(v) for k, v in value.items()}
-    return [without_secrets(v) for v in value] if isinstance(value, list) else value
+def canonical_json(value: Column, depth: int = DEPTH) -> Column:
+    """A variant in its one form, whatever the order its fields came in."""
+    return rendered(value, depth=depth)
 
 
-visible_response = _json_view(lambda v: json.dumps(without_thoughts(v), ensure_ascii=False))
-redacted_json = _json_view(lambda v: json.dumps(without_secrets(v), ensure_ascii=False))
-#: SHA-256 of a value's one form: sorted names, characters as they are.
-canonical_hash = _json_view(lambda v: hashlib.sha256(json.dumps(v, sort_keys=True, ensure_ascii=False).encode()).hexdigest())
+def canonical_hash(value: Column, depth: int = DEPTH) -> Column:
+    return F.sha2(canonical_json(value, depth).cast("binary"), 256)

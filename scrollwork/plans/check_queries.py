@@ -9,16 +9,45 @@ from ..operators import documents, messages
 from .adapters import ITEMS, LOG, items, log, table
 
 
+#: Responses of each style that parse and yet are not what the style has, and what is wrong with them.
+ODD = {
+    "responses": {
+        '{"output": ["x"]}': "malformed",
+        '{"output": [{"type": "message", "content": "hello"}]}': "malformed",
+        '{"output": [], "usage": 3}': "malformed",
+        '{"status": null, "output": {}}': "no_text",
+        '{"output": [{"type": "message", "content": [{"type": "output_text", "text": 7}]}]}': "malformed",
+    },
+    "chat_completions": {
+        '{"choices": [{"finish_reason": "stop", "message": {"content": [{"type": "text"}]}}]}': "no_text",
+        '{"choices": [{"finish_reason": "stop", "message": {"content": 7}}]}': "no_text",
+        '{"choices": []}': "incomplete",
+        '{"choices": ["x"]}': "malformed",
+        '{"choices": [{"finish_reason": "stop", "message": null}]}': "malformed",
+    },
+    "messages": {
+        '{"stop_reason": "end_turn", "content": "hello"}': "malformed",
+        '{"stop_reason": "end_turn", "content": [{"type": "text", "text": null}]}': "malformed",
+        '{"stop_reason": "end_turn"}': "no_text",
+        '{"stop_reason": "end_turn", "content": [], "usage": []}': "malformed",
+        '{"stop_reason": 1, "content": []}': "incomplete",
+    },
+}
+
+
 def _styled(spark: SparkSession, d: str) -> DataFrame:
-    """event_id, k, style and a raw response of each event: some incomplete, some empty, some no JSON."""
+    """event_id, k, style and a raw response of each event: some incomplete, some empty, some no JSON, some odd, some of no
+    known style."""
     k = F.col("k")
-    own = log(spark, d).select("event_id", "k", F.element_at(F.array(*map(F.lit, ("responses", "chat_completions", "messages"))), k % 3 + 1).alias("style"))
+    style = F.when(k % 17 == 0, "other").otherwise(F.element_at(F.array(*map(F.lit, ODD)), k % 3 + 1))
+    own = log(spark, d).select("event_id", "k", style.alias("style"))
+    odd = F.get(F.element_at(F.array(*[F.array(*map(F.lit, texts)) for texts in ODD.values()]), k % 3 + 1), F.floor(k / 39).cast("int") % 5)
     said = F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("said "), k.cast("string")))
     done = k % 5 != 0
     responses = F.concat(F.lit('{"status": "'), F.when(done, "completed").otherwise("failed"), F.lit('", "output": [{"type": "reasoning"}, {"type": "message", "content": [{"type": "output_text", "text": "'), said, F.lit('"}, {"type": "refusal", "text": "no"}]}]}'))
     chat = F.concat(F.lit('{"choices": [{"finish_reason": "'), F.when(done, "stop").otherwise("length"), F.lit('", "message": {"content": "'), said, F.lit('"}}]}'))
     message = F.concat(F.lit('{"stop_reason": "'), F.when(done, "end_turn").otherwise("max_tokens"), F.lit('", "content": [{"type": "thinking", "thinking": "hm"}, {"type": "text", "text": "'), said, F.lit('"}]}'))
-    raw = F.when(k % 11 == 0, "[oops").when(F.col("style") == "responses", responses).when(F.col("style") == "chat_completions", chat).otherwise(message)
+    raw = F.when(k % 13 == 0, odd).when(k % 11 == 0, "[oops").when(F.col("style") == "responses", responses).when(F.col("style") == "chat_completions", chat).otherwise(message)
     return own.withColumn("raw", raw)
 
 
@@ -41,8 +70,9 @@ def _secretive(spark: SparkSession, d: str) -> DataFrame:
 
 def safe_views(spark: SparkSession, d: str) -> DataFrame:
     """Responses without thoughts, without secrets, and the hash of their one form."""
-    own = _secretive(spark, d)
-    return own.select("event_id", messages.visible_response(F.col("raw")).alias("visible"), messages.redacted_json(F.col("raw")).alias("redacted"), messages.canonical_hash(F.col("raw")).alias("sha"))
+    own = _secretive(spark, d).select("event_id", F.try_parse_json("raw").alias("value"))
+    views = {"visible": messages.visible_response, "redacted": messages.redacted_json, "sha": messages.canonical_hash}
+    return own.select("event_id", *[view(F.col("value")).alias(name) for name, view in views.items()])
 
 
 def envelope_violations(spark: SparkSession, d: str) -> DataFrame:
@@ -106,17 +136,18 @@ QUERIES = {f.__name__: f for f in (response_texts, request_bodies, safe_views, e
 
 _SAID = "CASE WHEN k % 7 = 0 THEN '' ELSE 'said ' || k END"
 ORACLES = {
-    "response_texts": f"""WITH {LOG} SELECT event_id, CASE WHEN k % 11 <> 0 AND k % 5 <> 0 AND k % 7 <> 0 THEN 'said ' || k END AS text,
-        CASE WHEN k % 11 = 0 THEN 'malformed' WHEN k % 5 = 0 THEN 'incomplete' WHEN k % 7 = 0 THEN 'no_text' END AS problem FROM log""",
+    "response_texts": f"""WITH {LOG}, p AS (SELECT event_id, k, CASE WHEN k % 17 = 0 THEN 'unknown_style'
+          WHEN k % 13 = 0 THEN {[list(x.values()) for x in ODD.values()]}[k % 3 + 1][k // 39 % 5 + 1] WHEN k % 11 = 0 THEN 'malformed' WHEN k % 5 = 0 THEN 'incomplete' WHEN k % 7 = 0 THEN 'no_text' END AS problem FROM log)
+        SELECT event_id, CASE WHEN problem IS NULL THEN 'said ' || k END AS text, problem FROM p""",
     "request_bodies": f"""WITH {LOG}, e AS (SELECT event_id, k, ['none', 'high', 'low', 'most'][k % 4 + 1] AS effort FROM log),
-        p AS (SELECT *, CASE WHEN effort = 'most' THEN 'unknown_effort' WHEN k % 3 = 2 AND effort = 'low' THEN 'effort_not_in_style' END AS problem FROM e)
+        p AS (SELECT *, CASE WHEN k % 17 = 0 THEN 'unknown_style' WHEN effort = 'most' THEN 'unknown_effort' WHEN k % 3 = 2 AND effort = 'low' THEN 'effort_not_in_style' END AS problem FROM e)
         SELECT event_id, problem, CASE WHEN problem IS NULL THEN CASE k % 3
           WHEN 0 THEN '{{"model":"m","instructions":"be brief","input":"' || k || '","store":false,"reasoning":{{"effort":"' || effort || '"}},"max_output_tokens":900}}'
           WHEN 1 THEN '{{"model":"m","messages":[{{"role":"system","content":"be brief"}},{{"role":"user","content":"' || k || '"}}],"max_tokens":900,"response_format":{{"type":"json_object"}}' || CASE WHEN effort <> 'none' THEN ',"reasoning_effort":"' || effort || '"' ELSE '' END || '}}'
           ELSE '{{"model":"m","system":"be brief","messages":[{{"role":"user","content":"' || k || '"}}],"max_tokens":' || CASE WHEN effort = 'high' THEN '32768,"thinking":{{"type":"enabled","budget_tokens":16000}}}}' ELSE '8192,"thinking":{{"type":"disabled"}}}}' END END END AS body FROM p""",
     "safe_views": f"""WITH {LOG} SELECT event_id,
-        '{{"id": ' || k || ', "Api-Key": {{"a": 1}}, "parts": [{{"type": "reasoning", "omitted": true}}, {{"type": "text", "text": "é' || k || '", "Headers": ["h"]}}], "token_count": 2}}' AS visible,
-        '{{"id": ' || k || ', "Api-Key": "[REDACTED]", "thinking": "x", "parts": [{{"type": "reasoning", "text": "t"}}, {{"type": "text", "text": "é' || k || '", "signature": "s", "Headers": "[REDACTED]"}}], "token_count": 2}}' AS redacted,
+        '{{"Api-Key": {{"a": 1}}, "id": ' || k || ', "parts": [{{"omitted": true, "type": "reasoning"}}, {{"Headers": ["h"], "text": "é' || k || '", "type": "text"}}], "token_count": 2}}' AS visible,
+        '{{"Api-Key": "[REDACTED]", "id": ' || k || ', "parts": [{{"text": "t", "type": "reasoning"}}, {{"Headers": "[REDACTED]", "signature": "s", "text": "é' || k || '", "type": "text"}}], "thinking": "x", "token_count": 2}}' AS redacted,
         sha256('{{"Api-Key": {{"a": 1}}, "id": ' || k || ', "parts": [{{"text": "t", "type": "reasoning"}}, {{"Headers": ["h"], "signature": "s", "text": "é' || k || '", "type": "text"}}], "thinking": "x", "token_count": 2}}') AS sha FROM log""",
     "envelope_violations": """SELECT CASE doc_id % 40 WHEN 3 THEN 'not_completed' WHEN 5 THEN 'not_completed' WHEN 9 THEN 'annotation_file' ELSE 'bad_source' END AS rule, doc_id FROM documents
         WHERE doc_id % 40 IN (3, 5, 8, 9) OR doc_id % 40 = 7 AND regexp_matches(sha256(text), '[a-f]')""",
