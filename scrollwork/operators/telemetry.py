@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import valid_tokens
-from .folds import fold, status_step
-
 
+#: The stages that ask a model, and the stage whose validation errors are another's.
+EXCHANGES, VALIDATION = ("B2", "D2"), ("D3", "D2")
 #: The stages that classify in batches and that extract, and what the events of a batch make of it.
 CLASSIFICATION, EXTRACTION = "B2", "C"
 BATCH_STATES = {"batch_attempt": "active", "batch_validated": "completed", "batch_reused": "reused", "batch_failed": "failed"}
@@ -74,16 +74,6 @@ def batch_status(log: DataFrame) -> DataFrame:
     return last.groupBy("run_id").agg(*[F.sum(F.when(F.col("event") == e, 1).otherwise(0)).alias(f"n_{state}") for e, state in BATCH_STATES.items()])
 
 
-def stage_status(log: DataFrame) -> DataFrame:
-    """Status of each stage of each run after all its events, and how many events it had."""
-    own = log.where("stage IS NOT NULL AND event IN ('stage_started', 'stage_finished', 'stage_skipped', 'cache_hit')")
-    own = own.select("run_id", "stage", "event_id", "event", "span_id", (F.col("status") == "failed").alias("failed"))
-    folded = fold(own, ["run_id", "stage"], ["event_id"], ["event", "span_id", "failed"], status_step, "code")
-    names = F.array(*map(F.lit, ("waiting", "running", "completed", "failed", "skipped", "cached")))
-    last = folded.groupBy("run_id", "stage").agg(F.max_by("code", "event_id").alias("code"), F.count("*").alias("n_events"))
-    return last.select("run_id", "stage", F.get(names, F.col("code").cast("int")).alias("status"), "n_events")
-
-
 def exchange_pairs(messages: DataFrame) -> DataFrame:
     """Each request with the first response after it and before the next request: key, request_seq, response_seq.
 
@@ -96,17 +86,20 @@ def exchange_pairs(messages: DataFrame) -> DataFrame:
     return looked.where("role = 'request'").select("key", F.col("seq").alias("request_seq"), answered.alias("response_seq"))
 
 
-def model_exchanges(messages: DataFrame) -> DataFrame:
-    """Each request with the first response and the first validation error that belong to it: run_id, request_seq,
-    response_seq, error_seq.
+def model_exchanges(messages: DataFrame, stages: tuple[str, ...] = EXCHANGES) -> DataFrame:
+    """Each request of these stages with the first response and the first validation error that belong to it: run_id,
+    request_seq, response_seq, error_seq.
 
-    `messages`: run_id, seq, role (request, response, error), attempt_id, batch_id, attempt. A request with an attempt_id
-    has what comes later with the same one, however far. One without has what comes later with the same batch and
-    attempt, missing ones alike, up to the next request with these. Answers may interleave. One window each, no join.
+    `messages`: run_id, seq, stage, role (request, response, error), attempt_id, batch_id, attempt. A request with an
+    attempt_id has what comes later with the same one, however far. One without has what comes later with the same batch and
+    attempt, missing ones alike, up to the next request with these. Either way only of its own stage; the errors of the
+    stage that validates the last one are that one's. Answers may interleave. One window each, no join.
     """
+    owner = F.when((F.col("role") == "error") & (F.col("stage") == VALIDATION[0]), VALIDATION[1]).otherwise(F.col("stage"))
+    messages = messages.withColumn("stage", owner).where(F.col("stage").isin(*stages))
 
     def looked(rows: DataFrame, key: list[str]) -> DataFrame:
-        after = Window.partitionBy("run_id", *key).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+        after = Window.partitionBy("run_id", "stage", *key).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
         first = lambda r: F.min(F.when(F.col("role") == r, F.col("seq"))).over(after).alias(f"{r}_next")
         return rows.select("run_id", "seq", "role", "attempt_id", *map(first, ("request", "response", "error"))).where("role = 'request'")
 

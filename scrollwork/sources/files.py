@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from . import logs
 
 FORMATS = ("pdf", "html", "htm")
 #: Stage, kind and id in the name of a snapshot.
@@ -64,14 +65,14 @@ def json_lines(texts: DataFrame) -> DataFrame:
     return exploded.where(~is_blank(F.col("line"))).select("path", "line_no", "line", valid.alias("is_valid"), ((F.col("line_no") == F.col("n") - 1) & ~valid).alias("is_tail"))
 
 
-def read_events(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """Valid lines of JSON-lines files in file order, as path, line_no and a variant. A corrupt line is an error, and so
-    is a tail if `strict`."""
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    lines = json_lines(texts)
+def read_events(spark: SparkSession, path: str, strict: bool = False, split: int = logs.SPLIT) -> DataFrame:
+    """Valid lines of JSON-lines files, as path, line_no and a variant. A corrupt line is an error, and so is a tail if
+    `strict`. Files are read in ranges of `split` bytes, whatever their size."""
+    lines = logs.read_lines(spark, path, split)
+    found = logs.checked(lines)
     broken = ~F.col("is_valid") & (F.lit(strict) | ~F.col("is_tail"))
-    checked = lines.withColumn("line", F.when(broken, F.raise_error(F.concat(F.lit("corrupt line "), "line_no"))).otherwise(F.col("line")))
-    return checked.where(F.col("is_valid") | broken).select("path", "line_no", F.parse_json("line").alias("event"))
+    told = found.where(F.col("is_valid") | broken).withColumn("value", F.when(broken, F.raise_error(F.concat(F.lit("corrupt line at byte "), "offset", F.lit(" of "), "path")).cast("variant")).otherwise(F.col("value")))
+    return logs.numbered(lines, told).select("path", "line_no", F.col("value").alias("event"))
 
 
 def append_events(events: DataFrame, path: str) -> None:

@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.logs import SPLIT, checked, stream_lines
+
 
 def tail(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 16) -> DataFrame:
     """Events of a growing folder of JSON-lines files."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
+def follow(spark: SparkSession, path: str, schema: str, split: int = SPLIT) -> DataFrame:
+    """Events of growing JSON-lines files: lines are taken as they are ended, in any number of batches. A line that is ended
+    and no object stops the stream."""
+    found = checked(stream_lines(spark, path, split))
+    line = F.when(F.col("is_valid"), F.col("line")).otherwise(F.raise_error(F.concat(F.lit("corrupt line at byte "), "offset", F.lit(" of "), "path")).cast("string"))
+    return found.select(F.from_json(line, schema).alias("event")).select("event.*")
+
+
 def running_totals(events: DataFrame) -> DataFrame:
     """Calls, failures and tokens of each run so far; state is one row a run."""
     calls = events.where("event = 'llm_attempt'")
