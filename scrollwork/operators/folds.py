@@ -11,13 +11,16 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
-def fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], step: Callable, out: str) -> DataFrame:
-    """`rows` with a column more, of whole numbers: what `step(state, *inputs)` says for each row in order.
+def fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], step: Callable, out: str, kind: str = "long") -> DataFrame:
+    """`rows` with a column more: what `step(state, *inputs)` says for each row in order.
 
-    `step` gets None as the state at the first row of a key and returns (state, number).
+    `step` gets None as the state at the first row of a key and returns (state, value).
     """
+    schema = rows.withColumn(out, F.lit(None).cast(kind)).schema
+    arrow = to_arrow_type(schema[out].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state = None, None
@@ -27,11 +30,10 @@ def fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], s
             for k, values in zip(keys, zip(*(batch.column(c).to_pylist() for c in inputs), strict=True), strict=True):
                 if k != last:
                     last, state = k, None
-                state, number = step(state, *values)
-                said.append(number)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.int64())], names=[*batch.schema.names, out])
+                state, value = step(state, *values)
+                said.append(value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, arrow)], names=[*batch.schema.names, out])
 
-    schema = rows.withColumn(out, F.lit(0).cast("long")).schema
     return rows.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
 
 
@@ -50,25 +52,42 @@ def by_document(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterat
         yield pa.scalar(doc, kind), rows
 
 
-def expanded(children: dict[str, list], root: str) -> Iterator[tuple]:
-    """item, parent, path, is_container, reading order and list of all that `root` holds, depth first. `children`: for
-    each parent its children in order, each with whether it is a list."""
-    leaves = 0
-    stack = [(root, [root], {root}, None, iter(children.get(root, ())))]
-    while stack:
-        parent, path, above, list_key, rest = stack[-1]
-        for child, is_list in rest:
-            if child in above:
+def expanded(children: dict[str, list], root: str, paths: bool) -> Iterator[tuple]:
+    """item, parent, path (if `paths`), depth, is_container, reading order and list of all that `root` holds, depth first and
+    each once. `children`: for each parent its children in order, each with whether it is a list.
+
+    One trail of open containers is shared by all, so memory grows with the edges and not with depth times edges.
+    """
+    leaves, met = 0, {root}
+    trail, lists, rest = [root], [None], [iter(children.get(root, ()))]
+    while rest:
+        for child, is_list in rest[-1]:
+            if child in met:
                 continue
+            met.add(child)
+            path = trail.copy() if paths else None
             if child.startswith("#/groups/"):
-                inner = list_key or (child if is_list else None)
-                yield child, parent, path, True, None, inner
-                stack.append((child, [*path, child], above | {child}, inner, iter(children.get(child, ()))))
+                inner = lists[-1] or (child if is_list else None)
+                yield child, trail[-1], path, len(trail), True, None, inner
+                trail.append(child)
+                lists.append(inner)
+                rest.append(iter(children.get(child, ())))
                 break
-            yield child, parent, path, False, leaves, list_key
+            yield child, trail[-1], path, len(trail), False, leaves, lists[-1]
             leaves += 1
         else:
-            stack.pop()
+            for stack in (trail, lists, rest):
+                stack.pop()
+
+
+def heading_step(state, level, pos):
+    """Headings above an item: one closes those of its level and deeper ones."""
+    above = state or []
+    if level is not None:
+        while above and above[-1][0] >= level:
+            above.pop()
+        above.append((level, pos))
+    return above, [p for _, p in above]
 
 
 def paged_step(target: int) -> Callable:
@@ -115,18 +134,3 @@ def batch_step(most: int, most_characters: int) -> Callable:
         return (count + 1, size + length, batch), batch
 
     return step
-
-
-def status_step(state, event, span, failed):
-    """Stage status after an event: 0 waiting, 1 running, 2 completed, 3 failed, 4 skipped, 5 cached."""
-    spans, status = state or (frozenset(), 0)
-    if event == "stage_started":
-        spans, status = spans | {span}, 1
-    elif event == "stage_finished":
-        spans = spans - {span}
-        status = 3 if failed or status == 3 else 1 if spans else 2
-    elif event == "stage_skipped":
-        status = 4
-    elif event == "cache_hit":
-        status = 5
-    return (spans, status), status

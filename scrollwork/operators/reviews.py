@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import is_blank
+
 DECISIONS = ("approved", "edited", "rejected", "skipped")
+#: Most characters of notes and of a field's name, most quotes and pages, and ids of facts that a reviewer adds.
+NOTES, FIELD, QUOTES, PAGES, MANUAL = 12_000, 300, 20, 10_000, "^manual-[a-zA-Z0-9-]{1,80}$"
 
 
 def latest(decisions: DataFrame) -> DataFrame:
@@ -34,6 +38,71 @@ def applied(decisions: DataFrame, incoming: DataFrame) -> DataFrame:
     return decisions.select("fact_id", "revision", "decision").unionByName(new)
 
 
+def decision_problems(incoming: DataFrame, decisions: DataFrame, drafts: DataFrame, documents: DataFrame, draft_sha: str) -> DataFrame:
+    """`incoming` with problem: the first reason why a decision cannot be taken, or null.
+
+    `incoming`: fact_id, document_id, draft_sha, expected, decision, notes, field, value, evidence (array of structs
+    source_text, pdf_pages, item_id). `decisions`: fact_id, document_id, revision. `drafts`: fact_id, document_id. `documents`:
+    document_id, format. A fact that no draft has is one that the reviewer adds: it has a manual id, a field and quotes, with
+    pages in a PDF and with places elsewhere. `conflict`: another revision is current, or two of the incoming want the same fact;
+    `prior_owner`: the fact's decisions so far are about another document. Joins on ids; all rules look at one row.
+    """
+    current = decisions.groupBy("fact_id").agg(F.max("revision").alias("current"), F.max_by("document_id", "revision").alias("prior_owner"))
+    owners = drafts.select("fact_id", F.col("document_id").alias("draft_owner")).distinct()
+    known = documents.select("document_id", F.lower("format").alias("format")).distinct()
+    alone = F.count("*").over(Window.partitionBy("fact_id")) == 1
+    judged = incoming.withColumn("alone", alone).join(current, "fact_id", "left").join(owners, "fact_id", "left").join(known, "document_id", "left")
+    evidence, is_pdf, added = F.col("evidence"), F.col("format") == "pdf", F.col("draft_owner").isNull()
+    pages = lambda e: F.coalesce(e["pdf_pages"], F.array().cast("array<int>"))
+    any_quote = lambda wrong: F.coalesce(F.exists(evidence, lambda e: F.coalesce(wrong(e), F.lit(True))), F.lit(False))
+    rules = [
+        ("wrong_draft", ~F.col("draft_sha").eqNullSafe(draft_sha)),
+        ("unknown_document", F.col("format").isNull()),
+        ("bad_revision", F.col("expected").isNull() | (F.col("expected") < 0)),
+        ("unknown_decision", F.col("decision").isNull() | ~F.col("decision").isin(*DECISIONS)),
+        ("long_notes", F.length("notes") > NOTES),
+        ("other_document", F.col("draft_owner") != F.col("document_id")),
+        ("unknown_fact", added & ~F.coalesce(F.col("fact_id").rlike(MANUAL), F.lit(False))),
+        ("no_field", added & (is_blank(F.col("field")) | (F.length("field") > FIELD))),
+        ("no_evidence", added & ~F.coalesce(F.size(evidence).between(1, QUOTES), F.lit(False))),
+        ("no_quote", added & any_quote(lambda e: is_blank(e["source_text"]))),
+        ("bad_pages", added & any_quote(lambda e: F.exists(pages(e), lambda p: ~F.coalesce(p.between(1, PAGES), F.lit(False))))),
+        ("no_pages", added & is_pdf & any_quote(lambda e: F.size(pages(e)) == 0)),
+        ("pages_without_pdf", added & ~is_pdf & any_quote(lambda e: F.size(pages(e)) > 0)),
+        ("no_place", added & ~is_pdf & any_quote(lambda e: F.coalesce(e["item_id"], F.lit("")) == "")),
+        ("conflict", ~F.col("alone") | (F.col("expected") != F.coalesce("current", F.lit(0)))),
+        ("prior_owner", F.col("prior_owner") != F.col("document_id")),
+    ]
+    problem = F.coalesce(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules])
+    return judged.select(*incoming.columns, problem.alias("problem"))
+
+
+def recorded(accepted: DataFrame, drafts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows of the store for accepted decisions: the next revision with its value and what may be said of it. An edited or
+    added fact has the reviewer's value, any other the draft's."""
+    proposed = drafts.select("fact_id", F.col("field").alias("draft_field"), "proposed_value", F.coalesce("value_status", F.lit("proposed_supported")).alias("draft_status"), F.lit(True).alias("drafted"))
+    rows = accepted.join(proposed, "fact_id", "left").join(documents.select("document_id", "source_sha"), "document_id")
+    is_added, decision = F.col("drafted").isNull(), F.col("decision")
+    own = is_added | (decision == "edited")
+    value = F.when(own, F.col("value")).otherwise(F.col("proposed_value"))
+    said = F.when(F.col("value").isNull(), "unresolved").otherwise("proposed_supported")
+    return rows.select(
+        "fact_id",
+        "document_id",
+        (F.col("expected") + 1).cast("long").alias("revision"),
+        "decision",
+        F.when(is_added, F.col("field")).otherwise(F.col("draft_field")).alias("field"),
+        value.alias("value"),
+        F.when(own, said).otherwise(F.col("draft_status")).alias("value_status"),
+        F.coalesce("notes", F.lit("")).alias("notes"),
+        is_added.alias("is_added"),
+        "source_sha",
+        "draft_sha",
+        decision.isin("approved", "edited").alias("approved_for_reference"),
+        F.when(is_added, "human_asserted").otherwise("draft_evidence_retained").alias("evidence_validation"),
+    )
+
+
 def flags(decisions: DataFrame) -> DataFrame:
     """What a decision says about its fact."""
     d = F.col("decision")

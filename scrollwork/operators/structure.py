@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .folds import batch_step, by_document, expanded, fold, pageless_step, paged_step
+from .folds import batch_step, by_document, expanded, fold, heading_step, pageless_step, paged_step
 from .terms import cyclic_parties
 
-#: Rows of a tree that are handed on at once, and their types.
-_ROWS = 10_000
-_KINDS = {"item_id": pa.string(), "parent_id": pa.string(), "path": pa.list_(pa.string()), "is_container": pa.bool_(), "reading_order": pa.int64(), "list_key": pa.string()}
+#: Rows of a tree that are handed on at once, the path entries among them, and the types of its columns.
+_ROWS, _ENTRIES = 10_000, 1_000_000
+_KINDS = {"item_id": pa.string(), "parent_id": pa.string(), "path": pa.list_(pa.string()), "depth": pa.int32(), "is_container": pa.bool_(), "reading_order": pa.int64(), "list_key": pa.string()}
 
 
 def _by_pos() -> WindowSpec:
@@ -32,31 +31,51 @@ def item_index(items: DataFrame) -> DataFrame:
     return items.select("doc_id", "item_id", collection.alias("collection"), T.id_position(F.col("item_id")).alias("position"), F.when((collection == "texts") & F.col("label").isNotNull(), F.col("label")).otherwise(F.regexp_replace(collection, "s$", "")).alias("item_type"))
 
 
-def walk(edges: DataFrame, root: str = "#/body") -> DataFrame:
-    """Depth-first expansion of each document from `root`: doc_id, item_id, parent_id, path (containers from the root),
-    is_container, reading_order (of leaves, from 0; null for containers) and list_key (the outermost list around or at it).
+def walk(edges: DataFrame, root: str = "#/body", paths: bool = True) -> DataFrame:
+    """Depth-first expansion of each document from `root`: doc_id, item_id, parent_id, path (containers from the root; null
+    unless `paths`), depth (1 below the root), is_container, reading_order (of leaves, from 0; null for containers) and
+    list_key (the outermost list around or at it).
 
     `edges`: doc_id, parent_id, child_id, child_pos and, if there are lists, is_list (the child is one). A container is
-    what `#/groups/` starts; other items are leaves whatever they hold. Equal places go by id. An item is not entered
-    below itself. Trees of any depth: a task goes through its documents one by one and holds one document's edges.
+    what `#/groups/` starts; other items are leaves whatever they hold. Equal places go by id. Every item is entered once,
+    where it is met first; `tree_violations` reports those that are held twice or hold themselves. Trees of any depth: a task
+    goes through its documents one by one and holds one document's edges. Paths of a very deep tree are as many entries as
+    its depth for every item; leave them out there.
     """
     listed = F.coalesce("is_list", F.lit(False)) if "is_list" in edges.columns else F.lit(False)
     own = edges.select("doc_id", "parent_id", F.col("child_pos").cast("long").alias("child_pos"), "child_id", listed.alias("is_list"))
-    schema = f"doc_id {edges.schema['doc_id'].dataType.simpleString()}, item_id string, parent_id string, path array<string>, is_container boolean, reading_order long, list_key string"
+    schema = f"doc_id {edges.schema['doc_id'].dataType.simpleString()}, item_id string, parent_id string, path array<string>, depth int, is_container boolean, reading_order long, list_key string"
+
+    def parts(found: Iterator[tuple]) -> Iterator[list[tuple]]:
+        rows, entries = [], 0
+        for row in found:
+            rows.append(row)
+            entries += row[3] if paths else 0
+            if len(rows) >= _ROWS or entries >= _ENTRIES:
+                yield rows
+                rows, entries = [], 0
+        if rows:
+            yield rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, rows in by_document(batches, ["parent_id", "child_id", "is_list"]):
             children: dict[str, list] = {}
             for parent, child, is_list in rows:
                 children.setdefault(parent, []).append((child, is_list))
-            found = expanded(children, root)
-            while part := list(islice(found, _ROWS)):
-                columns = dict(zip(("item_id", "parent_id", "path", "is_container", "reading_order", "list_key"), map(list, zip(*part, strict=True)), strict=True))
+            for part in parts(expanded(children, root, paths)):
+                columns = dict(zip(_KINDS, map(list, zip(*part, strict=True)), strict=True))
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc.as_py()] * len(part), doc.type), **{n: pa.array(c, _KINDS[n]) for n, c in columns.items()}})
 
     return own.repartition("doc_id").sortWithinPartitions("doc_id", "parent_id", "child_pos", "child_id").mapInArrow(run, schema)
 
 
+def placed(items: DataFrame, tree: DataFrame) -> DataFrame:
+    """Items (doc_id, item_id and more) that the walk meets as leaves, with the place and the list it gives them: pos,
+    list_key."""
+    leaves = tree.where("NOT is_container").select("doc_id", "item_id", F.col("reading_order").alias("pos"), "list_key")
+    return items.drop("pos", "list_key").join(leaves, ["doc_id", "item_id"])
+
+
 def reading_order(tree: DataFrame) -> DataFrame:
     """Leaves of each document, numbered in depth-first order."""
     return tree.where("NOT is_container").select("doc_id", "item_id", "parent_id", "path", "reading_order")
@@ -64,31 +83,24 @@ def reading_order(tree: DataFrame) -> DataFrame:
 
 def tree_violations(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """rule, doc_id, item_id: references to nothing (`unresolved`), groups that contain themselves (`cycle`), items that
-    two containers hold (`repeated`). `nodes`: doc_id, item_id."""
+    are held more than once (`repeated`). `nodes`: doc_id, item_id."""
     rule = lambda frame, name, item: frame.select(F.lit(name).alias("rule"), "doc_id", F.col(item).alias("item_id"))
     groups = edges.where("parent_id LIKE '#/groups/%' AND child_id LIKE '#/groups/%'").select("doc_id", F.col("parent_id").alias("parent"), F.col("child_id").alias("child"))
     own = groups.where("parent = child").select("doc_id", F.col("parent").alias("party"))
     cycles = rule(cyclic_parties(groups).unionByName(own).distinct(), "cycle", "party")
     unresolved = rule(edges.join(nodes.select("doc_id", F.col("item_id").alias("child_id")), ["doc_id", "child_id"], "left_anti"), "unresolved", "child_id").distinct()
-    repeated = rule(edges.groupBy("doc_id", "child_id").agg(F.countDistinct("parent_id").alias("n")).where("n > 1"), "repeated", "child_id")
+    repeated = rule(edges.groupBy("doc_id", "child_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated", "child_id")
     return unresolved.unionByName(cycles).unionByName(repeated)
 
 
-def heading_paths(items: DataFrame, levels: list[int] | None = None) -> DataFrame:
-    """For every item the headings above it: of each level the last one since a heading of a lower level.
+def heading_paths(items: DataFrame) -> DataFrame:
+    """For every item the headings above it, itself included: heading_positions, outermost first. A heading closes those of
+    its level and deeper ones.
 
-    One running maximum a level: a heading of level L stands if it is later than every heading of a lower level. The
-    levels are those that the items have, however deep, which takes a pass over the items unless they are given.
+    One fold over each document's items that keeps the open headings, whatever levels there are.
     """
-    if levels is None:
-        levels = sorted(r["level"] for r in items.where("level IS NOT NULL").select("level").distinct().collect())
-    last = [F.max(F.when(F.col("level") == k, F.col("pos"))).over(_so_far()) for k in levels]
-    out = items.select("doc_id", "pos", "item_id", *[x.alias(f"l{k}") for k, x in zip(levels, last, strict=True)])
-    alive, before = [F.lit(None).cast("int")], F.lit(-1)
-    for k in levels:
-        alive.append(F.when(F.col(f"l{k}") > before, F.col(f"l{k}")))
-        before = F.greatest(before, F.coalesce(f"l{k}", F.lit(-1)))
-    return out.select("doc_id", "pos", "item_id", F.array_compact(F.array(*alive)).alias("heading_positions"))
+    own = items.select("doc_id", "pos", "item_id", "level")
+    return fold(own, ["doc_id"], ["pos"], ["level", "pos"], heading_step, "heading_positions", f"array<{own.schema['pos'].dataType.simpleString()}>").drop("level")
 
 
 def heading_warnings(items: DataFrame) -> DataFrame:

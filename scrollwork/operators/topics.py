@@ -82,6 +82,24 @@ def evidence(groups: DataFrame, items: DataFrame) -> DataFrame:
     return cited.join(items.select("doc_id", "pos", "text", "page"), ["doc_id", "pos"], "left").withColumn("is_blank", T.is_blank(F.col("text")))
 
 
+def _units_before(ends: DataFrame, units: DataFrame) -> DataFrame:
+    """Chunks (doc_id, chunk_no, first_pos, last_pos) with the number of units (doc_id, a) that begin before them (start),
+    and of those that begin before or within them (end).
+
+    A chunk's start stands before the units that begin there, its end after those that begin at its last place; a running
+    count over all borders of a document, in order, says both.
+    """
+    border = lambda at, turn, no: [F.col("doc_id"), at.cast("long").alias("at"), F.lit(turn).alias("turn"), no.cast("long").alias("chunk_no")]
+    none = F.lit(None)
+    borders = units.select(*border(F.col("a"), 1, none)).unionByName(ends.select(*border(F.col("first_pos"), 0, F.col("chunk_no")))).unionByName(ends.select(*border(F.col("last_pos"), 2, F.col("chunk_no"))))
+    count = F.count(F.when(F.col("turn") == 1, 1)).over(Window.partitionBy("doc_id").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0))
+    of = lambda turn, what: F.max(F.when(F.col("turn") == turn, F.col(what)))
+    counted = borders.withColumn("n", count).where("chunk_no IS NOT NULL").groupBy("doc_id", "chunk_no")
+    out = counted.agg(of(0, "at").alias("first_pos"), of(2, "at").alias("last_pos"), of(0, "n").alias("start"), of(2, "n").alias("end"))
+    kinds = {f.name: f.dataType for f in ends.schema}
+    return out.select("doc_id", *[F.col(c).cast(kinds[c]).alias(c) for c in ("chunk_no", "first_pos", "last_pos")], "start", "end")
+
+
 def _in_role(role: str) -> Column:
     return F.transform(role, lambda p: F.struct(F.lit(role).alias("role"), p.alias("pos")))
 
@@ -90,13 +108,12 @@ def packet_scope(items: DataFrame, units: DataFrame, chunks: DataFrame, headings
     """doc_id, chunk_no, pos of every item that an answer for a chunk may cite: the chunk's own, those of so many units
     before and after it, and the headings above any of these. `headings`: doc_id, pos, heading_positions.
 
-    A list that goes on from the chunk before is a unit that began there, and so a neighbour.
+    A list that goes on from the chunk before is a unit that began there, and so a neighbour. Work and rows grow with the items
+    that may be cited: chunks and units meet in one sweep over their borders, not chunk by unit.
     """
     ends = chunks.select("doc_id", "chunk_no", "first_pos", "last_pos")
     own = units.select("doc_id", "unit_no", F.col("pos").alias("a"), F.col("last_pos").alias("b"))
-    begun = ends.join(own, "doc_id").groupBy("doc_id", "chunk_no", "first_pos", "last_pos").agg(
-        F.sum((F.col("a") < F.col("first_pos")).cast("int")).alias("start"), F.sum((F.col("a") <= F.col("last_pos")).cast("int")).alias("end")
-    )
+    begun = _units_before(ends, own)
     wanted = F.concat(F.sequence(F.col("start") - neighbours, F.col("start") - 1), F.sequence(F.col("end"), F.col("end") + neighbours - 1)) if neighbours else F.array().cast("array<bigint>")
     near = begun.select("doc_id", "chunk_no", F.explode(wanted).alias("unit_no")).join(own, ["doc_id", "unit_no"]).select("doc_id", "chunk_no", "a", "b")
     spans = near.unionByName(ends.select("doc_id", "chunk_no", F.col("first_pos").alias("a"), F.col("last_pos").alias("b")))

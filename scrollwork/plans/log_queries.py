@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money as M
 from ..functions import text as T
-from ..operators import audit, reviews, telemetry
+from ..operators import audit, boundaries, reviews, stages, telemetry
 from ..operators.topics import TOPICS
 from ..sources import files, html
 from .adapters import LOG, log, table
@@ -27,10 +27,11 @@ def run_costs(spark: SparkSession, d: str) -> DataFrame:
 
 def model_exchanges(spark: SparkSession, d: str) -> DataFrame:
     """Calls, ends of stages and failed batches stand for requests, responses and validation errors; two in five carry an
-    attempt_id."""
+    attempt_id, and the log's stages stand for those that ask, validate and ask for themselves."""
     role = F.when(F.col("event") == "llm_attempt", "request").when(F.col("event") == "stage_finished", "response").when(F.col("event") == "batch_failed", "error")
+    stage = F.element_at(F.create_map(*map(F.lit, ("A", "D2", "B2", "D3", "C", "B2"))), F.col("stage"))
     k = F.col("k")
-    own = log(spark, d).select("run_id", F.col("event_id").alias("seq"), role.alias("role"), F.when(k % 5 < 2, F.concat(F.lit("a"), (k % 40).cast("string"))).alias("attempt_id"), "batch_id", "attempt")
+    own = log(spark, d).select("run_id", F.col("event_id").alias("seq"), stage.alias("stage"), role.alias("role"), F.when(k % 5 < 2, F.concat(F.lit("a"), (k % 40).cast("string"))).alias("attempt_id"), "batch_id", "attempt")
     return telemetry.model_exchanges(own.where("role IS NOT NULL"))
 
 
@@ -38,14 +39,39 @@ def batch_status(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.batch_status(log(spark, d))
 
 
+def staged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The log with skipped and cached stages and with events that have no span, and the jobs of four runs in five."""
+    event, k = F.col("event"), F.col("k")
+    other = F.when((event == "batch_failed") & (k % 4 == 1), "stage_skipped").when((event == "llm_attempt") & (k % 9 == 1), "cache_hit").otherwise(event)
+    own = log(spark, d).withColumn("event", other).withColumn("span_id", F.when(k % 6 != 0, F.col("span_id")))
+    states = F.array(*map(F.lit, ("running", "failed", "historical", "interrupted")))
+    return own, own.select("run_id").distinct().where("run_id % 5 < 4").withColumn("status", F.get(states, (F.col("run_id") % 5).cast("int")))
+
+
 def stage_status(spark: SparkSession, d: str) -> DataFrame:
-    return telemetry.stage_status(log(spark, d))
+    return stages.stage_status(*staged(spark, d))
 
 
 def latest_boundary(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.latest_boundary(log(spark, d))
 
 
+def _snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """An event is a snapshot of a stage's boundary: kind, fields and values by its number."""
+    k, at = F.col("k"), F.col("event_id")
+    kind = F.get(F.array(*map(F.lit, (*boundaries.KINDS, "request"))), (at % 5).cast("int"))
+    field = F.get(F.array(*map(F.lit, ("signals", "chunks", "topic_signals_json_path"))), (k % 3).cast("int"))
+    data = F.create_map(F.lit("k"), k.cast("string"), field, at.cast("string"), F.lit("_trace"), F.lit("t"))
+    return log(spark, d).where("stage IS NOT NULL").select("run_id", at.alias("seq"), F.concat_ws("-", "stage", kind, F.lit("x.json")).alias("filename"), F.when(k % 6 != 0, F.col("span_id")).alias("span_id"), data.alias("data"))
+
+
+def stage_boundaries(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs in three are of the present layout."""
+    current = log(spark, d).where("run_id % 3 > 0").select("run_id")
+    found = boundaries.stage_boundaries(_snapshots(spark, d), log(spark, d), current)
+    return found.select("run_id", "stage", *[boundaries.shown(F.col(c)).alias(c) for c in ("input", "input_artifacts", "output", "return_value")], "n_events")
+
+
 def run_layout(spark: SparkSession, d: str) -> DataFrame:
     return telemetry.run_layout(log(spark, d))
 
@@ -195,21 +221,51 @@ _DECISIONS = """WITH decisions AS (SELECT o_custkey AS fact_id, row_number() OVE
 _VOCABULARY = ", ".join(f"'{t}'" for t in TOPICS)
 _OLD = ",".join(t for t in TOPICS if t != "repayment_and_prepayment.call_protection")
 
-QUERIES = {f.__name__: f for f in (run_summary, run_summary_by_key, run_costs, model_exchanges, batch_status, stage_status, latest_boundary, run_layout, exchange_pairs, cost_estimate, usage_totals, retryable, latest_decision, decision_history, decision_flags, cas_conflicts, cas_applied, review_progress, annotation_upgrade, label_scores, exact_duplicates, keyword_screen, vintages, redact_fields, pending_inputs, log_lines, snapshot_stages, html_title, html_items, embedded_json)}
+QUERIES = {f.__name__: f for f in (run_summary, run_summary_by_key, run_costs, model_exchanges, batch_status, stage_status, latest_boundary, stage_boundaries, run_layout, exchange_pairs, cost_estimate, usage_totals, retryable, latest_decision, decision_history, decision_flags, cas_conflicts, cas_applied, review_progress, annotation_upgrade, label_scores, exact_duplicates, keyword_screen, vintages, redact_fields, pending_inputs, log_lines, snapshot_stages, html_title, html_items, embedded_json)}
 
 ORACLES = {
     "run_summary": f"{_CALLS} SELECT run_id, 'all' AS dimension, 'all' AS value, {_SUMS} FROM calls GROUP BY run_id",
     "run_summary_by_key": f"{_CALLS} {_BY}",
     "run_costs": f"{_CALLS} SELECT run_id, 'all' AS dimension, 'all' AS value, currency, CAST(sum(cents) AS BIGINT) AS cents FROM calls WHERE paid GROUP BY ALL" + "".join(f" UNION ALL SELECT run_id, '{c}', coalesce({c}, 'unknown'), currency, CAST(sum(cents) AS BIGINT) FROM calls WHERE paid GROUP BY ALL" for c in ("model", "stage", "source")),
-    "model_exchanges": f"""WITH {LOG}, m AS (SELECT run_id, event_id AS seq, event, batch_id, attempt, CASE WHEN k % 5 < 2 THEN 'a' || (k % 40) END AS attempt_id FROM log WHERE event IN ('llm_attempt', 'stage_finished', 'batch_failed')),
-        r AS (SELECT *, lead(seq) OVER (PARTITION BY run_id, batch_id, attempt ORDER BY seq) AS same FROM m WHERE event = 'llm_attempt'),
+    "model_exchanges": f"""WITH {LOG}, m AS (SELECT run_id, event_id AS seq, event, batch_id, attempt, CASE WHEN k % 5 < 2 THEN 'a' || (k % 40) END AS attempt_id,
+            CASE stage WHEN 'A' THEN 'D2' WHEN 'C' THEN 'B2' WHEN 'B2' THEN CASE WHEN event = 'batch_failed' THEN 'D2' END END AS stage FROM log WHERE event IN ('llm_attempt', 'stage_finished', 'batch_failed')),
+        r AS (SELECT *, lead(seq) OVER (PARTITION BY run_id, stage, batch_id, attempt ORDER BY seq) AS same FROM m WHERE event = 'llm_attempt' AND stage IS NOT NULL),
         named AS (SELECT r.run_id, r.seq, min(m.seq) FILTER (WHERE m.event = 'stage_finished') AS response_seq, min(m.seq) FILTER (WHERE m.event = 'batch_failed') AS error_seq
-          FROM r LEFT JOIN m ON m.run_id = r.run_id AND m.seq > r.seq AND m.attempt_id = r.attempt_id WHERE r.attempt_id IS NOT NULL GROUP BY ALL),
+          FROM r LEFT JOIN m ON m.run_id = r.run_id AND m.stage = r.stage AND m.seq > r.seq AND m.attempt_id = r.attempt_id WHERE r.attempt_id IS NOT NULL GROUP BY ALL),
         plain AS (SELECT r.run_id, r.seq, min(m.seq) FILTER (WHERE m.event = 'stage_finished') AS response_seq, min(m.seq) FILTER (WHERE m.event = 'batch_failed') AS error_seq
-          FROM r LEFT JOIN m ON m.run_id = r.run_id AND m.seq > r.seq AND m.seq < coalesce(r.same, 9223372036854775807) AND m.batch_id IS NOT DISTINCT FROM r.batch_id AND m.attempt = r.attempt WHERE r.attempt_id IS NULL GROUP BY ALL)
+          FROM r LEFT JOIN m ON m.run_id = r.run_id AND m.stage = r.stage AND m.seq > r.seq AND m.seq < coalesce(r.same, 9223372036854775807) AND m.batch_id IS NOT DISTINCT FROM r.batch_id AND m.attempt = r.attempt WHERE r.attempt_id IS NULL GROUP BY ALL)
         SELECT run_id, seq AS request_seq, response_seq, error_seq FROM named UNION ALL SELECT run_id, seq, response_seq, error_seq FROM plain""",
+    "stage_status": f"""WITH {LOG}, own AS (SELECT run_id, stage, event_id, CASE WHEN event = 'batch_failed' AND k % 4 = 1 THEN 'stage_skipped' WHEN event = 'llm_attempt' AND k % 9 = 1 THEN 'cache_hit' ELSE event END AS event,
+            CASE WHEN k % 6 <> 0 THEN span_id END AS span, status FROM log WHERE stage IS NOT NULL),
+        kept AS (SELECT *, event = 'stage_finished' AS ends FROM own WHERE event IN ('stage_started', 'stage_finished', 'stage_skipped', 'cache_hit')),
+        last AS (SELECT run_id, stage, arg_max(event, event_id) AS event, arg_max(status, event_id) AS said FROM kept GROUP BY ALL),
+        bad AS (SELECT DISTINCT run_id, stage FROM kept f WHERE ends AND status = 'failed' AND NOT EXISTS (SELECT 1 FROM kept x WHERE x.run_id = f.run_id AND x.stage = f.stage AND NOT x.ends AND x.event_id > f.event_id)),
+        active AS (SELECT run_id, stage, count(*) AS n FROM (SELECT run_id, stage, span, arg_max(event, event_id) AS event FROM kept WHERE span IS NOT NULL AND event LIKE 'stage_%ed' AND event <> 'stage_skipped' GROUP BY ALL) WHERE event = 'stage_started' GROUP BY ALL),
+        counts AS (SELECT run_id, stage, count(*) AS n FROM own GROUP BY ALL),
+        runs AS (SELECT DISTINCT run_id, CASE run_id % 5 WHEN 0 THEN 'running' WHEN 1 THEN 'failed' WHEN 2 THEN 'historical' WHEN 3 THEN 'interrupted' END AS job FROM log),
+        s AS (SELECT run_id, stage, job, coalesce(c.n, 0) AS n_events, coalesce(a.n, 0) AS n_active,
+            CASE l.event WHEN 'stage_started' THEN 'running' WHEN 'stage_skipped' THEN 'skipped' WHEN 'cache_hit' THEN 'cached'
+              WHEN 'stage_finished' THEN CASE WHEN b.run_id IS NOT NULL THEN 'failed' WHEN a.n > 0 THEN 'running' ELSE l.said END
+              ELSE CASE WHEN job IS NULL OR job = 'historical' THEN 'unrecorded' ELSE 'waiting' END END AS status
+          FROM runs CROSS JOIN (SELECT unnest({list(stages.STAGES)}) AS stage) LEFT JOIN last l USING (run_id, stage) LEFT JOIN bad b USING (run_id, stage) LEFT JOIN active a USING (run_id, stage) LEFT JOIN counts c USING (run_id, stage))
+        SELECT run_id, stage, CASE WHEN status = 'running' AND job IN ('failed', 'interrupted') THEN 'interrupted' WHEN status = 'running' AND job = 'historical' THEN 'unrecorded' ELSE status END AS status, n_events, n_active FROM s""",
     "batch_status": f"""WITH {LOG}, last AS (SELECT run_id, batch_id, arg_max(event, event_id) AS event FROM log WHERE batch_id IS NOT NULL AND stage = 'B2' AND event LIKE 'batch_%' GROUP BY ALL)
         SELECT run_id, {", ".join(f"count(*) FILTER (WHERE event = '{e}') AS n_{n}" for e, n in telemetry.BATCH_STATES.items())} FROM last GROUP BY run_id""",
+    "stage_boundaries": f"""WITH {LOG}, snap AS (SELECT run_id, stage, event_id AS seq, k, event_id % 5 AS kind, ['signals', 'chunks', 'topic_signals_json_path'][k % 3 + 1] AS field,
+            CASE WHEN k % 6 <> 0 THEN span_id END AS span, run_id % 3 > 0 AND stage = 'B2' AS late FROM log WHERE stage IS NOT NULL),
+        lastspan AS (SELECT run_id, arg_max(coalesce(span, ''), seq) AS span FROM snap WHERE stage = 'C' AND kind IN (2, 3) GROUP BY run_id),
+        fit AS (SELECT s.* FROM snap s LEFT JOIN lastspan l USING (run_id) WHERE stage <> 'C' OR coalesce(l.span, '') = '' OR s.span = l.span),
+        inputs AS (SELECT run_id, stage, list_aggregate([x.field || '=' || x.value FOR x IN list(struct_pack(field := field, value := value) ORDER BY field)], 'string_agg', ',') AS v FROM (
+          SELECT run_id, stage, field, arg_max(value, seq) AS value FROM (
+            SELECT run_id, stage, seq, 'k' AS field, CAST(k AS VARCHAR) AS value, late FROM snap WHERE kind = 0 UNION ALL SELECT run_id, stage, seq, field, CAST(seq AS VARCHAR), late FROM snap WHERE kind = 0)
+          WHERE NOT (late AND field IN ('signals', 'topic_signals_json_path')) GROUP BY ALL) GROUP BY ALL),
+        whole AS (SELECT *, CASE WHEN field < 'k' THEN '_trace=t,' || field || '=' || seq || ',k=' || k ELSE '_trace=t,k=' || k || ',' || field || '=' || seq END AS v FROM fit),
+        ins AS (SELECT run_id, stage, arg_max(v, seq) AS v FROM whole WHERE kind = 2 GROUP BY ALL),
+        outs AS (SELECT run_id, stage, arg_max(v, seq) AS v FROM whole WHERE kind = 3 GROUP BY ALL),
+        arts AS (SELECT run_id, stage, arg_max(CASE WHEN late AND field = 'topic_signals_json_path' THEN 'k=' || k WHEN field < 'k' THEN field || '=' || seq || ',k=' || k ELSE 'k=' || k || ',' || field || '=' || seq END, seq) AS v FROM snap WHERE kind = 1 GROUP BY ALL),
+        n AS (SELECT run_id, stage, count(*) AS n FROM log WHERE stage IS NOT NULL GROUP BY ALL)
+        SELECT r.run_id, r.stage, ins.v AS input, coalesce(inputs.v, '') AS input_artifacts, arts.v AS output, outs.v AS return_value, coalesce(n.n, 0) AS n_events
+        FROM (SELECT DISTINCT run_id, s.stage FROM snap, (SELECT unnest({list(boundaries.REVIEWED)}) AS stage) s) r LEFT JOIN ins USING (run_id, stage) LEFT JOIN inputs USING (run_id, stage) LEFT JOIN arts USING (run_id, stage) LEFT JOIN outs USING (run_id, stage) LEFT JOIN n USING (run_id, stage)""",
     "latest_boundary": f"""WITH {LOG}, last AS (SELECT run_id, arg_max(span_id, event_id) AS span_id FROM log WHERE event = 'llm_attempt' GROUP BY run_id)
         SELECT run_id, span_id, max(event_id) FILTER (WHERE event = 'stage_started') AS last_input, max(event_id) FILTER (WHERE event = 'stage_finished') AS last_output FROM log JOIN last USING (run_id, span_id) GROUP BY ALL""",
     "run_layout": f"WITH {LOG} SELECT run_id, bool_or(event LIKE 'batch_%') AS has_batches, bool_or(event LIKE 'stage_%') AS has_stages FROM log GROUP BY run_id",

@@ -39,15 +39,16 @@ def chunked(items: DataFrame, settings: Settings) -> DataFrame:
     return structure.chunk_records(both, settings.target)
 
 
-def run(items: DataFrame, classify: Callable[[DataFrame, DataFrame], DataFrame], settings: Settings | None = None) -> dict[str, DataFrame]:
-    """Tables of a run. `classify(chunks, items)` gives doc_id, chunk_no, topic, evidence and context; what breaks a rule
-    is in `violations`, and the map is made of the rest."""
+def run(items: DataFrame, classify: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], settings: Settings | None = None) -> dict[str, DataFrame]:
+    """Tables of a run. `classify(chunks, items)` gives groups (doc_id, chunk_no, topic, evidence, context) and the chunks
+    it has answered (doc_id, chunk_no), those without a group too. What breaks a rule, and chunks without an answer, are in
+    `violations`; the map is made of the rest."""
     settings = settings or Settings()
     chunks = chunked(items, settings)
-    answered = classify(chunks, items)
+    groups, answered = classify(chunks, items)
     scope = topics.packet_scope(items, structure.atomic_units(items), chunks, structure.heading_paths(items), settings.neighbours)
-    wrong = topics.violations(answered, items, chunks, scope)
-    right = answered.join(wrong.select("doc_id", "chunk_no", "topic").distinct(), ["doc_id", "chunk_no", "topic"], "left_anti")
+    wrong = topics.violations(groups, items, chunks, scope, answered)
+    right = groups.join(wrong.select("doc_id", "chunk_no", "topic").distinct(), ["doc_id", "chunk_no", "topic"], "left_anti")
     mapped = topics.topic_map(topics.identified(topics.with_parents(right)))
     return {
         "chunks": chunks,

@@ -103,6 +103,20 @@ def atomic_units(spark: SparkSession, d: str) -> DataFrame:
     return S.atomic_units(items(spark, d))
 
 
+def document_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' lines as trees: the body holds lines and lists, a list its lines."""
+    own = items(spark, d)
+    group = F.concat(F.lit("#/groups/"), "list_key")
+    leaves = own.select("doc_id", F.coalesce(group, F.lit("#/body")).alias("parent_id"), F.col("item_id").alias("child_id"), F.col("pos").cast("long").alias("child_pos"), F.lit(False).alias("is_list"))
+    lists = own.where("list_key IS NOT NULL").groupBy("doc_id", group.alias("child_id")).agg(F.min("pos").cast("long").alias("child_pos"))
+    return leaves.unionByName(lists.select("doc_id", F.lit("#/body").alias("parent_id"), "child_id", "child_pos", F.lit(True).alias("is_list")))
+
+
+def walked_units(spark: SparkSession, d: str) -> DataFrame:
+    """Units whose order and lists come from the walk."""
+    return S.atomic_units(S.placed(items(spark, d), S.walk(document_tree(spark, d), paths=False)))
+
+
 def list_violations(spark: SparkSession, d: str) -> DataFrame:
     own = items(spark, d).withColumn("list_key", F.regexp_extract("list_key", r"^\d+", 0)).withColumn("list_key", F.nullif("list_key", F.lit("")))
     return S.list_violations(S.atomic_units(own))
@@ -205,7 +219,7 @@ _WITH = f"WITH RECURSIVE {ITEMS}, {UNITS}"
 _PAGED_CHUNKS = f"{_WITH}, {PAGED}, {CHUNKS}"
 _COLUMNS = ", ".join(_CHUNK)
 
-QUERIES = {f.__name__: f for f in (item_index, tree_walk, tree_reading_order, tree_violations, heading_paths, heading_warnings, render_items, render_tables, table_rows, item_pages, atomic_units, list_violations, chunks_paged, chunks_pageless, chunk_links, chunk_coverage, batch_pack, passage_packets, context_frames)}
+QUERIES = {f.__name__: f for f in (item_index, tree_walk, tree_reading_order, tree_violations, heading_paths, heading_warnings, render_items, render_tables, table_rows, item_pages, atomic_units, walked_units, list_violations, chunks_paged, chunks_pageless, chunk_links, chunk_coverage, batch_pack, passage_packets, context_frames)}
 
 ORACLES = {
     "item_index": f"WITH {ITEMS} SELECT doc_id, item_id, 'texts' AS collection, pos AS position, label AS item_type FROM items",
@@ -219,7 +233,7 @@ ORACLES = {
         reach AS (SELECT doc_id, parent_id AS start, child_id AS item_id FROM g UNION SELECT r.doc_id, r.start, g.child_id FROM reach r JOIN g ON g.doc_id = r.doc_id AND g.parent_id = r.item_id)
         SELECT DISTINCT 'unresolved' AS rule, doc_id, child_id AS item_id FROM bad b WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.doc_id = b.doc_id AND e.child_id = b.child_id)
         UNION ALL SELECT DISTINCT 'cycle', doc_id, start FROM reach WHERE start = item_id
-        UNION ALL SELECT 'repeated', doc_id, child_id FROM bad GROUP BY doc_id, child_id HAVING count(DISTINCT parent_id) > 1""",
+        UNION ALL SELECT 'repeated', doc_id, child_id FROM bad GROUP BY doc_id, child_id HAVING count(*) > 1""",
     "heading_paths": f"""WITH {ITEMS}, heads AS (SELECT doc_id, pos, level FROM items WHERE level IS NOT NULL),
         above AS (SELECT i.doc_id, i.pos, h.pos AS head FROM items i JOIN heads h ON h.doc_id = i.doc_id AND h.pos <= i.pos
           WHERE NOT EXISTS (SELECT 1 FROM heads l WHERE l.doc_id = i.doc_id AND l.pos > h.pos AND l.pos <= i.pos AND l.level <= h.level))
@@ -236,6 +250,7 @@ ORACLES = {
     "table_rows": "SELECT l_orderkey, (l_linenumber - 1) // 3 AS row_no, string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) AS cells FROM lineitem GROUP BY ALL",
     "item_pages": "SELECT l_orderkey, coalesce(string_agg(DISTINCT CAST(l_linenumber % 5 - 1 AS VARCHAR), ',' ORDER BY CAST(l_linenumber % 5 - 1 AS VARCHAR)) FILTER (WHERE l_linenumber % 5 - 1 > 0), '') AS pages FROM lineitem GROUP BY l_orderkey",
     "atomic_units": f"WITH {ITEMS}, {UNITS} SELECT * FROM units",
+    "walked_units": f"WITH {ITEMS}, {UNITS} SELECT * REPLACE ('#/groups/' || list_key AS list_key) FROM units",
     "list_violations": f"""WITH {ITEMS}, keyed AS (SELECT doc_id, pos, CASE WHEN list_key IS NULL THEN NULL ELSE CAST(pos // 3 AS VARCHAR) END AS list_key FROM items),
         marked AS (SELECT *, CASE WHEN lag(coalesce(list_key, '#' || pos)) OVER (PARTITION BY doc_id ORDER BY pos) = coalesce(list_key, '#' || pos) THEN 0 ELSE 1 END AS new FROM keyed)
         SELECT doc_id, list_key, CAST(sum(new) AS BIGINT) AS n FROM marked WHERE list_key IS NOT NULL GROUP BY doc_id, list_key HAVING sum(new) > 1""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money as M
 from ..functions import text as T
-from ..operators import structure, terms, topics
+from ..operators import review_joins, structure, terms, topics
 from .adapters import ITEMS, items, table
 
 #: Topics asked for, and the remainder of a text's length that stands for each topic.
@@ -102,6 +102,45 @@ def citation_breaches(spark: SparkSession, d: str) -> DataFrame:
     return found.where("rule IN ('out_of_scope', 'unanswered')").select("rule", "doc_id", "chunk_no", "topic")
 
 
+def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Groups of a topic map and those of the answers; some that the map has changed, and some that cite what is not there."""
+    key = F.col("doc_id") % 25
+    answers = topics.with_parents(classified(spark, d)).withColumn("context", F.when(key == 2, F.array(F.lit(100_000))).otherwise(F.col("context")))
+    answers = topics.identified(answers)
+    return answers.withColumn("evidence", F.when(key == 1, F.concat("evidence", F.array(F.lit(0)))).otherwise(F.col("evidence"))), answers
+
+
+def passage_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks whose answers hold each group of the map; every fifth document's answers also stand in the chunk after."""
+    mapped, answers = _mapped(spark, d)
+    again = answers.where("doc_id % 5 = 0").withColumn("chunk_no", F.col("chunk_no") + 1)
+    found = review_joins.passage_targets(mapped, answers.unionByName(again))
+    return found.select("doc_id", "topic", "group_id", F.array_join("target_chunks", ",").alias("target_chunks"))
+
+
+def review_breaches(spark: SparkSession, d: str) -> DataFrame:
+    return review_joins.review_breaches(*_mapped(spark, d), items(spark, d), "pos")
+
+
+def chunk_reviews(spark: SparkSession, d: str) -> DataFrame:
+    own = items(spark, d)
+    above = structure.heading_paths(own).select("doc_id", "pos", F.col("heading_positions").alias("heading_ids"))
+    held = own.join(above, ["doc_id", "pos"]).select("doc_id", F.floor(F.col("pos") / 8).cast("int").alias("chunk_no"), "item_id", "page", "heading_ids")
+    found = review_joins.chunk_reviews(chunks(spark, d), held, classified(spark, d))
+    return found.select("doc_id", "chunk_no", "n_items", F.array_join("pages", ",").alias("pages"), "n_headings", F.array_join("final_topics", ",").alias("final_topics"), "is_unclassified")
+
+
+def cited_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Orders stand for documents with a table and a note each; some are cited that are not there or say nothing."""
+    o, key = table(spark, d, "orders"), F.col("o_orderkey")
+    both = o.select(key.alias("doc_id"), F.explode(F.array(F.lit("#/tables/0"), F.lit("#/texts/0"))).alias("item_id"), "o_orderstatus", "o_orderpriority")
+    cited = both.select("doc_id", "item_id")
+    original = F.when(F.col("doc_id") % 3 == 0, F.col("o_orderstatus")).when(F.col("doc_id") % 3 == 1, "")
+    own = both.where("doc_id % 11 <> 0").select("doc_id", "item_id", original.alias("original_text"), F.when(F.col("doc_id") % 7 == 0, " ").otherwise(F.col("o_orderpriority")).alias("text"))
+    cells = table(spark, d, "lineitem").where("l_orderkey % 13 <> 0").select(F.col("l_orderkey").alias("doc_id"), F.lit("#/tables/0").alias("item_id"), F.floor((F.col("l_linenumber") - 1) / 2).alias("row_start"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("ord"), F.col("l_partkey").cast("string").alias("text"))
+    return review_joins.cited_texts(cited, own, cells)
+
+
 def topic_signals(spark: SparkSession, d: str) -> DataFrame:
     return topics.signals(items(spark, d), RULES)
 
@@ -206,6 +245,8 @@ groups AS (
   FROM lifted
 ),
 mapped AS (SELECT *, row_number() OVER (PARTITION BY doc_id, topic ORDER BY evidence, context) - 1 AS group_ord FROM groups)"""
+#: Groups as the answers hold them, some of which cite what is not there.
+_TOLD = _GROUPS.replace("lifted AS (SELECT * FROM classified UNION ALL SELECT doc_id, chunk_no, split_part(topic, '.', 1), evidence, context FROM classified", "answered AS (SELECT * REPLACE (CASE WHEN doc_id % 25 = 2 THEN [100000] ELSE context END AS context) FROM classified),\nlifted AS (SELECT * FROM answered UNION ALL SELECT doc_id, chunk_no, split_part(topic, '.', 1), evidence, context FROM answered") + ", told AS (SELECT doc_id, topic, group_id, min(chunk_no) AS chunk_no FROM groups GROUP BY ALL)"
 #: Units as lists run, across chunks too; headings above each item; what the answer for each chunk may cite.
 _SCOPE = """
 began AS (SELECT *, coalesce(coalesce(list_key, '#' || pos) <> lag(coalesce(list_key, '#' || pos)) OVER (PARTITION BY doc_id ORDER BY pos), true) AS new FROM items),
@@ -223,7 +264,7 @@ _RATE_SQL = """WITH r AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_p
     CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(30, 12)) AS disc, CAST(CAST(l_tax AS VARCHAR) AS DECIMAL(30, 12)) AS tax FROM lineitem),
   c AS (SELECT *, CASE WHEN n % 3 = 0 THEN tax WHEN n % 5 <> 0 THEN greatest(disc, CASE WHEN n % 2 = 0 THEN CAST(0.02 AS DECIMAL(30, 12)) END) + tax END AS computed FROM r)"""
 
-QUERIES = {f.__name__: f for f in (passage_groups, topic_map, topic_unclassified, topic_facets, topic_retrieval, empty_topics, evidence_packet, cited_items, passage_violations, citation_scope, citation_breaches, topic_signals, threshold_topics, rate_totals, rate_fills, rate_violations, amount_violations, party_graph_cycles, relationship_violations, term_reference_checks, role_normalize, role_violations)}
+QUERIES = {f.__name__: f for f in (passage_groups, topic_map, topic_unclassified, topic_facets, topic_retrieval, empty_topics, evidence_packet, cited_items, passage_violations, citation_scope, citation_breaches, passage_targets, review_breaches, chunk_reviews, cited_texts, topic_signals, threshold_topics, rate_totals, rate_fills, rate_violations, amount_violations, party_graph_cycles, relationship_violations, term_reference_checks, role_normalize, role_violations)}
 
 ORACLES = {
     "passage_groups": f"{_GROUPS} SELECT doc_id, topic, group_id, chunk_no, array_to_string(evidence, ',') AS evidence, array_to_string(context, ',') AS context FROM groups",
@@ -254,6 +295,22 @@ ORACLES = {
     "citation_breaches": f"""WITH {ITEMS}, {_PLAIN}, {_SCOPE}, bad AS (SELECT doc_id, chunk_no, topic, unnest(list_concat(evidence, CASE doc_id % 5 WHEN 1 THEN [chunk_no * 8 + 30] WHEN 2 THEN [greatest(chunk_no * 8 - 20, 0)] ELSE context END)) AS pos FROM classified)
         SELECT DISTINCT 'out_of_scope' AS rule, doc_id, chunk_no, topic FROM bad b WHERE NOT EXISTS (SELECT 1 FROM scope s WHERE s.doc_id = b.doc_id AND s.chunk_no = b.chunk_no AND s.pos = b.pos)
         UNION ALL SELECT 'unanswered', doc_id, chunk_no, NULL FROM ends WHERE (doc_id + chunk_no) % 7 = 0""",
+    "passage_targets": f"""{_TOLD}, again AS (SELECT * FROM told UNION ALL SELECT * REPLACE (chunk_no + 1 AS chunk_no) FROM told WHERE doc_id % 5 = 0)
+        SELECT m.doc_id, m.topic, m.group_id, coalesce(string_agg(DISTINCT CAST(a.chunk_no AS VARCHAR), ',' ORDER BY CAST(a.chunk_no AS VARCHAR)), '') AS target_chunks
+        FROM told m LEFT JOIN again a ON m.doc_id % 25 <> 1 AND a.doc_id = m.doc_id AND a.topic = m.topic AND a.group_id = m.group_id GROUP BY ALL""".replace("DISTINCT CAST(a.chunk_no AS VARCHAR), ',' ORDER BY CAST(a.chunk_no AS VARCHAR)", "CAST(a.chunk_no AS VARCHAR), ',' ORDER BY a.chunk_no"),
+    "review_breaches": f"""{_TOLD} SELECT 'no_target' AS rule, doc_id, topic, group_id FROM told WHERE doc_id % 25 = 1 UNION ALL SELECT 'missing_citation', doc_id, topic, group_id FROM told WHERE doc_id % 25 = 2""",
+    "chunk_reviews": f"""WITH {ITEMS}, {_PLAIN}, heads AS (SELECT doc_id, pos, level FROM items WHERE level IS NOT NULL),
+        above AS (SELECT i.doc_id, i.pos // 8 AS chunk_no, count(DISTINCT h.pos) AS n FROM items i JOIN heads h ON h.doc_id = i.doc_id AND h.pos <= i.pos
+          WHERE NOT EXISTS (SELECT 1 FROM heads l WHERE l.doc_id = i.doc_id AND l.pos > h.pos AND l.pos <= i.pos AND l.level <= h.level) GROUP BY ALL),
+        c AS (SELECT doc_id, pos // 8 AS chunk_no, count(*) AS n_items, coalesce(array_to_string(list_sort(list(DISTINCT page) FILTER (WHERE page IS NOT NULL)), ','), '') AS pages FROM items GROUP BY ALL),
+        t AS (SELECT doc_id, chunk_no, array_to_string(list_sort(list(DISTINCT topic)), ',') AS topics FROM classified GROUP BY ALL)
+        SELECT c.doc_id, c.chunk_no, c.n_items, c.pages, coalesce(a.n, 0) AS n_headings, coalesce(t.topics, '') AS final_topics, t.topics IS NULL AS is_unclassified
+        FROM c LEFT JOIN above a USING (doc_id, chunk_no) LEFT JOIN t USING (doc_id, chunk_no)""",
+    "cited_texts": """WITH r AS (SELECT l_orderkey AS doc_id, (l_linenumber - 1) // 2 AS row_no, string_agg(CAST(l_partkey AS VARCHAR), chr(9) ORDER BY l_linenumber, l_partkey, l_suppkey) AS line FROM lineitem WHERE l_orderkey % 13 <> 0 GROUP BY ALL),
+        g AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY row_no) AS grid FROM r GROUP BY doc_id),
+        o AS (SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus WHEN o_orderkey % 7 = 0 THEN ' ' ELSE o_orderpriority END AS own FROM orders)
+        SELECT o.doc_id, '#/tables/0' AS item_id, CASE WHEN o.doc_id % 11 <> 0 THEN grid END AS text, CASE WHEN o.doc_id % 11 = 0 THEN 'missing_citation' WHEN grid IS NULL THEN 'table_without_cells' END AS problem FROM o LEFT JOIN g USING (doc_id)
+        UNION ALL SELECT doc_id, '#/texts/0', CASE WHEN doc_id % 11 <> 0 AND own <> ' ' THEN own END, CASE WHEN doc_id % 11 = 0 THEN 'missing_citation' WHEN own = ' ' THEN 'unreadable' END FROM o""",
     "topic_signals": "WITH " + ITEMS + ", hits AS (" + " UNION ALL ".join(f"SELECT doc_id, pos, '{t}' AS topic FROM items WHERE regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_]){p}($|[^\\p{{L}}\\p{{N}}_])')" for t, p in RULES) + "), every AS (SELECT * FROM hits UNION SELECT doc_id, pos, split_part(topic, '.', 1) FROM hits WHERE topic LIKE '%.%') SELECT i.doc_id, i.pos, e.topic FROM items i LEFT JOIN every e ON e.doc_id = i.doc_id AND e.pos = i.pos",
     "threshold_topics": f"WITH s AS (SELECT doc_id, [{', '.join(f"'{t}'" for t in topics.TOPICS)}][doc_id % 11 + 1] AS topic FROM documents WHERE n_chars % 100 >= 50) SELECT * FROM s UNION SELECT doc_id, split_part(topic, '.', 1) FROM s WHERE topic LIKE '%.%'",
     "rate_totals": f"{_RATE_SQL} SELECT key, CASE WHEN n % 3 = 0 THEN 'fixed' ELSE 'floating' END AS kind, CAST(computed * 1000000 AS BIGINT) AS millionths FROM c",

@@ -103,9 +103,14 @@ def test_failure_keys_are_null_safe(spark):
 
 def test_exchanges_interleave_by_attempt(spark):
     rows = [(0, "request", "a"), (1, "request", "b"), (2, "response", "b"), (3, "response", "a"), (4, "error", "a"), (5, "request", None), (6, "request", None), (7, "error", None), (8, "response", None), (9, "response", None)]
-    messages = spark.createDataFrame([(1, s, r, a, 1, 1) for s, r, a in rows], "run_id int, seq int, role string, attempt_id string, batch_id int, attempt int")
+    schema = "run_id int, seq int, stage string, role string, attempt_id string, batch_id int, attempt int"
+    messages = spark.createDataFrame([(1, s, "B2", r, a, 1, 1) for s, r, a in rows], schema)
     got = {r["request_seq"]: (r["response_seq"], r["error_seq"]) for r in telemetry.model_exchanges(messages).collect()}
     assert got == {0: (3, 4), 1: (2, None), 5: (None, None), 6: (8, 7)}
+    # other stages neither answer nor stop a request, but for the one that validates the last
+    rows = [(0, "B2", "request", None), (1, "D2", "request", None), (2, "B2", "response", None), (3, "D3", "error", None), (4, "D2", "response", None), (5, "B2", "request", "a"), (6, "D2", "response", "a"), (7, "B3", "request", None)]
+    got = telemetry.model_exchanges(spark.createDataFrame([(1, s, g, r, a, 1, 1) for s, g, r, a in rows], schema)).collect()
+    assert {tuple(r)[1:] for r in got} == {(0, 2, None), (1, 4, 3), (5, None, None)}
 
 
 def test_exchange_stops_at_the_next_request(spark):
@@ -168,11 +173,16 @@ def test_whole_pipeline(spark, small):
     def classify(chunks, own):
         inside = own.join(chunks.select("doc_id", "chunk_no", "first_pos", "last_pos"), "doc_id").where("pos BETWEEN first_pos AND last_pos")
         named = inside.withColumn("topic", F.get(F.array(*map(F.lit, topics.TOPICS)), F.length("text") % MODULUS)).where("topic IS NOT NULL")
-        return named.groupBy("doc_id", "chunk_no", "topic").agg(F.array_sort(F.collect_list("pos")).alias("evidence")).withColumn("context", F.array().cast("array<int>"))
+        groups = named.groupBy("doc_id", "chunk_no", "topic").agg(F.array_sort(F.collect_list("pos")).alias("evidence")).withColumn("context", F.array().cast("array<int>"))
+        return groups, chunks.select("doc_id", "chunk_no").where(left_out)
 
+    left_out = "doc_id >= 0"
     got = pipeline.run(items(spark, small), classify, pipeline.Settings(target=2000))
     assert got["violations"].count() == 0 and got["topic_map"].count() > 0
     assert got["evidence"].where("text IS NULL").count() == 0
+    left_out = "doc_id % 2 = 0"  # a classifier that skips chunks is reported
+    skipped = pipeline.run(items(spark, small), classify, pipeline.Settings(target=2000))["violations"]
+    assert skipped.where("rule = 'unanswered'").count() == got["chunks"].where("doc_id % 2 = 1").count() == skipped.count() > 0
 
 
 def test_stream_equals_batch(spark, small, tmp_path):

@@ -1,9 +1,13 @@
 """Document structure on rows written by hand."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from scrollwork.operators import structure as S
-from scrollwork.operators.folds import batch_step, paged_step, pageless_step, status_step
+from scrollwork.operators import topics
+from scrollwork.operators.folds import batch_step, paged_step, pageless_step
 from scrollwork.plans.pipeline import Settings
 
 ITEM = "doc_id long, pos int, item_id string, text string, page int, label string, level int, list_key string"
@@ -69,12 +73,6 @@ def test_batches_close_when_full():
     assert run(batch_step(5, 100), [(60,), (60,), (200,), (1,)]) == [0, 1, 2, 3]
 
 
-def test_stage_status_machine():
-    assert run(status_step, [("stage_started", "a", False), ("stage_started", "b", False), ("stage_finished", "a", False), ("stage_finished", "b", False)]) == [1, 1, 1, 2]
-    assert run(status_step, [("stage_started", "a", False), ("stage_finished", "a", True), ("stage_started", "a", False), ("stage_finished", "a", False)]) == [1, 3, 1, 2]
-    assert run(status_step, [("cache_hit", "a", False), ("stage_skipped", "a", False)]) == [5, 4]
-
-
 EDGE = "doc_id int, parent_id string, child_id string, child_pos int"
 
 
@@ -102,6 +100,49 @@ def test_walk_of_deep_trees_and_nested_lists(spark):
     assert S.walk(spark.createDataFrame([], EDGE)).count() == 0
 
 
+def test_walk_of_a_chain_of_100_000(spark):
+    n = 100_000
+    chain = spark.range(n).selectExpr("1 AS doc_id", "CASE WHEN id = 0 THEN '#/body' ELSE concat('#/groups/', id - 1) END AS parent_id", "concat('#/groups/', id) AS child_id", "0 AS child_pos")
+    last = chain.union(spark.createDataFrame([(1, f"#/groups/{n - 1}", "#/texts/0", 0)], EDGE))
+    found = S.walk(last, paths=False)
+    assert tuple(found.agg(F.count("*"), F.max("depth"), F.count("path")).first()) == (n + 1, n + 1, 0)
+    assert found.where("NOT is_container").first()["reading_order"] == 0
+
+
+def test_groups_held_twice_are_entered_once(spark):
+    levels = 20
+    twice = [(1, f"#/groups/{k - 1}" if k else "#/body", f"#/groups/{k}", pos) for k in range(levels) for pos in (0, 1)] + [(1, f"#/groups/{levels - 1}", "#/texts/0", 0), (1, "#/body", "#/texts/0", 9)]
+    edges = spark.createDataFrame(twice, EDGE)
+    assert S.walk(edges).count() == levels + 1
+    nodes = edges.selectExpr("doc_id", "child_id AS item_id").distinct()
+    assert {(r["rule"], r["item_id"]) for r in S.tree_violations(edges, nodes).collect()} == {("repeated", f"#/groups/{k}") for k in range(levels)} | {("repeated", "#/texts/0")}
+
+
+def test_units_fed_from_the_walk(spark):
+    edges = spark.createDataFrame([(1, "#/body", "#/texts/2", 0, False), (1, "#/body", "#/groups/0", 1, True), (1, "#/groups/0", "#/texts/0", 0, False), (1, "#/groups/0", "#/groups/1", 1, True), (1, "#/groups/1", "#/texts/1", 0, False), (1, "#/body", "#/texts/3", 2, False)], EDGE + ", is_list boolean")
+    own = items(spark, [("a", 1, None, "old"), ("b", 1, None, None), ("c", 1, None, None), ("d", 1, None, None), ("lost", 1, None, None)])
+    units = S.atomic_units(S.placed(own, S.walk(edges))).orderBy("unit_no").collect()
+    assert [(u["pos"], u["last_pos"], u["n_items"], u["list_key"]) for u in units] == [(0, 0, 1, None), (1, 2, 2, "#/groups/0"), (3, 3, 1, None)]
+
+
+def test_headings_of_any_levels_in_one_plan(spark):
+    rows = [(f"h{k}", 1, level, None) for k, level in enumerate([40, 3, 1000, 7, 7, 1])]
+    found = S.heading_paths(items(spark, rows))
+    assert [r["heading_positions"] for r in found.orderBy("pos").collect()] == [[0], [1], [1, 2], [1, 3], [1, 4], [5]]
+    assert dict(found.dtypes)["heading_positions"] == "array<int>"
+    assert "Window" not in found._jdf.queryExecution().toString()
+
+
+def test_citation_scope_grows_with_items_and_chunks(spark):
+    own = spark.range(16_000).selectExpr("id - id % 16000 AS doc_id", "cast(id AS int) AS pos", "'x' AS text", "cast(NULL AS int) AS page", "cast(NULL AS int) AS level", "cast(NULL AS string) AS list_key", "concat('#/texts/', id) AS item_id")
+    chunks = own.selectExpr("doc_id", "pos", "cast(floor(pos / 8) AS int) AS chunk_no").groupBy("doc_id", "chunk_no").agg(F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    scope = topics.packet_scope(own, S.atomic_units(own), chunks, S.heading_paths(own))
+    # a chunk's eight items and one more on either side
+    assert scope.count() == 16_000 + 2 * 2_000 - 2
+    joins = re.findall(r"(?:SortMergeJoin|HashJoin) \[([^\]]*)\]", scope._jdf.queryExecution().toString())
+    assert joins and all("," in keys for keys in joins)  # never chunks with units by document alone
+
+
 @pytest.mark.parametrize("wrong", [{"target": 0}, {"target": True}, {"batch_chunks": 6}, {"batch_chunks": 0}, {"neighbours": -1}, {"timeout_seconds": float("inf")}, {"timeout_seconds": True}, {"output_tokens": 0}])
 def test_settings_are_checked(wrong):
     with pytest.raises(ValueError):
