@@ -28,8 +28,9 @@ PROFILE = 400
 #: What a document's own profile may hold.
 DOCUMENT_PROFILE = 400
 UNKNOWN = "und"
-#: N-grams that a task holds, 8 bytes each, before it counts them.
-HELD = 1 << 20
+#: N-grams that a task holds, 8 bytes each, before it counts them, and counts of distinct ones, about 130 bytes each, before
+#: it hands them on.
+HELD, COUNTED = 1 << 20, 400_000
 
 _LETTER: np.ndarray | None = None
 
@@ -66,7 +67,8 @@ def ranked(codes: np.ndarray, top: int) -> np.ndarray:
 
 
 def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> dict[str, list[int]]:
-    """Profile of each language, from all rows of `docs`: counts are summed in each task before the shuffle.
+    """Profile of each language, from all rows of `docs`: counts are summed in each task before the shuffle, and handed on
+    as soon as there are many, so a task's memory does not grow with the scripts it meets.
 
     What comes to the driver is `size` numbers a language.
     """
@@ -84,6 +86,11 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
                     own[c] += n
             held.clear()
 
+        def told() -> Iterator[pa.RecordBatch]:
+            for name, own in total.items():
+                yield pa.RecordBatch.from_pydict({"lang": [name] * len(own), "code": list(own.keys()), "n": list(own.values())}, pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())]))
+            total.clear()
+
         for batch in batches:
             for t, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 codes = ngram_codes(t)
@@ -92,10 +99,10 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
                 if weight > HELD:
                     settle()
                     weight = 0
-        if held:
-            settle()
-        for name, own in total.items():
-            yield pa.RecordBatch.from_pydict({"lang": [name] * len(own), "code": list(own.keys()), "n": list(own.values())}, pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())]))
+                    if sum(map(len, total.values())) > COUNTED:
+                        yield from told()
+        settle()
+        yield from told()
 
     own = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     counts = map_lean(own, count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))

@@ -5,6 +5,11 @@ the calendar, and so on); the digits that are free within the format then go thr
 exactly the values of that format. Equal values have equal pseudonyms in all documents, different values different
 ones, and whoever holds the key can reverse them. Check digits are computed anew, separators stay.
 
+Letters outside ASCII go, in addresses of mail, to letters of their own kind among the 256 code points around them. A
+password needs no digit; what follows `secret:` or `token:` does, as words follow these in prose, and what follows their `=`
+does not. An IPv6 address keeps its form, so two forms of one address have two pseudonyms. Dates of one-digit days or
+months stay among those of as many digits.
+
 Defined results: a null text stays null; a text without personal data is unchanged; text that fails the
 validation of one kind is tried as the later kinds and else left alone; only the ASCII digits 0-9 are digits, those of
 other scripts stay as they are; every row is answered, repeated ones each; other columns stay as they are.
@@ -14,8 +19,11 @@ from __future__ import annotations
 
 import datetime
 import hmac
+import ipaddress
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -151,6 +159,8 @@ def _date(f: Feistel, form: str, back: bool) -> str | None:
     month_first = not first and int(m) > 12
     if month_first:
         m, d = d, m
+    if (len(m) < 2 or len(d) < 2) and "0" in (m[0], d[0]):
+        return None  # neither padded nor plain
     try:
         day = datetime.date(int(y), int(m), int(d)).toordinal() - _EPOCH
     except ValueError:
@@ -160,17 +170,20 @@ def _date(f: Feistel, form: str, back: bool) -> str | None:
     split = lambda n: [n // 256, n % 256]
     join = lambda x: 256 * x[0] + x[1]
     date = lambda x: datetime.date.fromordinal(_EPOCH + join(x))
-    valid = lambda x: join(x) < _DAYS and (not month_first or date(x).day > 12)
+    short = len(m) < 2 or len(d) < 2
+    alike = lambda x: not short or (len(str(x.month)), len(str(x.day))) == (len(m), len(d))
+    valid = lambda x: join(x) < _DAYS and (not month_first or date(x).day > 12) and alike(date(x))
     made = date(f.walk("date", split(day), [_DAYS // 256 + 1, 256], valid, back))
-    text = [f"{made.year:04d}", f"{made.month:02d}", f"{made.day:02d}"]
+    text = [f"{made.year:04d}", str(made.month) if short else f"{made.month:02d}", str(made.day) if short else f"{made.day:02d}"]
     marks = re.findall(r"[^0-9]", form)
     a, b, c = text if first else [text[1], text[2], text[0]] if month_first else text[::-1]
     return f"{a}{marks[0]}{b}{marks[1]}{c}"
 
 
-def _characters(f: Feistel, kind: str, own: str, back: bool) -> str:
-    """Digits become digits, lower-case letters lower-case letters, upper-case ones upper-case ones; the rest stays."""
-    sets = [next((s for s in (_DIGITS, _LOWER, _UPPER) if c in s), None) for c in own]
+def _characters(f: Feistel, kind: str, own: str, back: bool, alphabets: tuple[str, ...] = (_DIGITS, _LOWER, _UPPER)) -> str:
+    """Digits become digits, lower-case letters lower-case letters, upper-case ones upper-case ones, letters outside ASCII
+    letters around them; the rest stays."""
+    sets = [next((s for s in alphabets if c in s), _around(c) if c > "\x7f" else "") for c in own]
     free = [k for k, s in enumerate(sets) if s]
     if not free:
         return own
@@ -181,6 +194,13 @@ def _characters(f: Feistel, kind: str, own: str, back: bool) -> str:
     return "".join(out)
 
 
+@lru_cache(maxsize=4096)
+def _around(c: str) -> str:
+    """Letters of the same kind as one outside ASCII, among the 256 code points around it; nothing for other characters."""
+    kind, block = unicodedata.category(c), ord(c) & ~0xFF
+    return "".join(x for x in map(chr, range(max(block, 0x80), block + 0x100)) if unicodedata.category(x) == kind) if kind[0] == "L" else ""
+
+
 def _email(f: Feistel, form: str, back: bool) -> str | None:
     local, _, domain = form.partition("@")
     return f"{_characters(f, 'email', local, back)}@{domain}"
@@ -189,21 +209,41 @@ def _email(f: Feistel, form: str, back: bool) -> str | None:
 def _secret(f: Feistel, form: str, back: bool) -> str | None:
     head = re.match(r"[A-Za-z_-]+\s*[=:]\s*[\"']?", form)[0]
     own = form[len(head) :]
-    if not any(c in _DIGITS for c in own):
+    needs_digit = ":" in head and head[0] in "sStT"
+    has_digit = lambda text: any(c in _DIGITS for c in text)
+    if needs_digit and not has_digit(own):
         return None
-    if re.fullmatch(r"[0-9a-f]+", own):
-        made = f.permute("hex", [int(c, 16) for c in own], [16] * len(own), back)
+    if _HEX.fullmatch(own):
+        made = f.walk("hex", [int(c, 16) for c in own], [16] * len(own), lambda x: not needs_digit or min(x) < 10, back)
         return head + "".join(f"{d:x}" for d in made)
-    return head + _characters(f, "secret", own, back)
+    made = _characters(f, "secret", own, back)
+    while _HEX.fullmatch(made):  # those are permuted among themselves
+        made = _characters(f, "secret", made, back)
+    return head + made
+
+
+_HEX = re.compile(r"[0-9a-f]+")
+
+
+def _address6(f: Feistel, form: str, back: bool) -> str | None:
+    groups = [g for g in form.split(":") if g]
+    if "::" in form and (len(groups) < 3 or not any(c in _DIGITS for c in form)):
+        return None  # as in names of code
+    try:
+        ipaddress.IPv6Address(form)
+    except ValueError:
+        return None
+    return _characters(f, "ip6", form, back, (_DIGITS, "abcdef", "ABCDEF"))
 
 
 #: Kind, what makes a pseudonym (None: not valid, left alone), and form. Earlier kinds win where forms overlap.
 KINDS: tuple[tuple[str, Callable[[Feistel, str, bool], str | None], str], ...] = (
-    ("secret", _secret, r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}"),
-    ("email", _email, r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("secret", _secret, r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}(?![A-Za-z0-9_+/-]|[\w.%+-]*@)"),
+    ("email", _email, r"(?<![^\W_])[^\W_][\w.%+-]*@[^\W_][\w-]*(?:\.[^\W_][\w-]*)+"),
     ("iban", _iban, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("ip", _address, r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"),
-    ("date", _date, r"(?<![0-9])(?:[0-9]{4}(?P<mark>[-/.])[0-9]{2}(?P=mark)[0-9]{2}|[0-9]{2}(?P<mark2>[-/.])[0-9]{2}(?P=mark2)[0-9]{4})(?![0-9])"),
+    ("ip6", _address6, r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){1,6}(?![0-9A-Za-z:])|(?<![0-9A-Za-z:.])[0-9A-Fa-f]{1,4}::(?:[0-9A-Fa-f]{1,4}:){1,5}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
+    ("date", _date, r"(?<![0-9])(?:[0-9]{4}(?P<mark>[-/.])[0-9]{1,2}(?P=mark)[0-9]{1,2}|(?<![0-9][-/.])[0-9]{1,2}(?P<mark2>[-/.])[0-9]{1,2}(?P=mark2)[0-9]{4})(?![0-9])"),
     ("ssn", _ssn, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("phone", _phone, r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9+])\+[0-9]{1,3}(?:[ .-]\(?[0-9]{1,5}\)?){2,4}(?![0-9])|(?<![0-9+])\+[0-9]{11,13}(?![0-9])"),
     ("card", _card, r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
@@ -212,14 +252,14 @@ _ANY = re.compile("|".join(f"(?P<{name}>{form})" for name, _, form in KINDS))
 #: For text that a kind refused: the kinds after it.
 _LATER = {name: re.compile("|".join(f"(?P<{n}>{form})" for n, _, form in KINDS[k + 1 :]) or r"(?!)") for k, (name, _, _) in enumerate(KINDS)}
 _MAKE = {name: make for name, make, _ in KINDS}
-#: No form is without one of these.
-_SIGN = re.compile(r"[0-9@]")
+#: No form is without one of these, but for secrets without a digit, which follow a name and a mark.
+_SIGN, _NAMED = re.compile(r"[0-9@]"), re.compile(r"(?i:word|wd|secret|token|key)\s*[=:]")
 
 
 def replace_text(text: str, feistel: Feistel, back: bool = False) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms (or, with `back`, with what they stand for), and how many of each kind."""
     found: dict[str, int] = {}
-    if not _SIGN.search(text):
+    if not _SIGN.search(text) and not (("=" in text or ":" in text) and _NAMED.search(text)):
         return text, found
 
     out, done, match = [], 0, _ANY.search(text)

@@ -230,6 +230,59 @@ def test_pseudonyms_of_any_area_code_order_and_refused_text():
     assert privacy.replace_text("13/13/2020 02/30/2020", f) == ("13/13/2020 02/30/2020", {})
 
 
+def test_addresses_beyond_ascii_passwords_without_digits_and_short_dates():
+    f = privacy.Feistel(b"k")
+    valid = [
+        ("email", "jörg@example.com"),
+        ("email", "Ñuria.Åberg_9@mail.example.org"),
+        ("email", "李雷@example.com"),
+        ("email", "info@bücher.example"),
+        ("secret", "password: hunterxyz"),
+        ("secret", "api_key=abcdefgh"),
+        ("secret", "token=facadefeed"),
+        ("ip6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"),
+        ("ip6", "2001:DB8::8a2e:370:7334"),
+        ("ip6", "fe80::1:2"),
+        ("date", "3/7/2021"),
+        ("date", "2021-3-17"),
+        ("date", "12/25/2020"),
+        ("date", "5/25/2020"),
+    ]
+    for kind, form in valid:
+        made, found = privacy.replace_text(f"x {form} y", f)
+        assert found == {kind: 1} and form not in made and len(made) == len(form) + 4, form
+        assert privacy.replace_text(made, f, back=True) == (f"x {form} y", {kind: 1})
+        assert privacy.replace_text(f"{form}; {form}", f)[0] == "; ".join([made[2:-2]] * 2)
+    whole, part = privacy.replace_text("jörg@example.com, rg@example.com", f)[0].split(", ")
+    assert not whole.endswith(part)  # the name is taken as a whole
+    for form in ("secret: everybody", "token: something", "std::vector::size", "10:30:45", "a::b", "03/7/20211", "1.2.3.2021", "password: short"):
+        assert privacy.replace_text(form, f) == (form, {})
+
+
+def test_all_characters_of_a_name_may_change():
+    """Of the pseudonyms of many names, no character beyond ASCII stays in its place more often than chance has it."""
+    f = privacy.Feistel(b"k")
+    same = sum(privacy.replace_text(f"j{c}r{k}@example.com", f)[0][1] == c for c in "öüäéñß" for k in range(50))
+    assert same < 40  # one in 30 of 300, about 10
+
+
+def test_hexadecimal_secrets_come_back_whatever_their_digits():
+    f = privacy.Feistel(b"k")
+    for k in range(300):
+        for form in (f"secret: {k:08x}", f"token: g{k:07d}", f"password={k * 7919:08x}"):
+            made, found = privacy.replace_text(form, f)
+            if found:
+                assert privacy.replace_text(made, f, back=True)[0] == form
+
+
+def test_counts_of_many_scripts_are_handed_on(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "".join(chr(0x4E00 + (k * 997 + j * 31) % 20000) for j in range(400)), "zh" if k % 2 else "ja") for k in range(30)], "doc_id long, text string, lang string")
+    want = language.learn_profiles(docs)
+    monkeypatch.setattr(language, "HELD", 1000)
+    monkeypatch.setattr(language, "COUNTED", 50)
+    assert language.learn_profiles(docs) == want
+
+
 @pytest.mark.parametrize("digits", ["٠١٢٣٤٥٦٧٨٩", "０１２３４５６７８９", "०१२३४५६७८९"])
 def test_digits_of_other_scripts_are_text(digits):
     f = privacy.Feistel(b"k")
