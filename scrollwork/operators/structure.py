@@ -120,7 +120,7 @@ def heading_warnings(items: DataFrame) -> DataFrame:
 def atomic_units(items: DataFrame) -> DataFrame:
     """Units that are never split: neighbouring items of one list are one, every other item is its own.
 
-    doc_id, unit_no (from 0), pos, last_pos, n_items, length (joined by line feeds), first_page, last_page,
+    doc_id, unit_no (from 0), pos, last_pos, n_items, length (joined by line feeds), first_page, last_page, pages (sorted),
     starts_heading, list_key.
     """
     key = F.coalesce("list_key", F.concat(F.lit("#"), "pos"))
@@ -134,6 +134,7 @@ def atomic_units(items: DataFrame) -> DataFrame:
         (F.sum(F.length("text")) + F.greatest(F.sum(filled) - 1, F.lit(0))).alias("length"),
         F.min("page").alias("first_page"),
         F.max("page").alias("last_page"),
+        F.array_sort(F.collect_set("page")).alias("pages"),
         F.max(F.struct((-F.col("pos")).alias("p"), F.col("level").isNotNull().alias("h"))).getField("h").alias("starts_heading"),
         F.max("list_key").alias("list_key"),
     )
@@ -167,7 +168,8 @@ def pageless_assignment(units: DataFrame, target: int) -> DataFrame:
 
 
 def chunk_records(assigned: DataFrame, target: int) -> DataFrame:
-    """One row per chunk: extent, size, pages, neighbours, and why it is over the target if it is."""
+    """One row per chunk: extent, size, pages (sorted), group_ids (its lists, in order), neighbours, and why it is over the
+    target if it is."""
     filled = F.when(F.col("length") > 0, 1).otherwise(0)
     chunks = assigned.groupBy("doc_id", "chunk_no").agg(
         F.min("pos").alias("first_pos"),
@@ -178,6 +180,8 @@ def chunk_records(assigned: DataFrame, target: int) -> DataFrame:
         F.min("first_page").alias("first_page"),
         F.max("last_page").alias("last_page"),
         F.count("list_key").alias("n_lists"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("pages"),
+        F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("list_key").isNotNull(), F.struct("unit_no", "list_key")))), lambda u: u["list_key"])).alias("group_ids"),
     )
     by_doc = Window.partitionBy("doc_id").orderBy("chunk_no")
     name = lambda n: T.numbered("chunk", n + 1)

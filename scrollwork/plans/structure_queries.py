@@ -100,7 +100,7 @@ def item_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def atomic_units(spark: SparkSession, d: str) -> DataFrame:
-    return S.atomic_units(items(spark, d))
+    return S.atomic_units(items(spark, d)).drop("pages")
 
 
 def document_tree(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +114,7 @@ def document_tree(spark: SparkSession, d: str) -> DataFrame:
 
 def walked_units(spark: SparkSession, d: str) -> DataFrame:
     """Units whose order and lists come from the walk."""
-    return S.atomic_units(S.placed(items(spark, d), S.walk(document_tree(spark, d), paths=False)))
+    return S.atomic_units(S.placed(items(spark, d), S.walk(document_tree(spark, d), paths=False))).drop("pages")
 
 
 def list_violations(spark: SparkSession, d: str) -> DataFrame:
@@ -145,6 +145,12 @@ def chunk_links(spark: SparkSession, d: str) -> DataFrame:
     return S.chunk_records(_paged(spark, d), TARGET).select("doc_id", "chunk_id", "previous_chunk_id", "next_chunk_id")
 
 
+def chunk_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Pages and lists of each chunk, with pages or without."""
+    both = S.chunk_records(_paged(spark, d), TARGET).unionByName(S.chunk_records(_pageless(spark, d), TARGET))
+    return both.select("doc_id", "chunk_no", F.array_join("pages", ",").alias("pages"), F.array_join("group_ids", ",").alias("group_ids"))
+
+
 def chunk_coverage(spark: SparkSession, d: str) -> DataFrame:
     both = S.chunk_records(_paged(spark, d), TARGET).unionByName(S.chunk_records(_pageless(spark, d), TARGET))
     return S.coverage_violations(items(spark, d), both)
@@ -219,7 +225,7 @@ _WITH = f"WITH RECURSIVE {ITEMS}, {UNITS}"
 _PAGED_CHUNKS = f"{_WITH}, {PAGED}, {CHUNKS}"
 _COLUMNS = ", ".join(_CHUNK)
 
-QUERIES = {f.__name__: f for f in (item_index, tree_walk, tree_reading_order, tree_violations, heading_paths, heading_warnings, render_items, render_tables, table_rows, item_pages, atomic_units, walked_units, list_violations, chunks_paged, chunks_pageless, chunk_links, chunk_coverage, batch_pack, passage_packets, context_frames)}
+QUERIES = {f.__name__: f for f in (item_index, tree_walk, tree_reading_order, tree_violations, heading_paths, heading_warnings, render_items, render_tables, table_rows, item_pages, atomic_units, walked_units, list_violations, chunks_paged, chunks_pageless, chunk_links, chunk_groups, chunk_coverage, batch_pack, passage_packets, context_frames)}
 
 ORACLES = {
     "item_index": f"WITH {ITEMS} SELECT doc_id, item_id, 'texts' AS collection, pos AS position, label AS item_type FROM items",
@@ -258,6 +264,12 @@ ORACLES = {
     "chunks_pageless": f"{_WITH}, {PAGELESS}, {CHUNKS} SELECT {_COLUMNS} FROM chunks",
     "chunk_links": f"""{_PAGED_CHUNKS} SELECT doc_id, printf('chunk-%06d', chunk_no + 1) AS chunk_id, lag(printf('chunk-%06d', chunk_no + 1)) OVER w AS previous_chunk_id,
         lead(printf('chunk-%06d', chunk_no + 1)) OVER w AS next_chunk_id FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_no)""",
+    "chunk_groups": " UNION ALL ".join(
+        f"""SELECT * FROM ({_WITH}, {part}, own AS (SELECT a.doc_id, a.chunk_no, a.unit_no, a.list_key, i.page FROM assigned a JOIN items i ON i.doc_id = a.doc_id AND i.pos BETWEEN a.pos AND a.last_pos)
+        SELECT doc_id, chunk_no, coalesce(array_to_string(list_sort(list(DISTINCT page) FILTER (WHERE page IS NOT NULL)), ','), '') AS pages,
+          coalesce((SELECT string_agg(list_key, ',' ORDER BY first_unit) FROM (SELECT list_key, min(unit_no) AS first_unit FROM own o WHERE o.doc_id = own.doc_id AND o.chunk_no = own.chunk_no AND list_key IS NOT NULL GROUP BY list_key)), '') AS group_ids FROM own GROUP BY doc_id, chunk_no)"""
+        for part in (PAGED, PAGELESS)
+    ),
     "chunk_coverage": f"{_PAGED_CHUNKS}, held AS (SELECT doc_id, sum(n_items) AS n FROM chunks GROUP BY doc_id) SELECT i.doc_id, count(*) AS n_items, CAST(max(h.n) AS BIGINT) AS n_covered FROM items i JOIN held h USING (doc_id) GROUP BY i.doc_id HAVING count(*) <> max(h.n)",
     "batch_pack": f"""{_PAGED_CHUNKS}, packed AS (
           SELECT doc_id, chunk_no, character_count, 0 AS batch_no, 1 AS cnt, character_count AS size FROM chunks WHERE chunk_no = 0
