@@ -45,8 +45,9 @@ def estimated_cost(input_tokens: Column, cached: Column, written: Column, output
 
 
 def cost_choice(reported: Column, reported_currency: Column, estimated: Column) -> Column:
-    """A reported amount with a currency comes before an estimate."""
-    return F.when((reported >= 0) & (reported_currency != ""), reported).otherwise(estimated)
+    """A reported amount, finite and with a currency, comes before an estimate."""
+    finite = (reported >= 0) & (reported.cast("double") < float("inf"))
+    return F.when(finite & (reported_currency != ""), reported).otherwise(estimated)
 
 
 def usage_totals(style: Column, prompt: Column, completion: Column, cache_read: Column, cache_write: Column) -> Column:

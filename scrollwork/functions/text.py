@@ -52,6 +52,12 @@ def pages_of(pages: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.coalesce(pages, F.array().cast("array<int>")), lambda p: p > 0)))
 
 
+def casefolded(c: Column) -> Column:
+    """Lower case, and letters that differ from their lower case only at a word's end or in upper case as those they stand
+    for: sharp s as ss, long s as s, final sigma as sigma."""
+    return F.replace(F.translate(F.lower(c), "ſς", "sσ"), F.lit("ß"), F.lit("ss"))
+
+
 def normal_role(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)\s+", "_")
 

@@ -72,3 +72,27 @@ def legacy_normalized(labels: DataFrame, scope: DataFrame) -> DataFrame:
     cited = lifted.select(*key, "topic", F.explode_outer("cited").alias("item_id")).distinct().join(scope, [*key, "item_id"], "left")
     grouped = cited.groupBy(*key, "topic").agg(F.array_sort(F.collect_list(F.when(F.col("item_id").isNotNull(), F.struct("ord", "item_id")))).alias("c"))
     return grouped.select(*key, "topic", (F.array_position(F.array(*map(F.lit, TOPICS)), F.col("topic")) - 1).cast("int").alias("topic_ord"), F.transform("c", lambda x: x["item_id"]).alias("cited"))
+
+
+def cache_problems(wanted: DataFrame, manifests: DataFrame, files: DataFrame) -> DataFrame:
+    """`wanted` (sha, profile, version) with problem: why its cached result cannot be used, or null. The first of no_manifest,
+    not_completed, other_source (the manifest names another hash), other_profile, other_version, other_names (its files are
+    not `names`), missing_file (one of these is not there or empty).
+
+    `manifests`: sha (of the folder it lies in), source_sha, status, profile, version, names, expected_names (arrays).
+    `files`: sha, name, length.
+    """
+    held = files.where("length > 0").groupBy("sha").agg(F.collect_set("name").alias("held"))
+    joined = wanted.join(manifests.withColumnsRenamed({"profile": "own_profile", "version": "own_version"}).withColumn("found", F.lit(True)), "sha", "left").join(held, "sha", "left")
+    same = lambda a, b: F.array_sort(a).eqNullSafe(F.array_sort(b))
+    rules = [
+        ("no_manifest", F.col("found").isNull()),
+        ("not_completed", ~F.col("status").eqNullSafe("completed")),
+        ("other_source", ~F.col("source_sha").eqNullSafe(F.col("sha"))),
+        ("other_profile", ~F.col("own_profile").eqNullSafe(F.col("profile"))),
+        ("other_version", ~F.col("own_version").eqNullSafe(F.col("version"))),
+        ("other_names", ~same(F.col("names"), F.col("expected_names"))),
+        ("missing_file", F.size(F.array_except("names", F.coalesce("held", F.array().cast("array<string>")))) > 0),
+    ]
+    problem = F.coalesce(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules])
+    return joined.select(*wanted.columns, problem.alias("problem"))

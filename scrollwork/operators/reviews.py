@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 
 DECISIONS = ("approved", "edited", "rejected", "skipped")
-#: Most characters of notes and of a field's name, most quotes and pages, and ids of facts that a reviewer adds.
+#: Most characters of an annotation's notes.
+ANNOTATION_NOTES = 4_000
+#: Most characters of a decision's notes and of a field's name, most quotes and pages, and ids of facts that a reviewer adds.
 NOTES, FIELD, QUOTES, PAGES, MANUAL = 12_000, 300, 20, 10_000, "^manual-[a-zA-Z0-9-]{1,80}$"
 
 
@@ -115,11 +117,11 @@ def flags(decisions: DataFrame) -> DataFrame:
 
 
 def progress(decisions: DataFrame, total: DataFrame) -> DataFrame:
-    """Facts, reviewed and approved facts, and the share reviewed in whole percent."""
+    """Facts, reviewed, approved and skipped (unsure) facts, and the share reviewed in whole percent."""
     last = latest(decisions)
     joined = total.join(last.select("fact_id", "decision"), "fact_id", "left")
     reviewed = F.sum(F.when(F.col("decision").isin("approved", "edited", "rejected"), 1).otherwise(0))
-    return joined.agg(F.count("*").alias("n_facts"), reviewed.alias("n_reviewed"), F.sum(F.when(F.col("decision").isin("approved", "edited"), 1).otherwise(0)).alias("n_approved")).withColumn("percent", F.floor(100 * F.col("n_reviewed") / F.greatest("n_facts", F.lit(1))))
+    return joined.agg(F.count("*").alias("n_facts"), reviewed.alias("n_reviewed"), F.sum(F.when(F.col("decision").isin("approved", "edited"), 1).otherwise(0)).alias("n_approved"), F.sum(F.when(F.col("decision") == "skipped", 1).otherwise(0)).alias("n_skipped")).withColumn("percent", F.floor(100 * F.col("n_reviewed") / F.greatest("n_facts", F.lit(1))))
 
 
 def upgraded(annotations: DataFrame, vocabulary: tuple[str, ...], added: tuple[str, ...]) -> DataFrame:
@@ -129,6 +131,32 @@ def upgraded(annotations: DataFrame, vocabulary: tuple[str, ...], added: tuple[s
     return annotations.withColumn("reviewed_topics", F.when(~F.col("reviewed"), F.array().cast("array<string>")).when(F.col("legacy"), old).otherwise(every))
 
 
+def annotation_problems(incoming: DataFrame, annotations: DataFrame, passages: DataFrame, vocabulary: tuple[str, ...]) -> DataFrame:
+    """`incoming` (doc_id, item_id, topics, notes, expected) with problem, the first that holds, or null: unknown_passage,
+    bad_topics (unknown or repeated), bad_revision, long_notes, conflict (another revision is current, or two of the incoming
+    want the same passage). `annotations`: doc_id, item_id, revision; `passages`: doc_id, item_id."""
+    key = ["doc_id", "item_id"]
+    current = annotations.groupBy(*key).agg(F.max("revision").alias("current"))
+    known = passages.select(*key, F.lit(True).alias("known")).distinct()
+    judged = incoming.withColumn("alone", F.count("*").over(Window.partitionBy(*key)) == 1).join(current, key, "left").join(known, key, "left")
+    right = F.forall("topics", lambda t: t.isin(*vocabulary)) & (F.size("topics") == F.size(F.array_distinct("topics")))
+    rules = [
+        ("unknown_passage", F.col("known").isNull()),
+        ("bad_topics", ~F.coalesce(right, F.lit(False))),
+        ("bad_revision", F.col("expected").isNull() | (F.col("expected") < 0)),
+        ("long_notes", F.length("notes") > ANNOTATION_NOTES),
+        ("conflict", ~F.col("alone") | (F.col("expected") != F.coalesce("current", F.lit(0)))),
+    ]
+    problem = F.coalesce(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules])
+    return judged.select(*incoming.columns, problem.alias("problem"))
+
+
+def annotated(accepted: DataFrame, vocabulary: tuple[str, ...]) -> DataFrame:
+    """Rows of accepted annotations: the next revision, topics in the vocabulary's order, all of it reviewed."""
+    every = F.array(*map(F.lit, vocabulary))
+    return accepted.select("doc_id", "item_id", (F.col("expected") + 1).alias("revision"), ordered_topics(F.col("topics"), vocabulary).alias("topics"), every.alias("reviewed_topics"), F.coalesce("notes", F.lit("")).alias("notes"), F.lit(True).alias("reviewed"))
+
+
 def ordered_topics(topics, vocabulary: tuple[str, ...]):
     """Topics once each, in the vocabulary's order."""
     return F.array_intersect(F.array(*map(F.lit, vocabulary)), topics)

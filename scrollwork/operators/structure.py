@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .folds import batch_step, by_document, expanded, fold, heading_step, pageless_step, paged_step
+from .messages import rendered
 from .terms import cyclic_parties
 
 #: Rows of a tree that are handed on at once, the path entries among them, and the types of its columns.
@@ -203,8 +204,14 @@ def coverage_violations(items: DataFrame, chunks: DataFrame) -> DataFrame:
     return wanted.join(held, "doc_id").where("n_items <> n_covered OR gaps > 0").select("doc_id", "n_items", "n_covered")
 
 
+def json_size(columns: list[str]) -> Column:
+    """Characters of these columns as a JSON object."""
+    return F.length(rendered(F.to_variant_object(F.struct(*columns)))).cast("long")
+
+
 def packed_batches(chunks: DataFrame, most: int = 5, most_characters: int = 24_000) -> DataFrame:
-    """Chunks with batch_no; `is_oversized` marks those that fill a batch alone."""
+    """Chunks with batch_no; `is_oversized` marks those that fill a batch alone. character_count is what a chunk takes of a
+    batch: its text, or the size of all that is sent (`json_size`)."""
     if not 1 <= most <= 5 or most_characters <= 0:
         raise ValueError("a batch holds 1 to 5 chunks and some characters")
     out = fold(chunks.select("doc_id", "chunk_no", "character_count"), ["doc_id"], ["chunk_no"], ["character_count"], batch_step(most, most_characters), "batch_no")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .documents import answer_differences
 
 #: The topics in output order, and the version of the list.
 TOPICS = (
@@ -54,6 +55,42 @@ def topic_map(groups: DataFrame) -> DataFrame:
     return groups.withColumn("group_ord", F.row_number().over(order) - 1)
 
 
+def enriched(groups: DataFrame, items: DataFrame) -> DataFrame:
+    """Groups with where they come from: source_chunks (the chunks that own what they cite, in order), evidence_pages and
+    context_pages (sorted). `groups`: doc_id, topic, group_id, evidence, context; `items`: doc_id, pos, chunk_no, page."""
+    key = ["doc_id", "topic", "group_id"]
+    cited = groups.select(*key, F.explode(F.concat(_in_role("evidence"), _in_role("context"))).alias("c")).select(*key, "c.role", "c.pos")
+    known = cited.join(items.select("doc_id", "pos", "chunk_no", "page"), ["doc_id", "pos"])
+    pages = lambda role: F.array_sort(F.collect_set(F.when(F.col("role") == role, F.col("page")))).alias(f"{role}_pages")
+    found = known.groupBy(*key).agg(F.array_sort(F.collect_set("chunk_no")).alias("source_chunks"), pages("evidence"), pages("context"))
+    return groups.join(found, key, "left")
+
+
+def saved_differences(saved: DataFrame, items: DataFrame) -> DataFrame:
+    """Saved groups (doc_id, chunk_no, topic, group_id, evidence, context, source_chunks, evidence_pages, context_pages) whose
+    derived fields are not what their citations give, and what these give instead, with `side`. Only the citations are taken
+    from the saved rows; everything else is made anew."""
+    own = ["doc_id", "topic", "group_id", "source_chunks", "evidence_pages", "context_pages"]
+    plain = identified(saved.select("doc_id", "chunk_no", "topic", "evidence", "context"))
+    return answer_differences(saved.select(*own).distinct(), enriched(plain, items).select(*own))
+
+
+def map_violations(mapped: DataFrame) -> DataFrame:
+    """rule, doc_id, topic, group_id of a topic map (doc_id, topic, group_id, group_ord, evidence, context): unknown topics,
+    groups of another identity than their citations give, groups that are repeated, and those that stand before an earlier
+    one of the document."""
+    rule = lambda frame, name: frame.select(F.lit(name).alias("rule"), "doc_id", "topic", "group_id")
+    again = identified(mapped.select("doc_id", F.lit(0).alias("chunk_no"), "topic", "evidence", "context")).select("doc_id", "topic", "group_id")
+    place = F.struct(F.array_sort("evidence"), F.array_sort("context"))
+    ordered = mapped.withColumn("place", place).withColumn("before", F.lag("place").over(Window.partitionBy("doc_id", "topic").orderBy("group_ord")))
+    return (
+        rule(mapped.where(~F.col("topic").isin(*TOPICS)), "unknown_topic")
+        .unionByName(rule(mapped.join(again, ["doc_id", "topic", "group_id"], "left_anti"), "other_identity"))
+        .unionByName(rule(mapped.groupBy("doc_id", "topic", "group_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated_group"))
+        .unionByName(rule(ordered.where("place < before"), "out_of_order"))
+    )
+
+
 def unclassified(chunks: DataFrame, groups: DataFrame) -> DataFrame:
     return chunks.join(groups.select("doc_id", "chunk_no").distinct(), ["doc_id", "chunk_no"], "left_anti")
 

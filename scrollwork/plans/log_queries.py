@@ -283,7 +283,7 @@ ORACLES = {
     "cas_conflicts": f"{_DECISIONS} SELECT c_custkey AS fact_id, c_custkey % 16 AS expected, coalesce(current, 0) AS current, c_custkey % 16 = coalesce(current, 0) AND c_custkey % 9 <> 0 AS accepted FROM customer LEFT JOIN current ON fact_id = c_custkey",
     "cas_applied": f"{_DECISIONS}, new AS (SELECT c_custkey AS fact_id, coalesce(current, 0) + 1 AS revision FROM customer LEFT JOIN current ON fact_id = c_custkey WHERE c_custkey % 16 = coalesce(current, 0) AND c_custkey % 9 <> 0) SELECT fact_id, max(revision) AS revision FROM (SELECT * FROM new UNION ALL SELECT fact_id, revision FROM decisions) GROUP BY fact_id",
     "review_progress": f"""{_DECISIONS}, last AS (SELECT d.* FROM decisions d JOIN current c ON c.fact_id = d.fact_id AND c.current = d.revision)
-        SELECT count(*) AS n_facts, count(*) FILTER (WHERE decision IN ('approved', 'edited', 'rejected')) AS n_reviewed, count(*) FILTER (WHERE decision IN ('approved', 'edited')) AS n_approved,
+        SELECT count(*) AS n_facts, count(*) FILTER (WHERE decision IN ('approved', 'edited', 'rejected')) AS n_reviewed, count(*) FILTER (WHERE decision IN ('approved', 'edited')) AS n_approved, count(*) FILTER (WHERE decision = 'skipped') AS n_skipped,
           100 * count(*) FILTER (WHERE decision IN ('approved', 'edited', 'rejected')) // count(*) AS percent FROM customer LEFT JOIN last ON fact_id = c_custkey""",
     "annotation_upgrade": f"""SELECT doc_id, CASE WHEN quality <> 1 THEN '' WHEN doc_id % 2 = 0 THEN '{_OLD}' ELSE '{",".join(TOPICS)}' END AS reviewed_topics,
         CASE WHEN toxic = 1 THEN 'contract_definitions,covenants' ELSE 'contract_definitions,covenants,default_and_remedies' END AS topics FROM labels""",

@@ -60,6 +60,43 @@ def run(items: DataFrame, classify: Callable[[DataFrame, DataFrame], tuple[DataF
     }
 
 
+def specialist(packets: DataFrame, ask: Callable[[DataFrame], DataFrame], judge: Callable[[DataFrame], DataFrame], most: int = 2) -> DataFrame:
+    """Answers of a model about packets (key, evidence: an array), each asked again with what was wrong, at most `most` times:
+    key, answer, attempts, problem (`no_evidence`: not asked at all; else the last one, or null).
+
+    `ask(packets)` gets key, evidence, attempt and feedback (null at first) and gives key and answer; `judge(answers)` gives
+    key and problem for the answers that are wrong. Each round is one pass over the packets that are still open, written down
+    so that no model is asked twice for it.
+    """
+    if most < 1:
+        raise ValueError("a model is asked at least once")
+    text = F.lit(None).cast("string")
+    done = [packets.where(F.coalesce(F.size("evidence"), F.lit(0)) <= 0).select("key", text.alias("answer"), F.lit(0).alias("attempts"), F.lit("no_evidence").alias("problem"))]
+    open_packets = packets.where(F.size("evidence") > 0).withColumn("feedback", text)
+    for attempt in range(1, most + 1):
+        answers = checkpointed(ask(open_packets.withColumn("attempt", F.lit(attempt))).select("key", "answer"))
+        wrong = judge(answers).groupBy("key").agg(F.min("problem").alias("problem"))
+        judged = checkpointed(open_packets.select("key").join(answers, "key", "left").join(wrong, "key", "left").withColumn("problem", F.when(F.col("answer").isNull(), F.coalesce("problem", F.lit("no_answer"))).otherwise(F.col("problem"))))
+        last = attempt == most
+        done.append(judged.where(F.lit(last) | F.col("problem").isNull()).select("key", "answer", F.lit(attempt).alias("attempts"), "problem"))
+        open_packets = open_packets.drop("feedback").join(judged.where("problem IS NOT NULL").select("key", F.col("problem").alias("feedback")), "key")
+    out = done[0]
+    for frame in done[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The rows, written to the session's checkpoint folder."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            raise ValueError("spark.checkpoint.dir names a folder that all executors share")
+        context.setCheckpointDir(folder)
+    return frame.checkpoint()
+
+
 def not_implemented(spark, name: str) -> DataFrame:
     """The party extraction that is only announced: its result says so."""
     return spark.createDataFrame([(name, "not_implemented")], "document_name string, status string").withColumns({c: F.array().cast("array<string>") for c in ("borrowers", "lenders", "errors")})

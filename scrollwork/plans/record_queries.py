@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import catalog, identity, inputs, routes, topics
+from ..operators import catalog, extraction, identity, inputs, reviews, routes, topics
 from .adapters import ITEMS, LOG, items, log, table
 from .topic_queries import _GROUPS, _PLAIN, ASKED, _groups, _scope, chunks, classified
 
@@ -175,10 +175,79 @@ def legacy_labels(spark: SparkSession, d: str) -> DataFrame:
     return inputs.legacy_normalized(right, scope).select("doc_id", "chunk_no", "topic", "topic_ord", F.array_join("cited", ",").alias("cited"))
 
 
+def extracted(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Terms of documents of twenty customers: customers are parties, suppliers relate those of their number, orders are
+    facilities, lines their interest. Faults by number."""
+    c, s, o, li = (table(spark, d, n) for n in ("customer", "supplier", "orders", "lineitem"))
+    k, text = F.col("c_custkey"), lambda n: F.concat(F.lit("#/texts/"), n.cast("string") if isinstance(n, Column) else F.lit(str(n)))
+    doc = lambda key: F.floor(key / 20)
+    none = F.array().cast("array<string>")
+    party = lambda key: F.concat(F.lit("p"), key.cast("string"))
+    cited = F.when(k % 53 == 0, none).when(k % 59 == 0, F.array(text(99))).when(k % 47 == 0, F.array(text(1), text(1))).otherwise(F.array(text(k % 5)))
+    roles = F.when(k % 61 == 0, F.array(F.lit("Lender"), F.lit(" lender "))).when(k % 67 == 0, F.array(F.lit("Holding  Company"))).when(k % 2 == 0, F.array(F.lit("LENDER"))).otherwise(F.array(F.lit("Borrower"), F.lit("Agent")))
+    parties = c.select(doc(k).alias("doc_id"), party(F.when(k % 97 == 0, k - 1).otherwise(k)).alias("party_id"), F.when(k % 89 == 0, F.concat(F.lit("  CUSTOMER "), (k - 1).cast("string"))).otherwise(F.concat(F.lit("Customer "), k.cast("string"))).alias("name"), roles.alias("roles"), cited.alias("evidence"))
+    n = F.col("s_suppkey")
+    relations = s.select(doc(n).alias("doc_id"), party(n).alias("parent"), F.when(n % 31 == 0, party(n)).when(n % 37 == 0, F.lit("q")).when(n % 20 == 19, party(n - 19)).otherwise(party(n + 1)).alias("child"), F.array(text(0)).alias("evidence"))
+    relations = relations.unionByName(relations.where("parent LIKE '%3'"))
+    q, cust = F.col("o_orderkey"), F.col("o_custkey")
+    bare = lambda m: F.when(q % m == 0, none).otherwise(F.array(text(2)))
+    facilities = o.select(doc(cust).alias("doc_id"), F.concat(F.lit("f"), F.when(q % 400 == 1, q - 1).otherwise(q).cast("string")).alias("facility_id"), bare(7).alias("evidence"), bare(14).alias("amount_evidence"), F.when(q % 3 == 0, "missing").otherwise("supported").alias("amount_status"))
+    commitments = o.where(q % 5 == 0).select(doc(cust).alias("doc_id"), F.concat(F.lit("f"), q.cast("string")).alias("facility_id"), party(cust).alias("lender"), F.array(text(3)).alias("evidence"))
+    lk, number = F.col("l_orderkey"), F.col("l_partkey") % 12
+    lines = li.join(o.select(q.alias("l_orderkey"), doc(cust).alias("doc_id")), "l_orderkey")
+    fixed = F.struct(F.lit("fixed").alias("kind"), F.lit(5.0).alias("fixed_rate"), F.lit(None).cast("double").alias("benchmark_rate"), F.lit(None).cast("double").alias("margin_rate"), F.lit(None).cast("double").alias("floor_rate"), F.array(text(4)).alias("evidence"))
+    floating = F.struct(F.lit("benchmark_plus_margin").alias("kind"), F.lit(None).cast("double").alias("fixed_rate"), F.lit(0.1).alias("benchmark_rate"), F.lit(0.2).alias("margin_rate"), F.when(number == 7, 0.5).alias("floor_rate"), F.array(text(4)).alias("evidence"))
+    interest = lines.select(
+        "doc_id", F.concat_ws("-", lk, "l_linenumber", "l_partkey", "l_suppkey").alias("key"), F.concat(F.lit("f"), F.when(number == 1, -lk).otherwise(lk).cast("string")).alias("facility_id"), F.array(text(4)).alias("evidence"),
+        F.when((number == 2) | (number >= 6), "floating").otherwise("fixed").alias("rate_type"), F.when((number >= 6) & (number != 8), 0.2).alias("margin_rate"), F.when(number == 7, 0.5).alias("floor_rate"),
+        F.when(number == 3, None).when(number >= 6, floating).otherwise(fixed).alias("calculation"),
+        F.when(number == 4, 5.5).when(number == 5, None).when(number == 7, 0.7).when(number >= 6, 0.3).otherwise(5.0).alias("total"),
+        F.when(number == 5, "missing_inputs").when(number == 9, "missing").when(number == 10, "guessed").otherwise("supported").alias("total_status"), F.when(number == 11, F.array(F.lit("margin"))).otherwise(none).alias("missing_inputs"),
+    )
+    allowed = c.select(doc(k).alias("doc_id")).distinct().select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(4)), text)).alias("item_id"))
+    return {"parties": parties, "relations": relations, "facilities": facilities, "commitments": commitments, "interest": interest}, allowed
+
+
+def extraction_breaches(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.extraction_violations(*extracted(spark, d)).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+def annotation_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Every line of every fifth document is annotated; wrong in many ways."""
+    own, k, pos = items(spark, d).where("doc_id % 5 = 0"), F.col("doc_id") / 5, F.col("pos")
+    two = F.array(F.lit("covenants"), F.lit("parties_and_roles"))
+    incoming = own.select("doc_id", F.when((k % 9 == 1) & (pos == 0), "#/texts/x").otherwise(F.col("item_id")).alias("item_id"), F.when(k % 9 == 2, F.array(F.lit("covenants"), F.lit("covenants"))).when(k % 9 == 3, F.array(F.lit("weather"))).otherwise(two).alias("topics"), F.when(k % 9 == 4, F.repeat(F.lit("x"), 4001)).otherwise("").alias("notes"), F.when(k % 9 == 5, -1).when(k % 9 == 6, pos).otherwise(pos % 3).alias("expected"))
+    incoming = incoming.unionByName(incoming.where((k % 9 == 7) & (pos == 0)))
+    current = own.where("pos % 3 > 0").select("doc_id", "item_id", (pos % 3).alias("revision"))
+    return reviews.annotation_problems(incoming, current, own, topics.TOPICS).select("doc_id", "item_id", "problem")
+
+
+def group_provenance(spark: SparkSession, d: str) -> DataFrame:
+    held = items(spark, d).select("doc_id", "pos", F.floor(F.col("pos") / 8).cast("int").alias("chunk_no"), "page")
+    found = topics.enriched(_groups(spark, d), held)
+    return found.select("doc_id", "topic", "group_id", *[F.array_join(c, ",").alias(c) for c in ("source_chunks", "evidence_pages", "context_pages")])
+
+
+def map_violations(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id") % 20
+    mapped = topics.topic_map(_groups(spark, d)).select("doc_id", "topic", "group_id", "group_ord", "evidence", "context")
+    mapped = mapped.withColumn("group_ord", F.when(k == 1, -F.col("group_ord")).otherwise(F.col("group_ord"))).withColumn("group_id", F.when(k == 2, F.concat("group_id", F.lit("0"))).otherwise(F.col("group_id")))
+    return topics.map_violations(mapped.unionByName(mapped.where(k == 3)))
+
+
+def cache_problems(spark: SparkSession, d: str) -> DataFrame:
+    k, sha = F.col("doc_id") % 10, F.concat(F.lit("s"), "doc_id")
+    docs, names = table(spark, d, "documents"), F.array(F.lit("a.json"), F.lit("b.md"))
+    wanted = docs.select(sha.alias("sha"), F.lit("p").alias("profile"), F.lit(2).alias("version"))
+    manifests = docs.where(k != 1).select(sha.alias("sha"), F.when(k == 3, "x").otherwise(sha).alias("source_sha"), F.when(k == 2, "running").otherwise("completed").alias("status"), F.when(k == 4, "q").otherwise("p").alias("profile"), F.when(k != 5, 2).alias("version"), F.when(k == 6, F.array(F.lit("a.json"))).when(k == 0, F.reverse(names)).otherwise(names).alias("names"), names.alias("expected_names"))
+    files = docs.select(sha.alias("sha"), F.explode(names).alias("name"), k.alias("k")).where("NOT (k = 7 AND name = 'b.md')").select("sha", "name", F.when((F.col("k") == 8) & (F.col("name") == "a.json"), 0).otherwise(5).alias("length"))
+    return inputs.cache_problems(wanted, manifests, files).select("sha", "problem")
+
+
 _CASES = lambda pairs, column: f"{[p or '' for _, p in pairs]}[{column} % {len(pairs)} + 1]"
 _MODELS = [*routes.ROUTES, "unheard-of"]
 
-QUERIES = {f.__name__: f for f in (annotation_passages, catalog_changes, topic_map_problems, selection_differences, evidence_problems, priced_calls, settings_problems, run_sources, reference_problems, position_problems, manifest_mode_problems, legacy_violations, legacy_labels)}
+QUERIES = {f.__name__: f for f in (annotation_passages, catalog_changes, topic_map_problems, selection_differences, evidence_problems, priced_calls, settings_problems, run_sources, reference_problems, position_problems, manifest_mode_problems, legacy_violations, legacy_labels, extraction_breaches, annotation_problems, group_provenance, map_violations, cache_problems)}
 
 ORACLES = {
     "annotation_passages": f"""WITH {ITEMS}, p AS (SELECT doc_id, pos AS ord, item_id, CASE pos % 5 WHEN 1 THEN ' ' WHEN 3 THEN '> ' || text ELSE text END AS text, CASE WHEN pos % 7 <> 0 THEN label ELSE 'text' END AS label FROM items)
@@ -213,4 +282,39 @@ ORACLES = {
     "legacy_labels": f"""WITH {ITEMS}, {_PLAIN}, l AS (SELECT doc_id, chunk_no, topic, unnest(evidence) AS pos FROM classified WHERE doc_id % 20 NOT IN (4, 6)),
         e AS (SELECT * FROM l UNION SELECT doc_id, chunk_no, split_part(topic, '.', 1), pos FROM l WHERE topic LIKE '%.%')
         SELECT doc_id, chunk_no, topic, list_position({list(topics.TOPICS)}, topic) - 1 AS topic_ord, string_agg('#/texts/' || pos, ',' ORDER BY pos) AS cited FROM e GROUP BY ALL""",
+    "extraction_breaches": """WITH RECURSIVE p AS (SELECT c_custkey // 20 AS doc, c_custkey AS k, CASE WHEN c_custkey % 97 = 0 THEN c_custkey - 1 ELSE c_custkey END AS id, CASE WHEN c_custkey % 89 = 0 THEN c_custkey - 1 ELSE c_custkey END AS name,
+            CASE WHEN c_custkey % 61 = 0 THEN 'twice' WHEN c_custkey % 67 = 0 THEN 'company' WHEN c_custkey % 2 = 0 THEN 'lender' ELSE 'other' END AS role FROM customer),
+        lenders AS (SELECT DISTINCT doc, id FROM p WHERE role IN ('lender', 'twice')),
+        s1 AS (SELECT s_suppkey // 20 AS doc, s_suppkey AS parent, CASE WHEN s_suppkey % 31 = 0 THEN s_suppkey WHEN s_suppkey % 37 = 0 THEN -1 WHEN s_suppkey % 20 = 19 THEN s_suppkey - 19 ELSE s_suppkey + 1 END AS child FROM supplier),
+        e AS (SELECT DISTINCT doc, parent, child FROM s1 WHERE parent <> child),
+        reach AS (SELECT doc, parent AS start, child AS node FROM e UNION SELECT r.doc, r.start, e.child FROM reach r JOIN e ON e.doc = r.doc AND e.parent = r.node),
+        o AS (SELECT o_orderkey AS q, o_custkey AS c, o_custkey // 20 AS doc, CASE WHEN o_orderkey % 400 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS f FROM orders),
+        i AS (SELECT l_partkey % 12 AS n, l_orderkey AS q, o.doc FROM lineitem JOIN o ON o.q = l_orderkey),
+        found AS (
+          SELECT 'no_citation' AS rule, count(*) AS n FROM p WHERE k % 53 = 0 UNION ALL SELECT 'no_citation', count(*) FROM o WHERE q % 14 = 0 AND q % 3 <> 0
+          UNION ALL SELECT 'unknown_citation', count(DISTINCT (doc, id)) FROM p WHERE k % 59 = 0 AND k % 53 <> 0 UNION ALL SELECT 'unknown_citation', count(*) FROM (SELECT DISTINCT doc, parent, child FROM s1) WHERE doc NOT IN (SELECT doc FROM p)
+          UNION ALL SELECT 'repeated_citation', count(*) FROM p WHERE k % 47 = 0 AND k % 53 <> 0 AND k % 59 <> 0
+          UNION ALL SELECT 'repeated_party', count(*) FROM (SELECT 1 FROM p GROUP BY doc, id HAVING count(*) > 1) UNION ALL SELECT 'repeated_name', count(*) FROM (SELECT 1 FROM p GROUP BY doc, name HAVING count(*) > 1)
+          UNION ALL SELECT 'repeated_role', count(*) FROM p WHERE role = 'twice' UNION ALL SELECT 'corporate_role', count(*) FROM p WHERE role = 'company'
+          UNION ALL SELECT 'unknown_party', count(DISTINCT (doc, node)) FROM (SELECT doc, parent AS node FROM s1 UNION ALL SELECT doc, child FROM s1) x WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.doc = x.doc AND p.id = x.node)
+          UNION ALL SELECT 'self_relation', count(*) FROM s1 WHERE parent = child UNION ALL SELECT 'repeated_relation', count(*) FROM s1 WHERE parent % 10 = 3
+          UNION ALL SELECT 'circle', count(*) FROM reach WHERE start = node
+          UNION ALL SELECT 'repeated_facility', count(*) FROM (SELECT 1 FROM o GROUP BY doc, f HAVING count(*) > 1)
+          UNION ALL SELECT 'facility_without_evidence', count(*) FROM o WHERE q % 14 = 0 AND NOT EXISTS (SELECT 1 FROM o x WHERE x.q % 5 = 0 AND x.doc = o.doc AND x.q = o.f)
+          UNION ALL SELECT 'no_lender', count(*) FROM o WHERE q % 5 = 0 AND NOT EXISTS (SELECT 1 FROM lenders l WHERE l.doc = o.doc AND l.id = o.c)
+          UNION ALL SELECT 'kind_differs', count(*) FROM i WHERE n = 2 UNION ALL SELECT 'inputs_differ', count(*) FROM i WHERE n = 8 UNION ALL SELECT 'total_mismatch', count(*) FROM i WHERE n = 4
+          UNION ALL SELECT 'total_without_calculation', count(*) FROM i WHERE n = 3
+          UNION ALL SELECT 'unknown_facility', count(*) FROM i WHERE n = 1 OR NOT EXISTS (SELECT 1 FROM o WHERE o.doc = i.doc AND o.f = i.q)
+          UNION ALL SELECT 'unknown_status', count(*) FROM i WHERE n = 10 UNION ALL SELECT 'supported_without_total', count(*) FROM i WHERE n = 11
+          UNION ALL SELECT 'unavailable_with_total', count(*) FROM i WHERE n = 9 UNION ALL SELECT 'missing_without_name', count(*) FROM i WHERE n = 5)
+        SELECT rule, CAST(sum(n) AS BIGINT) AS n FROM found GROUP BY rule HAVING sum(n) > 0""",
+    "annotation_problems": f"""WITH {ITEMS}, a AS (SELECT doc_id, doc_id // 5 % 9 AS k, pos, CASE WHEN doc_id // 5 % 9 = 1 AND pos = 0 THEN '#/texts/x' ELSE item_id END AS item_id FROM items WHERE doc_id % 5 = 0),
+        b AS (SELECT * FROM a UNION ALL SELECT * FROM a WHERE k = 7 AND pos = 0)
+        SELECT doc_id, item_id, CASE WHEN k = 1 AND pos = 0 THEN 'unknown_passage' WHEN k IN (2, 3) THEN 'bad_topics' WHEN k = 5 THEN 'bad_revision' WHEN k = 4 THEN 'long_notes' WHEN k = 7 AND pos = 0 OR k = 6 AND pos <> pos % 3 THEN 'conflict' END AS problem FROM b""",
+    "group_provenance": f"""{_GROUPS}, c AS (SELECT doc_id, topic, group_id, 'e' AS role, unnest(evidence) AS pos FROM groups UNION ALL SELECT doc_id, topic, group_id, 'c', unnest(context) FROM groups)
+        SELECT doc_id, topic, group_id, array_to_string(list_sort(list(DISTINCT c.pos // 8)), ',') AS source_chunks, coalesce(array_to_string(list_sort(list(DISTINCT page) FILTER (WHERE role = 'e' AND page IS NOT NULL)), ','), '') AS evidence_pages,
+          coalesce(array_to_string(list_sort(list(DISTINCT page) FILTER (WHERE role = 'c' AND page IS NOT NULL)), ','), '') AS context_pages FROM c JOIN items i USING (doc_id, pos) GROUP BY doc_id, topic, group_id""",
+    "map_violations": f"""{_GROUPS} SELECT 'out_of_order' AS rule, doc_id, topic, group_id FROM (SELECT *, max(group_ord) OVER (PARTITION BY doc_id, topic) AS z FROM mapped) WHERE doc_id % 20 = 1 AND group_ord < z
+        UNION ALL SELECT 'other_identity', doc_id, topic, group_id || '0' FROM mapped WHERE doc_id % 20 = 2 UNION ALL SELECT 'repeated_group', doc_id, topic, group_id FROM mapped WHERE doc_id % 20 = 3""",
+    "cache_problems": "SELECT 's' || doc_id AS sha, CASE doc_id % 10 WHEN 1 THEN 'no_manifest' WHEN 2 THEN 'not_completed' WHEN 3 THEN 'other_source' WHEN 4 THEN 'other_profile' WHEN 5 THEN 'other_version' WHEN 6 THEN 'other_names' WHEN 7 THEN 'missing_file' WHEN 8 THEN 'missing_file' END AS problem FROM documents",
 }

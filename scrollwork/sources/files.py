@@ -19,11 +19,15 @@ SNAPSHOT_NAME = r"^([A-D]\d{0,2}(?:\.\d)?)-([a-z-]+)-([0-9a-f-]+)\.json$"
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files under a path with format, SHA-256 and why a file is not accepted (null: it is). Spark's readers leave empty
-    files out."""
+    """Files under a path with format, SHA-256 and why a file is not accepted (null: it is). Spark's readers leave empty files
+    out, so these come from the list of files."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    empty = [(name, 0, b"") for name, size in logs.file_sizes(path).items() if not size]
+    if empty:
+        none = spark.createDataFrame(empty, "path string, length long, content binary").withColumn("modificationTime", F.lit(None).cast("timestamp"))
+        raw = raw.unionByName(none)
     form = F.lower(F.element_at(F.split("path", r"\."), -1))
-    problem = F.when(~form.isin(*FORMATS), "unknown format")
+    problem = F.when(~form.isin(*FORMATS), "unknown format").when(F.col("length") == 0, "empty")
     return raw.select("path", "length", "modificationTime", "content", form.alias("format"), F.sha2("content", 256).alias("sha"), problem.alias("problem"))
 
 

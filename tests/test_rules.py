@@ -144,7 +144,7 @@ def test_files_and_gzip(spark, tmp_path):
     (tmp_path / "d.txt").write_bytes(b"x")
     (tmp_path / "e.pdf").write_bytes(b"")
     got = {r["path"][-6:]: r for r in files.unzipped(files.read_files(spark, str(tmp_path))).collect()}
-    assert {k: r["problem"] for k, r in got.items()} == {"a.html": None, "/b.htm": None, "/c.htm": "corrupt gzip", "/d.txt": "unknown format"}
+    assert {k: r["problem"] for k, r in got.items()} == {"a.html": None, "/b.htm": None, "/c.htm": "corrupt gzip", "/d.txt": "unknown format", "/e.pdf": "empty"}
     assert bytes(got["/b.htm"]["content"]) == page
     assert html.html_items(page.decode()) == [("title", None, "A & B"), ("section_header", 2, "Head"), ("text", None, "one"), ("text", None, "two"), ("list_item", None, "x")]
 
