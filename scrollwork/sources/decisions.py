@@ -7,7 +7,6 @@ rows that a lost writer has left behind are in no version.
 
 from __future__ import annotations
 
-import os
 import re
 import uuid
 
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reviews import decision_problems, recorded
+from .shared import create_once, names_in, read_text
 
 SCHEMA = "fact_id string, document_id string, revision long, decision string, field string, value string, value_status string, notes string, is_added boolean, source_sha string, draft_sha string, approved_for_reference boolean, evidence_validation string"
 
@@ -29,8 +29,8 @@ class DecisionStore:
 
     def versions(self) -> list[str]:
         """Folders of rows that count, in order of their versions: version n is what the nth entry names."""
-        names = sorted(n for n in _names(self.spark, self.log) if re.fullmatch(r"\d{10}", n))
-        return [_read(self.spark, f"{self.log}/{n}") for n in names]
+        names = sorted(n for n in names_in(self.spark, self.log) if re.fullmatch(r"\d{10}", n))
+        return [read_text(self.spark, f"{self.log}/{n}") for n in names]
 
     def decisions(self, versions: list[str] | None = None) -> DataFrame:
         """All revisions of all facts."""
@@ -53,55 +53,5 @@ class DecisionStore:
             folder = f"{len(versions) + 1:010d}-{uuid.uuid4().hex}"
             judged = self.judged(incoming, versions)
             recorded(judged.where("problem IS NULL"), self.drafts, self.documents).write.parquet(f"{self.path}/rows/{folder}")
-            if self.spark.read.parquet(f"{self.path}/rows/{folder}").isEmpty() or _create(self.spark, f"{self.log}/{len(versions) + 1:010d}", folder):
+            if self.spark.read.parquet(f"{self.path}/rows/{folder}").isEmpty() or create_once(self.spark, f"{self.log}/{len(versions) + 1:010d}", folder):
                 return judged
-
-
-def _is_local(path: str) -> bool:
-    return "://" not in path and not path.startswith("file:")
-
-
-def _file_system(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    if _is_local(folder):
-        return os.listdir(folder) if os.path.isdir(folder) else []
-    at, system = _file_system(spark, folder)
-    return [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
-
-
-def _read(spark: SparkSession, path: str) -> str:
-    if _is_local(path):
-        with open(path, encoding="ascii") as f:
-            return f.read()
-    return "".join(r[0] for r in spark.read.text(path).collect())
-
-
-def _create(spark: SparkSession, path: str, text: str) -> bool:
-    """Creates a file with this text; False if there is one. Elsewhere than on a local disk the file system must refuse to
-    create what exists, as HDFS does."""
-    if _is_local(path):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        aside = f"{os.path.dirname(path)}/.{uuid.uuid4().hex}"
-        with open(aside, "x", encoding="ascii") as f:
-            f.write(text)
-        try:
-            os.link(aside, path)  # whole at once, and only if there is none
-        except FileExistsError:
-            return False
-        finally:
-            os.unlink(aside)
-        return True
-    at, system = _file_system(spark, path)
-    try:
-        out = system.create(at, False)
-    except Exception:
-        if system.exists(at):
-            return False
-        raise
-    out.write(bytearray(text.encode()))
-    out.close()
-    return True
