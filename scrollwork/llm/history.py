@@ -3,8 +3,11 @@
 Runs are Parquet tables of window fingerprints (two 64-bit hashes, as in `substrings`), sorted and never changed. A new
 batch's fingerprints are merge-joined with all runs; a window goes if a run has it or if it starts earlier in the batch.
 What is new becomes a run, and the last two runs are compacted while the newer one has at least half the rows of the
-older. A run's name says which batches it holds, and a run whose batches another one holds too is ignored, so whatever
-a lost job leaves behind does no harm: the batch is added again.
+older. A run counts once a small file says where its rows are; the file's name says which batches it holds, and one whose batches
+another one holds too is ignored, so whatever a lost job leaves behind does no harm: the batch is added again. Only one
+writer can create such a file, so of two that add batches at once the slower one is held against the other's run before it
+is tried again; no batch is lost, and none misses the windows of one before it. A compaction takes its two runs away: a job
+that still reads them fails and is to be started again.
 
 Every window of a batch is shuffled here, unlike in `substrings`, where the whole corpus is at hand. A window that very
 many documents share is no hot key: its earliest place is found by a combined minimum, and the rest by an anti join on
@@ -15,6 +18,7 @@ Defined results: as in `substrings`, with batches in the order in which they wer
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import create_once, names_in, read_text, remove
 from .common import SPACED, spans_of_words, text_blocks, window_hashes, window_rows, word_hashes
 from .components import checkpointed
 from .substrings import _ROW, ROW, WINDOW, _keep_words, _rows, documents
@@ -47,45 +52,44 @@ class WindowHistory:
 
     def __init__(self, spark: SparkSession, path: str, window: int = WINDOW):
         self.spark, self.path, self.window = spark, path.rstrip("/"), window
-        self._hadoop = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        self._files = self._hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
     def runs(self) -> list[tuple[int, int]]:
         """First and last batch of each run in force, oldest first."""
-        if not self._files.exists(self._hadoop):
-            return []
-        names = [f.getPath().getName() for f in self._files.listStatus(self._hadoop)]
-        whole = [n for n in names if n.startswith("run-") and self._files.exists(self._at(f"{n}/_SUCCESS"))]
-        spans = [tuple(map(int, n.split("-")[1:])) for n in whole]
+        spans = [tuple(map(int, n.split("-")[1:])) for n in names_in(self.spark, self.path) if n.startswith("batches-")]
         return sorted(s for s in spans if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans))
 
-    def _at(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-
     def _name(self, span: tuple[int, int]) -> str:
-        return f"run-{span[0]:08d}-{span[1]:08d}"
+        return f"{self.path}/batches-{span[0]:08d}-{span[1]:08d}"
 
     def _read(self, span: tuple[int, int]) -> DataFrame:
-        return self.spark.read.schema("key long, check long").parquet(f"{self.path}/{self._name(span)}")
+        return self.spark.read.schema("key long, check long").parquet(f"{self.path}/rows/{read_text(self.spark, self._name(span))}")
 
-    def _write(self, keys: DataFrame, span: tuple[int, int]) -> None:
-        keys.select("key", "check").repartition("key").sortWithinPartitions("key", "check").write.mode("overwrite").parquet(f"{self.path}/{self._name(span)}")
+    def _write(self, keys: DataFrame, span: tuple[int, int]) -> bool:
+        """Whether these keys now are the run of these batches; another writer may have been faster."""
+        folder = uuid.uuid4().hex
+        keys.select("key", "check").repartition("key").sortWithinPartitions("key", "check").write.parquet(f"{self.path}/rows/{folder}")
+        if create_once(self.spark, self._name(span), folder):
+            return True
+        remove(self.spark, f"{self.path}/rows/{folder}")
+        return False
 
     def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """doc_id, n_words, n_removed and kept of each row of a batch, which becomes part of the history."""
         own = documents(docs, doc_id, text)
         windows = own.mapInArrow(_all_windows(self.window), ROW)
         earliest = windows.groupBy("key", "check").agg(F.min(F.struct("at", "twin", "pos")).alias("first")).select("key", "check", "first.*")
-        spans = self.runs()
-        for span in spans:
-            earliest = earliest.join(self._read(span), ["key", "check"], "left_anti")
-        fresh = checkpointed(earliest)
+        while True:
+            spans, new = self.runs(), earliest
+            for span in spans:
+                new = new.join(self._read(span), ["key", "check"], "left_anti")
+            fresh = checkpointed(new)
+            number = spans[-1][1] + 1 if spans else 0
+            if self._write(fresh, (number, number)):
+                break
         gone = windows.join(fresh, ["key", "check", "at", "twin", "pos"], "left_anti").groupBy("at", "twin")
         gone = gone.agg(F.collect_list(F.struct(F.col("pos").alias("start"), F.lit(self.window).cast("long").alias("n"))).alias("had"))
         texts = own.join(gone, ["at", "twin"], "left").select("id", "at", "twin", "text", "had")
         result = checkpointed(texts.mapInArrow(_keep_words, "doc_id long, n_words long, n_removed long, kept binary"))
-        number = spans[-1][1] + 1 if spans else 0
-        self._write(fresh, (number, number))
         self.compact()
         return result
 
@@ -98,4 +102,6 @@ class WindowHistory:
                 return
             self._write(old.unionByName(new), (a[0], b[1]))
             for span in (a, b):
-                self._files.delete(self._at(self._name(span)), True)
+                folder = f"{self.path}/rows/{read_text(self.spark, self._name(span))}"
+                remove(self.spark, self._name(span))
+                remove(self.spark, folder)

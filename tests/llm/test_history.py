@@ -1,6 +1,7 @@
 """Batches added one after another lose what one brute force over all of them removes."""
 
 import hashlib
+import threading
 
 from made_texts import edge_documents, prose
 
@@ -35,3 +36,32 @@ def test_a_run_left_behind_does_no_harm(spark, write, tmp_path):
     (tmp_path / "runs" / "run-00000004-00000004").mkdir()  # a run that was never finished
     assert index.runs() == [(0, 3)]
     assert index.add(table(spark, write([]), "documents")).count() == 0
+
+
+def test_of_two_writers_none_loses_a_batch(spark, write, tmp_path):
+    """Both look at the runs before either has written; the slower one is then held against the faster one's windows."""
+    shared = prose(7, 60)
+    docs = [(k, f"{shared} {prose(100 + k, 30)}") for k in range(6)]
+    tables = [table(spark, write(docs[:3]), "documents"), table(spark, write(docs[3:]), "documents")]
+    gate, looked, got = threading.Barrier(2), set(), {}
+
+    class Slow(history.WindowHistory):
+        def runs(self):
+            found = super().runs()
+            if threading.current_thread().name not in looked:
+                looked.add(threading.current_thread().name)
+                gate.wait(60)
+            return found
+
+    def add(k):
+        got[k] = {r["doc_id"]: r["n_removed"] for r in Slow(spark, str(tmp_path / "runs")).add(tables[k]).collect()}
+
+    threads = [threading.Thread(target=add, args=(k,), name=str(k)) for k in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    index = history.WindowHistory(spark, str(tmp_path / "runs"))
+    assert index.runs()[-1][1] == 1
+    first = 0 if got[0][0] == 0 else 1
+    assert [n for _, n in sorted(got[first].items())] == [0, 60, 60] and [n for _, n in sorted(got[1 - first].items())] == [60, 60, 60]
