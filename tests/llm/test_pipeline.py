@@ -1,6 +1,7 @@
 """The five stages on documents with planted cases."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -34,6 +35,31 @@ def test_stages(spark, write):
     assert sorted(map(tuple, whole.select("doc_id", "start", "length", "ids_crc32").collect())) == sorted(map(tuple, seen["packing"].select("doc_id", "start", "length", "ids_crc32").collect()))
 
 
+def test_stages_on_empty_tables(spark, nothing, write):
+    assert corpus_pipeline.run(spark, nothing).isEmpty()
+    # an empty benchmark takes nothing away
+    docs = [(k, prose(k, 80)) for k in range(1, 5)]
+    pieces = corpus_pipeline.run(spark, write(docs)).collect()
+    assert sorted({p["doc_id"] for p in pieces}) == [1, 2, 3, 4]
+
+
+def test_stages_on_edges(spark, edges):
+    """Null ids and texts, blank, repeated and long texts, and columns with the names that stages use inside."""
+    frame, seen = table(spark, edges, "documents"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns, n = frame.columns, frame.count()
+        frame = components.stored(stage(spark, frame, edges))
+        assert frame.columns == columns and frame.count() <= n
+        seen[name] = Counter(r["doc_id"] for r in frame.select("doc_id").collect())
+    assert not {2, 3, 4, 9} & set(seen["language"]) and seen["language"][1] == 2
+    # of the rows with one text the smallest id stays, once; another text under a null id stays
+    assert seen["near_dedup"][1] == 1 and seen["near_dedup"][None] == 1 and seen["near_dedup"][8] == 1
+    assert seen["decontaminate"] == seen["privacy"] == seen["near_dedup"]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, frame, edges).collect()
+    assert {p["doc_id"] for p in pieces} == set(seen["privacy"])
+    assert sum(p["length"] for p in pieces if p["doc_id"] == 8) == next(p["doc_tokens"] for p in pieces if p["doc_id"] == 8)
+
+
 def test_one_of_equal_rows_stays(spark, write):
     text = prose(1, 100)
     rows = [(1, text), (1, text), (2, text), (None, text), (None, "of its own, " + prose(2, 50)), (3, None), (3, "")]
