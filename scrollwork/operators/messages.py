@@ -33,6 +33,15 @@ def _kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
+def _is_object(value: Column) -> Column:
+    """Looks at the value itself and not, as a schema does, at all that it holds."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
+def _is_array(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>").isNotNull()
+
+
 def _at(value: Column, name: str) -> Column:
     return F.try_variant_get(value, f"$.{name}", "variant")
 
@@ -44,14 +53,14 @@ def _text(value: Column) -> Column:
 def _each(value: Column) -> Column:
     """Elements of an array. A field that is not there, and a string or object without content, have none; null for all else."""
     none = F.from_json(F.lit("[]"), "array<variant>")
-    empty = (_kind(value) == "STRING") & (_text(value) == "") | (_kind(value) == "OBJECT") & (F.to_json(value) == "{}")
-    return F.when(value.isNull(), none).when(_kind(value) == "ARRAY", F.try_variant_get(value, "$", "array<variant>")).when(empty, none)
+    empty = (_kind(value) == "STRING") & (_text(value) == "") | _is_object(value) & (F.to_json(value) == "{}")
+    return F.when(value.isNull(), none).when(_is_array(value), F.try_variant_get(value, "$", "array<variant>")).when(empty, none)
 
 
 def _joined(parts: Column, kind: str) -> Column:
     """The texts of the parts of a kind, one after another; null if a part is no object, or its text no string."""
     own = lambda p: F.coalesce((_kind(_at(p, "type")) == "STRING") & (_text(_at(p, "type")) == kind), F.lit(False))
-    wrong = lambda p: (_kind(p) != "OBJECT") | own(p) & F.coalesce(_kind(_at(p, "text")) != "STRING", F.lit(False))
+    wrong = lambda p: ~_is_object(p) | own(p) & F.coalesce(_kind(_at(p, "text")) != "STRING", F.lit(False))
     said = F.array_join(F.transform(F.filter(parts, own), lambda p: F.coalesce(_text(_at(p, "text")), F.lit(""))), "")
     return F.when(~F.exists(parts, wrong), said)
 
@@ -59,7 +68,7 @@ def _joined(parts: Column, kind: str) -> Column:
 def _outputs(parts: Column) -> Column:
     """The texts of all messages among the outputs; null if one is malformed."""
     said = lambda o: F.when((_kind(_at(o, "type")) == "STRING") & (_text(_at(o, "type")) == "message"), _joined(_each(_at(o, "content")), "output_text")).otherwise("")
-    texts = F.transform(parts, lambda o: F.when(_kind(o) == "OBJECT", said(o)))
+    texts = F.transform(parts, lambda o: F.when(_is_object(o), said(o)))
     return F.when(~F.exists(texts, F.isnull), F.array_join(texts, ""))
 
 
@@ -85,16 +94,16 @@ def response_text(style: Column, raw: Column) -> Column:
         content = F.when(_kind(_at(message, "content")) == "STRING", _text(_at(message, "content"))).otherwise("")
         chat = (
             F.when(nothing, problem("incomplete"))
-            .when((_kind(choices) != "ARRAY") | (_kind(choice) != "OBJECT"), malformed)
+            .when(~_is_array(choices) | ~_is_object(choice), malformed)
             .when(~finished, problem("incomplete"))
-            .when(message.isNotNull() & (_kind(message) != "OBJECT"), malformed)
+            .when(message.isNotNull() & ~_is_object(message), malformed)
             .otherwise(said(content))
         )
         reason = _at(v, "stop_reason")
         ended = F.coalesce((_kind(reason) == "STRING") & (_text(reason) == "end_turn"), F.lit(False))
         blocks = F.when(ended, said(_joined(_each(_at(v, "content")), "text"))).otherwise(problem("incomplete"))
         usage = _at(v, "usage")
-        whole = (_kind(v) == "OBJECT") & (usage.isNull() | (_kind(usage) == "OBJECT"))
+        whole = _is_object(v) & (usage.isNull() | _is_object(usage))
         by_style = F.when(style == STYLES[0], responses).when(style == STYLES[1], chat).otherwise(blocks)
         return F.when(~F.coalesce(style.isin(*STYLES), F.lit(False)), problem("unknown_style")).when(F.coalesce(whole, F.lit(False)), by_style).otherwise(malformed)
 
@@ -140,9 +149,10 @@ def _rendered(value: Column, dropped: tuple[str, ...], field: Callable[[Column],
     listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
     lead = lambda key: F.when(key.isNull(), "").otherwise(F.concat(_quoted(key), F.lit(": ")))
     parts = F.transform(F.coalesce(named, listed), lambda e: F.concat(lead(e["key"]), F.coalesce(field(e["key"]), _rendered(e["value"], dropped, field, whole, depth - 1))))
-    is_object = _kind(value) == "OBJECT"
-    nested = F.concat(F.when(is_object, "{").otherwise("["), F.array_join(parts, ", "), F.when(is_object, "}").otherwise("]"))
-    return F.when(_kind(value).isin("OBJECT", "ARRAY"), F.coalesce(whole(value), nested)).otherwise(F.coalesce(F.to_json(value), F.lit("null")))
+    # no parts at all: a plain value
+    marks = F.when(_is_object(value), F.lit("{}")).otherwise("[]")
+    nested = F.concat(F.substring(marks, 1, 1), F.array_join(parts, ", "), F.substring(marks, 2, 1))
+    return F.coalesce(whole(value), nested, F.to_json(value), F.lit("null"))
 
 
 def rendered(value: Column, dropped: tuple[str, ...] = (), field: Callable[[Column], Column] = _no, whole: Callable[[Column], Column] = _no, depth: int = DEPTH) -> Column:
@@ -159,7 +169,7 @@ def rendered(value: Column, dropped: tuple[str, ...] = (), field: Callable[[Colu
 def _without_thoughts(value: Column) -> Column:
     """What stands for a block of thoughts: its kind alone."""
     kind = _at(value, "type")
-    is_thought = (_kind(value) == "OBJECT") & (_kind(kind) == "STRING") & _text(kind).isin(*THOUGHT_BLOCKS)
+    is_thought = (_kind(kind) == "STRING") & _text(kind).isin(*THOUGHT_BLOCKS)
     return F.when(is_thought, F.concat(F.lit('{"omitted": true, "type": '), _quoted(_text(kind)), F.lit("}")))
 
 
