@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+def dealt(rows: DataFrame, *key: str) -> DataFrame:
+    """All rows of a key in one task, for work in Python that needs them there and cannot tell Spark so.
+
+    By a hash of the key: a repartition by the key itself is left out where the rows already lie by it, and AQE, which
+    knows of no need, may then read the branches of a union apart or split a large partition of a join.
+    """
+    return rows.repartition(F.xxhash64(*key))
+
+
 def fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], step: Callable, out: str, kind: str = "long") -> DataFrame:
     """`rows` with a column more: what `step(state, *inputs)` says for each row in order.
 
@@ -34,7 +43,7 @@ def fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], s
                 said.append(value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, arrow)], names=[*batch.schema.names, out])
 
-    return rows.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
+    return dealt(rows, *key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
 
 
 def by_document(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[pa.Scalar, list[tuple]]]:

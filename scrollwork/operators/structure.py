@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .folds import batch_step, by_document, expanded, fold, heading_step, pageless_step, paged_step
+from .folds import batch_step, by_document, dealt, expanded, fold, heading_step, pageless_step, paged_step
 from .messages import rendered
 from .terms import cyclic_parties
 
@@ -67,7 +67,7 @@ def walk(edges: DataFrame, root: str = "#/body", paths: bool = True) -> DataFram
                 columns = dict(zip(_KINDS, map(list, zip(*part, strict=True)), strict=True))
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc.as_py()] * len(part), doc.type), **{n: pa.array(c, _KINDS[n]) for n, c in columns.items()}})
 
-    return own.repartition("doc_id").sortWithinPartitions("doc_id", "parent_id", "child_pos", "child_id").mapInArrow(run, schema)
+    return dealt(own, "doc_id").sortWithinPartitions("doc_id", "parent_id", "child_pos", "child_id").mapInArrow(run, schema)
 
 
 def placed(items: DataFrame, tree: DataFrame) -> DataFrame:

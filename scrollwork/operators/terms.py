@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact
 from ..functions.text import normal_role
+from .folds import dealt
 
 #: Roles that name a kind of company, not a part in a contract.
 CORPORATE_ROLES = ("borrower_parent", "lender_parent", "parent", "child", "subsidiary", "holding_company")
@@ -123,7 +124,7 @@ def cyclic_parties(edges: DataFrame) -> DataFrame:
             yield settled()
 
     own = edges.where("parent <> child").select("doc_id", "parent", F.col("child").cast(kind).alias("child")).distinct()
-    return own.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, f"doc_id {edges.schema['doc_id'].dataType.simpleString()}, party {kind}")
+    return dealt(own, "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, f"doc_id {edges.schema['doc_id'].dataType.simpleString()}, party {kind}")
 
 
 def relationship_violations(edges: DataFrame) -> DataFrame:

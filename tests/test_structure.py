@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scrollwork.operators import structure as S
@@ -118,6 +119,23 @@ def test_groups_held_twice_are_entered_once(spark):
     assert {(r["rule"], r["item_id"]) for r in S.tree_violations(edges, nodes).collect()} == {("repeated", f"#/groups/{k}") for k in range(levels)} | {("repeated", "#/texts/0")}
 
 
+def test_walk_of_edges_whose_parts_are_read_apart(spark):
+    """Lines and lists already lie by document, and the few lists are read together where the many lines are not."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lines = spark.range(8000).selectExpr("id % 80 AS doc_id", "'#/groups/0' AS parent_id", "concat('#/texts/', id) AS child_id", "id AS child_pos", "false AS is_list")
+        lines = lines.withColumn("child_pos", F.row_number().over(Window.partitionBy("doc_id").orderBy("child_pos")).cast("long"))
+        lists = spark.range(80).selectExpr("id % 80 AS doc_id").groupBy("doc_id").agg(F.lit("#/body").alias("parent_id"), F.lit("#/groups/0").alias("child_id"), F.lit(0).cast("long").alias("child_pos"), F.lit(True).alias("is_list"))
+        met = S.walk(lines.unionByName(lists)).groupBy("doc_id").agg(F.count("list_key").alias("n")).collect()
+        assert len(met) == 80 and {r["n"] for r in met} == {101}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_units_fed_from_the_walk(spark):
     edges = spark.createDataFrame([(1, "#/body", "#/texts/2", 0, False), (1, "#/body", "#/groups/0", 1, True), (1, "#/groups/0", "#/texts/0", 0, False), (1, "#/groups/0", "#/groups/1", 1, True), (1, "#/groups/1", "#/texts/1", 0, False), (1, "#/body", "#/texts/3", 2, False)], EDGE + ", is_list boolean")
     own = items(spark, [("a", 1, None, "old"), ("b", 1, None, None), ("c", 1, None, None), ("d", 1, None, None), ("lost", 1, None, None)])
