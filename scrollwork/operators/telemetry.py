@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.money import valid_tokens
@@ -74,12 +74,18 @@ def batch_status(log: DataFrame) -> DataFrame:
     return last.groupBy("run_id").agg(*[F.sum(F.when(F.col("event") == e, 1).otherwise(0)).alias(f"n_{state}") for e, state in BATCH_STATES.items()])
 
 
+def _later(*key: str) -> WindowSpec:
+    """The messages of a key that come after one. From the last one back, as Spark carries an aggregate on only where its
+    rows grow from the start; towards the end it begins anew at every row."""
+    return Window.partitionBy(*key).orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def exchange_pairs(messages: DataFrame) -> DataFrame:
     """Each request with the first response after it and before the next request: key, request_seq, response_seq.
 
     `messages`: key, seq, role (request, response, or other). One window over the key, no join.
     """
-    after = Window.partitionBy("key").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+    after = _later("key")
     next_of = lambda r: F.min(F.when(F.col("role") == r, F.col("seq"))).over(after)
     looked = messages.where("role IN ('request', 'response')").select("key", "seq", "role", next_of("request").alias("next_request"), next_of("response").alias("next_response"))
     answered = F.when(F.col("next_response") < F.coalesce("next_request", F.lit(2**62)), F.col("next_response"))
@@ -99,7 +105,7 @@ def model_exchanges(messages: DataFrame, stages: tuple[str, ...] = EXCHANGES) ->
     messages = messages.withColumn("stage", owner).where(F.col("stage").isin(*stages))
 
     def looked(rows: DataFrame, key: list[str]) -> DataFrame:
-        after = Window.partitionBy("run_id", "stage", *key).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+        after = _later("run_id", "stage", *key)
         first = lambda r: F.min(F.when(F.col("role") == r, F.col("seq"))).over(after).alias(f"{r}_next")
         return rows.select("run_id", "seq", "role", "attempt_id", *map(first, ("request", "response", "error"))).where("role = 'request'")
 

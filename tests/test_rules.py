@@ -1,6 +1,7 @@
 """Topics, terms, logs, reviews and sources on rows written by hand."""
 
 import gzip
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,17 @@ def test_exchanges_interleave_by_attempt(spark):
     assert {tuple(r)[1:] for r in got} == {(0, 2, None), (1, 4, 3), (5, None, None)}
 
 
+def test_exchanges_of_a_long_run_take_time_in_proportion(spark):
+    """A hundred thousand messages with one key; looking through all later ones at each took minutes."""
+    n = 100_000
+    role = F.when(F.col("id") % 2 == 0, "request").otherwise("response")
+    long = spark.range(0, n, 1, 1).select(F.lit(1).alias("run_id"), F.col("id").alias("seq"), F.lit("B2").alias("stage"), role.alias("role"), F.lit("a").alias("attempt_id"), F.lit(1).alias("batch_id"), F.lit(1).alias("attempt"))
+    for found in (telemetry.model_exchanges(long), telemetry.exchange_pairs(long.select(F.lit(1).alias("key"), "seq", "role"))):
+        began = time.monotonic()
+        assert found.where("response_seq = request_seq + 1").count() == n // 2
+        assert time.monotonic() - began < 30
+
+
 def test_exchange_stops_at_the_next_request(spark):
     messages = spark.createDataFrame([(1, 0, "request"), (1, 1, "request"), (1, 2, "response"), (1, 3, "response")], "key int, seq int, role string")
     assert {r["request_seq"]: r["response_seq"] for r in telemetry.exchange_pairs(messages).collect()} == {0: None, 1: 2}
