@@ -60,6 +60,14 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
 
 
+def simhash(hashes: np.ndarray) -> int:
+    """64-bit SimHash: a bit is 1 if it is set in over half of the hashes."""
+    hashes, bits = hashes.astype(">u8"), np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        bits += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+
+
 def _each(texts: DataFrame, size: int, made, schema: str) -> DataFrame:
     """`made` of the sets of each batch of `texts` (text), as a record batch."""
 
@@ -81,15 +89,17 @@ def part_counts(shingles: np.ndarray) -> np.ndarray:
 
 
 def nodes_of(docs: DataFrame, size: int) -> DataFrame:
-    """node, n (its shingles), counts (of their parts) and least, the smallest key that has it, from `docs` (key, text)."""
+    """node, n (its shingles), counts (of their parts), fp (their SimHash, as a signed number) and least, the smallest key that
+    has it, from `docs` (key, text)."""
     kind = docs.schema["key"].dataType.simpleString()
 
     def made(part: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         counts = pa.array([part_counts(s).tobytes() for s in sets], pa.binary())
-        return pa.RecordBatch.from_arrays([part.column("key"), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), counts], names=["key", "node", "n", "counts"])
+        prints = pa.array(np.array([simhash(s) for s in sets], np.uint64).view(np.int64))
+        return pa.RecordBatch.from_arrays([part.column("key"), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int64()), counts, prints], names=["key", "node", "n", "counts", "fp"])
 
-    each = _each(docs, size, made, f"key {kind}, node long, n long, counts binary")
-    return each.groupBy("node").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("counts").alias("counts"))
+    each = _each(docs, size, made, f"key {kind}, node long, n long, counts binary, fp long")
+    return each.groupBy("node").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fp").alias("fp"))
 
 
 def asked_bits(nodes: DataFrame) -> np.ndarray:
@@ -253,11 +263,12 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) ->
     return pairs.join(a, "u").join(b, "v").where(9 * F.size(F.array_intersect("u_set", "v_set")) >= 4 * both).select("u", "v")
 
 
-def similar_components(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+def similar_components(texts: DataFrame, nodes: DataFrame, size: int, proposed: DataFrame) -> DataFrame:
     """(node, label) of every one of `nodes` (as `nodes_of` makes them of `texts`) that has a link: label is the
-    smallest node that links lead to."""
+    smallest node that links lead to. `proposed`: pairs (u, v) to verify that were found another way; the prefixes find all
+    that these leave out."""
     met = checkpointed(_by_key(prefixes(texts, size), ["key", "node", "mark"], _meet, "key long, u long, v long, mark long"))
-    links = checkpointed(verified(met.where("mark IS NULL").select("u", "v"), texts, nodes, size))
+    links = checkpointed(verified(met.where("mark IS NULL").select("u", "v").unionByName(proposed), texts, nodes, size))
     labels = label_components(links)
     many = met.where("mark IS NOT NULL").select("key", F.col("u").alias("node"), "mark")
     if many.isEmpty():

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import FOLD_ASCII, fresh, raw_texts, table, words_spaced
 from .components import checkpointed, label_components
-from .jaccard import nodes_of, similar_components
+from .jaccard import nodes_of, similar_components, simhash
 
 #: Words of a shingle for op5, and seed of its hash.
 SHINGLE, SEED = 4, 42
@@ -54,11 +54,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seeds: tuple[int, ...] = (S
         shingles = [joined[a:b] for a, b in zip(starts[: len(words) - size + 1].tolist(), (starts[size:] - 1).tolist(), strict=True)]
         digest = xxhash.xxh64_intdigest
         for k, seed in enumerate(seeds):
-            hashes = np.array([digest(s, seed) for s in shingles], ">u8")
-            bits = np.zeros(64, np.int64)
-            for at in range(0, len(hashes), 1 << 14):
-                bits += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-            out[k] = int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+            out[k] = simhash(np.array([digest(s, seed) for s in shingles], np.uint64))
     return out[0] if len(seeds) == 1 else out
 
 
@@ -266,17 +262,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs u < v of `nodes` (node, fp) that connect all nodes whose fingerprints are equal or linked."""
+    least = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    equal = nodes.join(least, "fp").where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    links = fingerprint_links(least.select("fp", F.lit(0).cast("long").alias("fp2")))
+    a, b = (least.select(F.col("fp").alias(n), F.col("first").alias(f"{n}_node")) for n in ("u", "v"))
+    linked = links.join(a, "u").join(b, "v").select(F.least("u_node", "v_node").alias("u"), F.greatest("u_node", "v_node").alias("v"))
+    return equal.unionByName(linked)
+
+
 def keep_one_of_each(docs: DataFrame, shingle: int = PIPELINE_SHINGLE) -> DataFrame:
     """One row of `docs` for each group of near copies, which links of a Jaccard similarity of 0.8 or more make: the one
     with the smallest doc_id, then the smallest text; of equal rows, one. Texts without a word are one group. Rows with
     null ids are kept only if a group has no other.
+
+    Golay codewords of SimHash fingerprints propose the closest pairs, prefixes of the sets all others that can be similar
+    enough, as 64 bits cannot tell; every pair is verified on its whole sets.
     """
     absent, least_id, mark, seen = (fresh(docs.columns, n) for n in ("near_absent", "near_id", "near_mark", "near_rank"))
     # null ids get a number, so that rows are dealt out by plain columns, once for both the join and the window
     own = {absent: F.col("doc_id").isNull(), least_id: F.coalesce("doc_id", F.lit(0)), mark: F.xxhash64("text")}
     key = F.struct(*(c.alias(n) for n, c in zip(("absent", "id", "mark"), own.values(), strict=True))).alias("key")
     nodes = checkpointed(nodes_of(docs.select(key, "text"), shingle))
-    labels = similar_components(docs.select("text"), nodes, shingle).withColumnRenamed("node", "of")
+    labels = similar_components(docs.select("text"), nodes, shingle, checkpointed(fingerprint_pairs(nodes.where("n > 0")))).withColumnRenamed("node", "of")
     labelled = nodes.join(labels, nodes["node"] == labels["of"], "left").select("least", F.coalesce("label", "node").alias("label"))
     winners = labelled.groupBy("label").agg(F.min("least").alias("least")).select(*(F.col(f"least.{n}").alias(c) for n, c in zip(("absent", "id", "mark"), own, strict=True)))
     kept = docs.withColumns(own).join(winners, [absent, least_id, mark], "left_semi")

@@ -6,6 +6,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 from made_texts import prose
+from pyspark.sql import functions as F
 
 from scrollwork.llm import components, jaccard, neardup
 from scrollwork.llm.common import table
@@ -94,6 +95,21 @@ def test_counts_in_parts_rule_out_no_similar_pair():
             assert jaccard.most_shared(jaccard.part_counts(x), jaccard.part_counts(x)) == len(x)
 
 
+def test_codewords_of_fingerprints_propose_near_copies(spark, write, monkeypatch):
+    """Closest copies come through op5's fingerprints and codewords; the sets then say which of them are similar enough."""
+    texts = [prose(k, 400) for k in range(20)]
+    docs = [(2 * k + c, text + " end" * c) for k, text in enumerate(texts) for c in (0, 1)]
+    frame = table(spark, write(docs), "documents").select(F.col("doc_id").alias("key"), "text")
+    nodes = jaccard.nodes_of(frame, 5)
+    key = {r["node"]: r["least"] for r in nodes.collect()}
+    pairs = {tuple(sorted((key[r["u"]], key[r["v"]]))) for r in neardup.fingerprint_pairs(nodes).collect()}
+    assert len(pairs & {(2 * k, 2 * k + 1) for k in range(20)}) >= 18
+    asked = []
+    monkeypatch.setattr(neardup, "fingerprint_pairs", lambda nodes, made=neardup.fingerprint_pairs: asked.append(1) or made(nodes))
+    assert sorted(r["doc_id"] for r in neardup.keep_one_of_each(table(spark, write(docs), "documents")).collect()) == list(range(0, 40, 2)) and asked
+    assert jaccard.simhash(np.array([1, 3, 1 << 63], np.uint64)) == 1
+
+
 def test_near_copies_are_those_of_exact_similarity(spark, write):
     """Texts around a similarity of 0.8, some with one shared line, and a group large enough to be compared in turns."""
     rng = random.Random(8)
