@@ -143,10 +143,13 @@ def _in_role(role: str) -> Column:
 
 def packet_scope(items: DataFrame, units: DataFrame, chunks: DataFrame, headings: DataFrame, neighbours: int = 1) -> DataFrame:
     """doc_id, chunk_no, pos of every item that an answer for a chunk may cite: the chunk's own, those of so many units
-    before and after it, and the headings above any of these. `headings`: doc_id, pos, heading_positions.
+    before and after it, and the headings above any of these. `headings`: doc_id, pos, heading_positions, of every item
+    (`structure.heading_paths`). Chunks begin at an item.
 
     A list that goes on from the chunk before is a unit that began there, and so a neighbour. Work and rows grow with the items
-    that may be cited: chunks and units meet in one sweep over their borders, not chunk by unit.
+    that may be cited: chunks and units meet in one sweep over their borders, not chunk by unit. The headings above a stretch
+    of items are those above its first item and those within, so headings are looked up for the first items alone, and places
+    are made distinct within a chunk's own row.
     """
     ends = chunks.select("doc_id", "chunk_no", "first_pos", "last_pos")
     own = units.select("doc_id", "unit_no", F.col("pos").alias("a"), F.col("last_pos").alias("b"))
@@ -154,9 +157,11 @@ def packet_scope(items: DataFrame, units: DataFrame, chunks: DataFrame, headings
     wanted = F.concat(F.sequence(F.col("start") - neighbours, F.col("start") - 1), F.sequence(F.col("end"), F.col("end") + neighbours - 1)) if neighbours else F.array().cast("array<bigint>")
     near = begun.select("doc_id", "chunk_no", F.explode(wanted).alias("unit_no")).join(own, ["doc_id", "unit_no"]).select("doc_id", "chunk_no", "a", "b")
     spans = near.unionByName(ends.select("doc_id", "chunk_no", F.col("first_pos").alias("a"), F.col("last_pos").alias("b")))
-    direct = spans.select("doc_id", "chunk_no", F.explode(F.sequence("a", "b")).alias("pos"))
-    above = direct.join(headings.select("doc_id", "pos", "heading_positions"), ["doc_id", "pos"]).select("doc_id", "chunk_no", F.explode("heading_positions").alias("pos"))
-    return direct.unionByName(above).distinct().join(items.select("doc_id", "pos"), ["doc_id", "pos"], "left_semi").select("doc_id", "chunk_no", "pos")
+    above = headings.select("doc_id", F.col("pos").alias("a"), "heading_positions")
+    cited = F.concat(F.sequence("a", "b"), F.coalesce("heading_positions", F.array().cast("array<int>")))
+    by_chunk = spans.join(above, ["doc_id", "a"], "left").groupBy("doc_id", "chunk_no").agg(F.flatten(F.collect_list(cited)).alias("cited"))
+    scope = by_chunk.select("doc_id", "chunk_no", F.explode(F.array_distinct("cited")).alias("pos"))
+    return scope.join(items.select("doc_id", "pos"), ["doc_id", "pos"], "left_semi").select("doc_id", "chunk_no", "pos")
 
 
 def violations(groups: DataFrame, items: DataFrame, chunks: DataFrame, scope: DataFrame | None = None, answered: DataFrame | None = None) -> DataFrame:

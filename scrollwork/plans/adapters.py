@@ -18,13 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, lang, pos, item_id, text, page, label, level, list_key: one row per line."""
+    """doc_id, lang, pos, item_id, text, page, label, level, list_key: one row per line.
+
+    Lengths are taken before rows are dealt by document, so a query that needs no text shuffles and sorts none.
+    """
     lines = table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
-    heading = F.length("text") <= HEADING
+    sized = lines.withColumn("n", F.length("text"))
+    heading = F.col("n") <= HEADING
     block = F.floor(F.col("pos") / LIST_LINES).cast("int")
     listed = ~heading & (block % 2 == 0)
     so_far = F.sum(heading.cast("int")).over(Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    return lines.select(
+    return sized.select(
         "doc_id",
         "lang",
         "pos",
@@ -32,7 +36,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.when((F.col("lang") == "en") & (F.col("pos") % 5 != 4), F.floor(F.col("pos") / PAGE_LINES).cast("int") + 1).alias("page"),
         F.when(heading, "section_header").when(listed, "list_item").otherwise("text").alias("label"),
-        F.when(heading, 1 + F.length("text") % 3).alias("level"),
+        F.when(heading, 1 + F.col("n") % 3).alias("level"),
         F.when(listed, F.concat_ws("-", block, so_far)).alias("list_key"),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scrollwork.operators import structure as S
 from scrollwork.operators import topics
 from scrollwork.operators.folds import batch_step, paged_step, pageless_step
+from scrollwork.plans import topic_queries
 from scrollwork.plans.pipeline import Settings
 
 ITEM = "doc_id long, pos int, item_id string, text string, page int, label string, level int, list_key string"
@@ -161,6 +162,28 @@ def test_citation_scope_grows_with_items_and_chunks(spark):
     assert joins and all("," in keys for keys in joins)  # never chunks with units by document alone
 
 
+def _nodes(plan, name):
+    below = plan.children()
+    own = [plan] if plan.nodeName() == name else []
+    return own + [n for k in range(below.size()) for n in _nodes(below.apply(k), name)]
+
+
+def test_citation_scope_sorts_no_text(spark, small):
+    plan = topic_queries.citation_scope(spark, small)._jdf.queryExecution().optimizedPlan()
+    windows = _nodes(plan, "Window")
+    held = [{w.output().apply(k).name() for k in range(w.output().size())} for w in windows]
+    assert windows and not any("text" in names for names in held)
+
+
+def test_citation_scope_has_headings_of_neighbours_and_lists(spark):
+    # two headings over a list that begins in one chunk and goes on through the next; the third heading is closed by none
+    own = items(spark, [("h", 1, 1, None), ("h", 1, 2, None)] + [("x", 1, None, "l")] * 4 + [("h", 1, 3, None), ("x", 1, None, None)])
+    chunks = spark.createDataFrame([(1, 0, 0, 2), (1, 1, 3, 4), (1, 2, 7, 7)], "doc_id int, chunk_no int, first_pos int, last_pos int")
+    scope = topics.packet_scope(own, S.atomic_units(own), chunks, S.heading_paths(own))
+    found = sorted((r["chunk_no"], r["pos"]) for r in scope.select("chunk_no", "pos").collect())
+    assert found == [(0, p) for p in (0, 1, 2, 6)] + [(1, p) for p in range(7)] + [(2, p) for p in (0, 1, 6, 7)]
+
+
 @pytest.mark.parametrize("wrong", [{"target": 0}, {"target": True}, {"batch_chunks": 6}, {"batch_chunks": 0}, {"neighbours": -1}, {"timeout_seconds": float("inf")}, {"timeout_seconds": True}, {"output_tokens": 0}])
 def test_settings_are_checked(wrong):
     with pytest.raises(ValueError):
