@@ -49,10 +49,14 @@ def legacy_violations(rows: DataFrame, labels: DataFrame, scope: DataFrame, chun
     none = F.lit(None).cast("string")
     rule = lambda frame, name, topic=none: frame.select(F.lit(name).alias("rule"), *key, topic.alias("topic"))
     cited = labels.select(*key, "topic", F.explode("cited").alias("item_id"))
+    # answers and chunks meet in one count by key, so neither is sent whole to every task; keys with a null meet nothing
+    held = rows.select(*key, F.lit(1).alias("answer")).unionByName(chunks.select(*key, F.lit(0).alias("answer")))
+    met = held.groupBy(*key).agg(F.sum("answer").alias("n"), F.sum(1 - F.col("answer")).alias("n_chunks"))
+    apart = F.isnull("doc_id") | F.isnull("chunk_no")
     out = [
-        rule(rows.join(chunks.select(*key), key, "left_anti").distinct(), "unknown_chunk"),
-        rule(rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "repeated_chunk"),
-        rule(chunks.select(*key).distinct().join(rows.select(*key), key, "left_anti"), "unanswered"),
+        rule(met.where((F.col("n") > 0) & ((F.col("n_chunks") == 0) | apart)), "unknown_chunk"),
+        rule(met.where("n > 1"), "repeated_chunk"),
+        rule(met.where((F.col("n_chunks") > 0) & ((F.col("n") == 0) | apart)), "unanswered"),
         rule(labels.where(~F.coalesce(F.col("topic").isin(*TOPICS), F.lit(False))), "unknown_topic", F.col("topic")),
         rule(labels.groupBy(*key, "topic").agg(F.count("*").alias("n")).where("n > 1"), "repeated_topic", F.col("topic")),
         rule(labels.where(F.size("cited") != F.size(F.array_distinct("cited"))), "repeated_citation", F.col("topic")),

@@ -139,3 +139,16 @@ def test_raw_containers_without_a_value(spark):
     raw = spark.createDataFrame([(1, "a", None), (1, "b", "5"), (1, "c", '{"children": [[]]}')], "doc_id int, item_id string, raw string")
     found = inputs.reference_problems(raw.select("doc_id", "item_id", F.try_parse_json("raw").alias("value")))
     assert rows(found, "rule", "item_id") == [("no_reference", "c")]
+
+
+def test_legacy_answers_and_chunks_meet_in_one_count(spark):
+    key = "doc_id long, chunk_no int"
+    rows = spark.createDataFrame([(1, 0), (1, 0), (1, 9), (1, 9), (None, 0)], key).withColumn("row_no", F.lit(1))
+    chunks = spark.createDataFrame([(1, 0), (1, 1), (1, 1), (None, 0)], key)
+    none = spark.createDataFrame([], key + ", topic string, cited array<string>")
+    scope = spark.createDataFrame([], key + ", item_id string")
+    found = inputs.legacy_violations(rows, none, scope, chunks)
+    got = sorted((r["rule"], r["doc_id"] or 0, r["chunk_no"]) for r in found.collect())
+    assert got == [("repeated_chunk", 1, 0), ("repeated_chunk", 1, 9), ("unanswered", 0, 0), ("unanswered", 1, 1), ("unknown_chunk", 0, 0), ("unknown_chunk", 1, 9)]
+    # labels look for their items; nothing else is joined, so no side of answers or chunks can be broadcast
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") <= 1
