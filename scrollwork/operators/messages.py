@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import normal_key
 from .audit import SECRET_KEYS
 
 #: Reasoning efforts, those that one style knows, and the tokens that its high one may think with.
@@ -19,8 +18,8 @@ THOUGHT_FIELDS = ("reasoning_content", "reasoning_details", "thinking", "signatu
 
 #: The API styles.
 STYLES = ("responses", "chat_completions", "messages")
-#: Levels below the outermost that the views go down unless told otherwise; planning takes longer the more there are.
-DEPTH = 8
+#: Levels below the outermost that the views go down unless told otherwise. Each takes stack while a pattern is matched.
+DEPTH = 64
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -127,65 +126,60 @@ def request_body(style: Column, model: Column, system: Column, content: Column,
     return F.when(effort_problem(style, effort).isNull(), F.when(style == "responses", F.to_json(responses)).when(style == "chat_completions", F.to_json(chat)).when(style == "messages", F.to_json(messages)))
 
 
-def _quoted(text: Column) -> Column:
-    return _let(F.to_json(F.array(text)), lambda j: j.substr(F.lit(2), F.length(j) - 2))
+#: Pieces of JSON as patterns: a string, and what is no string and in no nested value. Repeats are possessive, so they take no
+#: stack and are never tried again.
+_STRING, _PLAIN = r'"(?:[^"\\]++|\\.)*+"', r'[^"\[\]{}]++'
 
 
-def _no(*_: Column) -> Column:
-    return F.lit(None).cast("string")
+def _value(depth: int) -> str:
+    """Pattern of a JSON value with at most `depth` levels below it."""
+    nested = r"[\[{][\]}]"
+    for _ in range(depth):
+        nested = rf"[\[{{](?:{_PLAIN}|{_STRING}|{nested})*+[\]}}]"
+    return rf'(?:{_STRING}|[^",\[\]{{}}]++|{nested})'
 
 
-#: Stands in for what lies too deep; no JSON text holds it.
-_TOO_DEEP = "\x00"
+def _replaced(json: Column, skipped: str, found: str, by: str) -> Column:
+    """JSON with each `found` outside of strings replaced. Matches begin where the last one ended, so none begins within a
+    string; `skipped` says what else may lie between. `by`: $1 is what was skipped."""
+    return F.regexp_replace(json, rf"\G((?:{skipped})*+){found}", by)
 
 
-def _rendered(value: Column, dropped: tuple[str, ...], field: Callable[[Column], Column], whole: Callable[[Column], Column], depth: int) -> Column:
-    """JSON of a variant. Each level is one lambda within that of the level above, so the work stays in the JVM and needs no
-    shuffle."""
-    if depth < 0:
-        return F.lit(_TOO_DEEP)
-    entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
-    named = F.transform(F.filter(entries, lambda e: ~e["key"].isin(*dropped)) if dropped else entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
-    lead = lambda key: F.when(key.isNull(), "").otherwise(F.concat(_quoted(key), F.lit(": ")))
-    parts = F.transform(F.coalesce(named, listed), lambda e: F.concat(lead(e["key"]), F.coalesce(field(e["key"]), _rendered(e["value"], dropped, field, whole, depth - 1))))
-    # no parts at all: a plain value
-    marks = F.when(_is_object(value), F.lit("{}")).otherwise("[]")
-    nested = F.concat(F.substring(marks, 1, 1), F.array_join(parts, ", "), F.substring(marks, 2, 1))
-    return F.coalesce(whole(value), nested, F.to_json(value), F.lit("null"))
-
+def canonical_json(value: Column, depth: int = DEPTH) -> Column:
+    """A variant as JSON in one form, whatever the order its fields came in: fields by name, ', ' and ': ' between, characters
+    as they are, numbers as Spark writes them. Null for no value, and for one that is nested deeper than `depth`: there is no
+    view of a part."""
+    compact = F.when(value.isNotNull(), F.coalesce(F.to_json(value), F.lit("null")))
+    whole = F.nullif(F.regexp_extract(compact, rf"^{_value(depth)}$", 0), F.lit(""))
+    return _replaced(whole, rf'[^",:]++|{_STRING}', "([,:])", "$1$2 ")
 
-def rendered(value: Column, dropped: tuple[str, ...] = (), field: Callable[[Column], Column] = _no, whole: Callable[[Column], Column] = _no, depth: int = DEPTH) -> Column:
-    """A variant as JSON in one form: fields by name, ', ' and ': ' between, characters as they are, numbers as Spark writes
-    them. Null for no value, and for one that is nested deeper than `depth`: there is no view of a part.
 
-    Fields named in `dropped` are left out; `field` says of a name which JSON stands for its value, and `whole` of an object
-    which JSON stands for it (null: its own).
-    """
-    text = _let(_rendered(value, dropped, field, whole, depth), lambda j: F.when(~F.contains(j, F.lit(_TOO_DEEP)), j))
-    return F.when(value.isNotNull(), text)
+def without_thoughts(form: Column, depth: int = DEPTH) -> Column:
+    """Canonical JSON without what a model thought: such blocks keep their kind alone, such fields go."""
+    gone, value = rf'"(?:{"|".join(THOUGHT_FIELDS)})": ', _value(depth)
+    kept = _replaced(form, rf'[^",]++|(?!{gone}){_STRING}|(?!, {gone}),', rf"(?:(?:, {gone}{value})++|(?:{gone}{value}(?:, )?+)++)", "$1")
+    field = rf"{_STRING}: {value}"
+    block = rf'\{{(?:(?!"type":){field}, )*+"type": "({"|".join(THOUGHT_BLOCKS)})"(?:, {field})*+\}}'
+    return _replaced(kept, rf'[^"{{]++|{_STRING}|(?!{block})\{{', block, '$1{"omitted": true, "type": "$2"}')
 
 
-def _without_thoughts(value: Column) -> Column:
-    """What stands for a block of thoughts: its kind alone."""
-    kind = _at(value, "type")
-    is_thought = (_kind(kind) == "STRING") & _text(kind).isin(*THOUGHT_BLOCKS)
-    return F.when(is_thought, F.concat(F.lit('{"omitted": true, "type": '), _quoted(_text(kind)), F.lit("}")))
+def without_secrets(form: Column, depth: int = DEPTH) -> Column:
+    """Canonical JSON with the values of secret fields replaced, at any level."""
+    # what `normal_key` leaves out of a name; two letters beyond ASCII have k and i as lower case
+    other = r'(?:[^A-Za-z\u0130\u212A"\\]++|\\(?:u[0-9A-Fa-f]{4}|[^u]))*+'
+    letter = lambda c: f"[{c}{c.upper()}{dict(i=chr(0x130), k=chr(0x212A)).get(c, '')}]"
+    names = rf'"{other}(?:{"|".join(other.join(map(letter, key)) for key in SECRET_KEYS)}){other}": '
+    return _replaced(form, rf'[^"]++|(?!{names}){_STRING}', rf"({names}){_value(depth)}", '$1$2"[REDACTED]"')
 
 
 def visible_response(value: Column, depth: int = DEPTH) -> Column:
-    """A response (a variant) as JSON without what the model thought: such blocks keep their kind alone, such fields go."""
-    return rendered(value, dropped=THOUGHT_FIELDS, whole=_without_thoughts, depth=depth)
+    """A response (a variant) as canonical JSON without what the model thought."""
+    return without_thoughts(canonical_json(value, depth), depth)
 
 
 def redacted_json(value: Column, depth: int = DEPTH) -> Column:
-    """A variant as JSON with the values of secret fields replaced, at any level."""
-    return rendered(value, field=lambda name: F.when(normal_key(name).isin(*SECRET_KEYS), '"[REDACTED]"'), depth=depth)
-
-
-def canonical_json(value: Column, depth: int = DEPTH) -> Column:
-    """A variant in its one form, whatever the order its fields came in."""
-    return rendered(value, depth=depth)
+    """A variant as canonical JSON with the values of secret fields replaced."""
+    return without_secrets(canonical_json(value, depth), depth)
 
 
 def canonical_hash(value: Column, depth: int = DEPTH) -> Column:

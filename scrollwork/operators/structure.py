@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .folds import batch_step, by_document, dealt, expanded, fold, heading_step, pageless_step, paged_step
-from .messages import rendered
+from .messages import canonical_json
 from .terms import cyclic_parties
 
 #: Rows of a tree that are handed on at once, the path entries among them, and the types of its columns.
@@ -206,7 +206,7 @@ def coverage_violations(items: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def json_size(columns: list[str]) -> Column:
     """Characters of these columns as a JSON object."""
-    return F.length(rendered(F.to_variant_object(F.struct(*columns)))).cast("long")
+    return F.length(canonical_json(F.to_variant_object(F.struct(*columns)))).cast("long")
 
 
 def packed_batches(chunks: DataFrame, most: int = 5, most_characters: int = 24_000) -> DataFrame:

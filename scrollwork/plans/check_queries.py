@@ -70,9 +70,8 @@ def _secretive(spark: SparkSession, d: str) -> DataFrame:
 
 def safe_views(spark: SparkSession, d: str) -> DataFrame:
     """Responses without thoughts, without secrets, and the hash of their one form."""
-    own = _secretive(spark, d).select("event_id", F.try_parse_json("raw").alias("value"))
-    views = {"visible": messages.visible_response, "redacted": messages.redacted_json, "sha": messages.canonical_hash}
-    return own.select("event_id", *[view(F.col("value")).alias(name) for name, view in views.items()])
+    own = _secretive(spark, d).select("event_id", messages.canonical_json(F.try_parse_json("raw")).alias("form"))  # once for all three
+    return own.select("event_id", messages.without_thoughts(F.col("form")).alias("visible"), messages.without_secrets(F.col("form")).alias("redacted"), F.sha2(F.col("form").cast("binary"), 256).alias("sha"))
 
 
 def envelope_violations(spark: SparkSession, d: str) -> DataFrame:

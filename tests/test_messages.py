@@ -110,6 +110,34 @@ def test_views_of_deep_and_broken_values(spark):
     assert got[4] == got[5] and got[4][0] == '{"a": {"y": 2, "z": 1}, "b": 1}'
 
 
+def test_views_interpret_no_lambdas(spark):
+    frame = spark.createDataFrame([("{}",)], "raw string").select(*[f(F.try_parse_json("raw")) for f in (M.visible_response, M.redacted_json, M.canonical_hash)])
+    assert "lambda" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+ODD_VALUES = [
+    {"thinking": 1}, {"a": 1, "signature": [1, {"b": "}"}], "thinking": "x"}, {"reasoning_content": 1, "reasoning_details": 2, "z": {"thinking": 3}},
+    {"a": '", "thinking": 1, "type": "reasoning"', "b": ', "token": {', "c": "\\", "{": "}", "d": '{"type": "thinking"}'},
+    [{"type": "reasoning", "a": {"type": "x"}, "z": [{}]}, {"a": {"type": "thinking", "b": [[]]}, "type": "text"}, {"type": ["thinking"]}],
+    {'to"k\\e\nn': 1, "\u212aAP\u0130 Key": 2, "AP\u0130 \u212aey": {"x": [1]}, "tokens": {"SECRET!": None}, "\u0001token\u00e9": [], "to": "token"},
+    {"deep": json.loads("[" * 20 + '{"token": 1, "thinking": 2}' + "]" * 20)},
+]
+
+
+@pytest.mark.parametrize("value", ODD_VALUES)
+def test_views_of_odd_values(spark, value):
+    v = F.try_parse_json(F.lit(json.dumps(value)))
+    got = spark.range(1).select(M.visible_response(v), M.redacted_json(v), M.canonical_json(v)).first()
+    assert [json.loads(x) for x in got] == [without_thoughts(value), without_secrets(value), value]
+    assert list(got) == [json.dumps(json.loads(x), ensure_ascii=False) for x in got]
+
+
+def test_views_of_long_values(spark):
+    long = {"text": '\\"' * 100_000, "list": [{"token": k, "type": "text"} for k in range(20_000)]}
+    row = spark.createDataFrame([(json.dumps(long),)], "raw string").select(F.try_parse_json("raw").alias("v")).select(M.visible_response(F.col("v")), M.redacted_json(F.col("v"))).first()
+    assert [json.loads(x) for x in row] == [long, without_secrets(long)]
+
+
 def test_no_python_in_the_views(spark):
     frame = spark.createDataFrame([("{}",)], "raw string").select(M.visible_response(F.try_parse_json("raw")))
     assert "Python" not in frame._jdf.queryExecution().toString()
