@@ -100,7 +100,7 @@ def heading_paths(items: DataFrame) -> DataFrame:
 
     One fold over each document's items that keeps the open headings, whatever levels there are.
     """
-    own = items.select("doc_id", "pos", "item_id", "level")
+    own = items.select("doc_id", "pos", "level")
     return fold(own, ["doc_id"], ["pos"], ["level", "pos"], heading_step, "heading_positions", f"array<{own.schema['pos'].dataType.simpleString()}>").drop("level")
 
 
@@ -118,15 +118,34 @@ def heading_warnings(items: DataFrame) -> DataFrame:
     return none.select(columns).unionByName(skipped.select(columns)).unionByName(backward.select(columns)).unionByName(flat.select(columns))
 
 
+def _unit_key() -> Column:
+    return F.coalesce("list_key", F.concat(F.lit("#"), "pos"))
+
+
+def _begins() -> Column:
+    """Whether an item is the first of its unit."""
+    return F.coalesce(F.lag(_unit_key()).over(_by_pos()) != _unit_key(), F.lit(True))
+
+
+def unit_spans(items: DataFrame) -> DataFrame:
+    """doc_id, unit_no, pos, last_pos of the atomic units, for those who need no more of them.
+
+    A unit is told at its last item, with the latest beginning before: one pass over sorted items, and no table of units by key.
+    """
+    ends = F.coalesce(F.lead(_unit_key()).over(_by_pos()) != _unit_key(), F.lit(True))
+    marked = items.select("doc_id", "pos", _begins().alias("begins"), ends.alias("ends"))
+    begun = F.when(F.col("begins"), F.col("pos"))
+    told = marked.select("doc_id", (F.count(begun).over(_so_far()) - 1).alias("unit_no"), F.max(begun).over(_so_far()).alias("first"), "pos", "ends").where("ends")
+    return told.select("doc_id", "unit_no", F.col("first").alias("pos"), F.col("pos").alias("last_pos"))
+
+
 def atomic_units(items: DataFrame) -> DataFrame:
     """Units that are never split: neighbouring items of one list are one, every other item is its own.
 
     doc_id, unit_no (from 0), pos, last_pos, n_items, length (joined by line feeds), first_page, last_page, pages (sorted),
     starts_heading, list_key.
     """
-    key = F.coalesce("list_key", F.concat(F.lit("#"), "pos"))
-    new = F.when(F.coalesce(F.lag(key).over(_by_pos()) != key, F.lit(True)), 1).otherwise(0)
-    numbered = items.withColumn("new", new).withColumn("unit_no", F.sum("new").over(_so_far()) - 1)
+    numbered = items.withColumn("new", F.when(_begins(), 1).otherwise(0)).withColumn("unit_no", F.sum("new").over(_so_far()) - 1)
     filled = F.when(F.length("text") > 0, 1).otherwise(0)
     return numbered.groupBy("doc_id", "unit_no").agg(
         F.min("pos").alias("pos"),

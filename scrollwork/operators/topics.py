@@ -126,9 +126,10 @@ def _units_before(ends: DataFrame, units: DataFrame) -> DataFrame:
     A chunk's start stands before the units that begin there, its end after those that begin at its last place; a running
     count over all borders of a document, in order, says both.
     """
-    border = lambda at, turn, no: [F.col("doc_id"), at.cast("long").alias("at"), F.lit(turn).alias("turn"), no.cast("long").alias("chunk_no")]
-    none = F.lit(None)
-    borders = units.select(*border(F.col("a"), 1, none)).unionByName(ends.select(*border(F.col("first_pos"), 0, F.col("chunk_no")))).unionByName(ends.select(*border(F.col("last_pos"), 2, F.col("chunk_no"))))
+    begun = units.select("doc_id", F.col("a").cast("long").alias("at"), F.lit(1).alias("turn"), F.lit(None).cast("long").alias("chunk_no"))
+    border = lambda at, turn: F.struct(F.col(at).cast("long").alias("at"), F.lit(turn).alias("turn"))
+    both = ends.select("doc_id", F.explode(F.array(border("first_pos", 0), border("last_pos", 2))).alias("b"), F.col("chunk_no").cast("long").alias("chunk_no"))
+    borders = begun.unionByName(both.select("doc_id", "b.at", "b.turn", "chunk_no"))
     count = F.count(F.when(F.col("turn") == 1, 1)).over(Window.partitionBy("doc_id").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0))
     of = lambda turn, what: F.max(F.when(F.col("turn") == turn, F.col(what)))
     counted = borders.withColumn("n", count).where("chunk_no IS NOT NULL").groupBy("doc_id", "chunk_no")
@@ -141,27 +142,40 @@ def _in_role(role: str) -> Column:
     return F.transform(role, lambda p: F.struct(F.lit(role).alias("role"), p.alias("pos")))
 
 
+def _block(pos: str) -> Column:
+    return F.shiftright(F.col(pos).cast("long"), 6)
+
+
+def _bit(pos: str) -> Column:
+    """The bit of a place in its block of 64."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.col(pos).cast("long").bitwiseAND(F.lit(63)).cast("int"))
+
+
 def packet_scope(items: DataFrame, units: DataFrame, chunks: DataFrame, headings: DataFrame, neighbours: int = 1) -> DataFrame:
     """doc_id, chunk_no, pos of every item that an answer for a chunk may cite: the chunk's own, those of so many units
     before and after it, and the headings above any of these. `headings`: doc_id, pos, heading_positions, of every item
-    (`structure.heading_paths`). Chunks begin at an item.
+    (`structure.heading_paths`). `units`: doc_id, unit_no, pos, last_pos (`structure.unit_spans` is enough). Chunks begin at an item.
 
     A list that goes on from the chunk before is a unit that began there, and so a neighbour. Work and rows grow with the items
     that may be cited: chunks and units meet in one sweep over their borders, not chunk by unit. The headings above a stretch
     of items are those above its first item and those within, so headings are looked up for the first items alone, and places
-    are made distinct within a chunk's own row.
+    are made distinct within a chunk's own row. Which places are items is told by 64 bits a row, combined before they are shuffled.
     """
     ends = chunks.select("doc_id", "chunk_no", "first_pos", "last_pos")
     own = units.select("doc_id", "unit_no", F.col("pos").alias("a"), F.col("last_pos").alias("b"))
     begun = _units_before(ends, own)
+    # a null stands for the chunk's own items
     wanted = F.concat(F.sequence(F.col("start") - neighbours, F.col("start") - 1), F.sequence(F.col("end"), F.col("end") + neighbours - 1)) if neighbours else F.array().cast("array<bigint>")
-    near = begun.select("doc_id", "chunk_no", F.explode(wanted).alias("unit_no")).join(own, ["doc_id", "unit_no"]).select("doc_id", "chunk_no", "a", "b")
-    spans = near.unionByName(ends.select("doc_id", "chunk_no", F.col("first_pos").alias("a"), F.col("last_pos").alias("b")))
+    asked = begun.select("doc_id", "chunk_no", "first_pos", "last_pos", F.explode(F.concat(wanted, F.array(F.lit(None).cast("bigint")))).alias("unit_no"))
+    end = lambda at, of: F.when(F.col("unit_no").isNull(), F.col(at)).otherwise(F.col(of)).alias(of)
+    spans = asked.join(own, ["doc_id", "unit_no"], "left").select("doc_id", "chunk_no", end("first_pos", "a"), end("last_pos", "b")).where("a IS NOT NULL")
     above = headings.select("doc_id", F.col("pos").alias("a"), "heading_positions")
     cited = F.concat(F.sequence("a", "b"), F.coalesce("heading_positions", F.array().cast("array<int>")))
     by_chunk = spans.join(above, ["doc_id", "a"], "left").groupBy("doc_id", "chunk_no").agg(F.flatten(F.collect_list(cited)).alias("cited"))
     scope = by_chunk.select("doc_id", "chunk_no", F.explode(F.array_distinct("cited")).alias("pos"))
-    return scope.join(items.select("doc_id", "pos"), ["doc_id", "pos"], "left_semi").select("doc_id", "chunk_no", "pos")
+    held = items.groupBy(F.col("doc_id").alias("doc"), _block("pos").alias("block")).agg(F.bit_or(_bit("pos")).alias("held"))
+    found = scope.join(held.hint("merge"), (F.col("doc_id") == F.col("doc")) & (_block("pos") == F.col("block")))
+    return found.where(F.col("held").bitwiseAND(_bit("pos")) != 0).select("doc_id", "chunk_no", "pos")
 
 
 def violations(groups: DataFrame, items: DataFrame, chunks: DataFrame, scope: DataFrame | None = None, answered: DataFrame | None = None) -> DataFrame:

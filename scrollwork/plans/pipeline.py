@@ -46,7 +46,7 @@ def run(items: DataFrame, classify: Callable[[DataFrame, DataFrame], tuple[DataF
     settings = settings or Settings()
     chunks = chunked(items, settings)
     groups, answered = classify(chunks, items)
-    scope = topics.packet_scope(items, structure.atomic_units(items), chunks, structure.heading_paths(items), settings.neighbours)
+    scope = topics.packet_scope(items, structure.unit_spans(items), chunks, structure.heading_paths(items), settings.neighbours)
     wrong = topics.violations(groups, items, chunks, scope, answered)
     right = groups.join(wrong.select("doc_id", "chunk_no", "topic").distinct(), ["doc_id", "chunk_no", "topic"], "left_anti")
     mapped = topics.topic_map(topics.identified(topics.with_parents(right)))

@@ -84,7 +84,7 @@ def passage_violations(spark: SparkSession, d: str) -> DataFrame:
 
 def _scope(spark: SparkSession, d: str) -> DataFrame:
     own = items(spark, d)
-    return topics.packet_scope(own, structure.atomic_units(own), chunks(spark, d), structure.heading_paths(own))
+    return topics.packet_scope(own, structure.unit_spans(own), chunks(spark, d), structure.heading_paths(own))
 
 
 def citation_scope(spark: SparkSession, d: str) -> DataFrame:

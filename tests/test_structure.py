@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scrollwork.operators import structure as S
 from scrollwork.operators import topics
 from scrollwork.operators.folds import batch_step, paged_step, pageless_step
-from scrollwork.plans import topic_queries
+from scrollwork.plans import record_queries, topic_queries
 from scrollwork.plans.pipeline import Settings
 
 ITEM = "doc_id long, pos int, item_id string, text string, page int, label string, level int, list_key string"
@@ -175,6 +175,43 @@ def test_citation_scope_sorts_no_text(spark, small):
     assert windows and not any("text" in names for names in held)
 
 
+def test_scope_keeps_no_table_of_units_and_takes_chunks_once(spark, small):
+    """Units are told as they end, chunks are made once (then swept, cited and counted), items are held
+    as bits, and the fold carries no ids."""
+    plan = topic_queries.citation_scope(spark, small)._jdf.queryExecution().optimizedPlan()
+    keys = [n.groupingExpressions().mkString(",") for n in _nodes(plan, "Aggregate")]
+    assert len(keys) == 5 and not any("unit_no" in k for k in keys)
+    folds = [n.child().output().mkString(",") for n in _nodes(plan, "MapInArrow")]
+    assert folds and not any("item_id" in f for f in folds)
+
+
+def test_unit_spans_are_those_of_atomic_units(spark):
+    made = spark.range(3_000).selectExpr("id % 7 AS doc_id", "cast(id / 7 AS int) AS pos", "'x' AS text", "cast(NULL AS int) AS page", "cast(NULL AS int) AS level", "CASE WHEN hash(id) % 3 <> 0 THEN concat('l', abs(hash(id div 14)) % 2) END AS list_key")
+    columns = ["doc_id", "unit_no", "pos", "last_pos"]
+    spans, units = (f(made).select(*columns) for f in (S.unit_spans, S.atomic_units))
+    assert spans.exceptAll(units).count() == units.exceptAll(spans).count() == 0
+    assert spans.where("last_pos > pos").count() > 100 and spans.groupBy("doc_id").count().count() == 7
+
+
+def test_citation_scope_has_no_place_without_an_item(spark):
+    # places 62 to 66 but for 64, and 128, stand in three blocks of 64 places
+    own = items(spark, [("x", 1, None, None)] * 129).where("pos IN (62, 63, 65, 66, 128)")
+    chunks = spark.createDataFrame([(1, 0, 62, 66), (1, 1, 128, 128)], "doc_id int, chunk_no int, first_pos int, last_pos int")
+    scope = topics.packet_scope(own, S.unit_spans(own), chunks, S.heading_paths(own))
+    assert sorted((r["chunk_no"], r["pos"]) for r in scope.collect()) == [(0, 62), (0, 63), (0, 65), (0, 66), (0, 128), (1, 66), (1, 128)]
+    assert topics.packet_scope(own.where("false"), S.unit_spans(own), chunks, S.heading_paths(own)).count() == 0
+
+
+@pytest.mark.parametrize("neighbours", [0, 1, 2])
+def test_citation_scope_with_more_neighbours_than_there_are(spark, neighbours):
+    own = items(spark, [("x", 1, None, None)] * 3)
+    chunks = spark.createDataFrame([(1, 0, 0, 0), (1, 1, 1, 2)], "doc_id int, chunk_no int, first_pos int, last_pos int")
+    scope = topics.packet_scope(own, S.unit_spans(own), chunks, S.heading_paths(own), neighbours)
+    found = sorted((r["chunk_no"], r["pos"]) for r in scope.collect())
+    near = {0: [0], 1: [0, 1], 2: [0, 1, 2]}[neighbours]
+    assert found == [(0, p) for p in near] + [(1, p) for p in ([1, 2] if neighbours == 0 else [0, 1, 2])]
+
+
 def test_citation_scope_has_headings_of_neighbours_and_lists(spark):
     # two headings over a list that begins in one chunk and goes on through the next; the third heading is closed by none
     own = items(spark, [("h", 1, 1, None), ("h", 1, 2, None)] + [("x", 1, None, "l")] * 4 + [("h", 1, 3, None), ("x", 1, None, None)])
